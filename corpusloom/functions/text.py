@@ -5,17 +5,17 @@ from pyspark.sql import functions as F
 
 from corpusloom import settings as S
 
-# The whitespace code points, as the inside of a character class that both
-# Java and RE2 accept.
-WHITESPACE = (
-    r"\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
-    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
-)
-# The same class without U+0020.
-_OTHER_SPACE = WHITESPACE.replace(r"\x{1c}-\x{20}", r"\x{1c}-\x{1f}")
-# Runs that change when collapsed: any run holding something else than U+0020, or two and
-# more of U+0020. A lone U+0020 is left alone, which spares rewriting most texts.
-_UNEVEN_RUN = f" *[{_OTHER_SPACE}][{WHITESPACE}]*|  +"
+# The 29 whitespace code points, as the inside of a Java character class.
+# Single Latin-1 characters are looked up in a bit set; the nested class is reached only by
+# characters from U+1680 on, which keeps scanning ordinary text cheap.
+_LATIN_SPACE = r"\t\n\x0b\f\r\x1c\x1d\x1e\x1f\x85\xa0"
+_OTHER_SPACE = _LATIN_SPACE + (
+    r"[\x{1680}-\x{3000}&&"
+    r"[\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]]")
+WHITESPACE = " " + _OTHER_SPACE
+# Runs that change when collapsed: any run that starts with something else than U+0020, or
+# goes on after it. A lone U+0020 is left alone, which spares rewriting most texts.
+_UNEVEN_RUN = f"[{_OTHER_SPACE}][{WHITESPACE}]*+| [{WHITESPACE}]++"
 NUL = "\0"
 
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from corpusloom import settings as S
 from corpusloom.functions import text as X
-from corpusloom.functions.tokenizers import Tokenizer, WordTokenizer
+from corpusloom.functions.tokenizers import Tokenizer, WordTokenizer, window_count
 
 def chunk_documents(documents: DataFrame, tokenizer: Tokenizer | None = None) -> DataFrame:
     """Cut document versions into windows; a narrow map without a shuffle.
@@ -28,13 +28,16 @@ def chunk_documents(documents: DataFrame, tokenizer: Tokenizer | None = None) ->
     )
 
 
+def window_counts(documents: DataFrame) -> DataFrame:
+    """(doc_id, source_run_id, n_tokens, n_chunks) under the word tokenizer, no text cut."""
+    tokens = F.size(F.split(X.embedding_text("title", "cleaned_text"), " "))
+    return documents.select("doc_id", "source_run_id", tokens.alias("n_tokens")).withColumn(
+        "n_chunks", window_count(F.col("n_tokens")))
+
+
 def documents_without_chunks(documents: DataFrame) -> DataFrame:
     """Documents too short for a window; they are stored but cannot be retrieved."""
-    tokens = F.size(F.split(X.embedding_text("title", "cleaned_text"), " "))
-    return (
-        documents.select("doc_id", "source_run_id", tokens.alias("n_tokens"))
-        .filter(F.col("n_tokens") < S.MIN_CHUNK_TOKENS)
-    )
+    return window_counts(documents).filter("n_chunks = 0").drop("n_chunks")
 
 
 def unembedded(chunks: DataFrame, embeddings: DataFrame) -> DataFrame:

@@ -111,6 +111,14 @@ def as_of(rows: DataFrame, run_id: int) -> DataFrame:
         (F.col("source_run_id") <= run_id) & (valid_to.isNull() | (valid_to > run_id)))
 
 
+def as_of_runs(rows: DataFrame, run_ids: list[int]) -> DataFrame:
+    """The same for several runs in one pass: a row per run at whose end it was active."""
+    valid_to = F.col("valid_to_run_id")
+    runs = F.filter(F.array(*[F.lit(r) for r in run_ids]), lambda r: (
+        F.col("source_run_id") <= r) & (valid_to.isNull() | (valid_to > r)))
+    return rows.withColumn("run_id", F.explode(runs))
+
+
 def closures_from_history(versions: DataFrame) -> DataFrame:
     """Recompute closures from the version log alone: each version ends where the next begins."""
     order = Window.partitionBy("doc_id").orderBy("source_run_id")

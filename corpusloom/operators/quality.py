@@ -139,41 +139,50 @@ def previous_full_run(runs: DataFrame, run: dict) -> DataFrame:
     )
 
 
-def audit(runs: DataFrame, checksums: DataFrame, run_a: int, run_b: int) -> DataFrame:
-    """Compare two runs: (run_id_a, run_id_b, audit_type, result, details).
+def audit(runs: DataFrame, checksums: DataFrame, pairs: list[tuple[int, int]]) -> DataFrame:
+    """Compare pairs of runs: (run_id_a, run_id_b, audit_type, result, details).
 
     ``checksums`` holds (run_id, checksum) of the chunks active at the end of each run. A
-    missing run gives the single row ``run_existence`` FAIL.
+    missing run gives the single row ``run_existence`` FAIL. All pairs are served by one
+    pass over the two inputs.
     """
-    def side(run_id: int, prefix: str) -> list[Column]:
-        here = F.col("run_id") == run_id
-        return [F.max(F.when(here, F.col(c))).alias(prefix + c)
-                for c in (*AUDITED_COUNTS, "checksum", "seen")]
-
-    rows = union_all([
-        runs.select("run_id", *AUDITED_COUNTS, F.lit(None).cast("string").alias("checksum"),
-                    F.lit(True).alias("seen")),
-        checksums.select("run_id", *[F.lit(None).cast("bigint").alias(c) for c in AUDITED_COUNTS],
-                         "checksum", F.lit(None).cast("boolean").alias("seen")),
-    ]).filter(F.col("run_id").isin(run_a, run_b))
-    pair = rows.agg(*side(run_a, "a_"), *side(run_b, "b_"))
-
-    def check(name: str, a: Column, b: Column, labels: tuple[str, str]) -> Column:
+    spark = runs.sparkSession
+    sides = F.array(*[
+        F.struct(F.lit(a).alias("run_id_a"), F.lit(b).alias("run_id_b"), F.lit(r).alias("run_id"),
+                 F.lit(p).alias("side"))
+        for a, b in pairs for r, p in ((a, "a_"), (b, "b_"))])
+
+    def empty(*names: str) -> list[Column]:
+        kinds = {"checksum": "string", "seen": "boolean"}
+        return [F.lit(None).cast(kinds.get(n, "bigint")).alias(n) for n in names]
+
+    facts = union_all([
+        runs.select("run_id", *AUDITED_COUNTS, *empty("checksum"), F.lit(True).alias("seen")),
+        checksums.select("run_id", *empty(*AUDITED_COUNTS), "checksum", *empty("seen")),
+    ]).withColumn("s", F.explode(F.filter(sides, lambda x: x["run_id"] == F.col("run_id"))))
+    values = [*AUDITED_COUNTS, "checksum", "seen"]
+    # One row per side without values, so that a pair of missing runs is still reported.
+    wanted = spark.range(1).select(F.explode(sides).alias("s"), *empty(*values))
+    rows = facts.select("s", *values).unionByName(wanted)
+    pair = rows.groupBy("s.run_id_a", "s.run_id_b").agg(*[
+        F.max(F.when(F.col("s.side") == p, F.col(c))).alias(p + c)
+        for p in ("a_", "b_") for c in values])
+
+    def check(name: str, a: Column, b: Column, labels: tuple[str, str], equal: Column) -> Column:
         return F.struct(
             F.lit(name).alias("audit_type"),
-            F.when(a.eqNullSafe(b), "PASS").otherwise("FAIL").alias("result"),
+            F.when(equal, "PASS").otherwise("FAIL").alias("result"),
             F.to_json(F.struct(a.alias(labels[0]), b.alias(labels[1])),
                       {"ignoreNullFields": "false"}).alias("details"))
 
-    checks = [check(c, F.col("a_" + c), F.col("b_" + c), ("run_a", "run_b"))
-              for c in AUDITED_COUNTS]
-    short = [F.concat(F.left(F.col(p + "checksum"), F.lit(16)), F.lit("...")) for p in ("a_", "b_")]
-    equal = F.col("a_checksum").eqNullSafe(F.col("b_checksum"))
-    checks.append(F.struct(
-        F.lit(CHECKSUM_AUDIT).alias("audit_type"),
-        F.when(equal, "PASS").otherwise("FAIL").alias("result"),
-        F.to_json(F.struct(short[0].alias("checksum_a"), short[1].alias("checksum_b")),
-                  {"ignoreNullFields": "false"}).alias("details")))
+    def both_sides(c: str) -> tuple[Column, Column]:
+        return F.col("a_" + c), F.col("b_" + c)
+
+    checks = [check(c, *both_sides(c), ("run_a", "run_b"), both_sides(c)[0].eqNullSafe(
+        both_sides(c)[1])) for c in AUDITED_COUNTS]
+    a, b = both_sides("checksum")
+    short = [F.concat(F.left(c, F.lit(16)), F.lit("...")) for c in (a, b)]
+    checks.append(check(CHECKSUM_AUDIT, *short, ("checksum_a", "checksum_b"), a.eqNullSafe(b)))
 
     def presence(p: str) -> Column:
         return F.when(F.col(p + "seen"), "ok").otherwise("missing")
@@ -182,10 +191,9 @@ def audit(runs: DataFrame, checksums: DataFrame, run_a: int, run_b: int) -> Data
         F.lit(EXISTENCE_AUDIT).alias("audit_type"), F.lit("FAIL").alias("result"),
         F.to_json(F.struct(F.concat(F.lit("run_a="), presence("a_"), F.lit(", run_b="),
                                     presence("b_")).alias("error"))).alias("details")))
-    both = F.coalesce(F.col("a_seen") & F.col("b_seen"), F.lit(False))
-    return pair.select(
-        F.lit(run_a).cast("int").alias("run_id_a"), F.lit(run_b).cast("int").alias("run_id_b"),
-        F.inline(F.when(both, F.array(*checks)).otherwise(missing)))
+    exist = F.coalesce(F.col("a_seen") & F.col("b_seen"), F.lit(False))
+    return pair.select("run_id_a", "run_id_b",
+                       F.inline(F.when(exist, F.array(*checks)).otherwise(missing)))
 
 
 def audit_tally(results: DataFrame) -> DataFrame:

@@ -186,20 +186,23 @@ def registry_row(spark: SparkSession, run_id: int, dataset_name: str, model: str
 
 
 def chunk_checksums(chunks: DataFrame, closures: DataFrame, run_ids: list[int]) -> DataFrame:
-    """(run_id, checksum) of the chunks active at the end of each run."""
+    """(run_id, checksum) of the chunks active at the end of each run, in one pass."""
     rows = merge.with_validity(chunks.select("doc_id", "chunk_hash", "source_run_id"), closures)
-    return quality.union_all([
-        quality.multiset_digest(merge.as_of(rows, r), "chunk_hash").select(
-            F.lit(r).cast("int").alias("run_id"),
-            F.concat_ws(":", "digest", "n_rows").alias("checksum"))
-        for r in run_ids])
+    active = merge.as_of_runs(rows, run_ids).select("run_id", "chunk_hash")
+    # A run without chunks has the checksum of an empty set.
+    every = chunks.sparkSession.range(1).select(
+        F.explode(F.array(*[F.lit(r) for r in run_ids])).alias("run_id"),
+        F.lit(None).cast("string").alias("chunk_hash"))
+    return active.unionByName(every).groupBy("run_id").agg(
+        F.count("chunk_hash").alias("n_rows"), *quality.digest_columns("chunk_hash"),
+    ).select("run_id", F.concat_ws(":", quality.digest_value(), "n_rows").alias("checksum"))
 
 
 def write_audit(w: Warehouse, runs: DataFrame, run_a: int, run_b: int, chunks: DataFrame,
                 closures: DataFrame) -> DataFrame:
     """Run the checks between two runs, store and return them."""
     checksums = chunk_checksums(chunks, closures, [run_a, run_b])
-    results = quality.audit(runs, checksums, run_a, run_b).select(
+    results = quality.audit(runs, checksums, [(run_a, run_b)]).select(
         X.key_hash("run_id_a", "run_id_b", "audit_type").alias("audit_id"), "*",
         F.current_timestamp().alias("created_at"))
     w.append("audit_results", results)

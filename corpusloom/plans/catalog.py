@@ -259,9 +259,7 @@ def unembedded_chunks(i: Inputs) -> DataFrame:
 def asof_chunks(i: Inputs) -> DataFrame:
     rows = merge.with_validity(
         i.chunks.select("chunk_id", "doc_id", "chunk_hash", "source_run_id"), i.closures)
-    return quality.union_all([
-        merge.as_of(rows, r).select(F.lit(r).alias("run_id"), "chunk_id", "chunk_hash")
-        for r in (1, 2, 3)])
+    return merge.as_of_runs(rows, [1, 2, 3]).select("run_id", "chunk_id", "chunk_hash")
 
 
 @query
@@ -274,62 +272,47 @@ def ordered_checksum(i: Inputs) -> DataFrame:
     return quality.ordered_checksum(i.corpus_chunks, "chunk_hash")
 
 
-def _facts(i: Inputs) -> DataFrame:
-    """Counts per run, one row per (run_id, name): what a run registry is made of."""
-    chunks = i.chunks.select("doc_id", "source_run_id")
+def _runs(i: Inputs) -> DataFrame:
+    """The run registry of the three builds, counted from their rows."""
+    def arrived(raw: DataFrame, *runs: int) -> DataFrame:
+        ok = validate.reject_detail().isNull()
+        return raw.agg(F.count("*").alias("raw_doc_count"),
+                       F.count_if(ok).alias("stg_valid_count")).select(
+            F.explode(F.array(*[F.lit(r) for r in runs])).alias("run_id"), "*")
 
-    def stage(run_id: int, raw: DataFrame, valid: DataFrame, statuses: DataFrame | None):
-        parts = [
-            raw.agg(F.count("*").alias("raw_doc_count")),
-            valid.agg(F.count("*").alias("stg_valid_count")),
-        ]
-        if statuses is not None:
-            parts.append(merge.status_counts(statuses))
-        return [_named(p, run_id) for p in parts]
+    def decided(run_id: int, statuses: DataFrame) -> DataFrame:
+        return merge.status_counts(statuses).withColumn("run_id", F.lit(run_id))
 
     current = i.first_versions.select("doc_id", "content_hash", "source_run_id")
-    nothing = current.filter(F.lit(False))
-    base_keys = merge.batch_keys(i.base_valid)
-    facts = [
-        *stage(1, i.base, i.base_valid, merge.classify(base_keys, nothing)),
-        *stage(2, i.base, i.base_valid, merge.classify(base_keys, current)),
-        *stage(3, i.delta, i.delta_valid, i.statuses),
+    keys = merge.batch_keys(i.base_valid)
+    windows = chunking.window_counts(i.versions)
+    made = windows.groupBy(F.col("source_run_id").alias("run_id")).agg(
+        F.sum("n_chunks").alias("new_chunk_count"))
+    live = merge.as_of_runs(merge.with_validity(windows, i.closures), [1, 2, 3]).groupBy(
+        "run_id").agg(F.count("*").alias("active_doc_count"),
+                      F.sum("n_chunks").alias("active_chunk_count"))
+    parts = [
+        arrived(i.base, 1, 2), arrived(i.delta, 3),
+        decided(1, merge.classify(keys, current.filter(F.lit(False)))),
+        decided(2, merge.classify(keys, current)), decided(3, i.statuses), made, live,
     ]
-    documents = merge.with_validity(i.versions.select("doc_id", "source_run_id"), i.closures)
-    windows = merge.with_validity(chunks, i.closures)
-
-    def active(rows: DataFrame, run_id: int, *names: str) -> DataFrame:
-        one = merge.as_of(rows, run_id).agg(F.count("*").alias("n"))
-        return _named(one.select(*[F.col("n").alias(n) for n in names]), run_id)
-
-    for r in (1, 2, 3):
-        facts.append(active(documents, r, "active_doc_count"))
-        facts.append(active(windows, r, "active_chunk_count", "active_embedding_count",
-                            "index_vector_count"))
-        made = chunks.filter(F.col("source_run_id") == r).agg(F.count("*").alias("n"))
-        facts.append(_named(made.select(F.col("n").alias("new_chunk_count"),
-                                        F.col("n").alias("new_embedding_count")), r))
-    return quality.union_all(facts)
-
-
-def _named(row: DataFrame, run_id: int) -> DataFrame:
-    pairs = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("bigint").alias("n"))
-                      for c in row.columns])
-    return row.select(F.lit(run_id).alias("run_id"), F.inline(pairs))
-
-
-def _runs(i: Inputs) -> DataFrame:
-    names = [n for n in schemas.RUN_COUNTS if n != "rejected_doc_count"]
-    counts = _facts(i).groupBy("run_id").agg(
-        *[F.coalesce(F.max(F.when(F.col("name") == n, F.col("n"))), F.lit(0)).alias(n)
-          for n in names])
+    counted = [n for n in schemas.RUN_COUNTS if any(n in p.columns for p in parts)]
+    rows = quality.union_all([
+        p.select("run_id", *[(F.col(n) if n in p.columns else F.lit(None)).cast("bigint").alias(n)
+                             for n in counted]) for p in parts])
+    counts = rows.groupBy("run_id").agg(
+        *[F.coalesce(F.max(n), F.lit(0)).alias(n) for n in counted])
     third = F.col("run_id") == 3
     return counts.select(
         "run_id", F.when(third, "augmented").otherwise("full").alias("mode"),
         F.lit("tables").alias("dataset_name"),
         F.when(third, "update").otherwise("documents").alias("input_path"),
-        F.lit("success").alias("status"), *names,
-        (F.col("raw_doc_count") - F.col("stg_valid_count")).alias("rejected_doc_count"))
+        F.lit("success").alias("status"), *counted,
+        (F.col("raw_doc_count") - F.col("stg_valid_count")).alias("rejected_doc_count"),
+        # Every chunk gets one vector, and every active vector is indexed.
+        F.col("new_chunk_count").alias("new_embedding_count"),
+        F.col("active_chunk_count").alias("active_embedding_count"),
+        F.col("active_chunk_count").alias("index_vector_count"))
 
 
 @query
@@ -343,19 +326,19 @@ def previous_full_run(i: Inputs) -> DataFrame:
     return quality.previous_full_run(_runs(i), here).select("run_id", "active_doc_count")
 
 
+def _audited(i: Inputs, pairs: list[tuple[int, int]]) -> DataFrame:
+    return quality.audit(_runs(i), chunk_checksums(i.chunks, i.closures, [1, 2, 3]), pairs)
+
+
 @query
 def audit_runs(i: Inputs) -> DataFrame:
-    """The same input twice, then before and after the update."""
-    runs, sums = _runs(i), chunk_checksums(i.chunks, i.closures, [1, 2, 3])
-    return quality.union_all([quality.audit(runs, sums, 1, 2), quality.audit(runs, sums, 2, 3),
-                              quality.audit(runs, sums, 3, 9)])
+    """The same input twice, then before and after the update, then a run there is not."""
+    return _audited(i, [(1, 2), (2, 3), (3, 9)])
 
 
 @query
 def audit_tally(i: Inputs) -> DataFrame:
-    runs, sums = _runs(i), chunk_checksums(i.chunks, i.closures, [1, 2, 3])
-    return quality.audit_tally(quality.union_all(
-        [quality.audit(runs, sums, 1, 2), quality.audit(runs, sums, 2, 3)]))
+    return quality.audit_tally(_audited(i, [(1, 2), (2, 3)]))
 
 
 @query

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions import text as X
 from corpusloom.functions.encoders import HashingEncoder, embed_chunks, encode_column
 from corpusloom.operators import chunking, merge, validate
+from corpusloom.sources.scratch import spread
 
 # The 29 whitespace code points of ``functions.text.WHITESPACE``.
 SPACE_POINTS = [*range(0x9, 0xE), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
@@ -37,9 +38,12 @@ class Inputs:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    def spread_table(self, name: str) -> DataFrame:
+        return spread(self.table(name))
+
     @cached_property
     def base(self) -> DataFrame:
-        return self.table("documents").select(
+        return self.spread_table("documents").select(
             F.col("doc_id").cast("string").alias("id"),
             F.concat(F.lit("doc://"), "source", F.lit("/"), "doc_id").alias("url"),
             F.concat_ws(" ", "source", "lang", "doc_id").alias("title"),
@@ -51,24 +55,24 @@ class Inputs:
             F.col("doc_id").cast("string").alias("id"), "quality", "toxic")
         again = self.base.join(labels, "id")
         good, toxic = F.col("quality") == 1, F.col("toxic") == 1
-        text = (
-            F.when(~toxic & good, F.col("text"))
-            .when(~toxic, F.concat("text", F.lit(REVISED)))
-            .when(good, F.lit(X.NUL))
-            .otherwise("")
-        )
+
+        def delivery(part: int, text: Column) -> Column:
+            return F.struct(text.alias("text"), seq(part, "seq.n"))
+
+        revised = [delivery(0, F.concat("text", F.lit(REVISED))),
+                   delivery(1, F.concat("text", F.lit(CORRECTED)))]
+        other = F.when(~toxic, F.col("text")).when(good, F.lit(X.NUL)).otherwise("")
+        deliveries = F.when(~toxic & ~good, F.array(*revised)).otherwise(
+            F.array(delivery(0, other)))
         shape = ["id", "url", "title", "text", "seq"]
-        corrections = again.filter(~toxic & ~good).select(
-            "id", "url", "title", F.concat("text", F.lit(CORRECTED)).alias("text"),
-            seq(1, "seq.n"))
-        pages = self.table("pages").select(
+        redelivered = again.select("id", "url", "title", F.inline(deliveries))
+        pages = self.spread_table("pages").select(
             F.concat(F.lit("page-"), "page_id").alias("id"), "url", F.col("url").alias("title"),
             F.col("html").alias("text"), seq(2, "page_id"))
-        turns = self.table("conversations").select(
+        turns = self.spread_table("conversations").select(
             F.lit("").alias("id"), F.lit("").alias("url"), F.col("role").alias("title"), "text",
             seq(3, F.col("conv_id") * 1_000_000 + F.col("turn")))
-        return (again.withColumn("text", text).select(shape).unionByName(corrections)
-                .unionByName(pages).unionByName(turns))
+        return redelivered.select(shape).unionByName(pages).unionByName(turns)
 
     @cached_property
     def noisy(self) -> DataFrame:
@@ -90,7 +94,7 @@ class Inputs:
         shape = ["id", "url", "title", "text", "seq"]
         documents = self.base.join(labels, "id", "left").withColumn("text", text).select(shape)
         turn = F.col("conv_id") * 1_000_000 + F.col("turn")
-        turns = self.table("conversations").select(
+        turns = self.spread_table("conversations").select(
             space(turn).alias("id"), F.lit(None).cast("string").alias("url"),
             F.col("role").alias("title"), "text", seq(3, turn))
         return documents.unionByName(turns)

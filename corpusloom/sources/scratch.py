@@ -3,7 +3,7 @@
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
@@ -21,3 +21,13 @@ def shared_root(spark: SparkSession) -> str:
 def new_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh path below the shared root; nothing is created or removed."""
     return f"{shared_root(spark).rstrip('/')}/corpusloom-{purpose}-{uuid.uuid4().hex}"
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rebalance an input that has fewer splits than there are cores.
+
+    A small table in one row group would otherwise be cleaned, cut and encoded by one core.
+    A large one has more splits than cores and is passed on without a shuffle.
+    """
+    few = df.rdd.getNumPartitions() < df.sparkSession.sparkContext.defaultParallelism
+    return df.hint("rebalance") if few else df
