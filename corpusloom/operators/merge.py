@@ -11,8 +11,6 @@ from pyspark.sql import functions as F
 
 from corpusloom import settings as S
 
-CLOSURE_COLUMNS = ["doc_id", "valid_from_run_id", "valid_to_run_id"]
-
 
 def batch_keys(valid: DataFrame) -> DataFrame:
     """One narrow row per doc_id of a batch: its last occurrence, and how many there were.
@@ -27,11 +25,17 @@ def batch_keys(valid: DataFrame) -> DataFrame:
     )
 
 
-def current_keys(versions: DataFrame, closures: DataFrame) -> DataFrame:
-    """(doc_id, content_hash, source_run_id) of the versions no run has closed."""
-    closed = closures.select("doc_id", F.col("valid_from_run_id").alias("source_run_id"))
-    return versions.select("doc_id", "content_hash", "source_run_id").join(
-        closed, ["doc_id", "source_run_id"], "left_anti")
+def current_keys(versions: DataFrame, closures: DataFrame,
+                 keys: DataFrame | None = None) -> DataFrame:
+    """(doc_id, content_hash, source_run_id) of the versions no run has closed.
+
+    With ``keys``, only for the documents of a batch: a small batch is then broadcast and
+    the history is scanned on three narrow columns without being shuffled.
+    """
+    log = versions.select("doc_id", "content_hash", "source_run_id")
+    if keys is not None:
+        log = log.join(keys.select("doc_id"), "doc_id", "left_semi")
+    return active(log, closures)
 
 
 def classify(keys: DataFrame, current: DataFrame) -> DataFrame:
@@ -57,10 +61,25 @@ def changed(statuses: DataFrame) -> DataFrame:
     return statuses.filter(F.col("status").isin(S.NEW, S.UPDATED))
 
 
-def new_versions(valid: DataFrame, statuses: DataFrame, run_id: int) -> DataFrame:
-    """The rows to append: the winning occurrence of every NEW or UPDATED document."""
-    keys = changed(statuses).select("doc_id", "seq")
-    return valid.join(keys, ["doc_id", "seq"], "left_semi").select(
+def new_versions(valid: DataFrame, statuses: DataFrame, run_id: int,
+                 counts: dict[str, int] | None = None) -> DataFrame:
+    """The rows to append: the winning occurrence of every NEW or UPDATED document.
+
+    Texts are wide, so the join that picks the winners is left out or turned around where
+    the counts of the run allow it: a first load keeps every row as it comes, and a batch
+    that is mostly new drops its few unchanged documents instead.
+    """
+    counts = counts or {}
+    unchanged, duplicates = counts.get("unchanged_doc_count"), counts.get("duplicate_doc_count")
+    fresh = counts.get("new_doc_count", 0) + counts.get("updated_doc_count", 0)
+    if duplicates == 0 and unchanged == 0:
+        rows = valid
+    elif duplicates == 0 and unchanged < fresh:
+        same = statuses.filter(F.col("status") == S.UNCHANGED).select("doc_id")
+        rows = valid.join(same, "doc_id", "left_anti")
+    else:
+        rows = valid.join(changed(statuses).select("doc_id", "seq"), ["doc_id", "seq"], "left_semi")
+    return rows.select(
         "doc_id", "url", "title", "cleaned_text", "content_hash", "text_len",
         F.lit(run_id).cast("int").alias("source_run_id"),
     )

@@ -23,6 +23,9 @@ SAMPLE_SIZE = 40
 SCAN_ROWS = 2000
 RESERVE = 5
 
+# Shares a repeated id is split into.
+SALTS = 16
+
 
 def usable(raw: DataFrame) -> DataFrame:
     """Rows with an id and a text."""
@@ -80,9 +83,17 @@ def update_batch(raw: DataFrame, sample: DataFrame) -> DataFrame:
 
 
 def batch_preview(batch: DataFrame, base: DataFrame) -> DataFrame:
-    """How a coming batch looks: text length, whether it has text, whether the id is unseen."""
-    known = base.select("id").distinct().withColumn("known", F.lit(True))
-    return batch.join(known, "id", "left").select(
+    """How a coming batch looks: text length, whether it has text, whether the id is unseen.
+
+    A batch may repeat one id (a blank one, say) in any share of its rows, so its rows are
+    salted and the short list of ids found in the base is laid out once per salt.
+    """
+    ids = batch.select("id").distinct()
+    known = base.select("id").distinct().join(ids, "id", "left_semi").select(
+        "id", F.lit(True).alias("known"),
+        F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    salt = F.pmod(F.xxhash64("seq"), F.lit(SALTS)).cast("int")
+    return batch.withColumn("salt", salt).join(known, ["id", "salt"], "left").select(
         "id", "title",
         F.length("text").alias("text_len"),
         (~X.is_blank("text")).alias("has_text"),

@@ -6,6 +6,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusloom import schemas
 from corpusloom import settings as S
@@ -14,7 +15,7 @@ from corpusloom.functions.encoders import Encoder, HashingEncoder, embed_chunks
 from corpusloom.functions.tokenizers import Tokenizer, WordTokenizer
 from corpusloom.operators import chunking, index_store, merge, quality, validate
 from corpusloom.sources import jsonl
-from corpusloom.sources.warehouse import Warehouse
+from corpusloom.sources.warehouse import Warehouse, small_frame
 
 AUGMENTED_NOTE = "index rebuilt from all active vectors; only new and updated documents embedded"
 
@@ -93,15 +94,19 @@ class Build:
         return c["stg_valid_count"]
 
     def _curate(self) -> int:
+        # Keys and statuses are narrow tables of their own: later plans then know their
+        # size when they choose a join, and nothing is recomputed after a lost executor.
         w, run_id = self.warehouse, self.run_id
         valid = validate.valid_documents(self._raw())
+        w.write_run("batch_keys", merge.batch_keys(valid), run_id)
+        keys = w.read_run("batch_keys", run_id).drop("run_id")
         current = merge.current_keys(w.read("clean_documents", self.published),
-                                     w.read("closures", self.published))
-        keys = merge.batch_keys(valid)
+                                     w.read("closures", self.published), keys)
         w.write_run("document_status", merge.classify(keys, current), run_id)
         statuses = w.read_run("document_status", run_id)
         self.counts.update(merge.status_counts(statuses).first().asDict())
-        w.write_run("clean_documents", merge.new_versions(valid, statuses, run_id), run_id)
+        w.write_run("clean_documents",
+                    merge.new_versions(valid, statuses, run_id, self.counts), run_id)
         w.write_run("closures", merge.new_closures(statuses, run_id), run_id)
         return self.counts["stg_valid_count"]
 
@@ -144,11 +149,11 @@ class Build:
 
     def _reconcile(self) -> None:
         c, w = self.counts, self.warehouse
-        row = w.spark.createDataFrame(
-            [(c["raw_doc_count"], c["active_doc_count"], c["rejected_doc_count"],
-              c["active_chunk_count"], c["active_embedding_count"], c["index_vector_count"])],
-            "raw_documents long, clean_documents_active long, rejected_documents long, "
-            "active_chunks long, active_embeddings long, index_vectors long")
+        fields = schemas.TABLES["row_count_reconciliation"].fields[:6]
+        row = small_frame(w.spark, [(
+            c["raw_doc_count"], c["active_doc_count"], c["rejected_doc_count"],
+            c["active_chunk_count"], c["active_embedding_count"], c["index_vector_count"])],
+            T.StructType(fields))
         w.write_run("row_count_reconciliation",
                     quality.reconciliation_status(row, self.run_id), self.run_id)
 
@@ -159,11 +164,11 @@ class Build:
         before = quality.previous_full_run(w.runs(), here).first()
         if before is None:
             return
-        own = w.spark.createDataFrame(
-            [(self.run_id, *[self.counts[n] for n in quality.AUDITED_COUNTS])],
-            "run_id int, " + ", ".join(f"{n} long" for n in quality.AUDITED_COUNTS))
-        known = w.runs().filter(F.col("run_id") != self.run_id).select(
-            "run_id", *quality.AUDITED_COUNTS)
+        names = ["run_id", *quality.AUDITED_COUNTS]
+        fields = [schemas.TABLES["runs"][n] for n in names]
+        own = small_frame(w.spark, [(self.run_id, *[self.counts[n] for n in names[1:]])],
+                          T.StructType(fields))
+        known = w.runs().filter(F.col("run_id") != self.run_id).select(*names)
         write_audit(w, known.unionByName(own), before.run_id, self.run_id,
                     self._visible("chunks"), self._visible("closures"))
 
@@ -181,7 +186,7 @@ def registry_row(spark: SparkSession, run_id: int, dataset_name: str, model: str
     row = (run_id, dataset_name, S.INDEX_TYPE, model, S.METRIC, facts["nlist"], S.NPROBE,
            facts["num_vectors"], *paths, facts["checksum"], mode, _now())
     fields = schemas.TABLES["index_registry"].fields[1:]
-    return spark.createDataFrame([row], type(schemas.TABLES["index_registry"])(fields)).withColumn(
+    return small_frame(spark, [row], T.StructType(fields)).withColumn(
         "index_id", X.key_hash("dataset_name", "run_id", "index_checksum"))
 
 

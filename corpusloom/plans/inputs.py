@@ -35,11 +35,20 @@ class Inputs:
     spark: SparkSession
     folder: str
 
+    @cached_property
+    def _open(self) -> dict[str, DataFrame]:
+        return {}
+
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._open:
+            self._open[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._open[name]
 
     def spread_table(self, name: str) -> DataFrame:
-        return spread(self.table(name))
+        key = f"spread {name}"
+        if key not in self._open:
+            self._open[key] = spread(self.table(name))
+        return self._open[key]
 
     @cached_property
     def base(self) -> DataFrame:

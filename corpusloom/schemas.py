@@ -41,6 +41,8 @@ TABLES: dict[str, T.StructType] = {
     "rejected_documents": _schema(
         "doc_id:string title:string reason_code:string reason_detail:string "
         "raw_snapshot:string run_id:int"),
+    "batch_keys": _schema(
+        "doc_id:string seq:seq content_hash:string copies:long run_id:int"),
     "document_status": _schema(
         "doc_id:string seq:seq content_hash:string copies:long status:string "
         "closed_valid_from:int run_id:int"),

@@ -6,20 +6,33 @@ last ``runs`` row says success: readers ask for the partitions of successful run
 the run in progress. One driver writes at a time.
 """
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from corpusloom import schemas
 
 # Tables whose rows belong to the run that wrote them, and the column that says so.
 RUN_COLUMN = {
-    "raw_documents": "run_id", "rejected_documents": "run_id", "document_status": "run_id",
+    "raw_documents": "run_id", "rejected_documents": "run_id", "batch_keys": "run_id",
+    "document_status": "run_id",
     "row_count_reconciliation": "run_id", "clean_documents": "source_run_id",
     "chunks": "source_run_id", "embeddings": "source_run_id", "closures": "valid_to_run_id",
 }
 
 
+def small_frame(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
+    """A few driver-side rows as a DataFrame, without starting a Python worker."""
+    columns = list(zip(*rows)) if rows else [[] for _ in schema.fields]
+    arrays = [pa.array(list(values), kind.type)
+              for values, kind in zip(columns, to_arrow_schema(schema))]
+    table = pa.Table.from_arrays(arrays, names=schema.names)
+    return spark.createDataFrame(table, schema)
+
+
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
@@ -52,7 +65,7 @@ class Warehouse:
         df.select(*names).coalesce(1).write.mode("append").parquet(self.path(table))
 
     def append_rows(self, table: str, rows: list[tuple]) -> None:
-        self.append(table, self.spark.createDataFrame(rows, schemas.TABLES[table]))
+        self.append(table, small_frame(self.spark, rows, schemas.TABLES[table]))
 
     def read(self, table: str, runs: list[int] | None = None) -> DataFrame:
         """Rows of the given runs (default: the successful ones); control tables as they are."""
