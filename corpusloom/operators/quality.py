@@ -2,7 +2,7 @@
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom import settings as S
@@ -110,16 +110,10 @@ def reconciliation_status(row: DataFrame, run_id: int) -> DataFrame:
 
 
 def newest_index(registry: DataFrame) -> DataFrame:
-    """Registry with ``is_active``: the newest build of each dataset.
-
-    The newest build is found by aggregation, not by sorting a dataset's whole history in
-    one task.
-    """
-    newest = registry.groupBy("dataset_name").agg(
-        F.max(F.struct("created_at", "run_id", "index_id")).alias("newest"))
-    newest = newest.select("dataset_name", F.col("newest.index_id").alias("newest_id"))
-    return registry.join(newest, "dataset_name").select(
-        *registry.columns, (F.col("index_id") == F.col("newest_id")).alias("is_active"))
+    """Registry with ``is_active``: the newest build of each dataset. It has a row per build."""
+    newest = F.max(F.struct("created_at", "run_id", "index_id")).over(
+        Window.partitionBy("dataset_name"))
+    return registry.withColumn("is_active", newest["index_id"] == F.col("index_id"))
 
 
 def active_index_size(registry: DataFrame) -> DataFrame:

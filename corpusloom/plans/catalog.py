@@ -294,7 +294,7 @@ def _runs(i: Inputs) -> DataFrame:
     parts = [
         arrived(i.base, 1, 2), arrived(i.delta, 3),
         decided(1, merge.classify(keys, current.filter(F.lit(False)))),
-        decided(2, merge.classify(keys, current)), decided(3, i.statuses), made, live,
+        decided(2, merge.classify(keys, current)), decided(3, i.decided), made, live,
     ]
     counted = [n for n in schemas.RUN_COUNTS if any(n in p.columns for p in parts)]
     rows = quality.union_all([

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions import text as X
 from corpusloom.functions.encoders import HashingEncoder, embed_chunks, encode_column
 from corpusloom.operators import chunking, merge, validate
-from corpusloom.sources.scratch import spread
+from corpusloom.sources.scratch import new_folder, spread
 
 # The 29 whitespace code points of ``functions.text.WHITESPACE``.
 SPACE_POINTS = [*range(0x9, 0xE), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
@@ -127,13 +127,23 @@ class Inputs:
         current = self.first_versions.select("doc_id", "content_hash", "source_run_id")
         return merge.classify(merge.batch_keys(self.delta_valid), current)
 
+    @cached_property
+    def decided(self) -> DataFrame:
+        """The statuses as a written table, as a build keeps them.
+
+        They are narrow, and everything about versions refers to them several times.
+        """
+        path = new_folder(self.spark, "statuses")
+        self.statuses.write.parquet(path)
+        return self.spark.read.schema(self.statuses.schema).parquet(path)
+
     @cached_property
     def closures(self) -> DataFrame:
-        return merge.new_closures(self.statuses, 3)
+        return merge.new_closures(self.decided, 3)
 
     @cached_property
     def last_versions(self) -> DataFrame:
-        return merge.new_versions(self.delta_valid, self.statuses, 3)
+        return merge.new_versions(self.delta_valid, self.decided, 3)
 
     @cached_property
     def versions(self) -> DataFrame:
