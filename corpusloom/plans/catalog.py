@@ -466,7 +466,7 @@ def _asked(i: Inputs) -> DataFrame:
 
 
 def _shown(hits: DataFrame) -> DataFrame:
-    return hits.select("query_id", "id", "rank", rounded("score").alias("score"))
+    return hits.select("query_id", "id", "rank", "score")
 
 
 def _exact_others(i: Inputs) -> DataFrame:
@@ -568,14 +568,10 @@ def _benchmark_hits(i: Inputs) -> DataFrame:
     return search.exact_topk(i.questions(encoder, S.QUERY_PREFIX), corpus, TOP_K, DIM)
 
 
-def _result(hits: DataFrame) -> DataFrame:
-    return hits.withColumn("score", rounded("score"))
-
-
 @query
 def retrieve_exact(i: Inputs) -> DataFrame:
     """Every benchmark text against all chunks of all documents, with the texts found."""
-    return _result(search.hydrate(_benchmark_hits(i), i.corpus_chunks, i.first_versions))
+    return search.hydrate(_benchmark_hits(i), i.corpus_chunks, i.first_versions)
 
 
 @query
@@ -585,7 +581,7 @@ def retrieve_indexed(i: Inputs) -> DataFrame:
     _build(w, "full", "documents", i.base, HashingEncoder(DIM))
     questions = i.table("benchmark").select(
         F.col("item_id").alias("query_id"), F.col("text").alias("query_text"))
-    return _result(retrieve(w, questions, TOP_K, nprobe=S.MAX_CELLS, encoder=HashingEncoder(DIM)))
+    return retrieve(w, questions, TOP_K, nprobe=S.MAX_CELLS, encoder=HashingEncoder(DIM))
 
 
 def _build(w: Warehouse, mode: str, input_path: str, rows: DataFrame, encoder) -> int:

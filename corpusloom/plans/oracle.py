@@ -303,11 +303,11 @@ def sql(select: str) -> str:
 
 _COUNTS = ", ".join(schemas.RUN_COUNTS)
 _RETRIEVED = """
-    SELECT h.query_key::BIGINT AS query_id, h.rank, round(h.score, 6) AS score, h.chunk_id,
+    SELECT h.query_key::BIGINT AS query_id, h.rank, h.score, h.chunk_id,
            c.doc_id, c.chunk_text, c.chunk_index, c.start_tok, c.end_tok, d.title, d.url
     FROM text_hits h JOIN corpus_chunks c ON h.chunk_id = c.chunk_id
     JOIN base_valid d ON c.doc_id = d.doc_id"""
-_EXACT = "SELECT query_id, id, rank, round(score, 6) AS score FROM exact"
+_EXACT = "SELECT query_id, id, rank, score FROM exact"
 
 
 def statements() -> dict[str, str]:
@@ -482,7 +482,7 @@ def statements() -> dict[str, str]:
             SELECT cell, pos::INT - 1 AS pos, round(avg(x), 6) AS x
             FROM (SELECT cell, generate_subscripts(v, 1) AS pos, unnest(v) AS x FROM assigned)
             GROUP BY cell, pos""",
-        "ivf_search": "SELECT query_id, id, rank, round(score, 6) AS score FROM probed",
+        "ivf_search": "SELECT query_id, id, rank, score FROM probed",
         "index_roundtrip": """
             SELECT a.id AS chunk_id, a.cell, h.embedding_hash,
                    round(list_dot_product(a.v, a.v), 6) AS norm
