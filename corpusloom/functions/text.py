@@ -17,6 +17,10 @@ WHITESPACE = " " + _OTHER_SPACE
 # goes on after it. A lone U+0020 is left alone, which spares rewriting most texts.
 _UNEVEN_RUN = f"[{_OTHER_SPACE}][{WHITESPACE}]*+| [{WHITESPACE}]++"
 NUL = "\0"
+# The same 29 code points one by one.
+SPACE_POINTS = [*range(0x9, 0xE), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
+                0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
+_SPACES = "".join(map(chr, SPACE_POINTS))
 
 
 def col(c: Column | str) -> Column:
@@ -29,8 +33,11 @@ def let(value: Column, body) -> Column:
 
 
 def is_blank(c: Column | str) -> Column:
-    """True for null, '' and texts made of whitespace only."""
-    return F.coalesce(~col(c).rlike(f"[^{WHITESPACE}]"), F.lit(True))
+    """True for null, '' and texts made of whitespace only.
+
+    Trimming from the left stops at the first other character, whatever the length.
+    """
+    return F.coalesce(F.ltrim(col(c), F.lit(_SPACES)) == "", F.lit(True))
 
 
 def without_nul(c: Column | str) -> Column:

@@ -11,9 +11,6 @@ from corpusloom.functions.encoders import HashingEncoder, embed_chunks, encode_c
 from corpusloom.operators import chunking, merge, validate
 from corpusloom.sources.scratch import new_folder, spread
 
-# The 29 whitespace code points of ``functions.text.WHITESPACE``.
-SPACE_POINTS = [*range(0x9, 0xE), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
-                0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 REVISED = " Revised in a later delivery."
 CORRECTED = " Corrected once more."
 DIM = 64
@@ -87,10 +84,10 @@ class Inputs:
     def noisy(self) -> DataFrame:
         """Every document wrapped in one of the whitespace code points, some of them emptied;
         every conversation turn under an id of whitespace."""
-        spaces = F.array(*[F.lit(chr(p)) for p in SPACE_POINTS])
+        spaces = F.array(*[F.lit(chr(p)) for p in X.SPACE_POINTS])
 
         def space(n: Column) -> Column:
-            return F.element_at(spaces, (n % len(SPACE_POINTS)).cast("int") + 1)
+            return F.element_at(spaces, (n % len(X.SPACE_POINTS)).cast("int") + 1)
 
         labels = self.table("labels").select(
             F.col("doc_id").cast("string").alias("id"), "quality", "toxic")

@@ -2,7 +2,8 @@
 
 from corpusloom import schemas
 from corpusloom import settings as S
-from corpusloom.plans.inputs import CORRECTED, DIM, REVISED, SPACE_POINTS
+from corpusloom.functions.text import SPACE_POINTS
+from corpusloom.plans.inputs import CORRECTED, DIM, REVISED
 
 # The whitespace class in RE2 notation.
 WS = (r"\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"

@@ -7,42 +7,44 @@ from pyspark.sql import types as T
 from corpusloom import settings as S
 from corpusloom.functions import text as X
 
-_RECORD = T.StructType([T.StructField(n, T.StringType())
-                        for n in ("id", "url", "title", "text", "_malformed")])
-_OPTIONS = {"columnNameOfCorruptRecord": "_malformed", "allowSingleQuotes": "false"}
+_RECORD = T.StructType([T.StructField(n, T.StringType()) for n in ("id", "url", "title", "text")])
 
 
-def _fields(line: Column) -> Column:
-    return F.from_json(line, _RECORD, _OPTIONS)
+def _record(line: Column) -> Column:
+    """The object a line holds, or null when it is anything else than exactly one object.
 
+    The JSON parser stops after the first value, so the line is read as the first item of a
+    list: whatever follows the object then breaks the list or changes its length.
+    """
+    items = F.from_json(F.concat(F.lit("["), line, F.lit(",null]")), T.ArrayType(_RECORD),
+                        {"allowSingleQuotes": "false"})
+    return X.let(items, lambda x: F.when(F.size(x) == 2, x[0]))
 
-def numbered_lines(lines: DataFrame) -> DataFrame:
-    """Text lines with ``seq`` (file, block, row in the task), their input order.
 
-    It is taken at the scan, before any shuffle, and compares as a struct.
-    """
-    return lines.select(
-        "value",
-        F.struct(F.col("_metadata.file_path").alias("file"),
-                 F.col("_metadata.file_block_start").alias("block"),
-                 F.monotonically_increasing_id().alias("row")).alias("seq"))
+def located_lines(lines: DataFrame) -> DataFrame:
+    """Text lines with the file block they come from; for batch and streaming reads."""
+    return lines.select("value", F.col("_metadata.file_path").alias("file"),
+                        F.col("_metadata.file_block_start").alias("block"))
 
 
 def parse_lines(lines: DataFrame, run_id: int) -> DataFrame:
-    """Numbered lines to raw rows.
+    """Located lines to raw rows.
 
-    Blank lines are skipped. A line that is no JSON object is kept with its text in
-    ``malformed_line``.
+    ``seq`` (file, block, row in the task) is the input order: it is taken at the scan,
+    before any shuffle, and compares as a struct. Blank lines are skipped. A line that is
+    no JSON object is kept with its text in ``malformed_line``.
     """
-    parsed = lines.filter(~X.is_blank("value")).withColumn("doc", _fields(F.col("value")))
+    row = F.monotonically_increasing_id().alias("row")
+    numbered = lines.select("value", F.struct("file", "block", row).alias("seq"))
+    parsed = numbered.filter(~X.is_blank("value")).withColumn("doc", _record(F.col("value")))
     return raw_rows(parsed.select(
         "doc.id", "doc.url", "doc.title", "doc.text",
-        F.col("doc._malformed").alias("malformed_line"), "seq"), run_id)
+        F.when(F.col("doc").isNull(), F.col("value")).alias("malformed_line"), "seq"), run_id)
 
 
 def read_documents(spark: SparkSession, path: str | list[str], run_id: int) -> DataFrame:
     """Raw rows of JSON lines files, in the shape of ``raw_documents``."""
-    return parse_lines(numbered_lines(spark.read.text(path)), run_id)
+    return parse_lines(located_lines(spark.read.text(path)), run_id)
 
 
 def raw_rows(rows: DataFrame, run_id: int) -> DataFrame:

@@ -27,6 +27,6 @@ def run_available(w: Warehouse, dataset_name: str, folder: str, checkpoint: str,
 
     stream = spark.readStream.format("text").option("maxFilesPerTrigger", max_files).load(folder)
     query = (
-        jsonl.numbered_lines(stream).writeStream.foreachBatch(merge_batch)
+        jsonl.located_lines(stream).writeStream.foreachBatch(merge_batch)
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     query.awaitTermination()

@@ -5,8 +5,8 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from corpusloom.functions import text as X
+from corpusloom.functions.text import SPACE_POINTS
 from corpusloom.operators import validate
-from corpusloom.plans.inputs import SPACE_POINTS
 
 
 def model(text):
