@@ -1,6 +1,6 @@
 """Sliding token windows."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom import settings as S
@@ -30,14 +30,22 @@ def chunk_documents(documents: DataFrame, tokenizer: Tokenizer | None = None) ->
 
 def window_counts(documents: DataFrame) -> DataFrame:
     """(doc_id, source_run_id, n_tokens, n_chunks) under the word tokenizer, no text cut."""
+    return documents.select("doc_id", "source_run_id", F.inline(F.array(_window_count())))
+
+
+def _window_count() -> Column:
     tokens = F.size(F.split(X.embedding_text("title", "cleaned_text"), " "))
-    return documents.select("doc_id", "source_run_id", tokens.alias("n_tokens")).withColumn(
-        "n_chunks", window_count(F.col("n_tokens")))
+    return X.let(tokens, lambda n: F.struct(n.alias("n_tokens"), window_count(n).alias("n_chunks")))
 
 
 def documents_without_chunks(documents: DataFrame) -> DataFrame:
-    """Documents too short for a window; they are stored but cannot be retrieved."""
-    return window_counts(documents).filter("n_chunks = 0").drop("n_chunks")
+    """Documents too short for a window; they are stored but cannot be retrieved.
+
+    The test is part of the generator: as a filter the optimizer would push it below the
+    projection and clean and split every text twice.
+    """
+    none = F.filter(F.array(_window_count()), lambda w: w["n_chunks"] == 0)
+    return documents.select("doc_id", "source_run_id", F.inline(none)).drop("n_chunks")
 
 
 def unembedded(chunks: DataFrame, embeddings: DataFrame) -> DataFrame:
