@@ -41,8 +41,9 @@ def retrieve(w: Warehouse, queries: DataFrame, top_k: int = 5, nprobe: int | Non
     closures = w.read("closures", published)
     chunks = w.read("chunks", published)
     documents = w.read("clean_documents", published)
-    few = hits.limit(_LITERAL_HITS + 1).toArrow()
-    if few.num_rows <= _LITERAL_HITS:
-        hits = spark.createDataFrame(few, hits.schema)
-        chunks = chunks.filter(F.col("chunk_id").isin(few.column("id").unique().to_pylist()))
+    asked = _LITERAL_HITS // top_k
+    if queries.limit(asked + 1).count() <= asked:
+        found = hits.toArrow()
+        hits = spark.createDataFrame(found, hits.schema)
+        chunks = chunks.filter(F.col("chunk_id").isin(found.column("id").unique().to_pylist()))
     return search.hydrate(hits, merge.active(chunks, closures), merge.active(documents, closures))

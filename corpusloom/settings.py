@@ -45,6 +45,6 @@ SCORE_DECIMALS = 9
 # Size bounds. Below them data may travel to every task; above them it is shuffled.
 MAX_BROADCAST_BYTES = 64 << 20
 GRID_CORPUS_ROWS = 32_768
-GRID_QUERY_ROWS = 4_096
+GRID_QUERY_ROWS = 16_384
 EXACT_CHECKSUM_ROWS = 1_000_000
 TRAIN_VECTORS_PER_CELL = 256
