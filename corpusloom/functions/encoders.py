@@ -66,7 +66,7 @@ class SentenceEncoder:
         return SentenceTransformer(self.name)
 
     def encode(self, texts: pa.Array) -> np.ndarray:
-        model = worker_cached(self.load)
+        model = worker_cached(f"encoder {self.name}", self.load)
         vectors = model.encode(texts.to_pylist(), batch_size=S.ENCODE_BATCH_ROWS,
                                normalize_embeddings=True, show_progress_bar=False)
         return np.asarray(vectors, dtype=np.float32)

@@ -50,17 +50,19 @@ class WordTokenizer:
 
 class SubwordTokenizer:
     """Adapter for an object with ``encode(text, add_special_tokens)`` and
-    ``decode(ids, skip_special_tokens)``; ``load`` builds it once per Python worker."""
+    ``decode(ids, skip_special_tokens)``; ``load`` builds it once per Python worker and
+    ``name`` tells it from other tokenizers."""
 
-    def __init__(self, load):
-        self.load = load
+    def __init__(self, load, name: str = "default"):
+        self.load, self.name = load, name
 
     def windows(self, text: Column) -> Column:
-        load, size, stride, least = self.load, S.CHUNK_TOKENS, S.STRIDE_TOKENS, S.MIN_CHUNK_TOKENS
+        load, key = self.load, f"tokenizer {self.name}"
+        size, stride, least = S.CHUNK_TOKENS, S.STRIDE_TOKENS, S.MIN_CHUNK_TOKENS
 
         @F.arrow_udf(WINDOW_TYPE)
         def cut(texts: pa.Array) -> pa.Array:
-            model = worker_cached(load)
+            model = worker_cached(key, load)
             kind = pa.list_(pa.struct([("chunk_index", pa.int32()), ("start_tok", pa.int32()),
                                        ("end_tok", pa.int32()), ("chunk_text", pa.string())]))
             out = []
@@ -80,13 +82,11 @@ class SubwordTokenizer:
         return cut(text)
 
 
-def worker_cached(load):
-    """The object built by ``load``, kept for the life of the Python worker process."""
+def worker_cached(key: str, load):
+    """The object built by ``load``, kept under ``key`` for the life of the Python worker."""
     import sys
 
     store = sys.__dict__.setdefault("_corpusloom_cache", {})
-    key = (getattr(load, "__module__", ""), getattr(load, "__qualname__", repr(load)),
-           repr(getattr(load, "args", "")))
     if key not in store:
         store[key] = load()
     return store[key]

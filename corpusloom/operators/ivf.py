@@ -56,10 +56,12 @@ def train(vectors: DataFrame, n: int, nlist: int, id_column: str = "chunk_id",
 
     Cells need only a few hundred vectors each to settle, so beyond that a training set is
     drawn by a hash of the id: a map-side filter, the same under any partitioning. Every
-    vector is assigned afterwards, sampled or not.
+    vector is assigned afterwards, sampled or not. Zero vectors have no direction and do
+    not train.
     """
     wanted = nlist * S.TRAIN_VECTORS_PER_CELL
-    chosen = vectors.select(id_column, "embedding")
+    chosen = vectors.select(id_column, "embedding").filter(
+        F.exists("embedding", lambda x: x != 0))
     if n > wanted:
         space = 1 << 40
         draw = F.pmod(F.xxhash64(F.col(id_column), F.lit(seed)), F.lit(space))
@@ -70,6 +72,11 @@ def train(vectors: DataFrame, n: int, nlist: int, id_column: str = "chunk_id",
         chosen.repartition(spread, id_column).sortWithinPartitions(id_column)
         .select(array_to_vector("embedding").alias("features"))
     )
+    if chosen.isEmpty():
+        dim = len(vectors.select("embedding").first()[0])
+        return Centroids(np.zeros((1, dim)))
+    if nlist == 1:
+        return Centroids.from_df(mean_centroids(chosen.withColumn("cell", F.lit(0)), "cell"))
     model = KMeans(k=nlist, seed=seed, maxIter=max_iter, distanceMeasure="cosine").fit(points)
     centres = np.array(model.clusterCenters())
     return Centroids(centres)

@@ -15,6 +15,7 @@ from corpusloom.functions.encoders import Encoder, HashingEncoder, embed_chunks
 from corpusloom.functions.tokenizers import Tokenizer, WordTokenizer
 from corpusloom.operators import chunking, index_store, merge, quality, validate
 from corpusloom.sources import jsonl
+from corpusloom.sources.scratch import spread
 from corpusloom.sources.warehouse import Warehouse, small_frame
 
 AUGMENTED_NOTE = "index rebuilt from all active vectors; only new and updated documents embedded"
@@ -112,14 +113,14 @@ class Build:
 
     def _chunk(self) -> int:
         w = self.warehouse
-        fresh = w.read_run("clean_documents", self.run_id)
+        fresh = spread(w.read_run("clean_documents", self.run_id))
         w.write_run("chunks", chunking.chunk_documents(fresh, self.tokenizer), self.run_id)
         self.counts["new_chunk_count"] = w.read_run("chunks", self.run_id).count()
         return self.counts["new_chunk_count"]
 
     def _embed(self) -> int:
         w = self.warehouse
-        fresh = w.read_run("chunks", self.run_id)
+        fresh = spread(w.read_run("chunks", self.run_id))
         w.write_run("embeddings", embed_chunks(fresh, self.encoder), self.run_id)
         self.counts["new_embedding_count"] = w.read_run("embeddings", self.run_id).count()
         return self.counts["new_embedding_count"]

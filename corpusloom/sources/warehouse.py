@@ -54,7 +54,7 @@ class Warehouse:
         """Write a run's partition, replacing an earlier attempt of the same run."""
         columns = [f.name for f in schemas.TABLES[table].fields if f.name != RUN_COLUMN[table]]
         writer = df.select(*columns).write.mode("overwrite")
-        if "chunk_id" in columns:
+        if table == "chunks":
             # Lets a look-up by id skip row groups; ids are hashes, so min/max cannot.
             writer = writer.option("parquet.bloom.filter.enabled#chunk_id", "true")
         writer.parquet(self.path(table, run_id))

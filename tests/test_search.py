@@ -124,6 +124,18 @@ def test_training_sample_leaves_no_vector_unassigned(spark, data, monkeypatch):
     assert ivf.cell_sizes(ivf.assign(df, centroids)).agg(F.sum("n_vectors")).first()[0] == 400
 
 
+def test_zero_vectors_are_assigned_but_do_not_train(spark, data):
+    _, _, ids, corpus = data
+    corpus = corpus.copy()
+    corpus[::3] = 0
+    df = frame(spark, "id", ids, corpus)
+    centroids = ivf.train(df, 400, 4, id_column="id")
+    assert ivf.assign(df, centroids).count() == 400
+    assert ivf.train(df, 400, 1, id_column="id").matrix.shape == (1, 16)
+    nothing = frame(spark, "id", ids[:5], corpus[:1].repeat(5, axis=0))
+    assert ivf.train(nothing, 5, 4, id_column="id").matrix.tolist() == [[0.0] * 16]
+
+
 def test_centroids_are_checked(spark):
     df = spark.createDataFrame([(0, [1.0]), (2, [2.0])], "cell int, centroid array<float>")
     with pytest.raises(ValueError):
