@@ -3,10 +3,10 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom import settings as S
 from corpusloom.functions import text as X
 from corpusloom.functions.tokenizers import Tokenizer, WordTokenizer, window_count
 
+
 def chunk_documents(documents: DataFrame, tokenizer: Tokenizer | None = None) -> DataFrame:
     """Cut document versions into windows; a narrow map without a shuffle.
 
