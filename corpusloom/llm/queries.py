@@ -5,7 +5,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import chat_trees, exact_dedup, url_filter
+from corpusloom.llm import chat_trees, exact_dedup, packing, token_files, tokens, url_filter
+from corpusloom.sources import scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -125,3 +126,32 @@ FROM split LEFT JOIN fits USING (page_id)
 
 
 SQL["op6_url_vocabulary"] = _url_sql()
+
+
+def piece_encoder(spark: SparkSession, path: str):
+    """encode(text) for tasks; the tokenizer file travels from the driver in a broadcast."""
+    shared = spark.sparkContext.broadcast(tokens.PieceEncoder(tokens.read_file(path)))
+    return lambda text: shared.value.encode(text)
+
+
+@query
+def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    encode = piece_encoder(spark, public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack(table(spark, folder, "documents"), encode, end_id=0).select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
+        "sequence_id", "offset")
+
+
+@query
+def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    encode = piece_encoder(spark, public_tokenizers.path("byte_bpe_50k.json"))
+    out = scratch.new_folder(spark, "token-files")
+    index = token_files.write_token_files(
+        table(spark, folder, "documents"), out, encode, end_id=2, vocabulary=50_257)
+    read = token_files.read_token_files(spark, out).select(
+        "part", "row", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+    return index.join(read, ["part", "row"]).select("doc_id", "start", "n_tokens", "ids_crc32")
