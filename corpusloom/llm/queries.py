@@ -5,7 +5,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import chat_trees, exact_dedup, packing, token_files, tokens, url_filter
+from corpusloom.llm import (
+    chat_trees, exact_dedup, packing, prefix_bpe, token_files, tokens, url_filter)
 from corpusloom.sources import scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -155,3 +156,15 @@ def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
     read = token_files.read_token_files(spark, out).select(
         "part", "row", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
     return index.join(read, ["part", "row"]).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+@query
+def op10_prefix_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    encoder = prefix_bpe.PrefixEncoder(
+        prefix_bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken")),
+        public_tokenizers.PATTERN)
+    return prefix_bpe.encode_and_decode(table(spark, folder, "documents"), encoder).select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
