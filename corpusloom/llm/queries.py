@@ -2,11 +2,11 @@
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.llm import (
-    chat_trees, exact_dedup, packing, prefix_bpe, token_files, tokens, url_filter)
+    chat_trees, exact_dedup, language_id, packing, prefix_bpe, token_files, tokens, url_filter)
 from corpusloom.sources import scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -168,3 +168,15 @@ def op10_prefix_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return prefix_bpe.encode_and_decode(table(spark, folder, "documents"), encoder).select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def _kept_from_training() -> Column:
+    return F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+
+
+@query
+def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").withColumn("held_out", _kept_from_training())
+    model = language_id.fit(docs.filter("NOT held_out"))
+    return language_id.identify(docs, model, F.col("text")).select(
+        "doc_id", "held_out", "lang_pred", "score")
