@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.llm import (
-    chat_trees, exact_dedup, language_id, packing, prefix_bpe, token_files, tokens, url_filter)
+    chat_trees, exact_dedup, language_id, merkle, packing, prefix_bpe, token_files, tokens, url_filter)
 from corpusloom.sources import scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -180,3 +180,10 @@ def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
     model = language_id.fit(docs.filter("NOT held_out"))
     return language_id.identify(docs, model, F.col("text")).select(
         "doc_id", "held_out", "lang_pred", "score")
+
+
+@query
+def op3_merkle_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.compare_edits(table(spark, folder, "documents")).select(
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint",
+        "edited_fingerprint", "near_edited", "near_next")
