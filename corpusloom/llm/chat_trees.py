@@ -5,6 +5,8 @@ log2(n) rounds. Only ids and scores move in these rounds; texts join at the end.
 conversation is one string, so one path must fit a single value.
 """
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -88,23 +90,25 @@ def format_paths(messages: DataFrame, top: int | None = None,
         .select("tree", "node", "above", "score", F.lit(1).cast("long").alias("depth")),
         "chat-jump")
     n = known.count()
-    jumps = []
-    while not jump.filter("above IS NOT NULL").isEmpty():
-        if 2 ** len(jumps) > n:  # only circles are still on their way
-            break
-        jumps.append(jump)
-        ahead = jump.select(F.col("tree").alias("their_tree"), F.col("node").alias("at"), F.col("above").alias("next"),
-                            F.col("score").alias("more"), F.col("depth").alias("further"))
+    ended, climbing, jumps = jump.filter("above IS NULL"), jump.filter("above IS NOT NULL"), []
+    # Beyond 2^rounds = n only circles are still climbing.
+    while 2 ** len(jumps) <= n and not climbing.isEmpty():
+        jumps.append(climbing)
+        ahead = ended.unionByName(climbing).select(
+            F.col("tree").alias("their_tree"), F.col("node").alias("at"),
+            F.col("above").alias("next"), F.col("score").alias("more"),
+            F.col("depth").alias("further"))
         jump = written(
-            jump.join(ahead, _same("above", "at"), "left")
+            climbing.join(ahead, _same("above", "at"))
             .select("tree", "node", F.col("next").alias("above"),
-                    (F.col("score") + F.coalesce("more", F.lit(0.0))).alias("score"),
-                    (F.col("depth") + F.coalesce("further", F.lit(0))).alias("depth")),
+                    (F.col("score") + F.col("more")).alias("score"),
+                    (F.col("depth") + F.col("further")).alias("depth")),
             "chat-jump")
+        ended = ended.unionByName(jump.filter("above IS NULL"))
+        climbing = jump.filter("above IS NOT NULL")
 
     answered = known.select(F.col("tree").alias("their_tree"),
                             F.col("parent").alias("replied")).distinct()
-    ended = jump.filter("above IS NULL")
     leaves = ended.join(answered, _same("node", "replied"), "left_anti")
     rank = F.row_number().over(
         Window.partitionBy("tree").orderBy(F.col("score").desc(), F.col("node")))
@@ -113,17 +117,21 @@ def format_paths(messages: DataFrame, top: int | None = None,
     if top is not None:
         leaves = leaves.filter(F.col("path_rank") <= top)
 
-    path = leaves.withColumn("node", F.col("leaf")).withColumn("back", F.lit(0).cast("long"))
+    growing = written(leaves.withColumn("node", F.col("leaf"))
+                      .withColumn("back", F.lit(0).cast("long")), "chat-paths")
+    paths = []
     for k, step in enumerate(jumps):
+        paths.append(growing.filter(F.col("depth") <= 2 ** k))
         step = step.select(F.col("tree").alias("their_tree"), F.col("node").alias("at"), "above")
-        path = (
-            path.join(step, _same("node", "at"), "left")
+        growing = written(
+            growing.filter(F.col("depth") > 2 ** k).join(step, _same("node", "at"), "left")
             .select("tree", "leaf", "depth", "score", "path_rank", F.explode(F.filter(
                 F.array(F.struct("node", "back"),
                         F.struct(F.col("above").alias("node"),
                                  (F.col("back") + 2 ** k).alias("back"))),
                 lambda s: s["node"].isNotNull())).alias("s"))
-            .select("tree", "leaf", "depth", "score", "path_rank", "s.*"))
+            .select("tree", "leaf", "depth", "score", "path_rank", "s.*"), "chat-paths")
+    path = reduce(DataFrame.unionByName, paths, growing)
     texts = known.select(F.col("tree").alias("their_tree"), F.col("node").alias("at"), "role", "text")
     turns = path.join(texts, _same("node", "at")).select(
         "tree", "leaf", "path_rank", "score", (F.col("depth") - F.col("back")).alias("pos"),
