@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.llm import (
-    chat_trees, exact_dedup, language_id, merkle, packing, prefix_bpe, token_files, tokens, url_filter)
+    chat_trees, exact_dedup, language_id, merkle, ngram_jaccard, packing, prefix_bpe, token_files, tokens, url_filter)
 from corpusloom.sources import scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -187,3 +187,38 @@ def op3_merkle_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return merkle.compare_edits(table(spark, folder, "documents")).select(
         "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint",
         "edited_fingerprint", "near_edited", "near_next")
+
+
+@query
+def op4_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_jaccard.jaccard_components(table(spark, folder, "documents")).select(
+        "doc_id", F.col("n_grams").alias("n_shingles"), F.col("component").alias("component_id"))
+
+
+# Pairs are found by a common shingle and counted in full, which is affordable on small tables.
+SQL["op4_ngram_jaccard"] = r"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+'), w -> w <> '') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, unnest(list_distinct(CASE WHEN len(w) = 0 THEN []
+    WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' ')) END)) AS s
+  FROM split),
+sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common
+  FROM sets a JOIN sets b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * common >= 80 * (x.n + y.n - common)),
+both AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reached(doc_id, root) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION SELECT b, root FROM reached JOIN both ON a = doc_id)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, min(root) AS component_id
+FROM documents d JOIN reached r ON r.doc_id = d.doc_id LEFT JOIN sizes s ON s.doc_id = d.doc_id
+GROUP BY d.doc_id, n
+"""
