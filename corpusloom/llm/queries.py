@@ -214,10 +214,10 @@ shared AS (
 links AS (
   SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
   WHERE 100 * common >= 80 * (x.n + y.n - common)),
-both AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+ends AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
 reached(doc_id, root) AS (
   SELECT doc_id, doc_id FROM documents
-  UNION SELECT b, root FROM reached JOIN both ON a = doc_id)
+  UNION SELECT b, root FROM reached JOIN ends ON a = doc_id)
 SELECT d.doc_id, coalesce(n, 0) AS n_shingles, min(root) AS component_id
 FROM documents d JOIN reached r ON r.doc_id = d.doc_id LEFT JOIN sizes s ON s.doc_id = d.doc_id
 GROUP BY d.doc_id, n
