@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.llm import (
-    chat_trees, exact_dedup, language_id, merkle, ngram_jaccard, packing, prefix_bpe, token_files, tokens, url_filter)
+    backoff_lm, chat_trees, exact_dedup, language_id, merkle, ngram_jaccard, packing, prefix_bpe, token_files, tokens, url_filter)
 from corpusloom.sources import scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -200,12 +200,12 @@ SQL["op4_ngram_jaccard"] = r"""
 WITH RECURSIVE split AS (
   SELECT doc_id, list_filter(string_split_regex(
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-    '[\x20\x09-\x0D]+'), w -> w <> '') AS w
+    '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
   FROM documents),
 sets AS (
   SELECT doc_id, unnest(list_distinct(CASE WHEN len(w) = 0 THEN []
     WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-    ELSE list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' ')) END)) AS s
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END)) AS s
   FROM split),
 sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
 shared AS (
@@ -222,3 +222,12 @@ SELECT d.doc_id, coalesce(n, 0) AS n_shingles, min(root) AS component_id
 FROM documents d JOIN reached r ON r.doc_id = d.doc_id LEFT JOIN sizes s ON s.doc_id = d.doc_id
 GROUP BY d.doc_id, n
 """
+
+
+@query
+def op7_backoff_lm(spark: SparkSession, folder: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 1
+    scored = backoff_lm.score_texts(table(spark, folder, "documents"), ~held_out)
+    return scored.select(
+        "doc_id", (~F.col("learned")).alias("held_out"), "n_tokens", "n_known", "train_tokens",
+        "base_score", "score")
