@@ -2,21 +2,55 @@
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from corpusloom.llm.exact_dedup import without_duplicates
+from corpusloom.llm import exact_dedup, language_id, ngram_jaccard, packing
+from corpusloom.llm.queries import piece_encoder
 from corpusloom.llm.shared import written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+# Share of trigrams in the language found, below which a text is in no language that is known.
+LEAST_SHARE = 0.25
+END_ID = 0
+
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a letter, or in none of the languages of the table, go.
+
+    The languages are learned from all documents with a language; if there is none, only
+    documents without a letter go.
+    """
+    model = language_id.fit(docs)
+    judged = language_id.identify(docs.select("*", F.col("text").alias("judged")), model,
+                                  F.col("judged"))
+    speaks = (F.col("score") >= LEAST_SHARE) if model.languages else F.col("judged").rlike(r"\p{L}")
+    return judged.filter(speaks).select(*[F.col(f"`{c}`") for c in docs.columns])
+
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each set of equal texts stays."""
-    return without_duplicates(docs)
+    """One document of each set of equal texts stays, that with the smallest doc_id."""
+    return exact_dedup.without_duplicates(docs)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component of similar documents stays, that with the smallest doc_id."""
+    return ngram_jaccard.one_of_each(docs)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents in sequences of at most 1024 tokens, with their token ids."""
+    encode = piece_encoder(spark, public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack(docs, encode, end_id=END_ID)
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("language_id", known_language),
     ("exact_dedup", exact_copies),
+    ("near_copies", near_copies),
+    ("packing", packed),
 ]
 
 # Languages and tokens have no SQL form.
