@@ -8,7 +8,7 @@ one row per task and salt after the first stage, and one row per salt after the
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.shared import one_spaced, written
+from corpusloom.llm.shared import fresh, one_spaced, written
 
 SALTS = 16
 
@@ -60,19 +60,17 @@ def exact_dedup(df: DataFrame, key: str = "doc_id", text: str = "text", salts: i
 
 def without_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows that stay, with all their columns; of rows equal in key and text one, any, stays."""
-    result = exact_dedup(df, key, text).select(F.col(key).alias("kept_key"), "kept",
-                                               F.col("normalised_sha256").alias("sha"))
-    result = written(result, "exact-kept")
-    kept = result.filter("kept").select("kept_key", "sha")
-    repeated = (result.groupBy("kept_key", "sha").agg(F.count("*").alias("n"), F.max("kept").alias("k"))
-                .filter("n > 1 AND k").select("kept_key", "sha"))
-    marked = df.withColumn("kept_sha256", F.sha2(one_spaced(F.col(text)), 256))
-
-    same = F.col(key).eqNullSafe(F.col("kept_key")) & (F.col("kept_sha256") == F.col("sha"))
-
+    own, kept_key, kept_sha = fresh(df, "own_sha", "kept_key", "kept_sha")
+    result = written(exact_dedup(df, key, text).select(
+        F.col(key).alias(kept_key), F.col("normalised_sha256").alias(kept_sha), "kept"), "exact-kept")
+    kept = result.filter("kept").select(kept_key, kept_sha)
+    repeated = (result.groupBy(kept_key, kept_sha)
+                .agg(F.count("*").alias("n"), F.max("kept").alias("k"))
+                .filter("n > 1 AND k").select(kept_key, kept_sha))
+    marked = df.withColumn(own, F.sha2(one_spaced(F.col(f"`{text}`")), 256))
+    same = F.col(f"`{key}`").eqNullSafe(F.col(kept_key)) & (F.col(own) == F.col(kept_sha))
     found = marked.join(kept, same, "left_semi")
     if not repeated.isEmpty():
         again = found.join(repeated, same, "left_semi")
-        found = found.join(repeated, same, "left_anti").unionByName(
-            again.dropDuplicates([key, "kept_sha256"]))
-    return found.drop("kept_sha256")
+        found = found.join(repeated, same, "left_anti").unionByName(again.dropDuplicates([key, own]))
+    return found.drop(own)

@@ -26,3 +26,13 @@ def blocks_for(df: DataFrame, text: str, block_bytes: int) -> int:
     """How many blocks of about block_bytes the texts fill; one at least."""
     total = df.select(F.sum(F.octet_length(text))).first()[0] or 0
     return 1 + total // block_bytes
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened where the table has a column of that name."""
+    taken, found = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name in taken:
+            name += "_"
+        found.append(name)
+    return found
