@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusloom import settings as S
-from corpusloom.functions.tokenizers import worker_cached
 
 
 class Encoder(Protocol):
@@ -54,24 +53,6 @@ class HashingEncoder:
         return unit_rows(sums.reshape(len(texts), self.dim))
 
 
-class SentenceEncoder:
-    """A sentence-transformers model, loaded once per Python worker."""
-
-    def __init__(self, name: str = S.EMBEDDING_MODEL, dim: int = S.EMBEDDING_DIM, load=None):
-        self.name, self.dim = name, dim
-        self.load = load or self._load
-
-    def _load(self):
-        from sentence_transformers import SentenceTransformer
-        return SentenceTransformer(self.name)
-
-    def encode(self, texts: pa.Array) -> np.ndarray:
-        model = worker_cached(f"encoder {self.name}", self.load)
-        vectors = model.encode(texts.to_pylist(), batch_size=S.ENCODE_BATCH_ROWS,
-                               normalize_embeddings=True, show_progress_bar=False)
-        return np.asarray(vectors, dtype=np.float32)
-
-
 def float_lists(matrix: np.ndarray) -> pa.Array:
     """A float32 matrix as an Arrow list column."""
     n, dim = matrix.shape
@@ -86,9 +67,9 @@ def vector_hash(matrix: np.ndarray) -> list[str]:
 
 
 def encode_column(df: DataFrame, text_column: str, encoder: Encoder, prefix: str) -> DataFrame:
-    """Replace ``text_column`` by ``embedding`` and ``embedding_hash`` of the prefixed text."""
+    """Replace ``text_column`` by ``embedding`` and ``embedding_hash`` of the prefixed text; null is empty."""
     keep = [c for c in df.columns if c != text_column]
-    source = df.select(*keep, F.concat(F.lit(prefix), F.col(text_column)).alias("__text"))
+    source = df.select(*keep, F.concat(F.lit(prefix), F.coalesce(text_column, F.lit(""))).alias("__text"))
     schema = T.StructType(
         [f for f in source.schema.fields if f.name != "__text"]
         + [T.StructField("embedding", T.ArrayType(T.FloatType())),

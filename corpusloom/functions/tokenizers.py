@@ -46,47 +46,3 @@ class WordTokenizer:
             return F.transform(numbers, window).cast(WINDOW_TYPE)
 
         return let(F.split(text, " "), cut)
-
-
-class SubwordTokenizer:
-    """Adapter for an object with ``encode(text, add_special_tokens)`` and
-    ``decode(ids, skip_special_tokens)``; ``load`` builds it once per Python worker and
-    ``name`` tells it from other tokenizers."""
-
-    def __init__(self, load, name: str = "default"):
-        self.load, self.name = load, name
-
-    def windows(self, text: Column) -> Column:
-        load, key = self.load, f"tokenizer {self.name}"
-        size, stride, least = S.CHUNK_TOKENS, S.STRIDE_TOKENS, S.MIN_CHUNK_TOKENS
-
-        @F.arrow_udf(WINDOW_TYPE)
-        def cut(texts: pa.Array) -> pa.Array:
-            model = worker_cached(key, load)
-            kind = pa.list_(pa.struct([("chunk_index", pa.int32()), ("start_tok", pa.int32()),
-                                       ("end_tok", pa.int32()), ("chunk_text", pa.string())]))
-            out = []
-            for value in texts.to_pylist():
-                ids = model.encode(value, add_special_tokens=False)
-                n = len(ids)
-                # A window starts wherever the one before it did not reach the end.
-                starts = [] if n < least else range(0, max(n - size, 0) + stride, stride)
-                starts = [s for s in starts if s == 0 or s - stride + size < n]
-                out.append([
-                    {"chunk_index": i, "start_tok": s, "end_tok": min(s + size, n),
-                     "chunk_text": model.decode(ids[s:s + size], skip_special_tokens=True)}
-                    for i, s in enumerate(starts)
-                ])
-            return pa.array(out, kind)
-
-        return cut(text)
-
-
-def worker_cached(key: str, load):
-    """The object built by ``load``, kept under ``key`` for the life of the Python worker."""
-    import sys
-
-    store = sys.__dict__.setdefault("_corpusloom_cache", {})
-    if key not in store:
-        store[key] = load()
-    return store[key]

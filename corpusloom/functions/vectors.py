@@ -16,6 +16,10 @@ def dot(a: Column | str, b: Column | str) -> Column:
     return F.aggregate(products, F.lit(0.0), lambda total, p: total + p)
 
 
+def difference(a: Column | str, b: Column | str) -> Column:
+    return F.zip_with(col(a), col(b), lambda x, y: x.cast("double") - y.cast("double"))
+
+
 def l2_norm(v: Column | str) -> Column:
     return F.sqrt(dot(v, v))
 

@@ -6,6 +6,8 @@ from corpusloom import schemas
 from corpusloom import settings as S
 from corpusloom.functions import text as X
 from corpusloom.operators import ivf, quality
+from corpusloom.sources import scratch
+
 
 def write_index(assigned: DataFrame, centroids: ivf.Centroids, index_path: str,
                 centroids_path: str) -> None:
@@ -38,14 +40,21 @@ def index_checksum(index: DataFrame) -> DataFrame:
 
 def build_index(active_embeddings: DataFrame, index_path: str, centroids_path: str,
                 max_cells: int = S.MAX_CELLS) -> dict:
-    """Train, assign and store an index over all active vectors; returns its facts."""
-    rows = active_embeddings.count()
+    """Train, assign and store an index over all active vectors; returns its facts.
+
+    The active vectors are found once and written; training, assignment and the count read them.
+    """
+    if not 1 <= max_cells <= ivf.CELL_LIMIT:
+        raise ValueError(f"max_cells must be 1 to {ivf.CELL_LIMIT}")
+    spark = active_embeddings.sparkSession
+    path = scratch.new_folder(spark, "active-vectors")
+    vectors = active_embeddings.select("chunk_id", "embedding_hash", "embedding")
+    vectors.write.parquet(path)
+    vectors = spark.read.schema(vectors.schema).parquet(path)
+    rows = vectors.count()
     if not rows:
         raise ValueError("no active embeddings: an index cannot be built")
-    nlist = ivf.cell_count(rows, max_cells)
-    centroids = ivf.train(active_embeddings, rows, nlist)
-    write_index(ivf.assign(active_embeddings.select("chunk_id", "embedding_hash", "embedding"),
-                           centroids),
-                centroids, index_path, centroids_path)
-    stored = index_checksum(read_index(active_embeddings.sparkSession, index_path)).first()
+    centroids = ivf.train(vectors, ivf.cell_count(rows, max_cells))
+    write_index(ivf.assign(vectors, centroids), centroids, index_path, centroids_path)
+    stored = index_checksum(read_index(spark, index_path)).first()
     return {"num_vectors": stored.n_rows, "nlist": centroids.nlist, "checksum": stored.digest}

@@ -17,6 +17,9 @@ from corpusloom.functions import vectors as V
 from corpusloom.functions.encoders import float_lists
 
 
+CELL_LIMIT = 1 << 16
+
+
 @dataclass(frozen=True)
 class Centroids:
     """The coarse quantiser: one row per cell. Its size is bounded by the cell limit."""
@@ -28,7 +31,7 @@ class Centroids:
         return len(self.matrix)
 
     @staticmethod
-    def from_df(df: DataFrame, limit: int = 1 << 16) -> "Centroids":
+    def from_df(df: DataFrame, limit: int = CELL_LIMIT) -> "Centroids":
         """Read (cell, centroid); cells must be 0..n-1 and at most ``limit``."""
         rows = df.select("cell", "centroid").orderBy("cell").limit(limit + 1).toArrow()
         if rows.num_rows > limit:
@@ -50,33 +53,19 @@ def cell_count(n: int, limit: int = S.MAX_CELLS) -> int:
     return max(1, min(n, limit, max(S.MIN_CELLS, n // S.VECTORS_PER_CELL)))
 
 
-def train(vectors: DataFrame, n: int, nlist: int, id_column: str = "chunk_id",
-          seed: int = S.SEED, max_iter: int = 10) -> Centroids:
-    """Spherical k-means over (id, embedding).
+def train(vectors: DataFrame, nlist: int, seed: int = S.SEED, max_iter: int = 10) -> Centroids:
+    """Spherical k-means over the embeddings of all rows, combined in the tasks that read them.
 
-    Cells need only a few hundred vectors each to settle, so beyond that a training set is
-    drawn by a hash of the id: a map-side filter, the same under any partitioning. Every
-    vector is assigned afterwards, sampled or not. Zero vectors have no direction and do
-    not train.
+    Zero vectors have no direction and do not train. ``vectors`` is read once per step, so it
+    should be a stored table.
     """
-    wanted = nlist * S.TRAIN_VECTORS_PER_CELL
-    chosen = vectors.select(id_column, "embedding").filter(
-        F.exists("embedding", lambda x: x != 0))
-    if n > wanted:
-        space = 1 << 40
-        draw = F.pmod(F.xxhash64(F.col(id_column), F.lit(seed)), F.lit(space))
-        chosen = chosen.filter(draw < int(space * (wanted / n)))
-    # Equal ids land together and in order, so sums do not depend on the input layout.
-    spread = max(1, min(64, wanted // 4096))
-    points = (
-        chosen.repartition(spread, id_column).sortWithinPartitions(id_column)
-        .select(array_to_vector("embedding").alias("features"))
-    )
+    chosen = vectors.select("embedding").filter(F.exists("embedding", lambda x: x != 0))
     if chosen.isEmpty():
         dim = len(vectors.select("embedding").first()[0])
         return Centroids(np.zeros((1, dim)))
     if nlist == 1:
         return Centroids.from_df(mean_centroids(chosen.withColumn("cell", F.lit(0)), "cell"))
+    points = chosen.select(array_to_vector("embedding").alias("features"))
     model = KMeans(k=nlist, seed=seed, maxIter=max_iter, distanceMeasure="cosine").fit(points)
     centres = np.array(model.clusterCenters())
     return Centroids(centres)

@@ -33,22 +33,22 @@ def table_overview(tables: dict[str, DataFrame]) -> DataFrame:
                       for name, df in tables.items()])
 
 
-# Multiset digest: 24-bit words of a SHA-256 value, each summed over the rows.
-_WORDS = 10
-_WORD_DIGITS = 6
+# Multiset digest: 32-bit words of a SHA-256 value, each summed over the rows.
+_WORDS = 8
+_WORD_DIGITS = 8
 
 
 def digest_columns(hash_column: Column | str) -> list[Column]:
     """Partial sums of an order-independent checksum over SHA-256 hex values.
 
-    Each value adds its words to ten running sums, so equal multisets of values, duplicates
-    counted, give equal sums under any order and partitioning. Map tasks send one row each;
-    the sums stay exact up to 2**39 rows.
+    Each value adds its words to eight running sums, so equal multisets of values, duplicates
+    counted, give equal sums under any order and partitioning. Map tasks send one row each.
     """
     h = X.col(hash_column)
     return [
         F.coalesce(F.sum(F.conv(F.substring(h, 1 + i * _WORD_DIGITS, _WORD_DIGITS), 16, 10)
-                         .cast("bigint")), F.lit(0)).alias(f"w{i}")
+                         .cast("decimal(20,0)")).cast("decimal(38,0)"),
+                   F.lit(0).cast("decimal(38,0)")).alias(f"w{i}")
         for i in range(_WORDS)
     ]
 
@@ -64,32 +64,33 @@ def multiset_digest(df: DataFrame, hash_column: str) -> DataFrame:
         "n_rows", digest_value().alias("digest"))
 
 
-def ordered_checksum(df: DataFrame, hash_column: str,
-                     limit: int = S.EXACT_CHECKSUM_ROWS) -> DataFrame:
-    """One row: n_rows, and the SHA-256 over all values, sorted and concatenated.
+def ordered_checksum(df: DataFrame, hash_column: str) -> DataFrame:
+    """One row: n_rows, and a SHA-256 over all values in order.
 
-    SHA-256 over one text is sequential, so this value needs all hashes in one task. Beyond
-    ``limit`` rows it is null; runs are compared by ``multiset_digest``, which has no bound.
+    A tree keeps every group small: a value stands once with its count, values with the same
+    first six digits are joined and hashed in order, these in turn by three digits, then all.
     """
-    few = df.select(hash_column).limit(limit + 1).count() <= limit
-    joined = F.array_join(F.array_sort(F.collect_list(hash_column)), "")
-    value = F.sha2(joined, 256) if few else F.lit(None).cast("string")
-    return df.agg(F.count("*").alias("n_rows"), value.alias("checksum"))
+    level = df.groupBy(F.col(hash_column).alias("h")).agg(F.count("*").alias("n")).select(
+        F.col("h").alias("at"), F.concat_ws(":", "h", "n").alias("value"), "n")
+    joined = F.sha2(F.array_join(F.transform(
+        F.array_sort(F.collect_list(F.struct("at", "value"))), lambda x: x["value"]), ""), 256)
+    for digits in (6, 3):
+        level = level.groupBy(F.left("at", F.lit(digits)).alias("short")).agg(
+            joined.alias("value"), F.sum("n").alias("n")).select(
+            F.col("short").alias("at"), "value", "n")
+    return level.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"), joined.alias("checksum"))
 
 
 def reconcile(raw: DataFrame, active_documents: DataFrame, rejected: DataFrame,
               active_chunks: DataFrame, active_embeddings: DataFrame,
-              index_vectors: DataFrame, run_id: int) -> DataFrame:
-    """Six counts of a run; PASS when chunks, embeddings and index agree.
-
-    ``index_vectors`` holds the registered size (num_vectors) of the newest active index.
-    """
+              registry: DataFrame, run_id: int) -> DataFrame:
+    """Six counts of a run; PASS when chunks, embeddings and the newest index agree."""
     counts = count_row({
         "raw_documents": raw, "clean_documents_active": active_documents,
         "rejected_documents": rejected, "active_chunks": active_chunks,
         "active_embeddings": active_embeddings,
     })
-    size = index_vectors.agg(F.coalesce(F.max("num_vectors"), F.lit(0)).alias("index_vectors"))
+    size = active_index_size(registry).withColumnRenamed("num_vectors", "index_vectors")
     row = union_all([
         counts.withColumn("index_vectors", F.lit(None).cast("bigint")),
         size.select(*[F.lit(None).cast("bigint").alias(c) for c in counts.columns], "index_vectors"),

@@ -1,14 +1,13 @@
 """Top-k search by inner product, exact or over the probed cells of an index.
 
-Both forms score the same way. A query batch of bounded size travels to the tasks that
-scan the corpus, which then is not shuffled at all; each task keeps k hits per query. A
-larger batch meets the corpus in a grid of bounded blocks: a cell with many vectors is
-split over several corpus blocks, one with many queries over several query blocks, and
-each pair of blocks is one task group. Only k hits per query leave a block, and no row is
-dropped before it was scored.
+Queries are written once and taken in blocks of bounded size, those that probe the same cells
+together. A block travels to the tasks that scan the cells it probes; the corpus is not shuffled,
+and each task keeps k hits per query. More queries mean more blocks, never another way of
+searching, and no row is dropped before it was scored.
 """
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +18,7 @@ from pyspark.sql import types as T
 from corpusloom import settings as S
 from corpusloom.functions import vectors as V
 from corpusloom.operators import ivf
+from corpusloom.sources import scratch
 
 
 def rank_hits(hits: DataFrame, k: int) -> DataFrame:
@@ -37,7 +37,14 @@ def _hit_schema(queries: DataFrame, corpus: DataFrame) -> T.StructType:
 
 def _scan_with_queries(queries: pa.Table, corpus: DataFrame, k: int,
                        schema: T.StructType) -> DataFrame:
-    """Score a bounded query table (query_id, embedding, cells) inside the corpus scan."""
+    """Score a bounded query table (query_id, embedding, cells) inside the corpus scan.
+
+    Without cells every query meets every row.
+    """
+    if "cells" not in queries.column_names:
+        everywhere = pa.array([[0]] * queries.num_rows, pa.list_(pa.int32()))
+        queries = queries.append_column("cells", everywhere)
+        corpus = corpus.withColumn("cell", F.lit(0))
     query_ids = queries.column("query_id").combine_chunks()
     wanted = V.matrix(queries.column("embedding"))
     cells = queries.column("cells").combine_chunks()
@@ -74,65 +81,51 @@ def _scan_with_queries(queries: pa.Table, corpus: DataFrame, k: int,
     return corpus.select("id", "embedding", "cell").mapInArrow(run, schema)
 
 
-def _grid(queries: DataFrame, corpus: DataFrame, k: int, schema: T.StructType) -> DataFrame:
-    """Score queries (query_id, embedding, cell) against the corpus block by block."""
-    def blocks(df: DataFrame, rows: int, name: str) -> DataFrame:
-        return df.groupBy("cell").agg(F.ceil(F.count("*") / rows).cast("int").alias(name))
-
-    sizes = F.broadcast(
-        blocks(corpus, S.GRID_CORPUS_ROWS, "nc").join(blocks(queries, S.GRID_QUERY_ROWS, "nq"), "cell"))
-
-    def spread(df: DataFrame, id_column: str, own: str, other: str, out: list[str]) -> DataFrame:
-        slot = F.pmod(F.xxhash64(id_column), F.col(own)).cast("int")
-        return df.join(sizes, "cell").select(
-            id_column, "embedding", "cell", slot.alias(out[0]),
-            F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias(out[1]))
-
-    left = spread(queries, "query_id", "nq", "nc", ["qb", "cb"])
-    right = spread(corpus, "id", "nc", "nq", ["cb", "qb"])
-
-    def score(asked: pa.Table, part: pa.Table) -> pa.Table:
-        ids = part.column("id").combine_chunks()
-        query_ids = asked.column("query_id").combine_chunks()
-        if not len(ids) or not len(query_ids):
-            return pa.table({"query_id": query_ids[:0], "id": ids[:0],
-                             "score": pa.array([], pa.float64())})
-        q, r, s = V.block_topk(V.matrix(asked.column("embedding")),
-                               V.matrix(part.column("embedding")), ids, k)
-        return pa.table({"query_id": query_ids.take(pa.array(q)), "id": ids.take(pa.array(r)),
-                         "score": s})
-
-    keys = ["cell", "qb", "cb"]
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(score, schema)
-
-
-def _search(queries: DataFrame, corpus: DataFrame, k: int, dim_bytes: int) -> DataFrame:
-    """queries (query_id, embedding, cells) against corpus (id, embedding, cell)."""
+def query_blocks(queries: DataFrame, k: int) -> list[pa.Table]:
+    """The queries (query_id, embedding, and cells if any) in tables of bounded size."""
+    path = scratch.new_folder(queries.sparkSession, "queries")
+    first = F.col("cells")[0] if "cells" in queries.columns else F.lit(0)
+    queries.withColumn("first", first).write.parquet(path)
+    stored = queries.sparkSession.read.parquet(path)
+    width = F.size("embedding") * 8 + 100 * k
+    total = stored.agg(F.sum(width)).first()[0]
+    if total is None:
+        return []
+    wanted = 1 + total // S.QUERY_BLOCK_BYTES
+    # Hashed within ranges of the first cell, so that blocks stay bounded whatever the cells.
+    dealt = stored.repartitionByRange(wanted, "first", F.xxhash64("query_id"), "query_id")
+    dealt = dealt.withColumn("block", F.spark_partition_id())
+    names = queries.columns
+    dealt.write.partitionBy("block").parquet(f"{path}-blocks")
+    blocks = queries.sparkSession.read.parquet(f"{path}-blocks")
+    numbers = sorted(r.block for r in blocks.select("block").distinct().collect())
+    return [blocks.filter(F.col("block") == n).select(*names).toArrow() for n in numbers]
+
+
+def block_hits(queries: DataFrame, corpus: DataFrame, k: int) -> list[DataFrame]:
+    """Ranked hits of queries (query_id, embedding[, cells]) on corpus (id, embedding[, cell]),
+    in frames of at most k rows for each query of a bounded block."""
     schema = _hit_schema(queries, corpus)
-    bound = max(1, S.MAX_BROADCAST_BYTES // dim_bytes)
-    few = queries.limit(bound + 1).toArrow()
-    if few.num_rows <= bound:
-        hits = _scan_with_queries(few, corpus, k, schema)
-    else:
-        asked = queries.select("query_id", "embedding", F.explode("cells").alias("cell"))
-        hits = _grid(asked, corpus, k, schema)
-    return rank_hits(hits, k)
+    found = [rank_hits(_scan_with_queries(block, corpus, k, schema), k)
+             for block in query_blocks(queries, k)]
+    return found or [rank_hits(queries.sparkSession.createDataFrame([], schema), k)]
 
 
-def exact_topk(queries: DataFrame, corpus: DataFrame, k: int, dim: int) -> DataFrame:
+def exact_topk(queries: DataFrame, corpus: DataFrame, k: int) -> DataFrame:
     """Best k of corpus (id, embedding) for each of queries (query_id, embedding)."""
-    one = F.lit(0).cast("int")
-    return _search(
-        queries.select("query_id", "embedding", F.array(one).alias("cells")),
-        corpus.select("id", "embedding", one.alias("cell")), k, 8 * dim)
+    return reduce(DataFrame.unionByName, block_hits(
+        queries.select("query_id", "embedding"), corpus.select("id", "embedding"), k))
 
 
-def ivf_topk(queries: DataFrame, index: DataFrame, centroids: ivf.Centroids, k: int,
-             nprobe: int = S.NPROBE) -> DataFrame:
+def ivf_blocks(queries: DataFrame, index: DataFrame, centroids: ivf.Centroids, k: int,
+               nprobe: int = S.NPROBE) -> list[DataFrame]:
     """Best k of index (id, embedding, cell) within the nprobe nearest cells of each query."""
     probed = ivf.probe(queries.select("query_id", "embedding"), centroids, nprobe)
-    return _search(probed, index.select("id", "embedding", "cell"), k,
-                   8 * centroids.matrix.shape[1])
+    return block_hits(probed, index.select("id", "embedding", "cell"), k)
+
+
+def ivf_topk(*args, **options) -> DataFrame:
+    return reduce(DataFrame.unionByName, ivf_blocks(*args, **options))
 
 
 def without_self(hits: DataFrame, k: int) -> DataFrame:
@@ -145,16 +138,21 @@ RESULT_COLUMNS = ["query_id", "rank", "score", "chunk_id", "doc_id", "chunk_text
                   "start_tok", "end_tok", "title", "url"]
 
 
-def hydrate(hits: DataFrame, chunks: DataFrame, documents: DataFrame) -> DataFrame:
-    """Hits (id = chunk_id) beside the text of active chunks and documents.
+def hydrate(hits: DataFrame, chunks: DataFrame, documents: DataFrame,
+            closures: DataFrame | None = None) -> DataFrame:
+    """Hits (id = chunk_id) of one block beside the text of their active chunks and documents.
 
-    Ranks were given before, so a hit whose chunk is no longer active leaves a gap. Texts
-    are read for the hits only: the narrow side is the hits, and the optimizer broadcasts
-    it when it is small.
+    A block has a bounded number of hits, so the hits travel and no text is shuffled. What
+    ``closures`` ended is left out; ranks were given before, so it leaves a gap.
     """
-    found = hits.select("query_id", "rank", "score", F.col("id").alias("chunk_id")).join(
-        chunks.select("chunk_id", "doc_id", "source_run_id", "chunk_text", "chunk_index",
-                      "start_tok", "end_tok"), "chunk_id")
-    return found.join(
-        documents.select("doc_id", "source_run_id", "title", "url"), ["doc_id", "source_run_id"],
-    ).select(RESULT_COLUMNS)
+    asked = hits.select("query_id", "rank", "score", F.col("id").alias("chunk_id"))
+    found = chunks.select(
+        "chunk_id", "doc_id", "source_run_id", "chunk_text", "chunk_index", "start_tok",
+        "end_tok").join(F.broadcast(asked), "chunk_id")
+    if closures is not None:
+        keys = ["doc_id", "source_run_id"]
+        ended = closures.select("doc_id", F.col("valid_from_run_id").alias("source_run_id")).join(
+            F.broadcast(found.select(*keys)), keys, "left_semi")
+        found = found.join(F.broadcast(ended), keys, "left_anti")
+    return documents.select("doc_id", "source_run_id", "title", "url").join(
+        F.broadcast(found), ["doc_id", "source_run_id"]).select(RESULT_COLUMNS)

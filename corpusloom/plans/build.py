@@ -1,5 +1,6 @@
 """A build: from input rows to a published run."""
 
+import json
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
@@ -15,7 +16,6 @@ from corpusloom.functions.encoders import Encoder, HashingEncoder, embed_chunks
 from corpusloom.functions.tokenizers import Tokenizer, WordTokenizer
 from corpusloom.operators import chunking, index_store, merge, quality, validate
 from corpusloom.sources import jsonl
-from corpusloom.sources.scratch import spread
 from corpusloom.sources.warehouse import Warehouse, small_frame
 
 AUGMENTED_NOTE = "index rebuilt from all active vectors; only new and updated documents embedded"
@@ -34,6 +34,7 @@ class Build:
     tokenizer: Tokenizer = field(default_factory=WordTokenizer)
     encoder: Encoder = field(default_factory=HashingEncoder)
     note: str | None = None
+    max_cells: int = S.MAX_CELLS
 
     def __post_init__(self):
         if self.mode not in ("full", "augmented"):
@@ -44,7 +45,6 @@ class Build:
         """Run all stages and return the run id. On an error the run is marked failed."""
         w = self.warehouse
         self.run_id, self.started = w.next_run_id(), _now()
-        self.published = w.successful_runs()
         self.latency: list[tuple] = []
         self._record("running", None, None)
         try:
@@ -73,72 +73,73 @@ class Build:
 
     def _stage(self, name: str, body, *args) -> None:
         start = _now()
-        rows = body(*args)
+        rows, details = body(*args)
         end = _now()
         self.latency.append(
-            (self.run_id, name, start, end, (end - start).total_seconds(), rows, None))
+            (self.run_id, name, start, end, (end - start).total_seconds(), rows,
+             json.dumps(details, separators=(",", ":"))))
 
-    def _ingest(self, source: Source) -> int:
+    def _ingest(self, source: Source) -> tuple[int, dict]:
         self.warehouse.write_run("raw_documents", source(self.run_id), self.run_id)
         self.counts["raw_doc_count"] = self._raw().count()
-        return self.counts["raw_doc_count"]
+        return self.counts["raw_doc_count"], {"input": self.input_path}
 
     def _raw(self) -> DataFrame:
         return jsonl.accepted(self.warehouse.read_run("raw_documents", self.run_id))
 
-    def _clean(self) -> int:
+    def _clean(self) -> tuple[int, dict]:
         w, c = self.warehouse, self.counts
         w.write_run("rejected_documents",
                     validate.rejected_documents(self._raw(), self.run_id), self.run_id)
         c["rejected_doc_count"] = w.read_run("rejected_documents", self.run_id).count()
         c["stg_valid_count"] = c["raw_doc_count"] - c["rejected_doc_count"]
-        return c["stg_valid_count"]
+        return c["stg_valid_count"], {"rejected": c["rejected_doc_count"]}
 
-    def _curate(self) -> int:
+    def _curate(self) -> tuple[int, dict]:
         # Keys and statuses are narrow tables of their own: later plans then know their
         # size when they choose a join, and nothing is recomputed after a lost executor.
         w, run_id = self.warehouse, self.run_id
         valid = validate.valid_documents(self._raw())
         w.write_run("batch_keys", merge.batch_keys(valid), run_id)
         keys = w.read_run("batch_keys", run_id).drop("run_id")
-        current = merge.current_keys(w.read("clean_documents", self.published),
-                                     w.read("closures", self.published), keys)
+        current = merge.current_keys(w.read("clean_documents"), w.read("closures"), keys)
         w.write_run("document_status", merge.classify(keys, current), run_id)
         statuses = w.read_run("document_status", run_id)
-        self.counts.update(merge.status_counts(statuses).first().asDict())
+        decided = merge.status_counts(statuses).first().asDict()
+        self.counts.update(decided)
         w.write_run("clean_documents",
-                    merge.new_versions(valid, statuses, run_id, self.counts), run_id)
+                    merge.new_versions(valid, statuses, run_id), run_id)
         w.write_run("closures", merge.new_closures(statuses, run_id), run_id)
-        return self.counts["stg_valid_count"]
+        return self.counts["stg_valid_count"], decided
 
-    def _chunk(self) -> int:
+    def _chunk(self) -> tuple[int, dict]:
         w = self.warehouse
-        fresh = spread(w.read_run("clean_documents", self.run_id))
+        fresh = w.read_run("clean_documents", self.run_id)
         w.write_run("chunks", chunking.chunk_documents(fresh, self.tokenizer), self.run_id)
         self.counts["new_chunk_count"] = w.read_run("chunks", self.run_id).count()
-        return self.counts["new_chunk_count"]
+        return self.counts["new_chunk_count"], {"tokenizer": type(self.tokenizer).__name__}
 
-    def _embed(self) -> int:
+    def _embed(self) -> tuple[int, dict]:
         w = self.warehouse
-        fresh = spread(w.read_run("chunks", self.run_id))
+        fresh = w.read_run("chunks", self.run_id)
         w.write_run("embeddings", embed_chunks(fresh, self.encoder), self.run_id)
         self.counts["new_embedding_count"] = w.read_run("embeddings", self.run_id).count()
-        return self.counts["new_embedding_count"]
+        return self.counts["new_embedding_count"], {"encoder": self.encoder.name}
 
     def _visible(self, table: str) -> DataFrame:
-        return self.warehouse.read(table, [*self.published, self.run_id])
+        return self.warehouse.read(table, also=self.run_id)
 
     def _active(self, table: str) -> DataFrame:
         return merge.active(self._visible(table), self._visible("closures"))
 
-    def _index(self) -> int:
+    def _index(self) -> tuple[int, dict]:
         w, run_id = self.warehouse, self.run_id
         paths = w.index_path(run_id), w.centroids_path(run_id)
-        facts = index_store.build_index(self._active("embeddings"), *paths)
+        facts = index_store.build_index(self._active("embeddings"), *paths, self.max_cells)
         w.append("index_registry", registry_row(
             w.spark, run_id, self.dataset_name, self.encoder.name, facts, paths, self.mode))
         self.counts["index_vector_count"] = facts["num_vectors"]
-        return facts["num_vectors"]
+        return facts["num_vectors"], {"nlist": facts["nlist"]}
 
     def _count_active(self) -> None:
         row = quality.count_row({
@@ -206,13 +207,15 @@ def chunk_checksums(chunks: DataFrame, closures: DataFrame, run_ids: list[int])
 
 def write_audit(w: Warehouse, runs: DataFrame, run_a: int, run_b: int, chunks: DataFrame,
                 closures: DataFrame) -> DataFrame:
-    """Run the checks between two runs, store and return them."""
+    """Run the checks between two runs, store them and return the stored rows."""
+    created = _now()
     checksums = chunk_checksums(chunks, closures, [run_a, run_b])
-    results = quality.audit(runs, checksums, [(run_a, run_b)]).select(
+    w.append("audit_results", quality.audit(runs, checksums, [(run_a, run_b)]).select(
         X.key_hash("run_id_a", "run_id_b", "audit_type").alias("audit_id"), "*",
-        F.current_timestamp().alias("created_at"))
-    w.append("audit_results", results)
-    return results
+        F.lit(created).alias("created_at")))
+    return w.everything("audit_results").filter(
+        (F.col("run_id_a") == run_a) & (F.col("run_id_b") == run_b)
+        & (F.col("created_at") == F.lit(created)))
 
 
 def audit_runs(w: Warehouse, run_a: int, run_b: int) -> DataFrame:

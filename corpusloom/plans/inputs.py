@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions import text as X
 from corpusloom.functions.encoders import HashingEncoder, embed_chunks, encode_column
 from corpusloom.operators import chunking, merge, validate
-from corpusloom.sources.scratch import new_folder, spread
+from corpusloom.sources.scratch import new_folder
 
 REVISED = " Revised in a later delivery."
 CORRECTED = " Corrected once more."
@@ -41,15 +41,9 @@ class Inputs:
             self._open[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
         return self._open[name]
 
-    def spread_table(self, name: str) -> DataFrame:
-        key = f"spread {name}"
-        if key not in self._open:
-            self._open[key] = spread(self.table(name))
-        return self._open[key]
-
     @cached_property
     def base(self) -> DataFrame:
-        return self.spread_table("documents").select(
+        return self.table("documents").select(
             F.col("doc_id").cast("string").alias("id"),
             F.concat(F.lit("doc://"), "source", F.lit("/"), "doc_id").alias("url"),
             F.concat_ws(" ", "source", "lang", "doc_id").alias("title"),
@@ -72,10 +66,10 @@ class Inputs:
             F.array(delivery(0, other)))
         shape = ["id", "url", "title", "text", "seq"]
         redelivered = again.select("id", "url", "title", F.inline(deliveries))
-        pages = self.spread_table("pages").select(
+        pages = self.table("pages").select(
             F.concat(F.lit("page-"), "page_id").alias("id"), "url", F.col("url").alias("title"),
             F.col("html").alias("text"), seq(2, "page_id"))
-        turns = self.spread_table("conversations").select(
+        turns = self.table("conversations").select(
             F.lit("").alias("id"), F.lit("").alias("url"), F.col("role").alias("title"), "text",
             seq(3, F.col("conv_id") * 1_000_000 + F.col("turn")))
         return redelivered.select(shape).unionByName(pages).unionByName(turns)
@@ -100,7 +94,7 @@ class Inputs:
         shape = ["id", "url", "title", "text", "seq"]
         documents = self.base.join(labels, "id", "left").withColumn("text", text).select(shape)
         turn = F.col("conv_id") * 1_000_000 + F.col("turn")
-        turns = self.spread_table("conversations").select(
+        turns = self.table("conversations").select(
             space(turn).alias("id"), F.lit(None).cast("string").alias("url"),
             F.col("role").alias("title"), "text", seq(3, turn))
         return documents.unionByName(turns)

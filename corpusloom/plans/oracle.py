@@ -3,6 +3,7 @@
 from corpusloom import schemas
 from corpusloom import settings as S
 from corpusloom.functions.text import SPACE_POINTS
+from corpusloom.operators.sampling import CORRUPTED_ID, CORRUPTED_TITLE, REVISION
 from corpusloom.plans.inputs import CORRECTED, DIM, REVISED
 
 # The whitespace class in RE2 notation.
@@ -48,6 +49,16 @@ _STEPS = {
         SELECT 'page-' || page_id, url, url, html, 2, page_id FROM pages
         UNION ALL
         SELECT '', '', role, text, 3, {_TURN} FROM conversations""",
+    "usable": f"""
+        SELECT * FROM base WHERE NOT ({blank('id')}) AND NOT ({blank('text')})""",
+    "drawn": f"""
+        SELECT * FROM usable ORDER BY md5('{S.SEED}|' || id), id
+        LIMIT (SELECT CASE WHEN count(*) >= 45 THEN 40 ELSE greatest(2, count(*) - 5) END
+               FROM usable)""",
+    "drawn_forty": f"SELECT * FROM usable ORDER BY md5('{S.SEED}|' || id), id LIMIT 40",
+    "shortened": f"""
+        SELECT {clean('text')} <> '' AS ok, {clean('text')} AS whole,
+               {clean('left(text, 400)')} AS short FROM base""",
     "noisy": f"""
         SELECT id, url, title,
                CASE WHEN toxic = 1 AND quality = 0 THEN {_space('n')} || {_space('n')} || ' '
@@ -202,7 +213,8 @@ _STEPS = {
     "vectors": """
         SELECT vec_id::VARCHAR AS id, embedding::DOUBLE[] AS v, label FROM embeddings""",
     "label_elements": """
-        SELECT label::INT AS cell, generate_subscripts(v, 1) AS pos, unnest(v) AS x FROM vectors""",
+        SELECT cell, generate_subscripts(v, 1) AS pos, unnest(v) AS x
+        FROM (SELECT *, (dense_rank() OVER (ORDER BY label) - 1)::INT AS cell FROM vectors)""",
     "centroids": """
         SELECT cell, list(x ORDER BY pos) AS c
         FROM (SELECT cell, pos, avg(x) AS x FROM label_elements GROUP BY cell, pos) GROUP BY cell""",
@@ -213,7 +225,7 @@ _STEPS = {
     "assigned": "SELECT id, v, cell FROM near WHERE nth = 1",
     "exact_pairs": """
         SELECT q.id AS query_id, o.id AS id, round(list_dot_product(q.v, o.v), 9) AS score
-        FROM vectors q JOIN vectors o ON q.id <> o.id""",
+        FROM vectors q JOIN vectors o ON q.id <> o.id WHERE q.id::BIGINT % 50 = 0""",
     "exact": f"""
         SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id
                                                     ORDER BY score DESC, id)::INT AS rank
@@ -221,7 +233,7 @@ _STEPS = {
     "probed_pairs": f"""
         SELECT q.id AS query_id, o.id AS id, round(list_dot_product(q.v, o.v), 9) AS score
         FROM near q JOIN assigned o ON q.cell = o.cell
-        WHERE q.nth <= {LABEL_NPROBE} AND q.id <> o.id""",
+        WHERE q.nth <= {LABEL_NPROBE} AND q.id <> o.id AND q.id::BIGINT % 50 = 0""",
     "probed": f"""
         SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id
                                                     ORDER BY score DESC, id)::INT AS rank
@@ -277,7 +289,7 @@ _STEPS = {
                        FROM text_scores) WHERE rank <= {TOP_K}""",
 }
 _WORDS = " || '|' || ".join(
-    f"coalesce(sum(('0x' || substr({{h}}, {1 + 6 * i}, 6))::BIGINT), 0)::BIGINT" for i in range(10))
+    f"coalesce(sum(('0x' || substr({{h}}, {1 + 8 * i}, 8))::BIGINT), 0)::HUGEINT" for i in range(8))
 
 
 def digest(h: str) -> str:
@@ -308,6 +320,22 @@ _RETRIEVED = """
            c.doc_id, c.chunk_text, c.chunk_index, c.start_tok, c.end_tok, d.title, d.url
     FROM text_hits h JOIN corpus_chunks c ON h.chunk_id = c.chunk_id
     JOIN base_valid d ON c.doc_id = d.doc_id"""
+_RECONCILED = """
+            SELECT *, CASE WHEN active_chunks = active_embeddings
+                            AND active_embeddings = index_vectors THEN 'PASS' ELSE 'FAIL' END
+                          AS reconciliation_status,
+                   json_object('raw', raw_documents, 'clean_active', clean_documents_active,
+                       'rejected', rejected_documents, 'chunks', active_chunks,
+                       'embeddings', active_embeddings, 'index_vectors', index_vectors)::VARCHAR
+                       AS details, 3 AS run_id
+            FROM (SELECT raw_doc_count AS raw_documents,
+                         active_doc_count AS clean_documents_active,
+                         rejected_doc_count AS rejected_documents,
+                         active_chunk_count AS active_chunks,
+                         active_embedding_count AS active_embeddings,
+                         index_vector_count AS index_vectors FROM runs WHERE run_id = 3)"""
+_NLIST = (f"least({S.MAX_CELLS}, greatest({S.MIN_CELLS}, index_vector_count // {S.VECTORS_PER_CELL}), "
+          "index_vector_count)::INT")
 _EXACT = "SELECT query_id, id, rank, score FROM exact"
 
 
@@ -317,7 +345,10 @@ def statements() -> dict[str, str]:
     selects = {
         "ingest_jsonl_roundtrip": "SELECT 1 AS run_id, id, url, title, text FROM base",
         "malformed_lines":
-            """SELECT '{"id": "' || doc_id || '", "text": "' AS malformed_line FROM labels""",
+            """SELECT unnest(['{"id": "' || doc_id || '", "text": "', '[{"id": "' || doc_id || '"}]',
+                   '"' || doc_id || '"', '{' || chr(39) || 'id' || chr(39) || ': ' || chr(39) || doc_id || chr(39) || '}',
+                   '{"id": "' || doc_id || '"} {"id": "x"}', doc_id::VARCHAR]) AS malformed_line
+            FROM labels""",
         "ingest_batches": f"""
             SELECT 1 AS run_id, sha256('1|documents|0|' || batch) AS ingest_batch_id,
                    count(*) AS n_rows, min(n) AS first_row, max(n) AS last_row
@@ -370,9 +401,9 @@ def statements() -> dict[str, str]:
             SELECT doc_id, url, title, cleaned_text, content_hash, text_len, source_run_id
             FROM versions WHERE is_active""",
         "scd_chunks": "SELECT * EXCLUDE (chunk_text, content_hash) FROM chunks",
-        "scd_embeddings": """
-            SELECT chunk_id, source_run_id, is_active, valid_from_run_id, valid_to_run_id
-            FROM chunks""",
+        "scd_embeddings": f"""
+            SELECT chunk_id, {DIM} AS embedding_dim, source_run_id, is_active, valid_from_run_id,
+                   valid_to_run_id FROM chunks""",
         "scd_history": """
             SELECT v.doc_id, v.content_hash, v.source_run_id, v.is_active, v.valid_to_run_id,
                    c.chunk_id, c.chunk_index
@@ -397,10 +428,15 @@ def statements() -> dict[str, str]:
             WHERE v.id IS NULL OR c.chunk_index > 0""",
         "asof_chunks": "SELECT run_id, chunk_id, chunk_hash FROM live",
         "asof_checksum": "SELECT run_id, checksum FROM asof_sums",
-        "ordered_checksum": f"""
-            SELECT count(*) AS n_rows, CASE WHEN count(*) <= {S.EXACT_CHECKSUM_ROWS} THEN
-                   sha256(string_agg(chunk_hash, '' ORDER BY chunk_hash)) END AS checksum
-            FROM corpus_chunks""",
+        "ordered_checksum": """
+            SELECT sum(n)::BIGINT AS n_rows, sha256(string_agg(value, '' ORDER BY p)) AS checksum
+            FROM (SELECT left(p, 3) AS p, sha256(string_agg(value, '' ORDER BY p)) AS value,
+                         sum(n) AS n
+                  FROM (SELECT left(h, 6) AS p, sum(n) AS n,
+                               sha256(string_agg(h || ':' || n, '' ORDER BY h)) AS value
+                        FROM (SELECT chunk_hash AS h, count(*) AS n FROM corpus_chunks GROUP BY h)
+                        GROUP BY left(h, 6))
+                  GROUP BY left(p, 3))""",
         "run_summary": "SELECT * FROM runs",
         "previous_full_run": "SELECT run_id, active_doc_count FROM runs WHERE run_id = 1",
         "audit_runs": """
@@ -410,29 +446,83 @@ def statements() -> dict[str, str]:
         "audit_tally": """
             SELECT count_if(result = 'PASS')::BIGINT AS n_pass, count_if(result = 'FAIL')::BIGINT AS n_fail
             FROM audited""",
-        "reconciliation": """
-            SELECT *, CASE WHEN active_chunks = active_embeddings
-                            AND active_embeddings = index_vectors THEN 'PASS' ELSE 'FAIL' END
-                          AS reconciliation_status,
+        "reconciliation": _RECONCILED,
+        "reconciliation_stored": _RECONCILED,
+        "reconciliation_faults": """
+            SELECT raw_documents, clean_documents_active, rejected_documents, active_chunks,
+                   active_embeddings, index_vectors, 'FAIL' AS reconciliation_status,
                    json_object('raw', raw_documents, 'clean_active', clean_documents_active,
                        'rejected', rejected_documents, 'chunks', active_chunks,
                        'embeddings', active_embeddings, 'index_vectors', index_vectors)::VARCHAR
                        AS details, 3 AS run_id
-            FROM (SELECT raw_doc_count AS raw_documents,
-                         active_doc_count AS clean_documents_active,
+            FROM (SELECT raw_doc_count AS raw_documents, active_doc_count AS clean_documents_active,
                          rejected_doc_count AS rejected_documents,
                          active_chunk_count AS active_chunks,
-                         active_embedding_count AS active_embeddings,
-                         index_vector_count AS index_vectors FROM runs WHERE run_id = 3)""",
+                         (SELECT count(*) FROM chunks WHERE source_run_id = 1 AND is_active)
+                             AS active_embeddings,
+                         (SELECT count(*) FROM corpus_chunks) AS index_vectors
+                  FROM runs WHERE run_id = 3)""",
         "index_registry": f"""
-            SELECT 'index-' || run_id AS index_id, run_id, dataset_name,
-                   '{S.INDEX_TYPE}' AS index_type, '{S.METRIC}' AS metric,
-                   least({S.MAX_CELLS}, greatest({S.MIN_CELLS},
-                         index_vector_count // {S.VECTORS_PER_CELL}), index_vector_count)::INT
-                       AS nlist,
-                   {S.NPROBE} AS nprobe, index_vector_count AS num_vectors, mode AS build_mode,
-                   run_id = 3 AS is_active
+            SELECT run_id, dataset_name, '{S.INDEX_TYPE}' AS index_type, '{S.METRIC}' AS metric,
+                   {_NLIST} AS nlist, {S.NPROBE} AS nprobe, index_vector_count AS num_vectors,
+                   mode AS build_mode, run_id = 3 AS is_active
+            FROM runs""",
+        "stage_log": f"""
+            SELECT run_id, unnest(['ingest', 'clean', 'curate', 'chunk', 'embed', 'index'])
+                       AS stage_name,
+                   unnest([raw_doc_count, stg_valid_count, stg_valid_count, new_chunk_count,
+                           new_embedding_count, index_vector_count])::BIGINT AS row_count,
+                   unnest([json_object('input', input_path)::VARCHAR,
+                           json_object('rejected', rejected_doc_count)::VARCHAR,
+                           json_object('new_doc_count', new_doc_count,
+                               'updated_doc_count', updated_doc_count,
+                               'unchanged_doc_count', unchanged_doc_count,
+                               'duplicate_doc_count', duplicate_doc_count)::VARCHAR,
+                           '{{"tokenizer":"WordTokenizer"}}',
+                           '{{"encoder":"hashing-md5-{DIM}"}}',
+                           json_object('nlist', {_NLIST})::VARCHAR]) AS details
             FROM runs""",
+        "failed_run_scenario": """
+            SELECT run_id, mode, status, d AS clean_documents, c AS chunks, c AS embeddings,
+                   i AS index_registry, 6 * i AS latency_logs
+            FROM (SELECT 1 AS run_id, 'full' AS mode, 'success' AS status, 1::BIGINT AS i,
+                         (SELECT count(*) FROM versions WHERE source_run_id = 1) AS d,
+                         (SELECT count(*) FROM chunks WHERE source_run_id = 1) AS c
+                  UNION ALL SELECT 2, 'augmented', 'failed', 0, 0, 0
+                  UNION ALL SELECT 3, 'augmented', 'success', 1,
+                         (SELECT count(*) FROM versions WHERE source_run_id = 3),
+                         (SELECT count(*) FROM chunks WHERE source_run_id = 3))""",
+        "streamed_updates": f"""
+            SELECT run_id, 'augmented' AS mode, 'success' AS status, raw_doc_count, new_doc_count,
+                   updated_doc_count, unchanged_doc_count, active_doc_count
+            FROM (SELECT 1 AS run_id, count(*) AS raw_doc_count, count_if(ok)::BIGINT AS new_doc_count,
+                         0::BIGINT AS updated_doc_count, 0::BIGINT AS unchanged_doc_count,
+                         count_if(ok)::BIGINT AS active_doc_count FROM shortened
+                  UNION ALL
+                  SELECT 2, count(*), count_if(NOT ok AND short <> '')::BIGINT,
+                         count_if(ok AND short <> '' AND short <> whole)::BIGINT,
+                         count_if(ok AND short = whole)::BIGINT,
+                         count_if(ok OR short <> '')::BIGINT FROM shortened)""",
+        "sample_documents": f"""
+            SELECT id, url, title, text FROM drawn""",
+        "update_batch": f"""
+            SELECT id, url, title, text, 'new' AS "case" FROM (
+                SELECT * FROM usable WHERE id NOT IN (SELECT id FROM drawn_forty)
+                ORDER BY part, n LIMIT 1)
+            UNION ALL
+            SELECT id, url, title, text || '{REVISION}', 'revised' FROM (
+                SELECT * FROM drawn_forty ORDER BY part, n LIMIT 1)
+            UNION ALL
+            SELECT id, url, title, text, 'duplicate' FROM (
+                SELECT * FROM drawn_forty ORDER BY part, n LIMIT 1 OFFSET 1)
+            UNION ALL
+            SELECT '{CORRUPTED_ID}', '', '{CORRUPTED_TITLE}', '', 'corrupted'""",
+        "ivf_train_assign": "SELECT id, true AS is_nearest FROM vectors",
+        "ivf_trained_cells": f"""
+            SELECT unnest(range(least({S.MAX_CELLS}, greatest({S.MIN_CELLS},
+                       n // {S.VECTORS_PER_CELL}), n)))::INT AS cell, true AS is_unit
+            FROM (SELECT count(*) AS n FROM vectors)""",
+        "ivf_recall": "SELECT count(*) AS n_true, true AS is_enough FROM exact",
         "rows_per_run": """
             SELECT 1 AS run_id, count(*) AS n_rows FROM base
             UNION ALL SELECT 2, count(*) FROM base UNION ALL SELECT 3, count(*) FROM delta""",

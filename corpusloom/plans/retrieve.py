@@ -1,16 +1,15 @@
 """Batch retrieval from a warehouse."""
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom import settings as S
 from corpusloom.functions.encoders import Encoder, HashingEncoder, encode_column
-from corpusloom.operators import index_store, merge, quality, search
+from corpusloom.operators import index_store, quality, search
 from corpusloom.sources.warehouse import Warehouse
 
-# Up to this many hits are looked up by literal ids, which lets Parquet skip row groups.
-_LITERAL_HITS = 2_000
-
 
 def encode_queries(queries: DataFrame, encoder: Encoder) -> DataFrame:
     """(query_id, query_text) to (query_id, embedding)."""
@@ -21,13 +20,12 @@ def encode_queries(queries: DataFrame, encoder: Encoder) -> DataFrame:
 
 def retrieve(w: Warehouse, queries: DataFrame, top_k: int = 5, nprobe: int | None = None,
              dataset_name: str | None = None, encoder: Encoder | None = None) -> DataFrame:
-    """The best chunks for each (query_id, query_text), with their texts.
+    """The best chunks for each (query_id, query_text), with their texts, by query and rank.
 
-    Uses the newest index of a successful run.
+    Uses the newest index of a successful run. A null text is asked like an empty one.
     """
     spark = w.spark
-    published = w.successful_runs()
-    registry = w.read("index_registry").filter(F.col("run_id").isin(published))
+    registry = w.read("index_registry")
     if dataset_name is not None:
         registry = registry.filter(F.col("dataset_name") == dataset_name)
     newest = quality.newest_index(registry).filter("is_active").orderBy(
@@ -36,14 +34,9 @@ def retrieve(w: Warehouse, queries: DataFrame, top_k: int = 5, nprobe: int | Non
         raise ValueError("no index has been built")
     centroids = index_store.read_centroids(spark, newest.centroids_path)
     index = index_store.read_index(spark, newest.index_path).withColumnRenamed("chunk_id", "id")
-    hits = search.ivf_topk(encode_queries(queries, encoder or HashingEncoder()), index, centroids,
-                           top_k, nprobe or newest.nprobe)
-    closures = w.read("closures", published)
-    chunks = w.read("chunks", published)
-    documents = w.read("clean_documents", published)
-    asked = _LITERAL_HITS // top_k
-    if queries.limit(asked + 1).count() <= asked:
-        found = hits.toArrow()
-        hits = spark.createDataFrame(found, hits.schema)
-        chunks = chunks.filter(F.col("chunk_id").isin(found.column("id").unique().to_pylist()))
-    return search.hydrate(hits, merge.active(chunks, closures), merge.active(documents, closures))
+    blocks = search.ivf_blocks(encode_queries(queries, encoder or HashingEncoder()), index,
+                               centroids, top_k, nprobe or newest.nprobe)
+    closures, chunks = w.read("closures"), w.read("chunks")
+    documents = w.read("clean_documents")
+    found = [search.hydrate(hits, chunks, documents, closures) for hits in blocks]
+    return reduce(DataFrame.unionByName, found).orderBy("query_id", "rank")

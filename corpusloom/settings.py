@@ -42,9 +42,5 @@ SNAPSHOT_CHARS = 500
 # whatever the summation order of the machine that scored them.
 SCORE_DECIMALS = 9
 
-# Size bounds. Below them data may travel to every task; above them it is shuffled.
-MAX_BROADCAST_BYTES = 64 << 20
-GRID_CORPUS_ROWS = 32_768
-GRID_QUERY_ROWS = 16_384
-EXACT_CHECKSUM_ROWS = 1_000_000
-TRAIN_VECTORS_PER_CELL = 256
+# Queries travel to the corpus in blocks of about this many bytes, their hits included.
+QUERY_BLOCK_BYTES = 32 << 20

@@ -2,8 +2,8 @@
 
 Facts are append-only. Each run owns one partition folder per table and overwrites only
 that folder, so repeating an interrupted stage leaves no duplicate. A run counts once its
-last ``runs`` row says success: readers ask for the partitions of successful runs, plus
-the run in progress. One driver writes at a time.
+last ``runs`` row says success: readers see the rows of successful runs, plus those of the
+run in progress. One driver writes at a time.
 """
 
 import pyarrow as pa
@@ -22,6 +22,8 @@ RUN_COLUMN = {
     "row_count_reconciliation": "run_id", "clean_documents": "source_run_id",
     "chunks": "source_run_id", "embeddings": "source_run_id", "closures": "valid_to_run_id",
 }
+# Tables of a row or a few per run, appended to, and the run that must not have failed.
+CONTROL_COLUMN = {"index_registry": "run_id", "latency_logs": "run_id", "audit_results": "run_id_b"}
 
 
 def small_frame(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
@@ -67,17 +69,37 @@ class Warehouse:
     def append_rows(self, table: str, rows: list[tuple]) -> None:
         self.append(table, small_frame(self.spark, rows, schemas.TABLES[table]))
 
-    def read(self, table: str, runs: list[int] | None = None) -> DataFrame:
-        """Rows of the given runs (default: the successful ones); control tables as they are."""
+    def read(self, table: str, also: int | None = None) -> DataFrame:
+        """Rows of successful runs, and of one more run if it is given.
+
+        What a failed or running run wrote to a control table is left out too. A list of run ids
+        travels to the readers, one number per run.
+        """
         df = self._load(table)
+        if table in CONTROL_COLUMN:
+            column = CONTROL_COLUMN[table]
+            hidden = self.runs().filter(F.col("status") != "success")
+            if also is not None:
+                hidden = hidden.filter(F.col("run_id") != also)
+            hidden = hidden.select(F.col("run_id").alias(column))
+            return df.join(F.broadcast(hidden), column, "left_anti").select(df.columns)
         if table not in RUN_COLUMN:
             return df
-        visible = self.successful_runs() if runs is None else runs
-        return df.filter(F.col(RUN_COLUMN[table]).isin(visible))
+        shown = self._load("runs").filter(F.col("status") == "success").select("run_id")
+        if also is not None:
+            shown = shown.unionByName(self.spark.range(1).select(
+                F.lit(also).cast("int").alias("run_id")))
+        shown = shown.select(F.col("run_id").alias(RUN_COLUMN[table])).distinct()
+        return df.join(F.broadcast(shown), RUN_COLUMN[table], "left_semi").select(df.columns)
+
+    def everything(self, table: str) -> DataFrame:
+        """All rows, also those of failed and running runs."""
+        return self._load(table)
 
     def read_run(self, table: str, run_id: int) -> DataFrame:
-        """The partition of one run, whatever became of that run."""
-        return self._load(table).filter(F.col(RUN_COLUMN[table]) == run_id)
+        """The partition of one run, whatever became of that run; only its folder is listed."""
+        reader = self.spark.read.schema(schemas.TABLES[table]).option("basePath", self.path(table))
+        return reader.parquet(self.path(table, run_id))
 
     def runs(self) -> DataFrame:
         """One row per run: the last one written for it. There are as few as there were runs."""
@@ -85,9 +107,9 @@ class Warehouse:
         order = Window.partitionBy("run_id").orderBy(F.col("end_time").desc_nulls_last())
         return log.withColumn("n", F.row_number().over(order)).filter("n = 1").drop("n")
 
-    def successful_runs(self) -> list[int]:
-        done = self._load("runs").filter(F.col("status") == "success").select("run_id").distinct()
-        return sorted(r.run_id for r in done.collect())
+    def run_history(self) -> DataFrame:
+        """The runs in order."""
+        return self.runs().orderBy("run_id")
 
     def next_run_id(self) -> int:
         return (self._load("runs").agg(F.max("run_id")).first()[0] or 0) + 1

@@ -21,7 +21,7 @@ def document(n, extra=""):
     return {"id": f"d{n}", "url": f"u{n}", "title": f"Title {n}", "text": words + extra}
 
 
-SENTENCE = " fresh news about vector databases and retrieval systems"
+SENTENCE = " fresh news about lighthouses and harbours in winter"
 BASE = [document(n) for n in range(40)]
 DELTA = [document(99), document(0, SENTENCE), document(1),
          {"id": "corrupted_doc_001", "title": "c", "url": "", "text": ""}]
@@ -41,7 +41,7 @@ def three_runs(spark, tmp_path_factory):
     folder = tmp_path_factory.mktemp("in")
     base, delta = write(folder / "base.jsonl", BASE), write(folder / "delta.jsonl", DELTA)
     w = Warehouse(spark, scratch.new_folder(spark, "test"))
-    question = spark.createDataFrame([("q", "news about vector databases and retrieval systems")],
+    question = spark.createDataFrame([("q", "news about lighthouses and harbours in winter"), ("none", None)],
                                      "query_id string, query_text string")
     # Many slots, so that unrelated words hardly ever share one.
     encoder = HashingEncoder(2048)
@@ -83,6 +83,7 @@ def test_audit_and_reconciliation(three_runs):
 def test_latency_and_registry(three_runs):
     w, _, _ = three_runs
     log = w.read("latency_logs")
+    assert json.loads(log.filter("run_id = 3 AND stage_name = 'index'").first().details) == {"nlist": 4}
     assert [r.stage_name for r in log.filter("run_id = 3").orderBy("start_time").collect()] == [
         "ingest", "clean", "curate", "chunk", "embed", "index"]
     assert quality.latest_run_latency(w.runs(), log).select("run_id").distinct().collect() == [(3,)]
@@ -96,7 +97,9 @@ def test_latency_and_registry(three_runs):
 def test_revised_text_is_found_only_after_the_update(three_runs):
     _, before, after = three_runs
     assert before and not any("fresh news" in r.chunk_text for r in before)
-    best = min(after, key=lambda r: r.rank)
+    assert [(r.query_id, r.rank) for r in after] == sorted((r.query_id, r.rank) for r in after)
+    assert {r.query_id for r in after} == {"none", "q"}
+    best = min((r for r in after if r.query_id == "q"), key=lambda r: r.rank)
     assert best.doc_id == "d0" and "fresh news" in best.chunk_text and best.title == "Title 0"
 
 
@@ -106,8 +109,7 @@ def test_rejects_and_partitions(three_runs):
     assert [(r.run_id, r.doc_id, r.reason_code) for r in rows] == [(3, "corrupted_doc_001", "EMPTY_TEXT")]
     assert {r.run_id: r["count"] for r in w.read("raw_documents").groupBy("run_id").count().collect()} == {
         1: 40, 2: 40, 3: 4}
-    plan = w.read_run("raw_documents", 3)._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(run_id" in plan
+    assert all("run_id=3" in f for f in w.read_run("raw_documents", 3).inputFiles())
 
 
 class Broken:
@@ -130,7 +132,9 @@ def test_failed_run_is_invisible_and_can_be_repeated(spark, tmp_path):
     B.build(spark, w.root, "augmented", "demo", changed)
     again = counts(w, 3)
     assert (again.updated_doc_count, again.new_chunk_count, again.active_doc_count) == (6, 8, 6)
-    assert w.successful_runs() == [1, 3]
+    assert [r.run_id for r in w.run_history().collect()] == [1, 2, 3]
+    assert {r.run_id for r in w.read("latency_logs").collect()} == {1, 3}
+    assert {r.run_id for r in w.everything("latency_logs").collect()} == {1, 2, 3}
 
 
 def test_contract_details(spark, tmp_path):
@@ -190,3 +194,27 @@ def test_order_of_input_decides_across_files(spark, tmp_path):
     write(folder / "b.jsonl", [document(1, " new")])
     raw = jsonl.read_documents(spark, str(folder), 1)
     assert raw.orderBy(F.desc("seq")).first().text.endswith(" new")
+
+
+def test_no_text_is_shuffled_to_find_the_hits(three_runs):
+    w, _, _ = three_runs
+    question = w.spark.createDataFrame([("q", "lighthouses")], "query_id string, query_text string")
+    kept = w.spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    w.spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = retrieve(w, question, 3, encoder=HashingEncoder(2048))
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        w.spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    assert "SortMergeJoin" not in plan and "chunk_text" in plan
+    # The ranking of hits and the last sort are the only exchanges.
+    assert plan.count("Exchange hashpartitioning(query_id") <= 4
+
+
+def test_cells_are_limited(spark, tmp_path):
+    w = Warehouse(spark, scratch.new_folder(spark, "test"))
+    base = write(tmp_path / "a.jsonl", BASE[:8])
+    B.build(spark, w.root, "full", "demo", base, max_cells=2)
+    assert w.read("index_registry").first().nlist == 2
+    with pytest.raises(ValueError, match="max_cells"):
+        B.build(spark, w.root, "full", "demo", base, max_cells=0)

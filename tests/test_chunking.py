@@ -4,7 +4,7 @@ import sys
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
-from corpusloom.functions.tokenizers import SubwordTokenizer, window_count
+from corpusloom.functions.tokenizers import window_count
 from corpusloom.operators import chunking
 
 # Workers cannot import a test module.
@@ -54,24 +54,6 @@ def test_windows(spark):
     assert sorted(r.doc_id for r in short) == ["d2", "d31"]
 
 
-class Words:
-    def encode(self, text, add_special_tokens):
-        assert add_special_tokens is False
-        return text.split(" ")
-
-    def decode(self, ids, skip_special_tokens):
-        assert skip_special_tokens is True
-        return " ".join(ids)
-
-
-def test_user_tokenizer_gives_the_same_windows(spark):
-    docs = documents(spark, [2, 32, 384, 385, 704, 705, 1600])
-    ours = chunking.chunk_documents(docs)
-    users = chunking.chunk_documents(docs, SubwordTokenizer(Words))
-    assert users.schema == ours.schema
-    assert sorted(users.collect()) == sorted(ours.collect())
-
-
 def test_unembedded(spark):
     chunks = spark.createDataFrame([("a", 1), ("b", 1), ("a", 2)], "chunk_id string, source_run_id int")
     done = spark.createDataFrame([("a", 1)], "chunk_id string, source_run_id int")

@@ -55,19 +55,7 @@ def test_hash_of_stored_vectors(spark):
         assert r.h == hashlib.sha256(np.array(r.v, "<f4").tobytes()).hexdigest()
 
 
-class FakeModel:
-    built = 0
-
-    def encode(self, texts, batch_size, normalize_embeddings, show_progress_bar):
-        assert batch_size == 32 and normalize_embeddings
-        return [[1.0, 0.0] for _ in texts]
-
-
-def test_model_adapter_builds_its_model_once():
-    def load():
-        FakeModel.built += 1
-        return FakeModel()
-    encoder = E.SentenceEncoder("fake", 2, load)
-    for _ in range(3):
-        assert encoder.encode(pa.array(["a", "b"])).tolist() == [[1.0, 0.0], [1.0, 0.0]]
-    assert FakeModel.built == 1
+def test_null_text_is_encoded_like_an_empty_one(spark):
+    df = spark.createDataFrame([(1, None), (2, ""), (3, "a b")], "id int, text string")
+    rows = {r.id: r.embedding for r in E.encode_column(df, "text", E.HashingEncoder(8), "query: ").collect()}
+    assert rows[1] == rows[2] != rows[3]

@@ -1,4 +1,5 @@
 import hashlib
+from collections import Counter, defaultdict
 import json
 
 import pytest
@@ -23,11 +24,27 @@ def test_digest_is_about_the_multiset_only(spark):
 
 def test_ordered_checksum(spark):
     df = hashes(spark, 50).repartition(4)
-    want = hashlib.sha256("".join(sorted(r.h for r in df.collect())).encode()).hexdigest()
-    assert quality.ordered_checksum(df, "h").first().checksum == want
-    assert quality.ordered_checksum(df, "h", limit=49).first() == (50, None)
+    found = quality.ordered_checksum(df.unionByName(df.limit(7)), "h").first()
+    level = [(h, f"{h}:{n}") for h, n in Counter(
+        [r.h for r in df.collect()] + [r.h for r in df.limit(7).collect()]).items()]
+    for digits in (6, 3, 0):
+        groups = defaultdict(list)
+        for at, value in sorted(level):
+            groups[at[:digits]].append(value)
+        level = [(k, hashlib.sha256("".join(v).encode()).hexdigest()) for k, v in groups.items()]
+    assert found == (57, level[0][1])
     empty = quality.ordered_checksum(df.filter("false"), "h").first()
-    assert empty.checksum == hashlib.sha256(b"").hexdigest()
+    assert empty == (0, hashlib.sha256(b"").hexdigest())
+
+
+def test_digest_sees_every_digit(spark):
+    def digest(*values):
+        rows = spark.createDataFrame([(v,) for v in values], "h string")
+        return quality.multiset_digest(rows, "h").first().digest
+    one = "0" * 64
+    for at in range(0, 64, 7):
+        assert digest(one) != digest(one[:at] + "1" + one[at + 1:])
+    assert digest(one, one) != digest(one)
 
 
 def runs(spark, rows):
@@ -56,8 +73,8 @@ def test_audit(spark):
 
 @pytest.mark.parametrize("indexed,status", [(4, "PASS"), (3, "FAIL"), (None, "FAIL")])
 def test_reconciliation(spark, indexed, status):
-    rows = [] if indexed is None else [(indexed,)]
-    registry = spark.createDataFrame(rows, "num_vectors long")
+    rows = [] if indexed is None else [(9, 1), (indexed, 2)]
+    registry = spark.createDataFrame(rows, "num_vectors long, created_at int")
     r = quality.reconcile(spark.range(7), spark.range(3), spark.range(2), spark.range(4),
                           spark.range(4), registry, 5).first()
     assert (r.run_id, r.reconciliation_status) == (5, status)
@@ -98,7 +115,7 @@ def test_sampling(spark):
     first, second = sorted(one, key=lambda r: r.seq)[:2]
     rest = min(int(r.id) for r in usable.collect() if r.id not in {s.id for s in one})
     assert batch["new"].id == str(rest)
-    assert batch["revised"].id == first.id and batch["revised"].text.startswith("x\n\nThis updated")
+    assert batch["revised"].id == first.id and batch["revised"].text == "x" + sampling.REVISION
     assert batch["duplicate"].id == second.id and batch["duplicate"].text == "x"
     assert batch["corrupted"].text == "" and len(batch) == 4
     lonely = {r.case: r for r in sampling.update_batch(sample, sample).collect()}

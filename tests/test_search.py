@@ -40,27 +40,23 @@ def data():
     return ([f"q{i:02d}" for i in range(32)], queries, [f"v{i:03d}" for i in range(400)], corpus)
 
 
-@pytest.mark.parametrize("grid", [False, True])
+@pytest.mark.parametrize("blocks", [False, True])
 @pytest.mark.parametrize("k", [1, 7, 500])
-def test_exact_equals_brute_force(spark, data, monkeypatch, grid, k):
+def test_exact_equals_brute_force(spark, data, monkeypatch, blocks, k):
     q_ids, queries, ids, corpus = data
-    if grid:
-        monkeypatch.setattr(S, "MAX_BROADCAST_BYTES", 1)
-        monkeypatch.setattr(S, "GRID_CORPUS_ROWS", 90)
-        monkeypatch.setattr(S, "GRID_QUERY_ROWS", 10)
+    if blocks:
+        monkeypatch.setattr(S, "QUERY_BLOCK_BYTES", 3000)
     hits = search.exact_topk(frame(spark, "query_id", q_ids, queries),
-                             frame(spark, "id", ids, corpus), k, 16)
+                             frame(spark, "id", ids, corpus), k)
     assert got(hits) == brute(q_ids, queries, ids, corpus, k)
 
 
-@pytest.mark.parametrize("grid", [False, True])
-def test_probing(spark, data, monkeypatch, grid):
+@pytest.mark.parametrize("blocks", [False, True])
+def test_probing(spark, data, monkeypatch, blocks):
     q_ids, queries, ids, corpus = data
     centroids = ivf.Centroids(np.random.default_rng(5).normal(size=(6, 16)))
-    if grid:
-        monkeypatch.setattr(S, "MAX_BROADCAST_BYTES", 1)
-        monkeypatch.setattr(S, "GRID_CORPUS_ROWS", 20)
-        monkeypatch.setattr(S, "GRID_QUERY_ROWS", 5)
+    if blocks:
+        monkeypatch.setattr(S, "QUERY_BLOCK_BYTES", 3000)
     index = ivf.assign(frame(spark, "id", ids, corpus), centroids)
     asked = frame(spark, "query_id", q_ids, queries)
     everything = search.ivf_topk(asked, index, centroids, 5, 6)
@@ -78,7 +74,7 @@ def test_probing(spark, data, monkeypatch, grid):
 def test_leave_one_out(spark, data):
     _, _, ids, corpus = data
     asked = frame(spark, "query_id", ids, corpus)
-    hits = search.without_self(search.exact_topk(asked, frame(spark, "id", ids, corpus), 4, 16), 3)
+    hits = search.without_self(search.exact_topk(asked, frame(spark, "id", ids, corpus), 4), 3)
     found = got(hits)
     assert len(found) == 400 and all(len(v) == 3 for v in found.values())
     assert all(q not in [i for i, _ in v] for q, v in found.items())
@@ -88,8 +84,8 @@ def test_no_hits_and_no_queries(spark, data):
     q_ids, queries, ids, corpus = data
     none = frame(spark, "id", ids, corpus).filter("false")
     asked = frame(spark, "query_id", q_ids, queries)
-    assert search.exact_topk(asked, none, 5, 16).count() == 0
-    assert search.exact_topk(asked.filter("false"), frame(spark, "id", ids, corpus), 5, 16).count() == 0
+    assert search.exact_topk(asked, none, 5).count() == 0
+    assert search.exact_topk(asked.filter("false"), frame(spark, "id", ids, corpus), 5).count() == 0
 
 
 def test_column_expressions(spark):
@@ -105,35 +101,27 @@ def test_cell_count():
         1, 3, 4, 4, 5, 10, 99, 100, 100]
 
 
-def test_training_does_not_depend_on_layout(spark, data):
+def test_training_repeats_itself(spark, data):
     _, _, ids, corpus = data
     df = frame(spark, "id", ids, corpus)
-    one = ivf.train(df.repartition(1), 400, 8, id_column="id")
-    two = ivf.train(df.repartition(5), 400, 8, id_column="id")
+    one = ivf.train(df, 8)
+    two = ivf.train(df, 8)
     assert one.nlist == 8 and np.allclose(one.matrix, two.matrix)
     assert np.allclose(np.linalg.norm(one.matrix, axis=1), 1.0)
     stored = ivf.Centroids.from_df(one.to_df(spark))
     assert np.allclose(stored.matrix, one.matrix, atol=1e-6)
 
 
-def test_training_sample_leaves_no_vector_unassigned(spark, data, monkeypatch):
-    _, _, ids, corpus = data
-    monkeypatch.setattr(S, "TRAIN_VECTORS_PER_CELL", 10)
-    df = frame(spark, "id", ids, corpus)
-    centroids = ivf.train(df, 400, 4, id_column="id")
-    assert ivf.cell_sizes(ivf.assign(df, centroids)).agg(F.sum("n_vectors")).first()[0] == 400
-
-
 def test_zero_vectors_are_assigned_but_do_not_train(spark, data):
     _, _, ids, corpus = data
     corpus = corpus.copy()
     corpus[::3] = 0
     df = frame(spark, "id", ids, corpus)
-    centroids = ivf.train(df, 400, 4, id_column="id")
+    centroids = ivf.train(df, 4)
     assert ivf.assign(df, centroids).count() == 400
-    assert ivf.train(df, 400, 1, id_column="id").matrix.shape == (1, 16)
+    assert ivf.train(df, 1).matrix.shape == (1, 16)
     nothing = frame(spark, "id", ids[:5], corpus[:1].repeat(5, axis=0))
-    assert ivf.train(nothing, 5, 4, id_column="id").matrix.tolist() == [[0.0] * 16]
+    assert ivf.train(nothing, 4).matrix.tolist() == [[0.0] * 16]
 
 
 def test_centroids_are_checked(spark):
@@ -157,6 +145,8 @@ def test_hydration_keeps_rank_gaps(spark):
     assert rows.columns == search.RESULT_COLUMNS
     assert [(r.rank, r.chunk_text, r.title) for r in rows.orderBy("rank").collect()] == [
         (1, "ta", "T"), (3, "tc", "T2")]
+    ended = spark.createDataFrame([("d", 1, 4)], "doc_id string, valid_from_run_id int, valid_to_run_id int")
+    assert [r.rank for r in search.hydrate(hits, chunks, documents, ended).collect()] == [3]
     assert search.hydrate(hits.filter("false"), chunks, documents).columns == search.RESULT_COLUMNS
 
 
