@@ -21,6 +21,8 @@ CACHED_PAIRS = 800_000
 
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 _UNCLEAR = re.compile(r" \s|\s ")
+# ASCII punctuation but the apostrophe, which can begin a match of letters.
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -41,12 +43,11 @@ class Vocabulary:
         self.longest = max(map(len, ranks))
         # When a token is made: single bytes are there from the start.
         self.time = {rank: rank if len(t) > 1 else -1 for t, rank in ranks.items()}
-        # Lengths of the longer tokens that end in the same three bytes, the longest first.
-        self.sizes: dict[bytes, list[int]] = {}
-        for token in sorted(ranks, key=len, reverse=True):
-            sizes = self.sizes.setdefault(token[-3:], [])
-            if len(token) > 2 and sizes[-1:] != [len(token)]:
-                sizes.append(len(token))
+        # By their last three bytes, the lengths of tokens that can end there, the longest first.
+        lengths: dict[bytes, set[int]] = {}
+        for token in ranks:
+            lengths.setdefault(token[-3:], {1, 2}).add(len(token))
+        self.sizes = {end: sorted(found, reverse=True) for end, found in lengths.items()}
         self.pairs: dict[tuple[int, int], bool] = {}
         self._halves: dict[int, tuple[int, int] | None] = {}
         # Merging makes every token, so that each has one past that can be undone.
@@ -121,26 +122,26 @@ class PrefixTable:
     def append(self, more: bytes) -> None:
         start = len(self.data)
         self.data += more
-        for end in range(start + 1, len(self.data) + 1):
-            self.last.append(self._ending_at(end))
+        self._extend(start, len(self.data))
 
-    def _ending_at(self, end: int) -> int:
+    def _extend(self, start: int, end: int) -> None:
+        """Entries for the prefixes longer than start, up to end. The loop is the whole cost of
+        encoding, so look-ups that mostly succeed are made here rather than in a call."""
         vocabulary, data, last = self.vocabulary, self.data, self.last
-        ranks, pairs = vocabulary.ranks, vocabulary.pairs
-        for size in (*vocabulary.sizes.get(data[max(0, end - 3):end], ()), 2, 1):
-            start = end - size
-            if start < 0:
-                continue
-            rank = ranks.get(data[start:end])
-            if rank is None:
-                continue
-            if not start:
-                fits = vocabulary.is_made(rank)
-            elif (fits := pairs.get((last[start - 1], rank))) is None:
-                fits = vocabulary.may_follow(last[start - 1], rank)
-            if fits:
-                return rank
-        raise AssertionError("some token ends every prefix")
+        ranks, pairs, sizes = vocabulary.ranks, vocabulary.pairs, vocabulary.sizes
+        for stop in range(start + 1, end + 1):
+            for size in sizes.get(data[max(0, stop - 3):stop], (2, 1)):
+                begin = stop - size
+                if begin < 0 or (rank := ranks.get(data[begin:stop])) is None:
+                    continue
+                if begin:
+                    pair = last[begin - 1], rank
+                    fits = pairs[pair] if pair in pairs else vocabulary.may_follow(*pair)
+                else:
+                    fits = vocabulary.is_made(rank)
+                if fits:
+                    last.append(rank)
+                    break
 
     def replace(self, start: int, end: int, new: bytes) -> int:
         """Put ``new`` in the place of data[start:end]; how many prefixes were computed.
@@ -149,16 +150,14 @@ class PrefixTable:
         the edit, as many equal entries in a row as that make the rest equal too.
         """
         old, kept = self.last, self.data[end:]
-        self.data, self.last = self.data[:start] + new, self.last[:start]
-        for at in range(start + 1, len(self.data) + 1):
-            self.last.append(self._ending_at(at))
+        self.data, self.last = self.data[:start] + new + kept, self.last[:start]
+        self._extend(start, start + len(new))
         equal, computed = 0, len(new)
-        self.data += kept
         for at in range(end, len(old)):
             if equal == self.vocabulary.longest:
                 self.last += old[at:]
                 break
-            self.last.append(self._ending_at(len(self.last) + 1))
+            self._extend(len(self.last), len(self.last) + 1)
             equal = equal + 1 if self.last[-1] == old[at] else 0
             computed += 1
         return computed
@@ -173,30 +172,49 @@ class PrefixTable:
 
 
 class _Pieces(dict):
-    """Ids of the pieces of texts after a common lead, computed when first asked for."""
+    """Ids of the pieces of texts after a common lead, computed when first asked for.
 
-    def __init__(self, vocabulary: Vocabulary, matches, lead: str):
+    Letters before a run of marks or a line break are matches of their own, so they are looked up
+    on their own; other pieces are matched by the pattern.
+    """
+
+    def __init__(self, vocabulary: Vocabulary, matches, lead: str, first: "_Pieces | None" = None):
         super().__init__()
         self.vocabulary, self.matches, self.lead = vocabulary, matches, lead
+        self.first = self if first is None else first
 
     def __missing__(self, piece: str) -> bytes:
-        ids = array("I")
-        for match in self.matches(self.lead + piece):
-            data = match.encode("utf-8", "replace")
-            rank = self.vocabulary.ranks.get(data)
-            ids.extend(PrefixTable(self.vocabulary, data).tokens() if rank is None else [rank])
+        letters = piece.rstrip(_MARKS)
+        if letters.isalpha():
+            ids = self._match(self.lead + piece) if letters == piece else (
+                self[letters] + self._match(piece[len(letters):]))
+        else:
+            ids = self._lines(piece)
         if len(piece) <= CACHED_CHARS:
             if len(self) >= CACHED_PIECES:
                 self.clear()
-            self[piece] = ids.tobytes()
-        return ids.tobytes()
+            self[piece] = ids
+        return ids
+
+    def _lines(self, piece: str) -> bytes:
+        before, cut, after = piece.partition("\n")
+        if cut and before and after and not before[-1].isspace() and not after[0].isspace():
+            return self[before] + self._match(cut) + self.first[after]
+        return b"".join(map(self._match, self.matches(self.lead + piece)))
+
+    def _match(self, match: str) -> bytes:
+        data = match.encode("utf-8", "replace")
+        rank = self.vocabulary.ranks.get(data)
+        return array("I", PrefixTable(self.vocabulary, data).tokens() if rank is None
+                     else (rank,)).tobytes()
 
 
 class PrefixEncoder:
     """Whole texts: each match of the pattern is encoded on its own.
 
-    A match that is itself a token is that token. Short pieces between spaces are remembered up
-    to a bound; no match of a pattern of this kind spans a space between other characters. The
+    A match that is itself a token is that token. The pattern must be one that takes runs of
+    letters, digits and other signs, each with a space before it, so that no match spans a space
+    between other characters. Short pieces between such spaces are remembered up to a bound. The
     encoder is a broadcast value, so all tasks of a worker share what it remembers.
     """
 
@@ -215,7 +233,7 @@ class PrefixEncoder:
         self.vocabulary = Vocabulary(self.ranks)
         matches = regex.compile(self.pattern).findall
         self.first = _Pieces(self.vocabulary, matches, "")
-        self.later = _Pieces(self.vocabulary, matches, " ")
+        self.later = _Pieces(self.vocabulary, matches, " ", self.first)
 
     def encode(self, text: str | None) -> bytes:
         """Little-endian unsigned 32-bit ids; null is empty."""
