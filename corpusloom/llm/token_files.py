@@ -44,8 +44,8 @@ def write_token_files(df: DataFrame, folder: str, encode: Callable[[str | None],
     """Encode, close each document by ``end_id`` and write; the rows of the key index come back.
 
     The index has part, row and key of every document; it is written beside the files as Parquet.
-    Keys ascend over parts and rows, null keys first; rows with equal keys are ordered by text
-    and all written. A null text is empty. An empty table gives no part. ``encode`` gives
+    Keys ascend over parts and rows, null keys first; rows with equal keys are ordered by a hash
+    of their text, then the text, and all written. A null text is empty. An empty table gives no part. ``encode`` gives
     little-endian unsigned 32-bit ids, all below ``vocabulary``.
     """
     kind = "<u2" if vocabulary <= 1 << 16 else "<u4"
@@ -87,7 +87,10 @@ def write_token_files(df: DataFrame, folder: str, encode: Callable[[str | None],
     files, path = _open(folder)
     files.create_dir(path, recursive=True)
     ranges = blocks_for(source, "text", RANGE_BYTES)
-    ordered = source.repartitionByRange(ranges, "key", "text").sortWithinPartitions("key", "text")
+    # Samples of what ranges are made of go to the driver, so texts take part by a hash only.
+    tied = source.withColumn("tie", F.xxhash64("text"))
+    ordered = (tied.repartitionByRange(ranges, "key", "tie")
+               .sortWithinPartitions("key", "tie", "text").drop("tie"))
     result = (T.StructType().add("part", T.LongType()).add("row", T.LongType())
               .add("key", source.schema["key"].dataType).add("part_tokens", T.LongType()))
     ordered.mapInArrow(write, result).write.parquet(f"{folder}/index")
