@@ -161,16 +161,20 @@ def score_texts(df: DataFrame, learn: Column, key: str = "doc_id", text: str = "
         import pyarrow as pa
 
         grams, learned = grams_of(table)
-        ranges = {"range": pa.array(range(blocks), pa.int32()),
-                  "block": pa.array([table.column("block")[0].as_py()] * blocks, pa.int32())}
-        keys, counts = [], []
+        block = table.column("block")[0].as_py()
+        parts = [[] for _ in range(blocks)]
         for own, times in zip(grams.keys, grams.counts(learned)):
             cuts = np.searchsorted(own, borders)
-            keys.append([pack(p) for p in np.split(own, cuts)])
-            counts.append([pack_numbers(p) for p in np.split(times, cuts)])
-        return pa.table(ranges | {
-            "keys": pa.array(list(map(list, zip(*keys))), pa.list_(pa.binary())),
-            "counts": pa.array(list(map(list, zip(*counts))), pa.list_(pa.binary()))})
+            for part, keys, counts in zip(parts, np.split(own, cuts), np.split(times, cuts)):
+                part.append((keys, counts))
+        # One at least, so that every block is answered.
+        parts = [(r, p) for r, p in enumerate(parts) if not r or any(len(keys) for keys, _ in p)]
+        return pa.table({
+            "range": pa.array([r for r, _ in parts], pa.int32()),
+            "block": pa.array([block] * len(parts), pa.int32()),
+            "keys": pa.array([[pack(k) for k, _ in p] for _, p in parts], pa.list_(pa.binary())),
+            "counts": pa.array([[pack_numbers(c) for _, c in p] for _, p in parts],
+                               pa.list_(pa.binary()))})
 
     def add(table):
         import pyarrow as pa
