@@ -3,20 +3,13 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.sources import scratch
+from corpusloom.sources.scratch import written  # noqa: F401
 
 # What counts as white space between words, space and U+0009 to U+000D. The
 # pattern matches only runs that change when replaced by one space.
 UNEVEN_SPACE = r"[\x09-\x0D][\x20\x09-\x0D]*+|\x20[\x20\x09-\x0D]++"
 
 
-def written(df: DataFrame, purpose: str) -> DataFrame:
-    """The rows from a table in the shared folder: lineage ends here, nothing is computed twice."""
-    path = scratch.new_folder(df.sparkSession, purpose)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def one_spaced(text: Column) -> Column:
     """Every run of white space as one space; null is empty."""
     return F.regexp_replace(F.coalesce(text, F.lit("")), UNEVEN_SPACE, " ")

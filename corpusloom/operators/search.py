@@ -128,6 +128,24 @@ def ivf_topk(*args, **options) -> DataFrame:
     return reduce(DataFrame.unionByName, ivf_blocks(*args, **options))
 
 
+def probes_for_recall(queries: DataFrame, truth: DataFrame, index: DataFrame,
+                      centroids: ivf.Centroids, least: float = S.LEAST_RECALL) -> int:
+    """The fewest probes that find at least this share of the true (query_id, id) pairs.
+
+    A true neighbour is found exactly when its cell is probed, so the place of that cell among
+    the cells of its query tells the probes it takes. Without any pair one probe is enough.
+    """
+    ordered = ivf.probe(queries.select("query_id", "embedding"), centroids, centroids.nlist)
+    places = truth.select("query_id", "id").join(index.select("id", "cell"), "id").join(
+        ordered.select("query_id", "cells"), "query_id").groupBy(
+            F.array_position("cells", F.col("cell")).alias("place")).count()
+    counts = np.zeros(centroids.nlist + 1, np.int64)
+    for r in places.collect():
+        counts[r.place] = r["count"]
+    found = counts.cumsum()
+    return max(1, int(np.argmax(found >= least * found[-1])))
+
+
 def without_self(hits: DataFrame, k: int) -> DataFrame:
     """Leave-one-out form of hits that were asked for with k + 1."""
     others = hits.filter(F.col("query_id") != F.col("id")).drop("rank")

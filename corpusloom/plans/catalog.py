@@ -17,14 +17,13 @@ from corpusloom.plans.build import audit_runs as stored_audit
 from corpusloom.plans.inputs import DIM, Inputs
 from corpusloom.plans.retrieve import retrieve
 from corpusloom.sources import jsonl, scratch
+from corpusloom.sources.scratch import written
 from corpusloom.sources.warehouse import Warehouse
 from corpusloom.streaming.incremental import run_available
 
 TOP_K = 5
 # Cells by label mean are few, so fewer than the default are probed.
 LABEL_NPROBE = 3
-# The test vectors have no clusters, so a tenth to a fifth of the cells finds this share at least.
-RECALL_FLOOR = 0.3
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
 
@@ -575,14 +574,23 @@ def ivf_full_probe(i: Inputs) -> DataFrame:
     return _shown(search.without_self(found, TOP_K))
 
 
-@query
-def ivf_recall(i: Inputs) -> DataFrame:
-    """Neighbours to find at the default number of probes, and whether enough of them are."""
+def measured_recall(i: Inputs, nprobe: int | None = None) -> DataFrame:
+    """(n_true, n_found, recall, nprobe) of the trained index against exact search; without
+    ``nprobe`` at the fewest probes that find the share wanted."""
     index, centroids = _trained(i)
+    index, truth = written(index, "index"), written(_exact_others(i), "truth")
+    if nprobe is None:
+        nprobe = search.probes_for_recall(_asked(i), truth, index, centroids)
     found = search.without_self(
-        search.ivf_topk(_asked(i), index, centroids, TOP_K + 1), TOP_K)
-    return evaluation.recall(found, _exact_others(i)).select(
-        "n_true", (F.col("recall") >= RECALL_FLOOR).alias("is_enough"))
+        search.ivf_topk(_asked(i), index, centroids, TOP_K + 1, nprobe), TOP_K)
+    return evaluation.recall(found, truth).withColumn("nprobe", F.lit(nprobe))
+
+
+@query
+def ivf_recall(i: Inputs) -> DataFrame:
+    """Neighbours to find, and whether the index finds enough of them with the probes chosen."""
+    return measured_recall(i).select(
+        "n_true", (F.col("recall") >= S.LEAST_RECALL).alias("is_enough"))
 
 
 @query

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from corpusloom import settings as S
 from corpusloom.functions.encoders import Encoder, HashingEncoder, encode_column
-from corpusloom.operators import index_store, quality, search
+from corpusloom.operators import index_store, ivf, quality, search
+from corpusloom.sources.scratch import written
 from corpusloom.sources.warehouse import Warehouse
 
 
@@ -18,11 +19,23 @@ def encode_queries(queries: DataFrame, encoder: Encoder) -> DataFrame:
     return coded.select("query_id", "embedding")
 
 
+def _probes(asked: DataFrame, index: DataFrame, centroids: ivf.Centroids, k: int,
+            least: float) -> int:
+    """Probes for the recall wanted, measured on a bounded sample of the questions."""
+    sample = written(asked.orderBy(F.xxhash64("query_id"), "query_id").limit(S.RECALL_QUESTIONS),
+                     "sample")
+    truth = search.exact_topk(sample, index, k)
+    return search.probes_for_recall(sample, truth, index, centroids, least)
+
+
 def retrieve(w: Warehouse, queries: DataFrame, top_k: int = 5, nprobe: int | None = None,
-             dataset_name: str | None = None, encoder: Encoder | None = None) -> DataFrame:
+             dataset_name: str | None = None, encoder: Encoder | None = None,
+             least_recall: float = S.LEAST_RECALL) -> DataFrame:
     """The best chunks for each (query_id, query_text), with their texts, by query and rank.
 
-    Uses the newest index of a successful run. A null text is asked like an empty one.
+    Uses the newest index of a successful run. A null text is asked like an empty one. Without
+    ``nprobe`` so many cells are probed, the index's own number at least, that ``least_recall``
+    of the true neighbours of a sample of the questions are found.
     """
     spark = w.spark
     registry = w.read("index_registry")
@@ -34,8 +47,11 @@ def retrieve(w: Warehouse, queries: DataFrame, top_k: int = 5, nprobe: int | Non
         raise ValueError("no index has been built")
     centroids = index_store.read_centroids(spark, newest.centroids_path)
     index = index_store.read_index(spark, newest.index_path).withColumnRenamed("chunk_id", "id")
-    blocks = search.ivf_blocks(encode_queries(queries, encoder or HashingEncoder()), index,
-                               centroids, top_k, nprobe or newest.nprobe)
+    asked = written(encode_queries(queries, encoder or HashingEncoder()), "questions")
+    if nprobe is None:
+        nprobe = max(newest.nprobe, _probes(asked, index, centroids, top_k, least_recall)
+                     if newest.nprobe < centroids.nlist else 0)
+    blocks = search.ivf_blocks(asked, index, centroids, top_k, nprobe)
     closures, chunks = w.read("closures"), w.read("chunks")
     documents = w.read("clean_documents")
     found = [search.hydrate(hits, chunks, documents, closures) for hits in blocks]

@@ -38,6 +38,12 @@ UPDATED = "UPDATED"
 UNCHANGED = "UNCHANGED"
 SNAPSHOT_CHARS = 500
 
+# Share of the true neighbours that a search over the index has to find. The fixed number of
+# probes does not reach it on vectors without clusters, so probes are chosen by measurement.
+LEAST_RECALL = 0.9
+# Retrieval measures it on so many of its questions at most.
+RECALL_QUESTIONS = 256
+
 # Scores are compared after rounding to this many decimals, so that equal vectors tie
 # whatever the summation order of the machine that scored them.
 SCORE_DECIMALS = 9

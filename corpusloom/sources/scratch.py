@@ -3,7 +3,7 @@
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
@@ -21,3 +21,10 @@ def shared_root(spark: SparkSession) -> str:
 def new_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh path below the shared root; nothing is created or removed."""
     return f"{shared_root(spark).rstrip('/')}/corpusloom-{purpose}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """The rows from a table in the shared folder: lineage ends here, nothing is computed twice."""
+    path = new_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 from corpusloom import settings as S
 from corpusloom.functions import vectors as V
 from corpusloom.operators import evaluation, ivf, search
+from corpusloom.plans import catalog
+from corpusloom.plans.inputs import Inputs
 
 
 def frame(spark, name, ids, matrix, parts=3):
@@ -160,3 +162,30 @@ def test_evaluation(spark):
     m = evaluation.metrics(rows).first()
     assert (m.n_queries, m.hit_rate, m.mrr) == (3, pytest.approx(1 / 3), pytest.approx(0.5 / 3))
     assert evaluation.metrics(evaluation.evaluate(hits, expected, 1, 1)).first().hit_rate == 0
+
+
+def test_probes_are_chosen_for_the_recall_wanted(spark):
+    draw = np.random.default_rng(11)
+    corpus = draw.normal(size=(600, 16))
+    corpus /= np.linalg.norm(corpus, axis=1, keepdims=True)
+    df = frame(spark, "id", [f"v{i:03d}" for i in range(600)], corpus)
+    centroids = ivf.train(df, 40)
+    index = ivf.assign(df, centroids)
+    asked = frame(spark, "query_id", [f"q{i:02d}" for i in range(40)], draw.normal(size=(40, 16)))
+    truth = search.exact_topk(asked, df, 5)
+
+    def recall(n):
+        found = search.ivf_topk(asked, index, centroids, 5, n)
+        return evaluation.recall(found, truth).first().recall
+
+    n = search.probes_for_recall(asked, truth, index, centroids, 0.9)
+    assert recall(n) >= 0.9 > recall(n - 1)
+    assert n > 1
+    assert search.probes_for_recall(asked, truth.filter("false"), index, centroids, 0.9) == 1
+
+
+def test_recall_of_the_catalogue_is_measured_against_nine_tenths(spark):
+    i = Inputs(spark, "/root/testdata/sf0.001")
+    row = catalog.measured_recall(i).first()
+    assert row.n_true and row.recall == row.n_found / row.n_true >= S.LEAST_RECALL >= 0.9
+    assert catalog.measured_recall(i, S.NPROBE).first().recall < 0.9
