@@ -1,16 +1,18 @@
 """Top-k search by inner product, exact or over the probed cells of an index.
 
-Queries are written once and taken in blocks of bounded size, those that probe the same cells
-together. A block travels to the tasks that scan the cells it probes; the corpus is not shuffled,
-and each task keeps k hits per query. More queries mean more blocks, never another way of
-searching, and no row is dropped before it was scored.
+Queries are written once in blocks of bounded size, those that probe the same cells together.
+Blocks are taken one after the other: a block passes through the driver into a broadcast for the
+tasks that scan the cells it probes, its ranked hits are written, and the broadcast is destroyed
+before the next block is read. The driver holds the block numbers and one block. The corpus is not
+shuffled, and each task keeps k hits per query. More queries mean more passes, never another way
+of searching, and no row is dropped before it was scored.
 """
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,10 +38,11 @@ def _hit_schema(queries: DataFrame, corpus: DataFrame) -> T.StructType:
 
 
 def _scan_with_queries(queries: pa.Table, corpus: DataFrame, k: int,
-                       schema: T.StructType) -> DataFrame:
+                       schema: T.StructType) -> tuple[DataFrame, Broadcast]:
     """Score a bounded query table (query_id, embedding, cells) inside the corpus scan.
 
-    Without cells every query meets every row.
+    Without cells every query meets every row. The broadcast holds the queries; it may be
+    destroyed when the hits have been written.
     """
     if "cells" not in queries.column_names:
         everywhere = pa.array([[0]] * queries.num_rows, pa.list_(pa.int32()))
@@ -52,8 +55,10 @@ def _scan_with_queries(queries: pa.Table, corpus: DataFrame, k: int,
     pairs = np.repeat(np.arange(len(counts)), counts), np.asarray(cells.flatten())
     by_cell = {int(c): pairs[0][pairs[1] == c] for c in np.unique(pairs[1])}
     corpus = corpus.filter(F.col("cell").isin(list(by_cell)))
+    shared = corpus.sparkSession.sparkContext.broadcast((query_ids, wanted, by_cell))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        query_ids, wanted, by_cell = shared.value
         kept, pending = [], 0
 
         def fold():
@@ -78,11 +83,12 @@ def _scan_with_queries(queries: pa.Table, corpus: DataFrame, k: int,
                 "id": best.column("id"), "score": best.column("score"),
             }).to_batches()
 
-    return corpus.select("id", "embedding", "cell").mapInArrow(run, schema)
+    return corpus.select("id", "embedding", "cell").mapInArrow(run, schema), shared
 
 
-def query_blocks(queries: DataFrame, k: int) -> list[pa.Table]:
-    """The queries (query_id, embedding, and cells if any) in tables of bounded size."""
+def query_blocks(queries: DataFrame, k: int) -> tuple[DataFrame, list[int]]:
+    """The queries (query_id, embedding, and cells if any) as a table written by ``block``, of
+    bounded size each, and the numbers of the blocks."""
     path = scratch.new_folder(queries.sparkSession, "queries")
     first = F.col("cells")[0] if "cells" in queries.columns else F.lit(0)
     queries.withColumn("first", first).write.parquet(path)
@@ -90,42 +96,61 @@ def query_blocks(queries: DataFrame, k: int) -> list[pa.Table]:
     width = F.size("embedding") * 8 + 100 * k
     total = stored.agg(F.sum(width)).first()[0]
     if total is None:
-        return []
+        return queries.withColumn("block", F.lit(0)), []
     wanted = 1 + total // S.QUERY_BLOCK_BYTES
     # Hashed within ranges of the first cell, so that blocks stay bounded whatever the cells.
     dealt = stored.repartitionByRange(wanted, "first", F.xxhash64("query_id"), "query_id")
     dealt = dealt.withColumn("block", F.spark_partition_id())
-    names = queries.columns
     dealt.write.partitionBy("block").parquet(f"{path}-blocks")
     blocks = queries.sparkSession.read.parquet(f"{path}-blocks")
     numbers = sorted(r.block for r in blocks.select("block").distinct().collect())
-    return [blocks.filter(F.col("block") == n).select(*names).toArrow() for n in numbers]
+    return blocks.select(*queries.columns, "block"), numbers
 
 
-def block_hits(queries: DataFrame, corpus: DataFrame, k: int) -> list[DataFrame]:
+def block_hits(queries: DataFrame, corpus: DataFrame, k: int) -> Iterator[DataFrame]:
     """Ranked hits of queries (query_id, embedding[, cells]) on corpus (id, embedding[, cell]),
-    in frames of at most k rows for each query of a bounded block."""
+    in written tables of at most k rows for each query of a bounded block.
+
+    A block is searched when its table is asked for; nothing of it is left in the driver after.
+    """
     schema = _hit_schema(queries, corpus)
-    found = [rank_hits(_scan_with_queries(block, corpus, k, schema), k)
-             for block in query_blocks(queries, k)]
-    return found or [rank_hits(queries.sparkSession.createDataFrame([], schema), k)]
+    blocks, numbers = query_blocks(queries, k)
+    for n in numbers:
+        block = blocks.filter(F.col("block") == n).drop("block").toArrow()
+        hits, shared = _scan_with_queries(block, corpus, k, schema)
+        del block
+        found = scratch.written(rank_hits(hits, k), "hits")
+        shared.destroy()
+        yield found
+    if not numbers:
+        yield rank_hits(queries.sparkSession.createDataFrame([], schema), k)
+
+
+def in_one(parts: Iterator[DataFrame], purpose: str) -> DataFrame:
+    """The rows of all parts as one table, each part written before the next is asked for."""
+    path = None
+    for part in parts:
+        path = path or scratch.new_folder(part.sparkSession, purpose)
+        part.write.mode("append").parquet(path)
+        spark, schema = part.sparkSession, part.schema
+    return spark.read.schema(schema).parquet(path)
 
 
 def exact_topk(queries: DataFrame, corpus: DataFrame, k: int) -> DataFrame:
     """Best k of corpus (id, embedding) for each of queries (query_id, embedding)."""
-    return reduce(DataFrame.unionByName, block_hits(
-        queries.select("query_id", "embedding"), corpus.select("id", "embedding"), k))
+    return in_one(block_hits(
+        queries.select("query_id", "embedding"), corpus.select("id", "embedding"), k), "found")
 
 
 def ivf_blocks(queries: DataFrame, index: DataFrame, centroids: ivf.Centroids, k: int,
-               nprobe: int = S.NPROBE) -> list[DataFrame]:
+               nprobe: int = S.NPROBE) -> Iterator[DataFrame]:
     """Best k of index (id, embedding, cell) within the nprobe nearest cells of each query."""
     probed = ivf.probe(queries.select("query_id", "embedding"), centroids, nprobe)
     return block_hits(probed, index.select("id", "embedding", "cell"), k)
 
 
 def ivf_topk(*args, **options) -> DataFrame:
-    return reduce(DataFrame.unionByName, ivf_blocks(*args, **options))
+    return in_one(ivf_blocks(*args, **options), "found")
 
 
 def probes_for_recall(queries: DataFrame, truth: DataFrame, index: DataFrame,

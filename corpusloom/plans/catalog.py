@@ -615,16 +615,13 @@ def index_checksum(i: Inputs) -> DataFrame:
 
 # --- retrieval
 
-def _benchmark_hits(i: Inputs) -> DataFrame:
-    encoder = HashingEncoder(DIM)
-    corpus = i.corpus_vectors.select(F.col("chunk_id").alias("id"), "embedding")
-    return search.exact_topk(i.questions(encoder, S.QUERY_PREFIX), corpus, TOP_K)
-
-
 @query
 def retrieve_exact(i: Inputs) -> DataFrame:
     """Every benchmark text against all chunks of all documents, with the texts found."""
-    return search.hydrate(_benchmark_hits(i), i.corpus_chunks, i.first_versions)
+    corpus = i.corpus_vectors.select(F.col("chunk_id").alias("id"), "embedding")
+    blocks = search.block_hits(i.questions(HashingEncoder(DIM), S.QUERY_PREFIX), corpus, TOP_K)
+    return search.in_one((search.hydrate(hits, i.corpus_chunks, i.first_versions)
+                          for hits in blocks), "retrieved")
 
 
 @query

@@ -1,7 +1,5 @@
 """Batch retrieval from a warehouse."""
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -54,5 +52,5 @@ def retrieve(w: Warehouse, queries: DataFrame, top_k: int = 5, nprobe: int | Non
     blocks = search.ivf_blocks(asked, index, centroids, top_k, nprobe)
     closures, chunks = w.read("closures"), w.read("chunks")
     documents = w.read("clean_documents")
-    found = [search.hydrate(hits, chunks, documents, closures) for hits in blocks]
-    return reduce(DataFrame.unionByName, found).orderBy("query_id", "rank")
+    found = (search.hydrate(hits, chunks, documents, closures) for hits in blocks)
+    return search.in_one(found, "retrieved").orderBy("query_id", "rank")

@@ -1,3 +1,5 @@
+import weakref
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -73,6 +75,29 @@ def test_probing(spark, data, monkeypatch, blocks):
         assert some.get(q, []) == want[q]
 
 
+def test_driver_holds_one_block_of_queries_at_a_time(spark, data, monkeypatch):
+    q_ids, queries, ids, corpus = data
+    monkeypatch.setattr(S, "QUERY_BLOCK_BYTES", 3000)
+    asked, stored = frame(spark, "query_id", q_ids, queries), frame(spark, "id", ids, corpus)
+    collect, seen = type(asked).toArrow, []
+
+    def watched(df):
+        assert all(earlier() is None for earlier in seen)
+        table = collect(df)
+        seen.append(weakref.ref(table))
+        return table
+
+    monkeypatch.setattr(type(asked), "toArrow", watched)
+    parts = iter(search.block_hits(asked, stored, 5))
+    first = next(parts)
+    assert len(seen) == 1 and seen[0]() is None and first.count() > 0
+    rest = list(parts)
+    assert len(seen) == 1 + len(rest) > 2
+    monkeypatch.undo()
+    every = search.in_one(iter([first, *rest]), "test")
+    assert got(every) == brute(q_ids, queries, ids, corpus, 5)
+
+
 def test_leave_one_out(spark, data):
     _, _, ids, corpus = data
     asked = frame(spark, "query_id", ids, corpus)
