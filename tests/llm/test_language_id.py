@@ -56,3 +56,31 @@ def test_long_texts_are_cut_between_trigrams(monkeypatch):
     monkeypatch.setattr(L, "SEGMENT", 7)
     cut = [g for _, grams in L.trigrams([text, None, ""], letters) for g in grams]
     assert cut == whole and len(whole) == sum(c.isalpha() for c in text)
+
+
+def _script(n, width=12):
+    """Words of an alphabet of its own."""
+    rng = np.random.default_rng(n)
+    alphabet = [chr(0x4E00 + width * n + i) for i in range(width)]
+    return " ".join("".join(rng.choice(alphabet, 5)) for _ in range(12))
+
+
+def test_every_language_is_learned_and_found(spark, monkeypatch):
+    monkeypatch.setattr(L, "SHARES_HELD", 3000)
+    lessons = [(f"l{n:03d}", _script(n)) for n in range(300) for _ in range(2)]
+    model = L.fit(spark.createDataFrame(lessons, "lang string, text string"))
+    assert model.languages == [f"l{n:03d}" for n in range(300)] and len(model.filters) == 5
+    rows = L.identify(spark.createDataFrame(lessons, "lang string, text string"), model,
+                      F.col("text")).collect()
+    assert len(rows) == 600 and all(r.lang_pred == r.lang and r.score > 0.9 for r in rows)
+
+
+def test_a_large_alphabet_keeps_its_share(spark):
+    rng = np.random.default_rng(4)
+    letters = [chr(0x4E00 + i) for i in range(2000)]
+    large = [("zh", "".join(rng.choice(letters, 400))) for _ in range(60)]
+    df = spark.createDataFrame(large + LESSONS, "lang string, text string")
+    model = L.fit(df)
+    assert len(model.filters[0].slots) > 1 << L.SLOT_BITS
+    rows = L.identify(df.filter("lang = 'zh'"), model, F.col("text")).collect()
+    assert all(r.lang_pred == "zh" and r.score >= L.SHARE_LEARNED - 0.05 for r in rows)
