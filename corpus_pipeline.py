@@ -18,8 +18,10 @@ END_ID = 0
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter, or in none of the languages of the table, go.
+    """Documents without a letter, or with few trigrams of any language of the table, go.
 
+    That is text in other scripts and random letters; another language in the same alphabet
+    mostly stays.
     The languages are learned from all documents with a language; if there is none, only
     documents without a letter go.
     """
