@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.llm import (
-    backoff_lm, chat_trees, exact_dedup, language_id, merkle, ngram_jaccard, packing, prefix_bpe, token_files, tokens, url_filter)
+    backoff_lm, chat_trees, conversation_repair, exact_dedup, language_id, merkle, ngram_jaccard,
+    packing, prefix_bpe, token_files, tokens, url_filter)
 from corpusloom.sources import scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -231,3 +232,40 @@ def op7_backoff_lm(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select(
         "doc_id", (~F.col("learned")).alias("held_out"), "n_tokens", "n_known", "train_tokens",
         "base_score", "score")
+
+
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Rows with a fault set by a checksum of their place: lost, emptied, cut, repeated, mistaken."""
+    space = F.lit(" ")
+    place = F.concat(F.coalesce(F.col("conv_id").cast("string"), space), F.lit(":"),
+                     F.coalesce(F.col("turn").cast("string"), space))
+    fault = F.col("fault")
+    return conversations.select(
+        "conv_id", "turn", F.coalesce("role", space).alias("role"),
+        F.coalesce("text", space).alias("text"), (F.crc32(place) % 20).alias("fault"),
+    ).filter(fault != 0).select(
+        "conv_id", "turn", F.when(fault == 4, "user").otherwise(F.col("role")).alias("role"),
+        F.when(fault == 1, "").when(fault == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(
+            F.col("text")).alias("text"),
+        F.explode(F.when(fault == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))),
+    ).drop("col")
+
+
+@query
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    conversations = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    repaired = conversation_repair.repair(damaged(conversations))
+    audits = conversation_repair.audits_and_digests(repaired.edits)
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+
+    def shaped(df: DataFrame, key: str) -> DataFrame:
+        return df.select(F.col(key).alias("conv_id"), *[
+            F.col(c) if c in df.columns else F.lit(None).cast("string" if c not in counts else "long").alias(c)
+            for c in [*counts, "audit", "repaired_sha256"]])
+
+    parts = shaped(conversations, "conv_id").unionByName(
+        shaped(repaired.summary, "conversation")).unionByName(shaped(audits, "conversation"))
+    return parts.groupBy("conv_id").agg(
+        *[F.coalesce(F.max(c), F.lit(0)).alias(c) for c in counts],
+        F.coalesce(F.max("audit"), F.lit("")).alias("audit"),
+        F.coalesce(F.max("repaired_sha256"), F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
