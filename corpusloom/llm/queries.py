@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.llm import (
-    backoff_lm, chat_trees, conversation_repair, exact_dedup, language_id, merkle, ngram_jaccard,
-    packing, prefix_bpe, token_files, tokens, url_filter)
+    backoff_lm, chat_trees, collocations, conversation_repair, exact_dedup, language_id, merkle,
+    ngram_jaccard, packing, prefix_bpe, quality_rules, token_files, tokens, url_filter)
 from corpusloom.sources import scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -269,3 +269,114 @@ def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
         *[F.coalesce(F.max(c), F.lit(0)).alias(c) for c in counts],
         F.coalesce(F.max("audit"), F.lit("")).alias("audit"),
         F.coalesce(F.max("repaired_sha256"), F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
+@query
+def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents"))
+
+
+SQL["op12_collocations"] = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+words AS (
+  SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda w: w <> '') AS w
+  FROM pieces),
+totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM words GROUP BY lang),
+counts AS (
+  SELECT lang, size, phrase, count(*) AS f FROM (
+    SELECT lang, size, unnest(list_transform(range(1, len(w) - size + 2),
+      lambda i: array_to_string(w[i:i + size - 1], ' '))) AS phrase
+    FROM words, range(1, 4) AS sizes(size))
+  GROUP BY ALL HAVING count(*) >= 10),
+cuts AS (
+  SELECT lang, phrase, size, f AS a, k, string_split(phrase, ' ') AS w
+  FROM counts, range(1, 3) AS ks(k) WHERE size > k),
+scored AS (
+  SELECT c.lang, c.phrase, a, k, x.f AS l, y.f AS r,
+    CAST((1000000::HUGEINT * a * a) // (x.f::HUGEINT * y.f) AS BIGINT) AS score
+  FROM cuts c
+  JOIN counts x ON x.lang = c.lang AND x.phrase = array_to_string(w[1:k], ' ')
+  JOIN counts y ON y.lang = c.lang AND y.phrase = array_to_string(w[k + 1:], ' ')),
+best AS (
+  SELECT lang, phrase, a, l, r, score FROM scored
+  QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+longer AS (
+  SELECT lang, array_to_string(w[k:k + 1], ' ') AS phrase, max(a) AS within
+  FROM cuts WHERE size = 3 GROUP BY ALL)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+  phrase, a, l, r, n, score
+FROM best LEFT JOIN longer USING (lang, phrase) JOIN totals USING (lang)
+WHERE coalesce(100 * within < 50 * a, true)
+QUALIFY rank <= 2000
+"""
+
+
+@query
+def op13_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_rules.quality_rules(table(spark, folder, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept")
+
+
+def _quality_sql() -> str:
+    q = quality_rules
+    values = ", ".join(f"({n}, 1000 * {r.top} // {r.bottom})" for n, r in enumerate(q.RULES))
+    spreads = " ".join(f"WHEN {n} THEN {r.spread}" for n, r in enumerate(q.RULES))
+    both = ", ".join(str(n) for n, r in enumerate(q.RULES) if r.both_sides)
+    return rf"""
+WITH split AS (
+  SELECT doc_id, lang, source, coalesce(text, '') AS t,
+    list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w,
+    list_filter(string_split(coalesce(text, ''), chr(10)),
+      lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM documents),
+windows AS (
+  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w[i], w[i + 1], w[i + 2]) AS times
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM split)),
+repeats AS (
+  SELECT doc_id, count(DISTINCT place) AS n FROM (
+    SELECT doc_id, unnest([i, i + 1, i + 2]) AS place FROM windows WHERE times > 1) GROUP BY doc_id),
+measures AS (
+  SELECT doc_id, lang, source, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+    length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols, len(lines) AS n_lines,
+    len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words
+  FROM split LEFT JOIN repeats USING (doc_id)),
+judged AS (
+  SELECT *, n_words < {q.LEAST_WORDS} OR 100 * n_repeat_words > {q.MOST_REPEATED_PERCENT} * n_words
+    AS base_failed
+  FROM measures),
+ratios AS (
+  SELECT doc_id, lang, source, u.rule, u.exact
+  FROM judged, LATERAL (VALUES {values}) AS u(rule, exact) WHERE NOT base_failed),
+sketch AS (
+  SELECT lang, source, rule, (exact >> s) << s AS value FROM (
+    SELECT *, greatest(0, length(bin(exact)) - {q.SKETCH_BITS}) AS s FROM ratios)),
+fences AS (
+  SELECT level, lang, source, rule, count(*) AS texts,
+    quantile_disc(value, 0.25) AS q1, quantile_disc(value, 0.75) AS q3
+  FROM (SELECT 0 AS level, lang, source, rule, value FROM sketch
+        UNION ALL SELECT 1, lang, NULL, rule, value FROM sketch
+        UNION ALL SELECT 2, NULL, NULL, rule, value FROM sketch)
+  GROUP BY ALL),
+chosen AS (
+  SELECT r.doc_id, r.rule, r.exact, f.q1, f.q3,
+    {q.REACH} * greatest(f.q3 - f.q1, CASE r.rule {spreads} END) AS reach
+  FROM ratios r JOIN fences f ON f.rule = r.rule AND (
+    (f.level = 0 AND f.lang IS NOT DISTINCT FROM r.lang AND f.source IS NOT DISTINCT FROM r.source)
+    OR (f.level = 1 AND f.lang IS NOT DISTINCT FROM r.lang) OR f.level = 2)
+  WHERE f.texts >= {q.LEAST_TEXTS} OR f.level = 2
+  QUALIFY row_number() OVER (PARTITION BY r.doc_id, r.rule ORDER BY f.level) = 1),
+broken AS (
+  SELECT DISTINCT doc_id FROM chosen
+  WHERE exact > q3 + reach OR (rule IN ({both}) AND exact < q1 - reach))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM broken) AS kept
+FROM judged
+"""
+
+
+SQL["op13_quality_rules"] = _quality_sql()
