@@ -28,6 +28,9 @@ MOST = 2000
 BLOCK_BYTES = 8 << 20
 RANGE_BYTES = 8 << 20
 WORD_LIMIT = 1 << 21
+# Bits of a key beyond those that number the bytes of all texts: two n-grams in some thousand share
+# a key, whatever the size, and keys stay short on the way.
+SPARE_BITS = 10
 _MARKS = b".,;:!?\n\x0b\x0c\r"
 _TABLE = bytes(46 if b in _MARKS else b + 32 if 65 <= b <= 90 else b for b in range(256))
 _BREAK = re.compile(rb"[.,;:!?\x0a-\x0d]")
@@ -97,6 +100,10 @@ class NGrams:
         return b" ".join(self.words[start:start + length]).decode()
 
 
+def key_bits(total_bytes: int) -> int:
+    return min(64, total_bytes.bit_length() + SPARE_BITS)
+
+
 def block_grams(langs: list[str], texts: list[bytes]) -> dict[str, NGrams]:
     by_lang = {}
     for lang, text in zip(langs, texts):
@@ -104,14 +111,14 @@ def block_grams(langs: list[str], texts: list[bytes]) -> dict[str, NGrams]:
     return {lang: NGrams(lang, own) for lang, own in sorted(by_lang.items())}
 
 
-def _borders(parts: int) -> np.ndarray:
+def _borders(parts: int, bits: int) -> np.ndarray:
     """Where each of the equal ranges of keys begins, but the first."""
-    return np.array([(i << 64) // parts for i in range(1, parts)], np.uint64)
+    return np.array([(i << bits) // parts for i in range(1, parts)], np.uint64)
 
 
-def _sorted_keys(grams: dict[str, NGrams]) -> tuple[np.ndarray, np.ndarray]:
+def _sorted_keys(grams: dict[str, NGrams], bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Keys of all languages, ascending and distinct, and their counts."""
-    keys = np.concatenate([g.keys for g in grams.values()])
+    keys = np.concatenate([g.keys for g in grams.values()]) >> np.uint64(64 - bits)
     times = np.concatenate([g.times for g in grams.values()])
     keys, place = np.unique(keys, return_inverse=True)
     return keys, np.bincount(place, times, len(keys)).astype(np.int64)
@@ -157,10 +164,10 @@ def frequent_keys(rows: list[tuple[bytes, bytes]], mass: int, threshold: int) ->
     return summary.at_least(threshold)
 
 
-def _first_pass(source: DataFrame, block_bytes: int, ranges: int) -> DataFrame:
+def _first_pass(source: DataFrame, block_bytes: int, ranges: int, bits: int) -> DataFrame:
     """Two kinds of rows by block, written: the texts as they were cut, with their words counted,
     and the block's n-gram counts for each range."""
-    borders = _borders(ranges)
+    borders = _borders(ranges, bits)
 
     def send(batches) -> Iterator:
         import pyarrow as pa
@@ -173,7 +180,7 @@ def _first_pass(source: DataFrame, block_bytes: int, ranges: int) -> DataFrame:
 
         def sent(langs, texts):
             grams = block_grams(langs, texts)
-            keys, times = _sorted_keys(grams)
+            keys, times = _sorted_keys(grams, bits)
             cuts = np.searchsorted(keys, borders)
             parts = [(n, pack(k), pack_numbers(t), int(t.sum())) for n, (k, t) in enumerate(
                 zip(np.split(keys, cuts), np.split(times, cuts))) if len(k)]
@@ -238,8 +245,9 @@ def frequent_phrases(df: DataFrame, text: str, lang: str, threshold: int, block_
                        F.encode(F.coalesce(F.col(f"`{text}`"), F.lit("")), "utf-8").alias("text"))
     total = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     ranges = 1 + total // range_bytes
-    borders = _borders(ranges)
-    rows = _first_pass(source, block_bytes, ranges)
+    bits = key_bits(total)
+    borders = _borders(ranges, bits)
+    rows = _first_pass(source, block_bytes, ranges, bits)
     answers = _answers(rows.filter("range IS NOT NULL").select(
         "block", "range", "keys", "counts", "mass"), threshold)
     texts = rows.filter("text IS NOT NULL").select("block", "lang", "text")
@@ -252,15 +260,15 @@ def frequent_phrases(df: DataFrame, text: str, lang: str, threshold: int, block_
         grams = block_grams(table.column("lang").to_pylist(), table.column("text").to_pylist())
         langs, phrases, times = [], [], []
         if grams:
-            keys = _sorted_keys(grams)[0]
+            keys = _sorted_keys(grams, bits)[0]
             cuts = [0, *np.searchsorted(keys, borders).tolist(), len(keys)]
             frequent = np.zeros(len(keys), bool)
-            for n, bits in zip(answers.column("range").to_pylist(), answers.column("bits").to_pylist()):
-                own = np.unpackbits(np.frombuffer(zlib.decompress(bits), np.uint8))
+            for n, data in zip(answers.column("range").to_pylist(), answers.column("bits").to_pylist()):
+                own = np.unpackbits(np.frombuffer(zlib.decompress(data), np.uint8))
                 frequent[cuts[n]:cuts[n + 1]] = own[:cuts[n + 1] - cuts[n]]
             keys = keys[frequent]
             for lang, own in grams.items():
-                chosen = np.flatnonzero(np.isin(own.keys, keys))
+                chosen = np.flatnonzero(np.isin(own.keys >> np.uint64(64 - bits), keys))
                 phrases += map(own.phrase, own.starts[chosen].tolist(), own.lengths[chosen].tolist())
                 times.append(own.times[chosen])
                 langs += [lang] * len(chosen)
