@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 from corpusloom import schemas
 from corpusloom import settings as S
 from corpusloom.functions import text as X
-from corpusloom.operators import ivf, quality
+from corpusloom.operators import ivf, quality, search
 from corpusloom.sources import scratch
 
 
@@ -43,6 +43,7 @@ def build_index(active_embeddings: DataFrame, index_path: str, centroids_path: s
     """Train, assign and store an index over all active vectors; returns its facts.
 
     The active vectors are found once and written; training, assignment and the count read them.
+    ``curve`` is the recall of the index by number of probes, measured once it is stored.
     """
     if not 1 <= max_cells <= ivf.CELL_LIMIT:
         raise ValueError(f"max_cells must be 1 to {ivf.CELL_LIMIT}")
@@ -56,5 +57,8 @@ def build_index(active_embeddings: DataFrame, index_path: str, centroids_path: s
         raise ValueError("no active embeddings: an index cannot be built")
     centroids = ivf.train(vectors, ivf.cell_count(rows, max_cells))
     write_index(ivf.assign(vectors, centroids), centroids, index_path, centroids_path)
-    stored = index_checksum(read_index(spark, index_path)).first()
-    return {"num_vectors": stored.n_rows, "nlist": centroids.nlist, "checksum": stored.digest}
+    index = read_index(spark, index_path)
+    stored = index_checksum(index).first()
+    curve = search.measured_curve(index.withColumnRenamed("chunk_id", "id"), centroids)
+    return {"num_vectors": stored.n_rows, "nlist": centroids.nlist, "checksum": stored.digest,
+            "curve": curve}

@@ -110,3 +110,28 @@ def probe(queries: DataFrame, centroids: Centroids, nprobe: int = S.NPROBE) -> D
 
 def cell_sizes(index: DataFrame) -> DataFrame:
     return index.groupBy("cell").agg(F.count("*").alias("n_vectors"))
+
+
+def radii(index: DataFrame, centroids: Centroids) -> np.ndarray:
+    """Per cell the distance of its farthest vector from the centroid; -1 for an empty cell.
+
+    ``index`` has (embedding, cell). A task sends one number per cell, a bounded number of them.
+    """
+    centres = centroids.matrix
+
+    def farthest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = np.full(len(centres), -1.0)
+        for batch in batches:
+            if batch.num_rows:
+                cells = np.asarray(batch.column(1))
+                away = np.linalg.norm(V.matrix(batch.column(0)) - centres[cells], axis=1)
+                np.maximum.at(own, cells, away)
+        held = np.flatnonzero(own >= 0)
+        yield pa.RecordBatch.from_arrays([pa.array(held, pa.int32()), pa.array(own[held])],
+                                         names=["cell", "radius"])
+
+    rows = index.select("embedding", "cell").mapInArrow(farthest, "cell int, radius double")
+    found = np.full(len(centres), -1.0)
+    for r in rows.groupBy("cell").agg(F.max("radius").alias("radius")).collect():
+        found[r.cell] = r.radius
+    return found

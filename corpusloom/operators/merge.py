@@ -6,7 +6,7 @@ that closed it. Validity is the left join of the two, on narrow keys; chunks and
 embeddings carry ``doc_id`` and ``source_run_id`` and inherit it through the same join.
 """
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom import settings as S
@@ -38,12 +38,16 @@ def current_keys(versions: DataFrame, closures: DataFrame,
     return active(log, closures)
 
 
-def classify(keys: DataFrame, current: DataFrame) -> DataFrame:
-    """NEW, UPDATED or UNCHANGED for each key of a batch; for UPDATED also the version closed."""
+def classify(keys: DataFrame, current: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """NEW, UPDATED or UNCHANGED for each key of a batch; for UPDATED also the version closed.
+
+    Columns of the current version named in ``carry`` come along as ``old_...``.
+    """
     old = current.select(
         "doc_id",
         F.col("content_hash").alias("old_hash"),
         F.col("source_run_id").alias("old_run"),
+        *[F.col(c).alias(f"old_{c}") for c in carry],
     )
     status = (
         F.when(F.col("old_hash").isNull(), S.NEW)
@@ -54,6 +58,7 @@ def classify(keys: DataFrame, current: DataFrame) -> DataFrame:
         *keys.columns,
         status.alias("status"),
         F.when(status == S.UPDATED, F.col("old_run")).alias("closed_valid_from"),
+        *[f"old_{c}" for c in carry],
     )
 
 
@@ -78,16 +83,21 @@ def new_closures(statuses: DataFrame, run_id: int) -> DataFrame:
     )
 
 
-def status_counts(statuses: DataFrame) -> DataFrame:
-    """One row: new, updated, unchanged, and in-batch duplicates that lost."""
-    def n(name: str):
+def status_metrics() -> dict[str, Column]:
+    """Counts over statuses: new, updated, unchanged, and in-batch duplicates that lost."""
+    def n(name: str) -> Column:
         return F.count_if(F.col("status") == name)
-    return statuses.agg(
-        n(S.NEW).alias("new_doc_count"),
-        n(S.UPDATED).alias("updated_doc_count"),
-        n(S.UNCHANGED).alias("unchanged_doc_count"),
-        F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("duplicate_doc_count"),
-    )
+    return {
+        "new_doc_count": n(S.NEW),
+        "updated_doc_count": n(S.UPDATED),
+        "unchanged_doc_count": n(S.UNCHANGED),
+        "duplicate_doc_count": F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)),
+    }
+
+
+def status_counts(statuses: DataFrame) -> DataFrame:
+    """The same as one row."""
+    return statuses.agg(*[c.alias(name) for name, c in status_metrics().items()])
 
 
 def with_validity(rows: DataFrame, closures: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ of searching, and no row is dropped before it was scored.
 """
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -153,12 +154,66 @@ def ivf_topk(*args, **options) -> DataFrame:
     return in_one(ivf_blocks(*args, **options), "found")
 
 
-def probes_for_recall(queries: DataFrame, truth: DataFrame, index: DataFrame,
-                      centroids: ivf.Centroids, least: float = S.LEAST_RECALL) -> int:
-    """The fewest probes that find at least this share of the true (query_id, id) pairs.
+@dataclass(frozen=True)
+class Certified:
+    """Exact hits, and per query how many cells there are and how many were searched for them."""
+
+    hits: DataFrame
+    cells: DataFrame
+
 
-    A true neighbour is found exactly when its cell is probed, so the place of that cell among
-    the cells of its query tells the probes it takes. Without any pair one probe is enough.
+def certified_topk(queries: DataFrame, index: DataFrame, centroids: ivf.Centroids, k: int,
+                   nprobe: int = S.NPROBE) -> Certified:
+    """Best k of index (id, embedding, cell) for each query, exactly, without reading all cells.
+
+    The nearest cells give a k-th score. No vector of a cell scores higher than the centroid does
+    plus the length of the query times the radius of the cell, so cells whose bound lies below the
+    k-th score are left out and all others are searched. Where nothing can be left out every cell
+    is searched. ``index`` is read three times and should be a stored table.
+    """
+    radius = ivf.radii(index, centroids)
+    centres, margin = centroids.matrix, 10.0 ** (2 - S.SCORE_DECIMALS)
+    probed = ivf.probe(queries.select("query_id", "embedding"), centroids, nprobe)
+    probed = scratch.written(probed, "probed")
+    first = in_one(block_hits(probed, index.select("id", "embedding", "cell"), k), "near")
+    lowest = first.groupBy("query_id").agg(
+        F.min(F.when(F.col("rank") == k, F.col("score"))).alias("score"))
+    asked = probed.join(lowest, "query_id", "left").select("query_id", "embedding", "cells", "score")
+
+    def beyond(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            wanted = V.matrix(batch.column(1))
+            bound = wanted @ centres.T + np.linalg.norm(wanted, axis=1)[:, None] * radius[None, :]
+            score = batch.column(3).to_numpy(zero_copy_only=False)
+            open_ = (np.isnan(score)[:, None] | (bound >= score[:, None] - margin)) & (radius >= 0)
+            left = []
+            for row, near in zip(open_, batch.column(2).to_pylist()):
+                row[near] = False
+                left.append(np.flatnonzero(row).astype(np.int32))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:2], pa.array(left, pa.list_(pa.int32())),
+                 pa.array([len(c) for c in batch.column(2).to_pylist()], pa.int32())],
+                names=["query_id", "embedding", "cells", "n_near"])
+
+    schema = T.StructType([probed.schema["query_id"], probed.schema["embedding"],
+                           probed.schema["cells"], T.StructField("n_near", T.IntegerType())])
+    rest = scratch.written(asked.mapInArrow(beyond, schema), "open-cells")
+    more = in_one(block_hits(rest.filter(F.size("cells") > 0).select(*probed.columns),
+                             index.select("id", "embedding", "cell"), k), "far")
+    hits = rank_hits(first.drop("rank").unionByName(more.drop("rank")), k)
+    cells = rest.select("query_id", F.lit(centroids.nlist).alias("n_cells"),
+                        (F.col("n_near") + F.size("cells")).alias("n_searched"))
+    return Certified(hits, cells)
+
+
+def recall_curve(queries: DataFrame, truth: DataFrame, index: DataFrame,
+                 centroids: ivf.Centroids) -> list[tuple[int, int]]:
+    """(true, found) pairs by number of probes, from one probe to all cells.
+
+    A true neighbour (query_id, id) is found exactly when its cell is probed, so the place of that
+    cell among the cells of its query tells the probes it takes.
     """
     ordered = ivf.probe(queries.select("query_id", "embedding"), centroids, centroids.nlist)
     places = truth.select("query_id", "id").join(index.select("id", "cell"), "id").join(
@@ -167,8 +222,31 @@ def probes_for_recall(queries: DataFrame, truth: DataFrame, index: DataFrame,
     counts = np.zeros(centroids.nlist + 1, np.int64)
     for r in places.collect():
         counts[r.place] = r["count"]
-    found = counts.cumsum()
-    return max(1, int(np.argmax(found >= least * found[-1])))
+    found = counts.cumsum()[1:].tolist()
+    return [(found[-1], n) for n in found]
+
+
+def probes_for(curve: list[tuple[int, int]], least: float) -> int:
+    """The fewest probes that find at least this share; one if there is nothing to find."""
+    return next(n for n, (true, found) in enumerate(curve, 1) if found >= least * true)
+
+
+def probes_for_recall(queries: DataFrame, truth: DataFrame, index: DataFrame,
+                      centroids: ivf.Centroids, least: float = S.LEAST_RECALL) -> int:
+    """The fewest probes that find at least this share of the true (query_id, id) pairs."""
+    return probes_for(recall_curve(queries, truth, index, centroids), least)
+
+
+def measured_curve(index: DataFrame, centroids: ivf.Centroids,
+                   chosen: DataFrame | None = None, n: int = S.RECALL_VECTORS,
+                   k: int = S.RECALL_NEIGHBOURS) -> list[tuple[int, int]]:
+    """The recall curve of an index (id, embedding, cell) on the other neighbours of vectors of its
+    own: of ``chosen`` (id, embedding), or all, the n with the smallest hashes of their ids."""
+    pool = (index if chosen is None else chosen).select("id", "embedding")
+    sample = scratch.written(
+        pool.orderBy(F.xxhash64("id"), "id").limit(n).withColumnRenamed("id", "query_id"), "sample")
+    truth = without_self(exact_topk(sample, index, k + 1), k)
+    return recall_curve(sample, scratch.written(truth, "truth"), index, centroids)
 
 
 def without_self(hits: DataFrame, k: int) -> DataFrame:

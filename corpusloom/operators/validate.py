@@ -16,6 +16,11 @@ def reject_detail() -> Column:
     )
 
 
+def reason_code() -> Column:
+    return F.when(F.col("reason_detail") == S.DETAIL_MISSING_ID, S.MISSING_ID).otherwise(
+        S.EMPTY_TEXT).alias("reason_code")
+
+
 def valid_documents(raw: DataFrame) -> DataFrame:
     """Accepted rows, cleaned. ``seq`` (any orderable type) is the input order."""
     kept = raw.filter(reject_detail().isNull()).select(
@@ -42,10 +47,34 @@ def rejected_documents(raw: DataFrame, run_id: int) -> DataFrame:
         .select(
             F.coalesce("id", F.lit("")).alias("doc_id"),
             F.coalesce("title", F.lit("")).alias("title"),
-            F.when(detail == S.DETAIL_MISSING_ID, S.MISSING_ID)
-            .otherwise(S.EMPTY_TEXT).alias("reason_code"),
+            reason_code(),
             detail,
             X.raw_snapshot().alias("raw_snapshot"),
             F.lit(run_id).cast("int").alias("run_id"),
         )
     )
+
+
+def staged_documents(raw: DataFrame) -> DataFrame:
+    """Every row judged and cleaned once: accepted ones as ``valid_documents`` gives them, refused
+    ones with ``reason_detail`` and their snapshot instead of a text."""
+    judged = raw.withColumn("reason_detail", reject_detail())
+    good = F.col("reason_detail").isNull()
+    cleaned = judged.select(
+        F.coalesce("id", F.lit("")).alias("doc_id"), F.coalesce("url", F.lit("")).alias("url"),
+        F.coalesce("title", F.lit("")).alias("title"),
+        F.when(good, X.clean_text("text")).alias("cleaned_text"), "seq", "reason_detail",
+        F.when(~good, X.raw_snapshot()).alias("raw_snapshot"))
+    return cleaned.select(
+        "doc_id", "url", "title", "cleaned_text", X.sha256("cleaned_text").alias("content_hash"),
+        F.length("cleaned_text").alias("text_len"), "seq", "reason_detail", "raw_snapshot")
+
+
+def accepted_of(staged: DataFrame) -> DataFrame:
+    return staged.filter("reason_detail IS NULL").drop("reason_detail", "raw_snapshot")
+
+
+def refused_of(staged: DataFrame, run_id: int) -> DataFrame:
+    return staged.filter("reason_detail IS NOT NULL").select(
+        "doc_id", "title", reason_code(), "reason_detail", "raw_snapshot",
+        F.lit(run_id).cast("int").alias("run_id"))

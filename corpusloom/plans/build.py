@@ -14,8 +14,9 @@ from corpusloom import settings as S
 from corpusloom.functions import text as X
 from corpusloom.functions.encoders import Encoder, HashingEncoder, embed_chunks
 from corpusloom.functions.tokenizers import Tokenizer, WordTokenizer
-from corpusloom.operators import chunking, index_store, merge, quality, validate
+from corpusloom.operators import chunking, current, index_store, ivf, merge, quality, validate
 from corpusloom.sources import jsonl
+from corpusloom.sources.scratch import written
 from corpusloom.sources.warehouse import Warehouse, small_frame
 
 AUGMENTED_NOTE = "index rebuilt from all active vectors; only new and updated documents embedded"
@@ -35,6 +36,8 @@ class Build:
     encoder: Encoder = field(default_factory=HashingEncoder)
     note: str | None = None
     max_cells: int = S.MAX_CELLS
+    # Hash buckets of the current keys of a new corpus; by its size where None.
+    key_buckets: int | None = None
 
     def __post_init__(self):
         if self.mode not in ("full", "augmented"):
@@ -80,18 +83,20 @@ class Build:
              json.dumps(details, separators=(",", ":"))))
 
     def _ingest(self, source: Source) -> tuple[int, dict]:
-        self.warehouse.write_run("raw_documents", source(self.run_id), self.run_id)
-        self.counts["raw_doc_count"] = self._raw().count()
-        return self.counts["raw_doc_count"], {"input": self.input_path}
-
-    def _raw(self) -> DataFrame:
-        return jsonl.accepted(self.warehouse.read_run("raw_documents", self.run_id))
+        seen = self.warehouse.write_run(
+            "raw_documents", source(self.run_id), self.run_id,
+            {"rows": F.count_if(F.col("malformed_line").isNull())})
+        self.counts["raw_doc_count"] = seen["rows"]
+        return seen["rows"], {"input": self.input_path}
 
     def _clean(self) -> tuple[int, dict]:
+        # Every text is cleaned once, here; later stages read the cleaned rows.
         w, c = self.warehouse, self.counts
-        w.write_run("rejected_documents",
-                    validate.rejected_documents(self._raw(), self.run_id), self.run_id)
-        c["rejected_doc_count"] = w.read_run("rejected_documents", self.run_id).count()
+        raw = jsonl.accepted(w.read_run("raw_documents", self.run_id))
+        self.staged = written(validate.staged_documents(raw), "staged")
+        seen = w.write_run("rejected_documents", validate.refused_of(self.staged, self.run_id),
+                           self.run_id, {"rows": F.count("*")})
+        c["rejected_doc_count"] = seen["rows"]
         c["stg_valid_count"] = c["raw_doc_count"] - c["rejected_doc_count"]
         return c["stg_valid_count"], {"rejected": c["rejected_doc_count"]}
 
@@ -99,32 +104,63 @@ class Build:
         # Keys and statuses are narrow tables of their own: later plans then know their
         # size when they choose a join, and nothing is recomputed after a lost executor.
         w, run_id = self.warehouse, self.run_id
-        valid = validate.valid_documents(self._raw())
-        w.write_run("batch_keys", merge.batch_keys(valid), run_id)
+        valid = validate.accepted_of(self.staged)
+        n_keys = w.write_run("batch_keys", merge.batch_keys(valid), run_id,
+                             {"rows": F.count("*")})["rows"]
         keys = w.read_run("batch_keys", run_id).drop("run_id")
-        current = merge.current_keys(w.read("clean_documents"), w.read("closures"), keys)
-        w.write_run("document_status", merge.classify(keys, current), run_id)
-        statuses = w.read_run("document_status", run_id)
-        decided = merge.status_counts(statuses).first().asDict()
+        self._find_current(keys, n_keys)
+        statuses = merge.classify(keys, self.current, current.HELD)
+        decided = w.write_run("document_status", statuses, run_id,
+                              merge.status_metrics() | current.closed_metrics())
+        self.closed = {c: decided.pop(f"closed_{c}") for c in current.HELD}
         self.counts.update(decided)
-        w.write_run("clean_documents",
-                    merge.new_versions(valid, statuses, run_id), run_id)
+        statuses = w.read_run("document_status", run_id)
+        w.write_run("clean_documents", merge.new_versions(valid, statuses, run_id), run_id)
         w.write_run("closures", merge.new_closures(statuses, run_id), run_id)
         return self.counts["stg_valid_count"], decided
 
+    def _find_current(self, keys: DataFrame, n_keys: int) -> None:
+        """The snapshot rows of the buckets that the batch touches, and how many buckets there are.
+
+        A corpus that outgrew its buckets gets more of them with a batch that touches them all. One
+        without a snapshot gets it from its history.
+        """
+        w = self.warehouse
+        self.before = w.last_state()
+        known = self.before["n_documents"] if self.before else 0
+        self.n_buckets, at = w.key_layout()
+        if self.n_buckets is None:
+            self.n_buckets = self.key_buckets or current.bucket_count(max(n_keys, known))
+            self.current = w.spark.createDataFrame([], schemas.TABLES["current_keys"])
+            if not w.runs().filter(F.col("status") == "success").isEmpty():
+                self.current = written(current.from_history(
+                    w.read("clean_documents"), w.read("closures"), w.read("chunks"),
+                    w.read("embeddings")).withColumn("bucket", F.lit(0)), "history")
+            return
+        # As many numbers as there are buckets.
+        touched = {r.bucket for r in keys.select(
+            current.bucket_of(self.n_buckets)).distinct().collect()}
+        self.current = w.read_keys({b: run for b, run in at.items() if b in touched})
+        grown = current.bucket_count(known)
+        if self.key_buckets is None and touched >= at.keys() and grown >= S.OUTGROWN * self.n_buckets:
+            self.n_buckets = grown
+
     def _chunk(self) -> tuple[int, dict]:
         w = self.warehouse
         fresh = w.read_run("clean_documents", self.run_id)
-        w.write_run("chunks", chunking.chunk_documents(fresh, self.tokenizer), self.run_id)
-        self.counts["new_chunk_count"] = w.read_run("chunks", self.run_id).count()
-        return self.counts["new_chunk_count"], {"tokenizer": type(self.tokenizer).__name__}
+        self.added = w.write_run("chunks", chunking.chunk_documents(fresh, self.tokenizer), self.run_id,
+                                 {"n_chunks": F.count("*")} | current.hash_metrics("chunk_hash"))
+        self.counts["new_chunk_count"] = self.added["n_chunks"]
+        return self.added["n_chunks"], {"tokenizer": type(self.tokenizer).__name__}
 
     def _embed(self) -> tuple[int, dict]:
         w = self.warehouse
         fresh = w.read_run("chunks", self.run_id)
-        w.write_run("embeddings", embed_chunks(fresh, self.encoder), self.run_id)
-        self.counts["new_embedding_count"] = w.read_run("embeddings", self.run_id).count()
-        return self.counts["new_embedding_count"], {"encoder": self.encoder.name}
+        seen = w.write_run("embeddings", embed_chunks(fresh, self.encoder), self.run_id,
+                           {"n_embeddings": F.count("*")})
+        self.added |= seen
+        self.counts["new_embedding_count"] = seen["n_embeddings"]
+        return seen["n_embeddings"], {"encoder": self.encoder.name}
 
     def _visible(self, table: str) -> DataFrame:
         return self.warehouse.read(table, also=self.run_id)
@@ -133,21 +169,60 @@ class Build:
         return merge.active(self._visible(table), self._visible("closures"))
 
     def _index(self) -> tuple[int, dict]:
+        """Build an index over all active vectors, or keep the last one if nothing changed since."""
         w, run_id = self.warehouse, self.run_id
-        paths = w.index_path(run_id), w.centroids_path(run_id)
-        facts = index_store.build_index(self._active("embeddings"), *paths, self.max_cells)
+        last = self._last_index()
+        if last is not None:
+            paths = last.index_path, last.centroids_path
+            facts = {"num_vectors": last.num_vectors, "nlist": last.nlist,
+                     "checksum": last.index_checksum}
+        else:
+            paths = w.index_path(run_id), w.centroids_path(run_id)
+            facts = index_store.build_index(self._active("embeddings"), *paths, self.max_cells)
+            w.write_run("index_recall", small_frame(
+                w.spark, [(facts["checksum"], n, *pair) for n, pair in enumerate(facts["curve"], 1)],
+                T.StructType(schemas.TABLES["index_recall"].fields[:-1])), run_id)
         w.append("index_registry", registry_row(
             w.spark, run_id, self.dataset_name, self.encoder.name, facts, paths, self.mode))
         self.counts["index_vector_count"] = facts["num_vectors"]
         return facts["num_vectors"], {"nlist": facts["nlist"]}
 
+    def _last_index(self):
+        """The newest registry row, if it was built alike over the corpus as it is now."""
+        w, c = self.warehouse, self.counts
+        if self.before is None or c["new_doc_count"] + c["updated_doc_count"]:
+            return None
+        last = w.read("index_registry").orderBy(F.desc("run_id")).first()
+        if last is None or last.embedding_model != self.encoder.name:
+            return None
+        states = {r.run_id: r.n_changes for r in w.read("corpus_state").filter(
+            F.col("run_id").isin(last.run_id, self.before["run_id"])).collect()}
+        same = states.get(last.run_id) == self.before["n_changes"]
+        return last if same and last.nlist == ivf.cell_count(last.num_vectors, self.max_cells) else None
+
     def _count_active(self) -> None:
-        row = quality.count_row({
-            "active_doc_count": self._active("clean_documents"),
-            "active_chunk_count": self._active("chunks"),
-            "active_embedding_count": self._active("embeddings"),
-        }).first()
-        self.counts.update(row.asDict())
+        """Write the touched key buckets and the state: that of the run before, plus, less."""
+        w, c = self.warehouse, self.counts
+        held = current.held_by_document(w.read_run("chunks", self.run_id),
+                                        w.read_run("embeddings", self.run_id))
+        statuses = w.read_run("document_status", self.run_id)
+        w.write_keys(current.updated_snapshot(
+            self.current, statuses, held, self.run_id, self.n_buckets), self.n_buckets, self.run_id)
+        before = self.before or self._counted_before()
+        changes = c["new_doc_count"] + c["updated_doc_count"]
+        state = {"n_documents": before["n_documents"] + c["new_doc_count"],
+                 "n_changes": before["n_changes"] + changes}
+        state |= {n: before[n] + int(self.added[n]) - int(self.closed[n]) for n in current.HELD}
+        w.write_state(state, self.run_id)
+        c.update(active_doc_count=state["n_documents"], active_chunk_count=state["n_chunks"],
+                 active_embedding_count=state["n_embeddings"])
+
+    def _counted_before(self) -> dict[str, int]:
+        """The state of a corpus that has none yet, summed over its snapshot."""
+        row = self.current.agg(F.count("*").alias("n_documents"), *[
+            F.coalesce(F.sum(F.col(n).cast("decimal(38,0)")), F.lit(0)).alias(n)
+            for n in current.HELD]).first()
+        return {n: int(v) for n, v in row.asDict().items()} | {"n_changes": 0}
 
     def _reconcile(self) -> None:
         c, w = self.counts, self.warehouse
@@ -171,8 +246,7 @@ class Build:
         own = small_frame(w.spark, [(self.run_id, *[self.counts[n] for n in names[1:]])],
                           T.StructType(fields))
         known = w.runs().filter(F.col("run_id") != self.run_id).select(*names)
-        write_audit(w, known.unionByName(own), before.run_id, self.run_id,
-                    self._visible("chunks"), self._visible("closures"))
+        write_audit(w, known.unionByName(own), before.run_id, self.run_id, also=self.run_id)
 
     def _record(self, status: str, end, notes: str | None) -> None:
         w = self.warehouse
@@ -192,8 +266,22 @@ def registry_row(spark: SparkSession, run_id: int, dataset_name: str, model: str
         "index_id", X.key_hash("dataset_name", "run_id", "index_checksum"))
 
 
+def checksums(w: Warehouse, run_ids: list[int], also: int | None = None) -> DataFrame:
+    """(run_id, checksum) of the chunks active at the end of runs, as the runs kept it; a run from
+    before states were kept is counted again."""
+    stored = w.read("corpus_state", also=also).filter(F.col("run_id").isin(run_ids)).select(
+        "run_id", current.checksum("n_chunks").alias("checksum"))
+    known = {r.run_id for r in stored.select("run_id").collect()}
+    ran = {r.run_id for r in w.runs().filter(F.col("run_id").isin(run_ids)).collect()}
+    missing = [r for r in run_ids if r in ran - known]
+    if not missing:
+        return stored
+    return stored.unionByName(chunk_checksums(
+        w.read("chunks", also=also), w.read("closures", also=also), missing))
+
+
 def chunk_checksums(chunks: DataFrame, closures: DataFrame, run_ids: list[int]) -> DataFrame:
-    """(run_id, checksum) of the chunks active at the end of each run, in one pass."""
+    """The same in one pass over the chunks of all versions."""
     rows = merge.with_validity(chunks.select("doc_id", "chunk_hash", "source_run_id"), closures)
     active = merge.as_of_runs(rows, run_ids).select("run_id", "chunk_hash")
     # A run without chunks has the checksum of an empty set.
@@ -202,15 +290,31 @@ def chunk_checksums(chunks: DataFrame, closures: DataFrame, run_ids: list[int])
         F.lit(None).cast("string").alias("chunk_hash"))
     return active.unionByName(every).groupBy("run_id").agg(
         F.count("chunk_hash").alias("n_rows"), *quality.digest_columns("chunk_hash"),
-    ).select("run_id", F.concat_ws(":", quality.digest_value(), "n_rows").alias("checksum"))
-
-
-def write_audit(w: Warehouse, runs: DataFrame, run_a: int, run_b: int, chunks: DataFrame,
-                closures: DataFrame) -> DataFrame:
+    ).select("run_id", current.checksum("n_rows").alias("checksum"))
+
+
+def states_and_recounts(w: Warehouse) -> DataFrame:
+    """The kept state of every run beside a full recount: run_id, n_documents, n_chunks,
+    n_embeddings, checksum, agrees."""
+    stored = w.read("corpus_state").select(
+        "run_id", "n_documents", "n_chunks", "n_embeddings",
+        current.checksum("n_chunks").alias("checksum"))
+    # One number per run.
+    run_ids = sorted(r.run_id for r in stored.select("run_id").collect())
+    again = current.recounted(w.read("clean_documents"), w.read("closures"), w.read("chunks"),
+                              w.read("embeddings"), run_ids)
+    counted = F.struct(*[again[c] for c in stored.columns[1:]])
+    return stored.join(again, "run_id").select(
+        "run_id", *[stored[c] for c in stored.columns[1:]],
+        (F.struct(*[stored[c] for c in stored.columns[1:]]) == counted).alias("agrees"))
+
+
+def write_audit(w: Warehouse, runs: DataFrame, run_a: int, run_b: int,
+                also: int | None = None) -> DataFrame:
     """Run the checks between two runs, store them and return the stored rows."""
     created = _now()
-    checksums = chunk_checksums(chunks, closures, [run_a, run_b])
-    w.append("audit_results", quality.audit(runs, checksums, [(run_a, run_b)]).select(
+    sums = checksums(w, [run_a, run_b], also)
+    w.append("audit_results", quality.audit(runs, sums, [(run_a, run_b)]).select(
         X.key_hash("run_id_a", "run_id_b", "audit_type").alias("audit_id"), "*",
         F.lit(created).alias("created_at")))
     return w.everything("audit_results").filter(
@@ -220,7 +324,7 @@ def write_audit(w: Warehouse, runs: DataFrame, run_a: int, run_b: int, chunks: D
 
 def audit_runs(w: Warehouse, run_a: int, run_b: int) -> DataFrame:
     """Compare two finished runs of a warehouse."""
-    return write_audit(w, w.runs(), run_a, run_b, w.read("chunks"), w.read("closures"))
+    return write_audit(w, w.runs(), run_a, run_b)
 
 
 def build(spark: SparkSession, root: str, mode: str, dataset_name: str, input_path: str,

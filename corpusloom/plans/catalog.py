@@ -575,12 +575,16 @@ def ivf_full_probe(i: Inputs) -> DataFrame:
 
 
 def measured_recall(i: Inputs, nprobe: int | None = None) -> DataFrame:
-    """(n_true, n_found, recall, nprobe) of the trained index against exact search; without
-    ``nprobe`` at the fewest probes that find the share wanted."""
+    """(n_true, n_found, recall, nprobe) of the trained index against exact search.
+
+    Without ``nprobe`` the number of probes is chosen on other vectors than those asked for.
+    """
     index, centroids = _trained(i)
     index, truth = written(index, "index"), written(_exact_others(i), "truth")
     if nprobe is None:
-        nprobe = search.probes_for_recall(_asked(i), truth, index, centroids)
+        others = index.join(_asked(i).select(F.col("query_id").alias("id")), "id", "left_anti")
+        nprobe = search.probes_for(
+            search.measured_curve(index, centroids, others), S.AIMED_RECALL)
     found = search.without_self(
         search.ivf_topk(_asked(i), index, centroids, TOP_K + 1, nprobe), TOP_K)
     return evaluation.recall(found, truth).withColumn("nprobe", F.lit(nprobe))
@@ -593,6 +597,28 @@ def ivf_recall(i: Inputs) -> DataFrame:
         "n_true", (F.col("recall") >= S.LEAST_RECALL).alias("is_enough"))
 
 
+@query
+def ivf_measured_recall(i: Inputs) -> DataFrame:
+    """How many of them it finds, and with how many probes; SQL has no trained cells."""
+    return measured_recall(i)
+
+
+@query
+def knn_certified(i: Inputs) -> DataFrame:
+    """Exact neighbours from cells by label, those left out that cannot hold one."""
+    index, centroids = _label_index(i)
+    found = search.certified_topk(_asked(i), written(index, "index"), centroids, TOP_K + 1,
+                                  LABEL_NPROBE)
+    return _shown(search.without_self(found.hits, TOP_K))
+
+
+@query
+def certified_cells(i: Inputs) -> DataFrame:
+    """How many cells exact search reads for each query over trained cells."""
+    index, centroids = _trained(i)
+    return search.certified_topk(_asked(i), written(index, "index"), centroids, TOP_K + 1).cells
+
+
 @query
 def index_roundtrip(i: Inputs) -> DataFrame:
     """An index written by cell and read back."""

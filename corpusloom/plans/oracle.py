@@ -522,6 +522,7 @@ def statements() -> dict[str, str]:
             SELECT unnest(range(least({S.MAX_CELLS}, greatest({S.MIN_CELLS},
                        n // {S.VECTORS_PER_CELL}), n)))::INT AS cell, true AS is_unit
             FROM (SELECT count(*) AS n FROM vectors)""",
+        "knn_certified": _EXACT,
         "ivf_recall": "SELECT count(*) AS n_true, true AS is_enough FROM exact",
         "rows_per_run": """
             SELECT 1 AS run_id, count(*) AS n_rows FROM base

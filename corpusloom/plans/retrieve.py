@@ -17,23 +17,23 @@ def encode_queries(queries: DataFrame, encoder: Encoder) -> DataFrame:
     return coded.select("query_id", "embedding")
 
 
-def _probes(asked: DataFrame, index: DataFrame, centroids: ivf.Centroids, k: int,
-            least: float) -> int:
-    """Probes for the recall wanted, measured on a bounded sample of the questions."""
-    sample = written(asked.orderBy(F.xxhash64("query_id"), "query_id").limit(S.RECALL_QUESTIONS),
-                     "sample")
-    truth = search.exact_topk(sample, index, k)
-    return search.probes_for_recall(sample, truth, index, centroids, least)
+def stored_curve(w: Warehouse, index_checksum: str) -> list[tuple[int, int]]:
+    """(true, found) pairs by number of probes, as measured when the index was built; there are as
+    many as cells. Empty for an index from before they were kept."""
+    rows = w.read("index_recall").filter(F.col("index_checksum") == index_checksum).select(
+        "nprobe", "n_true", "n_found").distinct().orderBy("nprobe").collect()
+    return [(r.n_true, r.n_found) for r in rows]
 
 
 def retrieve(w: Warehouse, queries: DataFrame, top_k: int = 5, nprobe: int | None = None,
              dataset_name: str | None = None, encoder: Encoder | None = None,
-             least_recall: float = S.LEAST_RECALL) -> DataFrame:
+             least_recall: float = S.AIMED_RECALL) -> DataFrame:
     """The best chunks for each (query_id, query_text), with their texts, by query and rank.
 
     Uses the newest index of a successful run. A null text is asked like an empty one. Without
-    ``nprobe`` so many cells are probed, the index's own number at least, that ``least_recall``
-    of the true neighbours of a sample of the questions are found.
+    ``nprobe`` so many cells are probed, the index's own number at least, that ``least_recall`` of
+    the true neighbours of stored vectors were found when the index was built. Questions may fare
+    better or worse than stored vectors.
     """
     spark = w.spark
     registry = w.read("index_registry")
@@ -47,8 +47,8 @@ def retrieve(w: Warehouse, queries: DataFrame, top_k: int = 5, nprobe: int | Non
     index = index_store.read_index(spark, newest.index_path).withColumnRenamed("chunk_id", "id")
     asked = written(encode_queries(queries, encoder or HashingEncoder()), "questions")
     if nprobe is None:
-        nprobe = max(newest.nprobe, _probes(asked, index, centroids, top_k, least_recall)
-                     if newest.nprobe < centroids.nlist else 0)
+        curve = stored_curve(w, newest.index_checksum) or search.measured_curve(index, centroids)
+        nprobe = max(newest.nprobe, search.probes_for(curve, least_recall))
     blocks = search.ivf_blocks(asked, index, centroids, top_k, nprobe)
     closures, chunks = w.read("closures"), w.read("chunks")
     documents = w.read("clean_documents")

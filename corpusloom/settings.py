@@ -27,6 +27,13 @@ INGEST_BATCH_ROWS = 500
 ENCODE_BATCH_ROWS = 32
 SEED = 42
 
+# Hash buckets of the current keys: about so many keys each, within these bounds.
+KEYS_PER_BUCKET = 20_000
+MIN_KEY_BUCKETS = 8
+MAX_KEY_BUCKETS = 1 << 16
+# A corpus gets more buckets when it is due this many times those it has.
+OUTGROWN = 4
+
 # Reject reasons and document statuses.
 MISSING_ID = "MISSING_ID"
 EMPTY_TEXT = "EMPTY_TEXT"
@@ -39,10 +46,13 @@ UNCHANGED = "UNCHANGED"
 SNAPSHOT_CHARS = 500
 
 # Share of the true neighbours that a search over the index has to find. The fixed number of
-# probes does not reach it on vectors without clusters, so probes are chosen by measurement.
+# probes does not reach it on vectors without clusters, so probes are chosen by measurement when an
+# index is built: on the neighbours of so many stored vectors, with a share somewhat higher, as
+# other vectors may fare worse.
 LEAST_RECALL = 0.9
-# Retrieval measures it on so many of its questions at most.
-RECALL_QUESTIONS = 256
+AIMED_RECALL = 0.95
+RECALL_VECTORS = 256
+RECALL_NEIGHBOURS = 10
 
 # Scores are compared after rounding to this many decimals, so that equal vectors tie
 # whatever the summation order of the machine that scored them.

@@ -6,9 +6,12 @@ last ``runs`` row says success: readers see the rows of successful runs, plus th
 run in progress. One driver writes at a time.
 """
 
+from collections.abc import Callable
+from decimal import Decimal
+
 import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -18,7 +21,7 @@ from corpusloom import schemas
 # Tables whose rows belong to the run that wrote them, and the column that says so.
 RUN_COLUMN = {
     "raw_documents": "run_id", "rejected_documents": "run_id", "batch_keys": "run_id",
-    "document_status": "run_id",
+    "document_status": "run_id", "key_buckets": "run_id", "corpus_state": "run_id", "index_recall": "run_id",
     "row_count_reconciliation": "run_id", "clean_documents": "source_run_id",
     "chunks": "source_run_id", "embeddings": "source_run_id", "closures": "valid_to_run_id",
 }
@@ -35,6 +38,18 @@ def small_frame(spark: SparkSession, rows: list[tuple], schema: T.StructType) ->
     return spark.createDataFrame(table, schema)
 
 
+def observed(df: DataFrame, metrics: dict[str, Column]) -> tuple[Callable[[], dict], DataFrame]:
+    """The rows with aggregates taken as they pass, and a call that gives these once they have.
+
+    They have to pass in the last stage of a job, so that no retry counts them again.
+    """
+    if not metrics:
+        return dict, df
+    observation = Observation()
+    marked = df.observe(observation, *[c.alias(name) for name, c in metrics.items()])
+    return lambda: dict(observation.get), marked
+
+
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
@@ -52,14 +67,21 @@ class Warehouse:
                 raise
             return self.spark.createDataFrame([], schema)
 
-    def write_run(self, table: str, df: DataFrame, run_id: int) -> None:
-        """Write a run's partition, replacing an earlier attempt of the same run."""
+    def write_run(self, table: str, df: DataFrame, run_id: int,
+                  metrics: dict[str, Column] | None = None) -> dict:
+        """Write a run's partition, replacing an earlier attempt of the same run.
+
+        ``metrics`` are aggregates over the rows, taken as they are written and returned by name;
+        they may use columns that are not stored.
+        """
         columns = [f.name for f in schemas.TABLES[table].fields if f.name != RUN_COLUMN[table]]
+        seen, df = observed(df, metrics or {})
         writer = df.select(*columns).write.mode("overwrite")
         if table == "chunks":
             # Lets a look-up by id skip row groups; ids are hashes, so min/max cannot.
             writer = writer.option("parquet.bloom.filter.enabled#chunk_id", "true")
         writer.parquet(self.path(table, run_id))
+        return seen()
 
     def append(self, table: str, df: DataFrame) -> None:
         """Append rows to a small control table."""
@@ -114,6 +136,49 @@ class Warehouse:
     def next_run_id(self) -> int:
         return (self._load("runs").agg(F.max("run_id")).first()[0] or 0) + 1
 
+    def last_state(self) -> dict | None:
+        """What the newest successful run left, with its ``run_id``."""
+        row = self.read("corpus_state").orderBy(F.desc("run_id")).first()
+        return row and {n: v if n == "run_id" else int(v) for n, v in row.asDict().items()}
+
+    def write_state(self, state: dict[str, int], run_id: int) -> None:
+        fields = schemas.TABLES["corpus_state"].fields[:-1]
+        values = tuple(Decimal(state[f.name]) if f.dataType == schemas.WIDE else state[f.name]
+                       for f in fields)
+        self.write_run("corpus_state", small_frame(self.spark, [values], T.StructType(fields)), run_id)
+
+    # Current keys lie in folders by run and bucket; a run writes whole buckets.
+    def key_layout(self) -> tuple[int | None, dict[int, int]]:
+        """(number of buckets, bucket -> newest run that wrote it); None before the first run.
+
+        The number only grows, with a run that writes all buckets; there are a bounded number.
+        """
+        newest = self.read("key_buckets").groupBy("n_buckets", "bucket").agg(
+            F.max("run_id").alias("run_id")).collect()
+        n_buckets = max((r.n_buckets for r in newest), default=None)
+        return n_buckets, {r.bucket: r.run_id for r in newest if r.n_buckets == n_buckets}
+
+    def read_keys(self, at: dict[int, int]) -> DataFrame:
+        """The snapshot rows of buckets (bucket -> run); no other folder is listed or read."""
+        schema = schemas.TABLES["current_keys"]
+        if not at:
+            return self.spark.createDataFrame([], schema)
+        reader = self.spark.read.schema(schema).option("basePath", self.path("current_keys"))
+        paths = [f"{self.path('current_keys')}/run_id={run}/bucket={b}" for b, run in sorted(at.items())]
+        return reader.parquet(*paths).select(*schema.names)
+
+    def current_keys(self) -> DataFrame:
+        """The whole snapshot."""
+        return self.read_keys(self.key_layout()[1])
+
+    def write_keys(self, snapshot: DataFrame, n_buckets: int, run_id: int) -> None:
+        """Write the buckets a run touched, and then which they were."""
+        path = f"{self.path('current_keys')}/run_id={run_id}"
+        snapshot.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(path)
+        written = self.spark.read.schema(schemas.TABLES["current_keys"]).parquet(path)
+        self.write_run("key_buckets", written.select("bucket").distinct().withColumn(
+            "n_buckets", F.lit(n_buckets)), run_id)
+
     # Index folders carry the run in their path and are named by the registry.
     def index_path(self, run_id: int) -> str:
         return f"{self.path('index_vectors')}/run_id={run_id}"
