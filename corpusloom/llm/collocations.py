@@ -25,7 +25,7 @@ SCALE = 1_000_000
 COVERED_PERCENT = 50
 MOST = 2000
 # Bytes of text of a block, and of all texts for each range of hashes.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 6 << 20
 RANGE_BYTES = 8 << 20
 WORD_LIMIT = 1 << 21
 # Bits of a key beyond those that number the bytes of all texts: two n-grams in some thousand share
@@ -59,45 +59,74 @@ def _mixed(state: np.ndarray, word: np.ndarray) -> np.ndarray:
     return state ^ state >> np.uint64(32)
 
 
+def _counted(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values, ascending, and how often each occurs."""
+    ordered = np.sort(values)
+    first = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]][:len(ordered)])
+    return ordered[first], np.diff(first, append=len(ordered)).astype(np.int32)
+
+
 class NGrams:
     """The distinct n-grams of 1 to 3 words of a language's texts in a block, told apart exactly.
 
-    ``starts`` are where each occurs first, ``lengths`` its words, ``times`` how often it occurs.
+    Words are numbered within the block, and an n-gram is its numbers in one: ``codes`` by length,
+    ``times`` how often each occurs.
     """
 
     def __init__(self, lang: str, texts: list[bytes]):
-        import xxhash
-
-        self.words = words_and_breaks(b".".join(texts))
+        words = words_and_breaks(b".".join(texts))
         known = {b".": 0}
-        for word in self.words:
-            if word not in known:
-                known[word] = len(known)
-        ids = np.fromiter(map(known.__getitem__, self.words), np.int64, len(self.words))
-        self.n_words = int((ids > 0).sum())
-        first, times, lengths = [], [], []
+        ids = np.fromiter((known.setdefault(w, len(known)) for w in words), np.int64, len(words))
+        del words
+        self.lang, self.names, self.n_words = lang, list(known), int((ids > 0).sum())
+        self.codes, self.times, self.pairs = [], [], None
         codes, at = ids, np.flatnonzero(ids)
         for n in (1, 2, 3):
             if n > 1:
                 at = at[:np.searchsorted(at, len(ids) - n + 1)]
                 at = at[ids[at + n - 1] > 0]
                 if n == 3 and len(known) >= WORD_LIMIT:  # pairs are numbered anew, to fit 64 bits
-                    codes = np.unique(codes, return_inverse=True)[1]
+                    self.pairs, codes = np.unique(codes, return_inverse=True)
                 joined = np.zeros(len(ids), np.int64)
                 joined[at] = codes[at] * len(known) + ids[at + n - 1]
                 codes = joined
-            _, where, counts = np.unique(codes[at], return_index=True, return_counts=True)
-            first.append(at[where]), times.append(counts), lengths.append(np.full(len(where), n))
-        self.starts, self.times, self.lengths = map(np.concatenate, (first, times, lengths))
-        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, known), np.uint64, len(known))
-        keys = np.full(len(self.starts), xxhash.xxh3_64_intdigest(lang), np.uint64) + self.lengths.astype(np.uint64)
-        for k in range(3):
-            on = self.lengths > k
-            keys[on] = _mixed(keys[on], hashes[ids[self.starts[on] + k]])
-        self.keys = keys
+            found, times = _counted(codes[at])
+            self.codes.append(found), self.times.append(times)
+
+    def word_numbers(self, n: int, codes: np.ndarray) -> list[np.ndarray]:
+        """The numbers of the first to the n-th word of n-grams."""
+        found, size = [], len(self.names)
+        for k in range(n - 1, 0, -1):
+            found.append(codes % size)
+            codes = codes // size
+            if k == 2 and self.pairs is not None:
+                codes = self.pairs[codes]
+        return [codes, *found[::-1]]
+
+    def keys(self) -> np.ndarray:
+        """A hash of each n-gram and the language, shortest n-grams first."""
+        import xxhash
 
-    def phrase(self, start: int, length: int) -> str:
-        return b" ".join(self.words[start:start + length]).decode()
+        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, self.names), np.uint64, len(self.names))
+        seed, parts = xxhash.xxh3_64_intdigest(self.lang), []
+        for n, codes in enumerate(self.codes, 1):
+            state = np.full(len(codes), (seed + n) % (1 << 64), np.uint64)
+            for numbers in self.word_numbers(n, codes):
+                state = _mixed(state, hashes[numbers])
+            parts.append(state)
+        return np.concatenate(parts)
+
+    def phrases(self, chosen: np.ndarray) -> tuple[list[str], np.ndarray]:
+        """The phrases and counts of the n-grams chosen, a flag for each in the order of keys."""
+        texts, times, at = [], [], 0
+        for n, (codes, counts) in enumerate(zip(self.codes, self.times), 1):
+            own = np.flatnonzero(chosen[at:at + len(codes)])
+            at += len(codes)
+            words = [[self.names[i] for i in numbers.tolist()]
+                     for numbers in self.word_numbers(n, codes[own])]
+            texts += [b" ".join(parts).decode() for parts in zip(*words)]
+            times.append(counts[own])
+        return texts, np.concatenate(times).astype(np.int64)
 
 
 def key_bits(total_bytes: int) -> int:
@@ -116,12 +145,14 @@ def _borders(parts: int, bits: int) -> np.ndarray:
     return np.array([(i << bits) // parts for i in range(1, parts)], np.uint64)
 
 
-def _sorted_keys(grams: dict[str, NGrams], bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of all languages, ascending and distinct, and their counts."""
-    keys = np.concatenate([g.keys for g in grams.values()]) >> np.uint64(64 - bits)
-    times = np.concatenate([g.times for g in grams.values()])
-    keys, place = np.unique(keys, return_inverse=True)
-    return keys, np.bincount(place, times, len(keys)).astype(np.int64)
+def _sorted_keys(grams: dict[str, NGrams], bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys of all languages, ascending; the order that sorts the n-grams, and where in
+    this order each key begins."""
+    keys = np.concatenate([g.keys() for g in grams.values()]) >> np.uint64(64 - bits)
+    order = np.argsort(keys)
+    keys = keys[order]
+    first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]][:len(keys)])
+    return keys[first], order, first
 
 
 class Summary:
@@ -136,8 +167,12 @@ class Summary:
         self.keys, self.counts = np.empty(0, np.uint64), np.empty(0, np.int64)
 
     def add(self, keys: list[np.ndarray], counts: list[np.ndarray]) -> None:
-        joined, place = np.unique(np.concatenate([self.keys, *keys]), return_inverse=True)
-        totals = np.bincount(place, np.concatenate([self.counts, *counts]), len(joined)).astype(np.int64)
+        joined = np.concatenate([self.keys, *keys])
+        order = np.argsort(joined, kind="stable")  # which merges ascending runs
+        joined, totals = joined[order], np.concatenate([self.counts, *counts])[order]
+        first = np.flatnonzero(np.r_[True, joined[1:] != joined[:-1]][:len(joined)])
+        joined = joined[first]
+        totals = np.add.reduceat(totals, first) if len(first) else totals
         if len(joined) > self.capacity:
             taken = np.partition(totals, len(totals) - self.capacity - 1)[len(totals) - self.capacity - 1]
             self.low += int(taken)
@@ -180,7 +215,9 @@ def _first_pass(source: DataFrame, block_bytes: int, ranges: int, bits: int) ->
 
         def sent(langs, texts):
             grams = block_grams(langs, texts)
-            keys, times = _sorted_keys(grams, bits)
+            keys, order, first = _sorted_keys(grams, bits)
+            times = np.concatenate([t for g in grams.values() for t in g.times])[order]
+            times = np.add.reduceat(times, first, dtype=np.int64) if len(first) else times
             cuts = np.searchsorted(keys, borders)
             parts = [(n, pack(k), pack_numbers(t), int(t.sum())) for n, (k, t) in enumerate(
                 zip(np.split(keys, cuts), np.split(times, cuts))) if len(k)]
@@ -258,22 +295,26 @@ def frequent_phrases(df: DataFrame, text: str, lang: str, threshold: int, block_
         order = np.argsort(table.column("lang").to_numpy(zero_copy_only=False), kind="stable")
         table = table.take(pa.array(order))
         grams = block_grams(table.column("lang").to_pylist(), table.column("text").to_pylist())
-        langs, phrases, times = [], [], []
+        langs, phrases, times = [], [], [np.empty(0, np.int64)]
         if grams:
-            keys = _sorted_keys(grams, bits)[0]
+            keys, order, first = _sorted_keys(grams, bits)
             cuts = [0, *np.searchsorted(keys, borders).tolist(), len(keys)]
             frequent = np.zeros(len(keys), bool)
             for n, data in zip(answers.column("range").to_pylist(), answers.column("bits").to_pylist()):
                 own = np.unpackbits(np.frombuffer(zlib.decompress(data), np.uint8))
                 frequent[cuts[n]:cuts[n + 1]] = own[:cuts[n + 1] - cuts[n]]
-            keys = keys[frequent]
+            chosen = np.zeros(len(order), bool)
+            chosen[order] = np.repeat(frequent, np.diff(first, append=len(order)))
+            at = 0
             for lang, own in grams.items():
-                chosen = np.flatnonzero(np.isin(own.keys >> np.uint64(64 - bits), keys))
-                phrases += map(own.phrase, own.starts[chosen].tolist(), own.lengths[chosen].tolist())
-                times.append(own.times[chosen])
-                langs += [lang] * len(chosen)
+                size = sum(map(len, own.codes))
+                found, counts = own.phrases(chosen[at:at + size])
+                at += size
+                phrases += found
+                times.append(counts)
+                langs += [lang] * len(found)
         return pa.table({"lang": pa.array(langs, pa.string()), "phrase": pa.array(phrases, pa.string()),
-                         "n": pa.array(np.concatenate(times) if times else [], pa.int64())})
+                         "n": pa.array(np.concatenate(times))})
 
     counted = texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
         count, "lang string, phrase string, n long").groupBy("lang", "phrase").agg(

@@ -104,13 +104,18 @@ def test_summaries_lose_nothing_frequent(threshold):
         assert len(found) <= mass // threshold + 1
 
 
-def test_words_that_do_not_fit_one_number(monkeypatch):
-    monkeypatch.setattr(C, "WORD_LIMIT", 4)
-    words = " ".join(random.Random(3).choice("abcdefgh") for _ in range(500)).encode()
-    grams = C.NGrams("en", [words])
-    w = words.decode().split()
-    want = Counter(" ".join(w[i:i + n]) for n in (1, 2, 3) for i in range(len(w) - n + 1))
-    assert {grams.phrase(s, n): t for s, n, t in zip(grams.starts.tolist(), grams.lengths.tolist(), grams.times.tolist())} == want
+@pytest.mark.parametrize("limit", [C.WORD_LIMIT, 4])
+def test_n_grams_of_a_block(monkeypatch, limit):
+    monkeypatch.setattr(C, "WORD_LIMIT", limit)
+    w = random.Random(3).choices("abcdefgh", k=500)
+    grams = C.NGrams("en", [" ".join(w).encode(), b"a, b"])
+    want = Counter(" ".join(w[i:i + n]) for n in (1, 2, 3) for i in range(len(w) - n + 1)) + Counter("ab")
+    phrases, times = grams.phrases(np.ones(len(want), bool))
+    assert dict(zip(phrases, times.tolist())) == want and grams.n_words == 502
+    assert len(set(grams.keys().tolist())) == len(want)
+    some = np.arange(len(want)) % 3 == 0
+    assert grams.phrases(some)[0] == [p for p, s in zip(phrases, some) if s]
+    assert len(C.NGrams("en", [b" ., "]).keys()) == 0
 
 
 def test_long_texts_are_cut_between_pieces():
