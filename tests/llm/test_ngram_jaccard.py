@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 from rows import AWKWARD, empty, table
 
 from corpusloom.llm import ngram_jaccard as N
@@ -64,6 +65,94 @@ def test_against_all_pairs_over_many_blocks(spark):
     assert found(table(spark, rows), block_bytes=4000) == brute(rows)
 
 
+def near_copies(seed, n, length=60, edits=9, passage=12):
+    """Copies of one text with some words changed: most are near it, few are near each other."""
+    rng = random.Random(seed)
+    base = [f"w{rng.randint(0, 900)}" for _ in range(length)]
+    rows = []
+    for k in range(n):
+        words = list(base)
+        for _ in range(rng.randint(0, edits) // 2):
+            words[rng.randrange(length)] = f"x{rng.randint(0, 400)}"
+        rows.append((k, " ".join(words + [f"p{i}" for i in range(passage * rng.randint(0, 1))])))
+    return rows
+
+
+def all_overlaps(rows):
+    """(sizes, overlaps of all pairs) by a dense product."""
+    sets = [grams(t) for _, t in rows]
+    columns = {g: i for i, g in enumerate({g for s in sets for g in s})}
+    incidence = np.zeros((len(rows), len(columns)), np.float32)
+    for row, s in zip(incidence, sets):
+        row[[columns[g] for g in s]] = 1
+    return incidence.sum(axis=1), incidence @ incidence.T
+
+
+def test_a_large_group_of_near_copies_is_joined_without_its_pairs(spark, monkeypatch):
+    rows = near_copies(5, 2000)
+    sizes, overlaps = all_overlaps(rows)
+    linked = 100 * overlaps >= 80 * (sizes[:, None] + sizes[None, :] - overlaps)
+    assert 0.02 < linked.mean() < 0.9
+    component = np.arange(len(rows))
+    while True:
+        least = np.where(linked, component[None, :], len(rows)).min(axis=1)
+        if (least == component).all():
+            break
+        component = least
+    passed = []
+
+    def counted(df, purpose, write=N.written):
+        out = write(df, purpose)
+        passed.append((purpose, out.count()))
+        return out
+
+    monkeypatch.setattr(N, "written", counted)
+    got = sorted((r.doc_id, r.n_grams, r.component) for r in N.jaccard_components(
+        table(spark, rows, extra=False), block_bytes=200_000).collect())
+    assert got == [(k, int(sizes[k]), int(component[k])) for k in range(len(rows))]
+    assert len(set(component.tolist())) > 20
+    # Columns in front are a fifth of a row; no table holds more than these.
+    most = sum(int(s) // 5 + 1 for s in sizes)
+    assert {p for p, _ in passed} >= {"front", "hub-links", "blocks"}
+    assert all(n <= most for _, n in passed), passed
+
+
+def test_products_of_blocks_join_what_links(monkeypatch):
+    rng = np.random.default_rng(6)
+    for trial in range(60):
+        n, percent = int(rng.integers(2, 40)), int(rng.choice([30, 50, 80]))
+        base = rng.choice(500, 30, replace=False)
+        shared = []
+        for _ in range(n):
+            kept = base[rng.random(30) < rng.choice([0.4, 0.9])]
+            shared.append(np.unique(np.concatenate([kept, rng.integers(500, 520, 4)])).astype(np.uint64))
+        sizes = np.array([len(s) for s in shared])
+        counts = np.bincount(np.concatenate(shared).astype(int), minlength=600)
+        fronts = []
+        for s in shared:
+            order = np.lexsort((s, counts[s.astype(int)]))
+            fronts.append(s[order[:len(s) - -(-percent * len(s) // 100) + 1]])
+        side = rng.random(n) < 0.5 if trial % 2 else np.zeros(n, bool)
+        component = rng.integers(0, n, n) if trial % 3 else np.arange(n)
+        parent = {int(c): int(c) for c in component}
+
+        def find(c):
+            while parent[c] != c:
+                c = parent[c]
+            return c
+
+        for a, b in N.product_links(sizes, fronts, shared, component, side, percent):
+            both = len(np.intersect1d(shared[a], shared[b]))
+            assert 100 * both >= percent * (sizes[a] + sizes[b] - both)
+            assert find(int(component[a])) != find(int(component[b]))
+            parent[find(int(component[a]))] = find(int(component[b]))
+        for a in range(n):
+            for b in range(a):
+                both = len(np.intersect1d(shared[a], shared[b]))
+                if 100 * both >= percent * (sizes[a] + sizes[b] - both) and (side[a] != side[b] or not side.any()):
+                    assert find(int(component[a])) == find(int(component[b]))
+
+
 def test_one_of_each_stays(spark):
     rows = similar_rows(8, 4, 6)
     stay = N.one_of_each(table(spark, rows))
