@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusloom.llm.shared import written
+from corpusloom.llm.shared import fresh, written
 
 UNDETERMINED = "und"
 # Slots of a filter: this many for each trigram of its largest language, 2^SLOT_BITS at least.
@@ -159,7 +159,9 @@ def fit(rows: DataFrame, text: str = "text", lang: str = "lang",
         learned: float = SHARE_LEARNED) -> Model:
     """The filters of the most frequent typical trigrams of each language, over all rows.
 
-    Rows with null text or language teach nothing. Without any row no language is known.
+    Rows with null text or language teach nothing; repeated rows teach each time, and a long text
+    is read whole, in bounded segments. Without any row no language is known. Other columns are not
+    looked at.
     """
     source = rows.select(F.col(lang).alias("lang"), F.col(text).alias("text")).filter(
         "lang IS NOT NULL AND text IS NOT NULL")
@@ -215,13 +217,8 @@ def fit(rows: DataFrame, text: str = "text", lang: str = "lang",
     return Model(filters)
 
 
-def identify(rows: DataFrame, model: Model, text: Column) -> DataFrame:
-    """The rows with ``lang_pred`` and ``score``, the share of trigrams in that language.
-
-    A text that is null or has no letter is ``und`` with score 0, and so is every text if no
-    language is known. Of languages with equal shares the one with more training rows is taken.
-    Columns of these two names are replaced.
-    """
+def prediction(rows: DataFrame, model: Model, text: Column) -> Column:
+    """A struct of ``lang_pred`` and ``score`` for the rows of a table; see ``identify``."""
     shared = rows.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang_pred string, score double")
@@ -238,6 +235,18 @@ def identify(rows: DataFrame, model: Model, text: Column) -> DataFrame:
                     names[i], scores[i] = known[best[i]], float(share[i])
             yield pd.DataFrame({"lang_pred": names, "score": scores})
 
-    kept = [F.col(f"`{c}`") for c in rows.columns if c not in ("lang_pred", "score")]
-    return rows.select(*kept, predict(text).alias("found")).select(
-        *kept, F.col("found.lang_pred"), F.col("found.score"))
+    return predict(text)
+
+
+def identify(rows: DataFrame, model: Model, text: Column) -> DataFrame:
+    """The rows with ``lang_pred`` and ``score``, the share of trigrams in that language.
+
+    A text that is null or has no letter is ``und`` with score 0, and so is every text if no
+    language is known. Of languages with equal shares the one with more training rows is taken.
+    Repeated rows are judged each; a long text is read whole, in bounded segments. Columns of these
+    two names are replaced; all others stay, whatever their names.
+    """
+    found, = fresh(rows, "found")
+    kept = [F.col(f"`{c}`") for c in rows.columns if c.lower() not in ("lang_pred", "score")]
+    return rows.select(*kept, prediction(rows, model, text).alias(found)).select(
+        *kept, F.col(f"{found}.lang_pred"), F.col(f"{found}.score"))

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 CAPACITY = 1024
-RUN_TOKENS = 8 << 20
+RUN_TOKENS = 2 << 20
 # Local window numbers of a task; the task's number stands above them.
 TASK_SHIFT = 40
 

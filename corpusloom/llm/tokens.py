@@ -10,7 +10,8 @@ _CUT = re.compile(r"(?<=\S) (?=\S)")
 _UNCLEAR = re.compile(r" \s|\s ")
 # ASCII punctuation but the apostrophe, which can begin a token of letters.
 _MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
-CACHED_PIECES = 800_000
+# Pieces remembered: so many are new, as many again may be older ones.
+CACHED_PIECES = 400_000
 CACHED_CHARS = 64
 
 
@@ -24,29 +25,37 @@ def _byte_letters() -> dict[int, str]:
 class _Pieces(dict):
     """Ids of pieces after a common lead, computed when first asked for.
 
-    Letters, also before a run of marks or a line break, go straight to the tokenizer's merges,
+    When so many are held, they become the old ones, and those old before are forgotten; a piece
+    that is asked for again is new again, so frequent ones stay. Letters, also before a run of marks or a line break, go straight to the tokenizer's merges,
     since the split before the merges cuts there; any other piece goes through all of it.
     """
 
-    def __init__(self, tokenizer, lead: str, first: "_Pieces | None" = None):
+    def __init__(self, tokenizer, lead: str, first: "_Pieces | None" = None,
+                 held: int = CACHED_PIECES):
         super().__init__()
-        self.tokenizer, self.lead = tokenizer, lead
+        self.tokenizer, self.lead, self.held, self.old = tokenizer, lead, held, {}
         self.first = self if first is None else first
         self.merges, self.letters = tokenizer.model.tokenize, _byte_letters()
 
     def __missing__(self, piece: str) -> bytes:
-        letters = piece.rstrip(_MARKS)
-        if letters.isalpha():
-            ids = self._merged(self.lead + piece) if letters == piece else (
-                self[letters] + self._merged(piece[len(letters):]))
-        else:
-            ids = self._lines(piece)
+        ids = self.old.get(piece)
+        if ids is None:
+            ids = self._encoded(piece)
         if len(piece) <= CACHED_CHARS:
-            if len(self) >= CACHED_PIECES:
+            if len(self) >= self.held:
+                self.old = dict(self)
                 self.clear()
             self[piece] = ids
         return ids
 
+    def _encoded(self, piece: str) -> bytes:
+        letters = piece.rstrip(_MARKS)
+        if not letters.isalpha():
+            return self._lines(piece)
+        if letters == piece:
+            return self._merged(self.lead + piece)
+        return self[letters] + self._merged(piece[len(letters):])
+
     def _lines(self, piece: str) -> bytes:
         before, cut, after = piece.partition("\n")
         if cut and before and after and not before[-1].isspace() and not after[0].isspace():
@@ -63,35 +72,51 @@ class PieceEncoder:
     """Encodes texts with the tokenizers library, each distinct piece of a text once.
 
     Texts of a corpus repeat their words, and the library spends most of its time on words it
-    has seen. Pieces are remembered up to a bound; then all are forgotten, which costs time only.
-    Strings of special tokens in a text are ordinary text. The file must be byte-level without a
-    normalizer or added leading space. Broadcast, an encoder serves all tasks of a worker.
+    has seen. Pieces are remembered up to a bound, ``held`` new and as many old ones in each of two
+    tables; the bound costs time only. The names of special tokens in a text become those tokens,
+    as the library has it, or with ``plain_specials`` are text like any other. The file must be
+    byte-level without a normalizer or added leading space, and its special tokens must not take
+    white space around them. Broadcast, an encoder serves all tasks of a worker.
     """
 
-    def __init__(self, tokenizer_json: str):
-        self.tokenizer_json = tokenizer_json
-        self.first = self.later = None
+    def __init__(self, tokenizer_json: str, plain_specials: bool = False, held: int = CACHED_PIECES):
+        self.options = tokenizer_json, plain_specials, held
+        self.first = self.later = self.specials = None
+        self.special_ids = {}
 
     def __getstate__(self):
-        return self.tokenizer_json
+        return self.options
 
     def __setstate__(self, state):
-        self.__init__(state)
+        self.__init__(*state)
 
     def _load(self) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_str(self.tokenizer_json)
+        tokenizer_json, plain_specials, held = self.options
+        tokenizer = Tokenizer.from_str(tokenizer_json)
+        added = {} if plain_specials else {
+            t.content: n for n, t in tokenizer.get_added_tokens_decoder().items()}
+        self.special_ids = {name: array("I", [n]).tobytes() for name, n in added.items()}
+        if added:
+            longest_first = sorted(added, key=len, reverse=True)
+            self.specials = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")")
         tokenizer.encode_special_tokens = True
-        self.first = _Pieces(tokenizer, "")
-        self.later = _Pieces(tokenizer, " ", self.first)
+        self.first = _Pieces(tokenizer, "", held=held)
+        self.later = _Pieces(tokenizer, " ", self.first, held=held)
 
     def encode(self, text: str | None) -> bytes:
         """The ids as little-endian unsigned 32-bit integers; null is empty."""
         if self.later is None:
             self._load()
-        text = text or ""
+        if not text or self.specials is None or not self.specials.search(text):
+            return self._plain(text or "")
+        between = self.specials.split(text)
+        return b"".join(self.special_ids[part] if n % 2 else self._plain(part)
+                        for n, part in enumerate(between))
+
+    def _plain(self, text: str) -> bytes:
         pieces = _CUT.split(text) if _UNCLEAR.search(text) else text.split(" ")
         return self.first[pieces[0]] + b"".join(map(self.later.__getitem__, pieces[1:]))
 

@@ -11,7 +11,8 @@ AWKWARD = [
     (8, "é 日本語 \u00a0\u2028 <|endoftext|> 'tis\r\n\r\nnaïve  \x1c end"), (8, "12 !! ?? 34"),
 ]
 # Names that the operators use for their own columns.
-CLASHING = ["key", "node", "score", "lang_pred", "ids", "block", "digest", "salt", "kept", "part", "size"]
+CLASHING = ["key", "node", "score", "lang_pred", "ids", "block", "digest", "salt", "kept", "part", "size",
+            "judged", "found", "own_node", "row", "root", "gram", "tie"]
 
 
 def table(spark, rows=AWKWARD, extra=True):

@@ -15,18 +15,27 @@ ODD = ["", " ", "  ", " a", "a ", "a  b", "a\n b", "a \nb", "\x1c a \x1d b", "do
        "ab'll,'s (x) %% 'S", "x.\ny.\n\nz! 3rd ½ ² Ⅷ"]
 
 
-@pytest.fixture(scope="module")
-def library():
+def whole(**settings):
     found = Tokenizer.from_file(PATH)
-    found.encode_special_tokens = True
+    for name, value in settings.items():
+        setattr(found, name, value)
     return lambda text: found.encode(text or "", add_special_tokens=False).ids
 
 
-def test_pieces_are_encoded_like_whole_texts(library, monkeypatch):
-    monkeypatch.setattr(tokens, "CACHED_PIECES", 6)
-    encoder = tokens.PieceEncoder(tokens.read_file(PATH))
-    for text in ODD + [t for _, t in AWKWARD]:
-        assert np.frombuffer(encoder.encode(text), "<u4").tolist() == library(text)
+@pytest.fixture(scope="module")
+def library():
+    return whole()
+
+
+@pytest.mark.parametrize("plain", [False, True])
+def test_pieces_are_encoded_like_whole_texts(plain):
+    encoder = tokens.PieceEncoder(tokens.read_file(PATH), plain_specials=plain, held=6)
+    wanted = whole(encode_special_tokens=plain)
+    special = ["<|endoftext|>", "hello <|endoftext|> there", "<|endoftext|><|endoftext|>a \n<|endoftext|> ",
+               "<|endoftext| <|endoftext|>.x"]
+    for text in 2 * (ODD + special + [t for _, t in AWKWARD]):
+        assert np.frombuffer(encoder.encode(text), "<u4").tolist() == wanted(text)
+    assert (50256 in wanted(special[0])) != plain
 
 
 @pytest.mark.parametrize("vocabulary", [50_257, 1 << 20])
@@ -38,6 +47,7 @@ def test_files(spark, library, vocabulary):
     rows = index.join(read, ["part", "row"]).orderBy("start").collect()
     assert len(rows) == len(AWKWARD)
     assert [r.doc_id for r in rows] == sorted((k for k, _ in AWKWARD), key=lambda k: (k is not None, k))
+    assert [r.key for r in rows] == [r.doc_id for r in rows]
     assert [r.start for r in rows] == [sum(q.n_tokens for q in rows[:i]) for i in range(len(rows))]
     want = [(k, np.array(library(t) + [2], "<u4").tobytes()) for k, t in AWKWARD]
     assert sorted(((r.doc_id, bytes(r.ids)) for r in rows), key=repr) == sorted(want, key=repr)
