@@ -2,7 +2,8 @@
 
 The model is a weighted automaton. A state is a context of words, an arc the next word; a state
 without an arc for a word is left by its failure arc, whose weight is paid, to the state of the
-context without its first word. One pass from left to right carries the state and adds weights.
+context without its first word. One pass from left to right carries the number of the state, over
+many stretches of text abreast, and adds up weights.
 
 The model grows with the corpus and no task holds it. Texts are dealt into blocks. A block sends
 each distinct n-gram once, with its count in the texts to learn from, to the range of n-grams that
@@ -20,10 +21,12 @@ from pyspark.sql import types as T
 from corpusloom.llm.shared import blocks_for
 from corpusloom.llm.sorted_keys import pack, pack_numbers, unpack, unpack_numbers
 
-ORDER = 2
+ORDER = 3
 # The weight of the shorter context, in occurrences: p(w|h) = (c(hw) + PRIOR p(w|h')) / (c(h) + PRIOR).
 PRIOR = 100.0
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
+# Tokens of a lane, and so steps of a walk over a block.
+LANE = 512
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 # Tokens that no word hashes to except by chance: the start and the end of a text.
 _START, _END = np.uint64(0x5354415254), np.uint64(0x454E44)
@@ -92,44 +95,89 @@ def word_chances(counts: np.ndarray, tokens: int, distinct: int) -> np.ndarray:
 
 @dataclass
 class Automaton:
-    """``arcs`` of order k: the weight of each n-gram of k tokens as the arc of its last token
-    from the state of the others, nan where there is none; ``fails`` of order k: what leaving the
-    state of k - 1 tokens costs, at the position of the token that is not found."""
+    """The states and arcs that a block of texts can reach.
 
-    grams: Grams
-    arcs: list[np.ndarray]
-    fails: list[np.ndarray]
+    State 0 is no context, then come the n-grams of 1 to order - 1 tokens, and last the start of a
+    text. ``arcs`` are state * words + word, ascending, with the weight of each and the state it
+    leads to; a state that lacks an arc is left for ``fail_to`` at the cost of ``fail_weight``.
+    State 0 has an arc for every word.
+    """
+
+    words: int
+    start: int
+    arcs: np.ndarray
+    weight: np.ndarray
+    leads_to: np.ndarray
+    fail_to: np.ndarray
+    fail_weight: np.ndarray
 
     @classmethod
     def of(cls, grams: Grams, counts: list[np.ndarray], tokens: int, distinct: int,
            prior: float) -> "Automaton":
-        chance = word_chances(counts[0], tokens, distinct)
-        arcs, fails = [chance], [np.zeros(0)]
+        order, words = len(grams.keys), len(grams.keys[0])
+        first = np.cumsum([1, *map(len, grams.keys[:order - 1])])
+        start = int(first[-1])
         texts = counts[0][np.searchsorted(grams.keys[0], _END)]
-        for k in range(1, len(grams.keys)):
+        # A state is met as often as its tokens occur; the start as often as an end.
+        seen = np.concatenate([[0], *counts[:order - 1], [texts]]).astype(np.float64)
+        fail_to = np.concatenate([[0], *(
+            np.zeros(words, np.int64) if k == 0 else first[k - 1] + grams.index[k - 1][grams.at[k]]
+            for k in range(order - 1)), [0]]).astype(np.int64)
+        chance = word_chances(counts[0], tokens, distinct)
+        own = np.arange(words)
+        parts = [(own, chance, np.where(counts[0] > 0, 1 + own, 0) if order > 1 else own * 0)]
+        for k in range(1, order):
             at, shorter = grams.at[k], grams.index[k - 1]
-            state = shorter[at - 1]
-            # A state is met as often as its tokens occur; the start as often as an end.
-            seen = np.where(state >= 0, counts[k - 1][state], texts)
-            chance = np.log10((counts[k] + prior * 10 ** chance[shorter[at]]) / (seen + prior))
-            arcs.append(np.where(counts[k] > 0, chance, np.nan))
-            fails.append(np.log10(prior / (seen + prior)))
-        return cls(grams, arcs, fails)
-
-    def traverse(self) -> np.ndarray:
-        """The weight paid for each position, all texts of the block abreast: a token takes the
-        arc of the longest state, or fails to the next shorter one."""
-        paid = np.zeros(len(self.grams.index[0]))
-        waiting = np.ones(len(paid), bool)
-        waiting[self.grams.starts] = False
-        for index, arcs, fails in reversed(list(zip(self.grams.index, self.arcs, self.fails))):
-            here = np.flatnonzero(waiting & (index >= 0))
-            weight = arcs[index[here]]
-            missing = np.isnan(weight)
-            if missing.any():
-                paid[here[missing]] += fails[index[here[missing]]]
-            paid[here[~missing]] += weight[~missing]
-            waiting[here[~missing]] = False
+            state = np.where(shorter[at - 1] >= 0, first[k - 1] + shorter[at - 1], start)
+            chance = np.log10((counts[k] + prior * 10 ** chance[shorter[at]]) / (seen[state] + prior))
+            after = first[k] + np.arange(len(at)) if k < order - 1 else first[k - 1] + shorter[at]
+            learned = counts[k] > 0
+            parts.append(((state * words + grams.index[0][at])[learned], chance[learned], after[learned]))
+        arcs, weight, leads_to = map(np.concatenate, zip(*parts))
+        ascending = np.argsort(arcs, kind="stable")
+        return cls(words, start, arcs[ascending], weight[ascending], leads_to[ascending], fail_to,
+                   np.log10(prior / (seen + prior)))
+
+    def step(self, state: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The states that words lead to, and the weights paid, failure arcs included."""
+        state, paid = state.copy(), np.zeros(len(state))
+        waiting = np.arange(len(state))
+        while len(waiting):
+            wanted = state[waiting] * self.words + word[waiting]
+            at = np.minimum(np.searchsorted(self.arcs, wanted), len(self.arcs) - 1)
+            found = self.arcs[at] == wanted
+            there, missing = waiting[found], waiting[~found]
+            paid[there] += self.weight[at[found]]
+            state[there] = self.leads_to[at[found]]
+            paid[missing] += self.fail_weight[state[missing]]
+            state[missing] = self.fail_to[state[missing]]
+            waiting = missing
+        return state, paid
+
+    def traverse(self, grams: Grams, order: int, lane: int = LANE) -> np.ndarray:
+        """The weight paid for each position, every text from left to right.
+
+        Long texts are cut into lanes that are walked abreast, each carrying its state. A lane
+        begins order - 1 tokens before its own, from no context or the start of the text: that many
+        tokens determine the state, and what they cost is paid by the lane before.
+        """
+        begin = np.concatenate([np.arange(s + 1, s + n, lane) for s, n in zip(
+            grams.starts.tolist(), grams.length.tolist())])
+        text = np.searchsorted(grams.starts, begin, "right") - 1
+        end = np.minimum(begin + lane, (grams.starts + grams.length)[text])
+        warm = np.maximum(begin - (order - 1), grams.starts[text])
+        at_start = warm == grams.starts[text]
+        warm = warm + at_start
+        by_length = np.argsort(warm - end, kind="stable")
+        begin, end, warm, at_start = (x[by_length] for x in (begin, end, warm, at_start))
+        state = np.where(at_start, self.start, 0)
+        lengths, paid = end - warm, np.zeros(len(grams.index[0]))
+        for k in range(int(lengths.max(initial=0))):
+            active = np.searchsorted(-lengths, -k, "left")
+            place = warm[:active] + k
+            state[:active], cost = self.step(state[:active], grams.index[0][place])
+            own = place >= begin[:active]
+            paid[place[own]] = cost[own]
         return paid
 
 
@@ -142,7 +190,8 @@ def score_texts(df: DataFrame, learn: Column, key: str = "doc_id", text: str = "
     model is learned from rows where ``learn`` holds (null: not). ``base_score`` takes words one
     by one, ``score`` follows the automaton; both are log10. n_known counts tokens seen in
     learning. A null text is empty, so its end is its only token. Rows with equal or null keys
-    are kept apart; no other column is looked at. An empty table gives no rows.
+    are kept apart, repeated rows count and are scored each; a long text is read by one task. No
+    other column is looked at. An empty table gives no rows.
     """
     if order < 1 or prior <= 0:
         raise ValueError("order is at least 1, prior above 0")
@@ -205,7 +254,7 @@ def score_texts(df: DataFrame, learn: Column, key: str = "doc_id", text: str = "
         counts = [np.concatenate([unpack_numbers(back[r][k]) for r in sorted(back)]).astype(np.int64)
                   for k in range(order)]
         tokens, distinct = (answers.column(c)[0].as_py() for c in ("all_tokens", "all_distinct"))
-        paid = Automaton.of(grams, counts, tokens, distinct, prior).traverse()
+        paid = Automaton.of(grams, counts, tokens, distinct, prior).traverse(grams, order)
         single = np.zeros(len(paid))
         known = np.zeros(len(paid), np.int64)
         place, index = grams.places[0], grams.index[0]

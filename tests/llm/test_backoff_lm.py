@@ -1,7 +1,9 @@
 import math
+import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from rows import AWKWARD, empty, table
@@ -63,5 +65,19 @@ def test_chances_of_a_context_sum_to_one(spark):
     got = L.score_texts(table(spark, rows + [(9, "a")]), F.col("doc_id") < 2, prior=1.0)
     score = {r.doc_id: r.score for r in got.collect()}
     # After "a": four words, one of them unseen, and the end.
-    want = brute(rows + [(9, "a")], [True, True] + [False] * 5, 2, 1.0)
+    want = brute(rows + [(9, "a")], [True, True] + [False] * 5, L.ORDER, 1.0)
     assert score[9] == pytest.approx(want[-1][4])
+
+
+@pytest.mark.parametrize("order, lane", [(1, 3), (2, 1), (3, 2), (3, 5), (4, 3), (4, 500)])
+def test_walks_in_lanes_of_any_length(order, lane):
+    rng = random.Random(order * 10 + lane)
+    texts = [" ".join(rng.choices("a b c d e".split(), k=rng.randint(0, 30))) for _ in range(25)]
+    learned = [rng.random() < 0.6 for _ in texts]
+    grams = L.Grams.of(texts, order)
+    counts = grams.counts(np.array(learned))
+    total, distinct = int(counts[0].sum()), int((counts[0] > 0).sum())
+    automaton = L.Automaton.of(grams, counts, total, distinct, 1.5)
+    paid = np.add.reduceat(automaton.traverse(grams, order, lane), grams.starts)
+    want = brute([(0, t) for t in texts], learned, order, 1.5)
+    assert paid.tolist() == pytest.approx([w[4] for w in want])
