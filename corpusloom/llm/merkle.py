@@ -72,18 +72,24 @@ class Tree:
             tuple(tuple((p[i:i + 8], int(p[i + 8:i + 10], 16)) for i in range(0, len(p), 10))
                   for p in section.split(".")) for section in rest.split("/")) if rest else ())
 
-    def pieces(self) -> Counter:
-        return Counter(piece for section in self.sections for paragraph in section
-                       for piece in paragraph)
-
 
 def likeness(a: Tree, b: Tree) -> float:
-    """The characters in pieces that both have, of the characters of both: 1 for equal roots."""
+    """The characters in pieces that both have, of the characters of both: 1 for equal roots.
+
+    Equal sections count as a whole and are left, then equal paragraphs of the others, then equal
+    pieces of what remains, so only unequal branches are entered.
+    """
     if a.root == b.root:
         return 1.0
-    mine, other = a.pieces(), b.pieces()
-    both = sum(n * size for (_, size), n in (mine & other).items())
-    total = sum(n * size for pieces in (mine, other) for (_, size), n in pieces.items())
+    total = sum(_size(s, 2) for tree in (a, b) for s in tree.sections)
+    left, right, both = Counter(a.sections), Counter(b.sections), 0
+    for depth in (2, 1, 0):
+        common = left & right
+        both += sum(n * _size(node, depth) for node, n in common.items())
+        left, right = left - common, right - common
+        if depth:
+            left, right = (Counter(c for node in nodes.elements() for c in node)
+                           for nodes in (left, right))
     return 2 * both / total if total else 0.0
 
 
@@ -142,7 +148,7 @@ def with_next(df: DataFrame, key: str, text: str, body: Callable, result: T.Stru
     dealt = (
         rows.withColumn("place", F.explode(deal("key", "tie")))
         .select("place.part", "place.guest", "key", "tie", "text")
-        .repartition(max(1, len(borders)), "part")
+        .repartitionById(max(1, len(borders)), "part")
         .sortWithinPartitions("part", "guest", "key", "tie", "text"))
     names = result.names
 
@@ -188,8 +194,8 @@ def compare_edits(df: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
 
     The columns are key, n_chars, edited (the text), fingerprint, edited_fingerprint, near_edited,
     near_next, and edit_start, edit_end: the span of the text outside which nothing changed (null
-    if nothing did). A null text is empty. Rows with equal or null keys are documents of their
-    own. Other columns are not looked at. An empty table gives no rows.
+    if nothing did). A null text is empty; a long one is read by one task. Rows with equal or null
+    keys are documents of their own, so are repeated rows. Other columns are not looked at. An empty table gives no rows.
     """
     result = (T.StructType().add("key", df.schema[key].dataType).add("n_chars", T.LongType())
               .add("edited", T.StringType()).add("fingerprint", T.StringType())

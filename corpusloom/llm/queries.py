@@ -98,11 +98,8 @@ def op6_url_vocabulary(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _url_sql() -> str:
-    def alone(term):
-        return f"regexp_matches(lowered, '(^|[^a-z0-9]){term}([^a-z0-9]|$)')"
-
-    strict = " OR ".join(alone(t) for t in url_filter.STRICT)
-    soft = " + ".join(f"CAST({alone(t)} AS INT)" for t in url_filter.SOFT)
+    u = url_filter
+    terms = ", ".join(f"('{t}', '{kind}', {weight})" for t, kind, weight in u.VOCABULARY)
     rules = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in RULES)
     return rf"""
 WITH split AS (
@@ -119,20 +116,27 @@ fits AS (
                          length(rule_host || rule_path)) AS best
   FROM split JOIN rules r
     ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+  GROUP BY page_id),
+vocabulary(term, kind, weight) AS (VALUES {terms}),
+hits AS (
+  SELECT page_id, count_if(kind = '{u.STRICT}') AS strict, count_if(kind = '{u.SOFT}') AS soft,
+    coalesce(sum(weight) FILTER (kind = '{u.SOFT}'), 0) AS together
+  FROM split JOIN vocabulary ON contains(lowered, term)
+    AND regexp_matches(lowered, '(^|[^a-z0-9])' || term || '([^a-z0-9]|$)')
   GROUP BY page_id)
 SELECT page_id, host, path, best.rule AS rule,
-  coalesce(best.verdict,
-    CASE WHEN {strict} OR {soft} >= {url_filter.MIN_SOFT} THEN 'block' ELSE 'allow' END) AS verdict
-FROM split LEFT JOIN fits USING (page_id)
+  coalesce(best.verdict, CASE WHEN strict > 0 OR soft >= {u.MIN_SOFT} AND together >= {u.SOFT_BOUND}
+                              THEN 'block' ELSE 'allow' END) AS verdict
+FROM split LEFT JOIN fits USING (page_id) LEFT JOIN hits USING (page_id)
 """
 
 
 SQL["op6_url_vocabulary"] = _url_sql()
 
 
-def piece_encoder(spark: SparkSession, path: str):
+def piece_encoder(spark: SparkSession, path: str, **options):
     """encode(text) for tasks; the tokenizer file travels from the driver in a broadcast."""
-    shared = spark.sparkContext.broadcast(tokens.PieceEncoder(tokens.read_file(path)))
+    shared = spark.sparkContext.broadcast(tokens.PieceEncoder(tokens.read_file(path), **options))
     return lambda text: shared.value.encode(text)
 
 
@@ -152,11 +156,10 @@ def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
 
     encode = piece_encoder(spark, public_tokenizers.path("byte_bpe_50k.json"))
     out = scratch.new_folder(spark, "token-files")
-    index = token_files.write_token_files(
+    token_files.write_token_files(
         table(spark, folder, "documents"), out, encode, end_id=2, vocabulary=50_257)
-    read = token_files.read_token_files(spark, out).select(
-        "part", "row", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
-    return index.join(read, ["part", "row"]).select("doc_id", "start", "n_tokens", "ids_crc32")
+    return token_files.read_token_files(spark, out).select(
+        F.col("key").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
 @query

@@ -2,8 +2,9 @@
 
 Keys are dealt into ranges; a task sorts its range and writes one pair of files. ``part-N.bin``
 holds unsigned integers of 16 bits if the vocabulary allows, else 32, and ``part-N.idx`` the
-64-bit positions at which its documents begin and, last, end. ``parts.json`` names the parts in
-order with the ids before each, which are prefix sums over one row per part.
+64-bit positions at which its documents begin and, last, end; ``part-N.key`` holds their keys as an
+Arrow stream. ``parts.json`` names the parts in order with the ids before each, which are prefix
+sums over one row per part.
 """
 
 import json
@@ -18,6 +19,7 @@ from pyspark.sql import types as T
 from corpusloom.llm.shared import blocks_for
 
 RANGE_BYTES = 32 << 20
+READ_ROWS = 1024
 MANIFEST = "parts.json"
 
 
@@ -38,6 +40,17 @@ def _publish(files, path: str, chunks) -> None:
     files.move(draft, path)
 
 
+def _stream(keys) -> bytes:
+    """A column as an Arrow stream of batches of bounded size."""
+    import pyarrow as pa
+
+    out = pa.BufferOutputStream()
+    table = pa.table({"key": keys})
+    with pa.ipc.new_stream(out, table.schema) as writer:
+        writer.write_table(table, max_chunksize=READ_ROWS)
+    return out.getvalue().to_pybytes()
+
+
 def write_token_files(df: DataFrame, folder: str, encode: Callable[[str | None], bytes],
                       key: str = "doc_id", text: str = "text", end_id: int = 2,
                       vocabulary: int = 1 << 32) -> DataFrame:
@@ -45,8 +58,8 @@ def write_token_files(df: DataFrame, folder: str, encode: Callable[[str | None],
 
     The index has part, row and key of every document; it is written beside the files as Parquet.
     Keys ascend over parts and rows, null keys first; rows with equal keys are ordered by a hash
-    of their text, then the text, and all written. A null text is empty. An empty table gives no part. ``encode`` gives
-    little-endian unsigned 32-bit ids, all below ``vocabulary``.
+    of their text, then the text, and all written. A null text is empty. An empty table gives no part.
+    ``encode`` gives little-endian unsigned 32-bit ids, all below ``vocabulary``.
     """
     kind = "<u2" if vocabulary <= 1 << 16 else "<u4"
     width = np.dtype(kind).itemsize
@@ -71,6 +84,7 @@ def write_token_files(df: DataFrame, folder: str, encode: Callable[[str | None],
         _publish(files, f"{path}/part-{part:06d}.bin", chunks())
         offsets = np.concatenate([[0], np.cumsum(sizes, dtype="<i8")]).astype("<i8")
         _publish(files, f"{path}/part-{part:06d}.idx", [offsets.tobytes()])
+        _publish(files, f"{path}/part-{part:06d}.key", [_stream(pa.array(keys, key_type))])
         for at in range(0, len(keys), 65536):
             rows = range(at, min(at + 65536, len(keys)))
             yield pa.RecordBatch.from_arrays(
@@ -101,14 +115,15 @@ def write_token_files(df: DataFrame, folder: str, encode: Callable[[str | None],
         parts.append({"part": row.part, "base": base})
         base += row.n
     _publish(files, f"{path}/{MANIFEST}", [json.dumps(
-        {"type": kind, "width": width, "parts": parts, "tokens": base}).encode()])
+        {"type": kind, "width": width, "parts": parts, "tokens": base,
+         "key": source.schema["key"].dataType.jsonValue()}).encode()])
     return index.select("part", "row", F.col("key").alias(key))
 
 
 def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
-    """part, row, start, n_tokens, ids (little-endian unsigned 32-bit) of every document.
+    """part, row, key, start, n_tokens, ids (little-endian unsigned 32-bit) of every document.
 
-    A task maps the files of its parts into memory, where the file system is local.
+    All of it comes from the files, so no row has to be looked up elsewhere. A task maps the files of its parts into memory, where the file system is local.
     """
     files, path = _open(folder)
     with files.open_input_file(f"{path}/{MANIFEST}") as file:
@@ -132,17 +147,22 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
                 name = f"{path}/part-{part:06d}"
                 offsets = mapped(files, f"{name}.idx").view("<i8")
                 ids = mapped(files, f"{name}.bin").view(kind)
-                for at in range(0, len(offsets) - 1, 1024):
-                    cuts = offsets[at:at + 1025]
+                keys = pa.ipc.open_stream(pa.py_buffer(mapped(files, f"{name}.key")))
+                for at in range(0, len(offsets) - 1, READ_ROWS):
+                    cuts = offsets[at:at + READ_ROWS + 1]
                     rows = len(cuts) - 1
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([part] * rows, pa.int64()), pa.array(range(at, at + rows), pa.int64()),
-                         pa.array(cuts[:-1] + base), pa.array(np.diff(cuts)),
+                         keys.read_next_batch().column(0), pa.array(cuts[:-1] + base), pa.array(np.diff(cuts)),
                          pa.array([ids[a:b].astype("<u4").tobytes() for a, b in zip(cuts, cuts[1:])],
                                   pa.binary())],
-                        ["part", "row", "start", "n_tokens", "ids"])
+                        ["part", "row", "key", "start", "n_tokens", "ids"])
 
-    parts = [(p["part"], p["base"]) for p in manifest["parts"]]
-    listed = spark.createDataFrame(parts, "part long, base long").repartition(
-        max(1, len(parts)), "part")
-    return listed.mapInArrow(read, "part long, row long, start long, n_tokens long, ids binary")
+    parts = [(p["part"], p["base"], n) for n, p in enumerate(manifest["parts"])]
+    listed = spark.createDataFrame(parts, "part long, base long, task int").repartitionById(
+        max(1, len(parts)), "task")
+    result = (T.StructType().add("part", T.LongType()).add("row", T.LongType())
+              .add(T.StructField.fromJson({"name": "key", "type": manifest["key"], "nullable": True,
+                                           "metadata": {}}))
+              .add("start", T.LongType()).add("n_tokens", T.LongType()).add("ids", T.BinaryType()))
+    return listed.mapInArrow(read, result)

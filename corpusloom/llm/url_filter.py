@@ -1,25 +1,38 @@
 """Host rules and a weighted vocabulary for URLs.
 
 A rule decides where one fits. Elsewhere one pass of an Aho-Corasick automaton over the URL finds
-all terms; a term counts only between characters other than ASCII letters and digits.
+all terms; a term counts only between characters other than ASCII letters and digits. One strict
+term rejects, or several distinct soft ones whose weights reach a bound together.
 """
 
 from collections.abc import Iterator, Mapping, Sequence
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ALLOW, BLOCK = "allow", "block"
+STRICT, SOFT = "strict", "soft"
 RESULT = ("host string, path string, rule string, verdict string, strict array<string>, "
           "soft array<string>, weight double")
 
-# Terms that reject alone, and terms that reject together with another one.
-STRICT = ("spam-farm", "cheap-pills", "casino", "porn", "xxx", "warez", "phishing", "viagra",
-          "adult-x")
-SOFT = ("spam", "cheap", "pills", "free", "bonus", "win", "loan", "bet", "poker", "adult",
-        "crack", "keygen", "torrent", "replica", "bets", "ads", "track")
-MIN_SOFT = 2
+# A small general vocabulary as (kind, weight, terms); larger ones are a parameter.
+GENERAL = (
+    (STRICT, 3, "casino porn porno xxx hentai milf escort viagra cialis levitra warez phishing "
+                "malware sexcam camgirl jackpot sportsbook payday"),
+    (SOFT, 2, "poker roulette slots betting gambling lottery pills pharmacy steroids tramadol "
+              "keygen crack torrent serial nulled replica counterfeit adult nude erotic sex dating "
+              "forex binary crypto airdrop loan loans mortgage refinance spam scam"),
+    (SOFT, 1, "free cheap discount deal deals bonus win winner prize bet coupon promo sale buy "
+              "order offer offers now best top hot click earn cash money credit debt weight diet "
+              "miracle download full cracked unlimited online live hack cheat generator"),
+)
+VOCABULARY = tuple((term, kind, float(weight)) for kind, weight, terms in GENERAL
+                   for term in terms.split())
+# Soft terms reject from this weight on, and never alone.
+SOFT_BOUND, MIN_SOFT = 3.0, 2
+# A vocabulary travels to every task, so it is bounded.
+MAX_TERMS = 1_000_000
 
 
 def split_url(url: str | None) -> tuple[str, str]:
@@ -56,20 +69,32 @@ def _alone(text: str, start: int, end: int) -> bool:
     return not (before.isascii() and before.isalnum()) and not (after.isascii() and after.isalnum())
 
 
+def read_vocabulary(terms: DataFrame, limit: int = MAX_TERMS) -> tuple[tuple[str, str, float], ...]:
+    """A table (term, kind, weight) as a vocabulary; of a term given twice the row that weighs most
+    counts, strict before soft. Null and empty terms are left out. More than ``limit`` raise."""
+    rows = terms.select("term", "kind", F.col("weight").cast("double").alias("weight")).filter(
+        F.length("term") > 0).groupBy("term").agg(
+        F.max(F.struct(F.col("kind") == STRICT, "weight")).alias("most")).limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"more than {limit} terms")
+    return tuple(sorted((r.term, STRICT if r.most[0] else SOFT, r.most[1]) for r in rows))
+
+
 def judge_url(url: Column | str, rules: Sequence[tuple[str, str, str]],
-              strict: Sequence[str] = STRICT, soft: Sequence[str] = SOFT,
-              min_soft: int = MIN_SOFT) -> Column:
+              vocabulary: Sequence[tuple[str, str, float]] = VOCABULARY,
+              bound: float = SOFT_BOUND, min_soft: int = MIN_SOFT) -> Column:
     """A struct of host, path, rule, verdict and the distinct terms found with their weight.
 
-    ``rules`` are (verdict, host, path). Without a fitting rule a URL is blocked by one strict
-    term or ``min_soft`` distinct soft ones; a strict term weighs ``min_soft``, a soft one 1.
-    A null URL and one without '://' have empty host and path; null holds no term, so it is
-    allowed. Any other column is left alone.
+    ``rules`` are (verdict, host, path), ``vocabulary`` (term, kind, weight) with terms in lower
+    case. Without a fitting rule a URL is blocked by one strict term, or by ``min_soft`` distinct
+    soft ones that weigh ``bound`` together; ``weight`` adds up all terms found. A null URL and one
+    without '://' have empty host and path; null holds no term, so it is allowed. A long URL is read
+    whole, repeated ones each. Any other column is left alone.
     """
     by_host: dict[str, dict[str, str]] = {}
     for verdict, host, path in rules:
         by_host.setdefault(host, {})[path] = verdict
-    terms = {t: 1 for t in soft} | {t: min_soft for t in strict}
+    terms = {term: (kind, weight) for term, kind, weight in vocabulary}
 
     @F.pandas_udf(RESULT)
     def judge(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -86,11 +111,14 @@ def judge_url(url: Column | str, rules: Sequence[tuple[str, str, str]],
             text = ascii_lower(url or "")
             hits = {t for end, t in automaton.iter(text)
                     if _alone(text, end + 1 - len(t), end + 1)} if terms else set()
-            weight = float(sum(terms[t] for t in hits))
+            strict = sorted(t for t in hits if terms[t][0] == STRICT)
+            soft = sorted(t for t in hits if terms[t][0] != STRICT)
+            together = sum(terms[t][1] for t in soft)
+            bad = bool(strict) or len(soft) >= min_soft and together >= bound
             rule = fitting_rule(host, path, by_host)
-            verdict = rule[2] if rule else BLOCK if weight >= min_soft else ALLOW
-            return (host, path, rule and rule[1], verdict, sorted(hits & set(strict)),
-                    sorted(hits - set(strict)), weight)
+            verdict = rule[2] if rule else BLOCK if bad else ALLOW
+            return (host, path, rule and rule[1], verdict, strict, soft,
+                    float(together + sum(terms[t][1] for t in strict)))
 
         names = [f.split()[0] for f in RESULT.split(", ")]
         for urls in batches:

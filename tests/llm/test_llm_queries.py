@@ -3,6 +3,7 @@
 import hashlib
 import re
 import zlib
+from collections import Counter
 from pathlib import Path
 
 import duckdb
@@ -17,7 +18,7 @@ from test_ngram_jaccard import brute as components
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from corpusloom.llm import backoff_lm, merkle, prefix_bpe, queries
+from corpusloom.llm import backoff_lm, language_id, merkle, prefix_bpe, queries
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="test tables are not here")
@@ -52,7 +53,6 @@ def crc(ids):
 @pytest.fixture(scope="module")
 def ids(documents):
     found = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    found.encode_special_tokens = True
     return {k: found.encode(t or "", add_special_tokens=False).ids for k, t, _ in documents}
 
 
@@ -72,6 +72,16 @@ def test_op3(spark, documents):
 def test_op5(spark, ids):
     rows = run(spark, "op5_packing").orderBy("doc_id", "start").collect()
     at = {k: 0 for k in ids}
+    sequences = {}
+    for r in rows:
+        sequences.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for pieces in sequences.values():
+        end = 0
+        for offset, length in sorted(pieces):
+            assert offset == end and length > 0
+            end += length
+        assert end == 1024 or end & (end - 1) == 0 and end < 1024
+    assert sum(1024 for p in sequences) < 1.1 * sum(r.length for r in rows)
     for r in rows:
         own = ids[r.doc_id] + [0]
         assert r.start == at[r.doc_id] and r.doc_tokens == len(own)
@@ -84,7 +94,7 @@ def test_op7(spark, documents):
     rows = [(k, t) for k, t, _ in documents]
     learned = [zlib.crc32(str(k).encode()) % 5 != 1 for k, _ in rows]
     got = {r.doc_id: r for r in run(spark, "op7_backoff_lm").collect()}
-    for (k, _), used, want in zip(rows, learned, brute(rows, learned, 2, backoff_lm.PRIOR)):
+    for (k, _), used, want in zip(rows, learned, brute(rows, learned, backoff_lm.ORDER, backoff_lm.PRIOR)):
         r = got[k]
         assert r.held_out != used and (r.n_tokens, r.n_known, r.train_tokens) == want[:3]
         assert (r.base_score, r.score) == pytest.approx(want[3:])
@@ -108,6 +118,43 @@ def test_op9(spark, documents):
     assert sum(r.lang_pred == lang[r.doc_id] for r in held) >= 0.95 * len(held)
 
 
+def trigrams(text):
+    shown = "".join(c if c.isalpha() else " " for c in f" {(text or '').lower()} ")
+    return [shown[i - 1:i + 2] for i in range(1, len(shown) - 1) if shown[i] != " "]
+
+
+def test_op9_against_plain_sets(spark, documents):
+    """The same rules with a set for each language in place of filters."""
+    lessons = [(t, name) for k, t, name in documents
+               if zlib.crc32(str(k).encode()) % 4 != 2 and name is not None and t is not None]
+    counts = {}
+    for text, name in lessons:
+        counts.setdefault(name, Counter()).update(trigrams(text))
+    rate = {name: {g: n / own.total() for g, n in own.items()} for name, own in counts.items()}
+    learned = {}
+    for name, own in counts.items():
+        typical = {g: n for g, n in own.items() if rate[name][g] >= language_id.TYPICAL * max(
+            r.get(g, 0) for r in rate.values())}
+        enough, held, least = language_id.SHARE_LEARNED * sum(typical.values()), 0, 1
+        steps = Counter(typical.values())
+        kinds = 0
+        for n in sorted(steps, reverse=True):
+            held, kinds, least = held + n * steps[n], kinds + steps[n], n
+            if held >= enough and kinds >= language_id.TRIGRAMS_PER_LANGUAGE:
+                break
+        learned[name] = {g for g, n in typical.items() if n >= least}
+    got = {r.doc_id: r for r in run(spark, "op9_language_id").collect()}
+    for k, text, _ in documents:
+        own = trigrams(text)
+        if not own:
+            assert (got[k].lang_pred, got[k].score) == ("und", 0)
+            continue
+        shares = {name: sum(g in known for g in own) / len(own) for name, known in learned.items()}
+        best = max(shares.values())
+        assert got[k].score == pytest.approx(best, abs=0.01)
+        assert shares[got[k].lang_pred] >= best - 0.01
+
+
 def test_op10(spark, documents):
     ranks = prefix_bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     library = tiktoken.Encoding("test", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,

@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 from hashlib import sha256
 
 from rows import AWKWARD, empty, table
@@ -51,3 +52,36 @@ def test_trees():
         assert a <= at <= b and text[:a] == other[:c] and text[b:] == other[d:]
         assert 0 <= M.likeness(tree, M.Tree.of(other)) < 1
     assert sha256(b"").hexdigest() and M.likeness(M.Tree.of(""), M.Tree.of("x")) == 0
+
+
+def flat_likeness(a, b):
+    """Likeness over all pieces of two texts, cut here once more, without a tree."""
+    def pieces(text):
+        found = Counter()
+        for line in text.split("\n"):
+            rest = line + "\n"
+            while rest:
+                size = next((n + 1 for n in range(24, min(95, len(rest) - 1) + 1) if rest[n].isspace()),
+                            None) if len(rest) > 24 else None
+                if size is None:
+                    size = len(rest) if len(rest) < 96 else 96
+                found[rest[:size]] += 1
+                rest = rest[size:]
+        return found
+
+    one, other = pieces(a), pieces(b)
+    both = sum(len(p) * n for p, n in (one & other).items())
+    return 2 * both / (len(a) + len(b) + 2)
+
+
+def test_likeness_is_that_of_all_pieces():
+    rng = random.Random(7)
+    for trial in range(200):
+        lines = [" ".join("".join(rng.choices("abcdefg", k=rng.randint(1, 12))) for _ in range(rng.randint(0, 60)))
+                 for _ in range(rng.randint(1, 12))]
+        other = [rng.choice(lines) if rng.random() < 0.3 else line + " x" * (rng.random() < 0.2) for line in lines]
+        a, b = "\n".join(lines), "\n".join(other)
+        if a != b:
+            want = flat_likeness(a, b)
+            got = M.likeness(M.Tree.of(a + "\n"), M.Tree.of(b + "\n"))
+            assert abs(got - want) < 1e-9, (trial, got, want)
