@@ -40,6 +40,10 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     queries = catalog.queries()
     seconds = {}
+    # Several queries share this warehouse; its build is timed apart from them.
+    start = time.perf_counter()
+    catalog.build_shared(spark, folder)
+    seconds["shared_warehouse"] = round(time.perf_counter() - start, 3)
     for name in HEADLINE:
         best = float("inf")
         for _ in range(1 if name in ONCE else 2):

@@ -108,6 +108,29 @@ def probe(queries: DataFrame, centroids: Centroids, nprobe: int = S.NPROBE) -> D
     return _with_cells(queries, centroids, min(nprobe, centroids.nlist), False)
 
 
+def is_nearest(index: DataFrame, centroids: Centroids, margin: float = 1e-6) -> DataFrame:
+    """Add ``is_nearest``: whether no centroid is nearer than that of the row's cell.
+
+    Distances are taken from differences, apart from the formula that assigns cells.
+    """
+    at, cell = index.columns.index("embedding"), index.columns.index("cell")
+    centres = centroids.matrix
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                rows, nearest = V.matrix(batch.column(at)), np.full(batch.num_rows, np.inf)
+                for c in centres:
+                    np.minimum(nearest, ((rows - c) ** 2).sum(axis=1), out=nearest)
+                own = ((rows - centres[np.asarray(batch.column(cell))]) ** 2).sum(axis=1)
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns, pa.array(own <= nearest + margin)],
+                    names=[*index.columns, "is_nearest"])
+
+    return index.mapInArrow(run, T.StructType(
+        index.schema.fields + [T.StructField("is_nearest", T.BooleanType())]))
+
+
 def cell_sizes(index: DataFrame) -> DataFrame:
     return index.groupBy("cell").agg(F.count("*").alias("n_vectors"))
 

@@ -271,6 +271,7 @@ def hydrate(hits: DataFrame, chunks: DataFrame, documents: DataFrame,
         "chunk_id", "doc_id", "source_run_id", "chunk_text", "chunk_index", "start_tok",
         "end_tok").join(F.broadcast(asked), "chunk_id")
     if closures is not None:
+        found = scratch.written(found, "hit-chunks")
         keys = ["doc_id", "source_run_id"]
         ended = closures.select("doc_id", F.col("valid_from_run_id").alias("source_run_id")).join(
             F.broadcast(found.select(*keys)), keys, "left_semi")

@@ -316,7 +316,7 @@ def write_audit(w: Warehouse, runs: DataFrame, run_a: int, run_b: int,
     sums = checksums(w, [run_a, run_b], also)
     w.append("audit_results", quality.audit(runs, sums, [(run_a, run_b)]).select(
         X.key_hash("run_id_a", "run_id_b", "audit_type").alias("audit_id"), "*",
-        F.lit(created).alias("created_at")))
+        F.lit(created).alias("created_at")).coalesce(1))
     return w.everything("audit_results").filter(
         (F.col("run_id_a") == run_a) & (F.col("run_id_b") == run_b)
         & (F.col("created_at") == F.lit(created)))

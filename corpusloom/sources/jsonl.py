@@ -1,6 +1,6 @@
 """JSON lines in and out."""
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -80,15 +80,47 @@ def malformed(raw: DataFrame) -> DataFrame:
     return raw.filter(F.col("malformed_line").isNotNull()).select("malformed_line", "seq", "run_id")
 
 
+def numbered(raw: DataFrame) -> DataFrame:
+    """The accepted rows of a stored raw table with ``number``, their place in input order from 0.
+
+    Rows are not shuffled: a split of the table counts its rows of each file block, the counts are
+    added up in input order, and a row's number is the sum before its split and block plus its
+    place there. The sums are one row per split and block. ``raw`` is read twice and must be a
+    table of files, so that both times its splits are the same.
+    """
+    rows = accepted(raw).withColumns({
+        "split": F.spark_partition_id(), "place": F.monotonically_increasing_id()})
+    at = ["seq.file", "seq.block", "split"]
+    counts = rows.groupBy(*at).agg(F.count("*").alias("n"), F.min("seq.row").alias("first"),
+                                   F.min("place").alias("begin"))
+    before = Window.orderBy("file", "block", "first").rowsBetween(Window.unboundedPreceding, -1)
+    bases = counts.select(
+        F.col("file").alias("own_file"), F.col("block").alias("own_block"),
+        F.col("split").alias("own_split"),
+        (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("begin")).alias("base"))
+    met = rows.join(bases, (F.col("seq.file") == F.col("own_file"))
+                    & (F.col("seq.block") == F.col("own_block")) & (F.col("split") == F.col("own_split")))
+    return met.select(*raw.columns, (F.col("base") + F.col("place")).alias("number"))
+
+
+def numbered_batch(run_id: int, rows: int = S.INGEST_BATCH_ROWS) -> Column:
+    """The id shared by so many consecutive accepted rows of a run, wherever they were read."""
+    return X.key_hash(F.lit(run_id), F.floor(F.col("number") / rows))
+
+
 def write_documents(df: DataFrame, path: str) -> None:
     """One JSON object per line, nulls kept."""
     df.select("id", "url", "title", "text").write.option("ignoreNullFields", "false").json(path)
 
 
 def normalise_corpus(df: DataFrame, id_column: str, url_column: str, title_column: str,
-                     text_column: str, limit: int | None = None) -> DataFrame:
-    """Project any corpus onto (id, url, title, text), optionally its first rows only."""
-    shaped = df.select(
+                     text_column: str, limit: int | None = None,
+                     order: str | None = None) -> DataFrame:
+    """Project any corpus onto (id, url, title, text), optionally its first rows by a column."""
+    if limit is not None:
+        if order is None:
+            raise ValueError("a limit needs an order")
+        df = df.orderBy(order).limit(limit)
+    return df.select(
         F.col(id_column).cast("string").alias("id"), F.col(url_column).alias("url"),
         F.col(title_column).alias("title"), F.col(text_column).alias("text"))
-    return shaped if limit is None else shaped.limit(limit)

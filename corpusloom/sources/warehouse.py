@@ -26,7 +26,8 @@ RUN_COLUMN = {
     "chunks": "source_run_id", "embeddings": "source_run_id", "closures": "valid_to_run_id",
 }
 # Tables of a row or a few per run, appended to, and the run that must not have failed.
-CONTROL_COLUMN = {"index_registry": "run_id", "latency_logs": "run_id", "audit_results": "run_id_b"}
+CONTROL_COLUMN = {"index_registry": "run_id", "latency_logs": "run_id", "audit_results": "run_id_b",
+                  "retrieval_eval": "run_id"}
 
 
 def small_frame(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
@@ -84,12 +85,12 @@ class Warehouse:
         return seen()
 
     def append(self, table: str, df: DataFrame) -> None:
-        """Append rows to a small control table."""
+        """Append rows to a control table."""
         names = schemas.TABLES[table].names
-        df.select(*names).coalesce(1).write.mode("append").parquet(self.path(table))
+        df.select(*names).write.mode("append").parquet(self.path(table))
 
     def append_rows(self, table: str, rows: list[tuple]) -> None:
-        self.append(table, small_frame(self.spark, rows, schemas.TABLES[table]))
+        self.append(table, small_frame(self.spark, rows, schemas.TABLES[table]).coalesce(1))
 
     def read(self, table: str, also: int | None = None) -> DataFrame:
         """Rows of successful runs, and of one more run if it is given.
