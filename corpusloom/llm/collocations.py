@@ -9,7 +9,9 @@ as phrases. Hashes only choose what is counted; counts and everything after are
 
 import re
 import zlib
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
@@ -75,8 +77,8 @@ class NGrams:
 
     def __init__(self, lang: str, texts: list[bytes]):
         words = words_and_breaks(b".".join(texts))
-        known = {b".": 0}
-        ids = np.fromiter((known.setdefault(w, len(known)) for w in words), np.int64, len(words))
+        known = defaultdict(count(1).__next__, {b".": 0})  # numbers a word when it first comes
+        ids = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
         del words
         self.lang, self.names, self.n_words = lang, list(known), int((ids > 0).sum())
         self.codes, self.times, self.pairs = [], [], None
@@ -289,7 +291,7 @@ def frequent_phrases(df: DataFrame, text: str, lang: str, threshold: int, block_
         "block", "range", "keys", "counts", "mass"), threshold)
     texts = rows.filter("text IS NOT NULL").select("block", "lang", "text")
 
-    def count(table, answers):
+    def recount(table, answers):
         import pyarrow as pa
 
         order = np.argsort(table.column("lang").to_numpy(zero_copy_only=False), kind="stable")
@@ -317,7 +319,7 @@ def frequent_phrases(df: DataFrame, text: str, lang: str, threshold: int, block_
                          "n": pa.array(np.concatenate(times))})
 
     counted = texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
-        count, "lang string, phrase string, n long").groupBy("lang", "phrase").agg(
+        recount, "lang string, phrase string, n long").groupBy("lang", "phrase").agg(
         F.sum("n").alias("n")).filter(F.col("n") >= threshold)
     words = rows.filter("words IS NOT NULL").groupBy("lang").agg(F.sum("words").alias("words"))
     return written(counted, "phrases"), words

@@ -155,7 +155,7 @@ def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
 
     encode = piece_encoder(spark, public_tokenizers.path("byte_bpe_50k.json"))
-    out = scratch.new_folder(spark, "token-files")
+    out = scratch.held_folder(spark, "token-files")
     token_files.write_token_files(
         table(spark, folder, "documents"), out, encode, end_id=2, vocabulary=50_257)
     return token_files.read_token_files(spark, out).select(
