@@ -3,6 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom import settings as S
 from corpusloom.functions import text as X
 from corpusloom.functions.tokenizers import Tokenizer, WordTokenizer, window_count
 
@@ -28,9 +29,9 @@ def chunk_documents(documents: DataFrame, tokenizer: Tokenizer | None = None) ->
     )
 
 
-def window_counts(documents: DataFrame) -> DataFrame:
-    """(doc_id, source_run_id, n_tokens, n_chunks) under the word tokenizer, no text cut."""
-    return documents.select("doc_id", "source_run_id", F.inline(F.array(_window_count())))
+def prefix(chunk_id: str) -> Column:
+    """The folder of a chunk."""
+    return F.left(chunk_id, F.lit(S.PREFIX_DIGITS))
 
 
 def _window_count() -> Column:

@@ -1,6 +1,7 @@
 """The index as files: vectors partitioned by cell, centroids beside them."""
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from corpusloom import schemas
 from corpusloom import settings as S
@@ -48,10 +49,8 @@ def build_index(active_embeddings: DataFrame, index_path: str, centroids_path: s
     if not 1 <= max_cells <= ivf.CELL_LIMIT:
         raise ValueError(f"max_cells must be 1 to {ivf.CELL_LIMIT}")
     spark = active_embeddings.sparkSession
-    path = scratch.new_folder(spark, "active-vectors")
-    vectors = active_embeddings.select("chunk_id", "embedding_hash", "embedding")
-    vectors.write.parquet(path)
-    vectors = spark.read.schema(vectors.schema).parquet(path)
+    vectors = scratch.written(
+        active_embeddings.select("chunk_id", "embedding_hash", "embedding"), "active-vectors")
     rows = vectors.count()
     if not rows:
         raise ValueError("no active embeddings: an index cannot be built")
@@ -62,3 +61,26 @@ def build_index(active_embeddings: DataFrame, index_path: str, centroids_path: s
     curve = search.measured_curve(index.withColumnRenamed("chunk_id", "id"), centroids)
     return {"num_vectors": stored.n_rows, "nlist": centroids.nlist, "checksum": stored.digest,
             "curve": curve}
+
+
+def read_parts(spark: SparkSession, parts: list[tuple[int, str]], closed: DataFrame) -> DataFrame:
+    """The vectors of an index of several parts (run, path), a bounded number of them.
+
+    A vector counts unless a later run than that of its part closed its chunk (closed: chunk_id,
+    run_id). A text that comes back has its old chunk ids again, in a later part.
+    """
+    index = quality.union_all([read_index(spark, path).withColumn("part_run", F.lit(run))
+                               for run, path in parts])
+    if len(parts) > 1:
+        since = closed.filter(F.col("run_id") > parts[0][0]).select(
+            F.col("chunk_id").alias("closed_id"), F.col("run_id").alias("closed_run"))
+        index = index.join(since, (F.col("chunk_id") == F.col("closed_id"))
+                           & (F.col("closed_run") > F.col("part_run")), "left_anti")
+    return index.drop("part_run")
+
+
+def add_part(fresh: DataFrame, centroids: ivf.Centroids, index_path: str) -> None:
+    """Write new vectors (chunk_id, embedding_hash, embedding) by the cells of a built index."""
+    assigned = ivf.assign(fresh.select("chunk_id", "embedding_hash", "embedding"), centroids)
+    (assigned.select(*schemas.TABLES["index_vectors"].names).hint("rebalance", "cell")
+     .write.mode("overwrite").partitionBy("cell").parquet(index_path))

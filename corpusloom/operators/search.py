@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from corpusloom import settings as S
 from corpusloom.functions import vectors as V
-from corpusloom.operators import ivf
+from corpusloom.operators import chunking, ivf
 from corpusloom.sources import scratch
 
 
@@ -103,6 +103,8 @@ def query_blocks(queries: DataFrame, k: int) -> tuple[DataFrame, list[int]]:
     dealt = stored.repartitionByRange(wanted, "first", F.xxhash64("query_id"), "query_id")
     dealt = dealt.withColumn("block", F.spark_partition_id())
     dealt.write.partitionBy("block").parquet(f"{path}-blocks")
+    for folder in (path, f"{path}-blocks"):
+        scratch.release_at_end(queries.sparkSession, folder)
     blocks = queries.sparkSession.read.parquet(f"{path}-blocks")
     numbers = sorted(r.block for r in blocks.select("block").distinct().collect())
     return blocks.select(*queries.columns, "block"), numbers
@@ -134,6 +136,7 @@ def in_one(parts: Iterator[DataFrame], purpose: str) -> DataFrame:
         path = path or scratch.new_folder(part.sparkSession, purpose)
         part.write.mode("append").parquet(path)
         spark, schema = part.sparkSession, part.schema
+    scratch.release_at_end(spark, path)
     return spark.read.schema(schema).parquet(path)
 
 
@@ -263,13 +266,17 @@ def hydrate(hits: DataFrame, chunks: DataFrame, documents: DataFrame,
             closures: DataFrame | None = None) -> DataFrame:
     """Hits (id = chunk_id) of one block beside the text of their active chunks and documents.
 
-    A block has a bounded number of hits, so the hits travel and no text is shuffled. What
-    ``closures`` ended is left out; ranks were given before, so it leaves a gap.
+    A block has a bounded number of hits, so the hits travel and no text is shuffled. Where chunks
+    lie in folders by ``prefix``, only the folders of the hits are read. What ``closures`` ended is
+    left out; ranks were given before, so it leaves a gap.
     """
-    asked = hits.select("query_id", "rank", "score", F.col("id").alias("chunk_id"))
+    asked = hits.filter("rank >= 1").select("query_id", "rank", "score", F.col("id").alias("chunk_id"))
+    keys = ["chunk_id"]
+    if "prefix" in chunks.columns:
+        asked, keys = asked.withColumn("prefix", chunking.prefix("chunk_id")), ["prefix", "chunk_id"]
     found = chunks.select(
-        "chunk_id", "doc_id", "source_run_id", "chunk_text", "chunk_index", "start_tok",
-        "end_tok").join(F.broadcast(asked), "chunk_id")
+        *keys, "doc_id", "source_run_id", "chunk_text", "chunk_index", "start_tok",
+        "end_tok").join(F.broadcast(asked), keys)
     if closures is not None:
         found = scratch.written(found, "hit-chunks")
         keys = ["doc_id", "source_run_id"]

@@ -148,7 +148,9 @@ class Build:
     def _chunk(self) -> tuple[int, dict]:
         w = self.warehouse
         fresh = w.read_run("clean_documents", self.run_id)
-        self.added = w.write_run("chunks", chunking.chunk_documents(fresh, self.tokenizer), self.run_id,
+        chunks = chunking.chunk_documents(fresh, self.tokenizer)
+        self.added = w.write_run("chunks", chunks.withColumn("prefix", chunking.prefix("chunk_id")),
+                                 self.run_id,
                                  {"n_chunks": F.count("*")} | current.hash_metrics("chunk_hash"))
         self.counts["new_chunk_count"] = self.added["n_chunks"]
         return self.added["n_chunks"], {"tokenizer": type(self.tokenizer).__name__}
@@ -169,18 +171,28 @@ class Build:
         return merge.active(self._visible(table), self._visible("closures"))
 
     def _index(self) -> tuple[int, dict]:
-        """Build an index over all active vectors, or keep the last one if nothing changed since."""
+        """Keep the last index if nothing changed since, add a part to it if little did, else build
+        one over all active vectors."""
         w, run_id = self.warehouse, self.run_id
-        last = self._last_index()
-        if last is not None:
+        last, parts = self._last_index()
+        paths = w.index_path(run_id), w.centroids_path(run_id)
+        changed = [self.added["n_embeddings"], int(self.closed["n_embeddings"])]
+        if last is None or not self._may_add(parts, sum(changed)):
+            facts = index_store.build_index(self._active("embeddings"), *paths, self.max_cells)
+            curve, parts = facts["curve"], [(run_id, facts["num_vectors"], 0)]
+        elif not sum(changed):
             paths = last.index_path, last.centroids_path
-            facts = {"num_vectors": last.num_vectors, "nlist": last.nlist,
-                     "checksum": last.index_checksum}
+            facts, curve = {"num_vectors": last.num_vectors, "nlist": last.nlist,
+                            "checksum": last.index_checksum}, []
         else:
-            paths = w.index_path(run_id), w.centroids_path(run_id)
-            facts = index_store.build_index(self._active("embeddings"), *paths, self.max_cells)
+            paths = last.index_path, last.centroids_path
+            parts = [*parts, (run_id, *changed)]
+            facts = self._add_to_index(last, parts)
+            curve = stored_curve(w, last.index_checksum)
+        w.write_index_parts(parts, run_id)
+        if curve:
             w.write_run("index_recall", small_frame(
-                w.spark, [(facts["checksum"], n, *pair) for n, pair in enumerate(facts["curve"], 1)],
+                w.spark, [(facts["checksum"], n, *pair) for n, pair in enumerate(curve, 1)],
                 T.StructType(schemas.TABLES["index_recall"].fields[:-1])), run_id)
         w.append("index_registry", registry_row(
             w.spark, run_id, self.dataset_name, self.encoder.name, facts, paths, self.mode))
@@ -188,17 +200,33 @@ class Build:
         return facts["num_vectors"], {"nlist": facts["nlist"]}
 
     def _last_index(self):
-        """The newest registry row, if it was built alike over the corpus as it is now."""
-        w, c = self.warehouse, self.counts
-        if self.before is None or c["new_doc_count"] + c["updated_doc_count"]:
-            return None
-        last = w.read("index_registry").orderBy(F.desc("run_id")).first()
+        """The registry row and the parts of the last run's index, if it was built alike; else None."""
+        w = self.warehouse
+        nothing = None, []
+        if self.before is None:
+            return nothing
+        last = w.read("index_registry").filter(F.col("run_id") == self.before["run_id"]).first()
         if last is None or last.embedding_model != self.encoder.name:
-            return None
-        states = {r.run_id: r.n_changes for r in w.read("corpus_state").filter(
-            F.col("run_id").isin(last.run_id, self.before["run_id"])).collect()}
-        same = states.get(last.run_id) == self.before["n_changes"]
-        return last if same and last.nlist == ivf.cell_count(last.num_vectors, self.max_cells) else None
+            return nothing
+        parts = [(r.part_run_id, r.n_added, r.n_closed) for r in w.index_parts(last.run_id)]
+        alike = parts and last.nlist == ivf.cell_count(parts[0][1], self.max_cells)
+        return (last, parts) if alike else nothing
+
+    @staticmethod
+    def _may_add(parts: list[tuple[int, int, int]], changed: int) -> bool:
+        since = sum(added + closed for _, added, closed in parts[1:]) + changed
+        return not changed or len(parts) < S.MOST_PARTS and since <= S.ADDED_SHARE * parts[0][1]
+
+    def _add_to_index(self, last, parts: list[tuple[int, int, int]]) -> dict:
+        w, run_id = self.warehouse, self.run_id
+        centroids = index_store.read_centroids(w.spark, last.centroids_path)
+        index_store.add_part(w.read_run("embeddings", run_id), centroids, w.index_path(run_id))
+        ended = w.read_run("closures", run_id).select(
+            "doc_id", F.col("valid_from_run_id").alias("source_run_id"))
+        w.write_run("index_closed", w.read("chunks").select("chunk_id", "doc_id", "source_run_id").join(
+            ended, ["doc_id", "source_run_id"], "left_semi"), run_id)
+        stored = index_store.index_checksum(whole_index(w, parts, also=run_id)).first()
+        return {"num_vectors": stored.n_rows, "nlist": last.nlist, "checksum": stored.digest}
 
     def _count_active(self) -> None:
         """Write the touched key buckets and the state: that of the run before, plus, less."""
@@ -257,6 +285,20 @@ class Build:
             end, status, *[self.counts[n] for n in schemas.RUN_COUNTS], notes)])
 
 
+def whole_index(w: Warehouse, parts: list[tuple], also: int | None = None) -> DataFrame:
+    """The vectors of an index by its parts, without those closed since."""
+    places = [(run, w.index_path(run)) for run, *_ in parts]
+    return index_store.read_parts(w.spark, places, w.read("index_closed", also=also))
+
+
+def stored_curve(w: Warehouse, index_checksum: str) -> list[tuple[int, int]]:
+    """(true, found) pairs by number of probes, as measured when the index was built; there are as
+    many as cells. Empty for an index from before they were kept."""
+    rows = w.read("index_recall").filter(F.col("index_checksum") == index_checksum).select(
+        "nprobe", "n_true", "n_found").distinct().orderBy("nprobe").collect()
+    return [(r.n_true, r.n_found) for r in rows]
+
+
 def registry_row(spark: SparkSession, run_id: int, dataset_name: str, model: str, facts: dict,
                  paths: tuple[str, str], mode: str) -> DataFrame:
     row = (run_id, dataset_name, S.INDEX_TYPE, model, S.METRIC, facts["nlist"], S.NPROBE,

@@ -49,7 +49,7 @@ def rounded(c: Column | str) -> Column:
 
 @query
 def ingest_jsonl_roundtrip(i: Inputs) -> DataFrame:
-    path = scratch.new_folder(i.spark, "jsonl")
+    path = scratch.held_folder(i.spark, "jsonl") + "/rows"
     jsonl.write_documents(i.base, path)
     raw = jsonl.accepted(jsonl.read_documents(i.spark, path, 1))
     return raw.select("run_id", "id", "url", "title", "text")
@@ -64,7 +64,7 @@ def malformed_lines(i: Inputs) -> DataFrame:
     faulty = i.table("labels").select(F.explode(F.array(*[
         F.concat(F.lit(before), "doc_id", F.lit(after)) for before, after in faults])).alias("value"))
     blank = i.table("pages").select(F.explode(F.array(F.lit("  \t"), F.lit("\xa0 "))).alias("value"))
-    path = scratch.new_folder(i.spark, "lines")
+    path = scratch.held_folder(i.spark, "lines") + "/rows"
     quality.union_all([whole, faulty, blank]).write.text(path)
     return jsonl.malformed(jsonl.read_documents(i.spark, path, 1)).select("malformed_line")
 
@@ -84,7 +84,7 @@ def _lines_with_faults(i: Inputs) -> DataFrame:
     before every third document."""
     whole = F.to_json(F.struct("id", "url", "title", "text"))
     lines = F.when(F.col("seq.n") % 3 == 0, F.array(F.lit("{"), whole)).otherwise(F.array(whole))
-    path = scratch.new_folder(i.spark, "lines")
+    path = scratch.held_folder(i.spark, "lines") + "/rows"
     ordered = i.base.repartitionByRange(7, "seq.n").sortWithinPartitions("seq.n")
     ordered.select(F.explode(lines).alias("value")).write.text(path)
     return written(jsonl.read_documents(i.spark, path, 1), "raw")
@@ -116,7 +116,7 @@ def corpus_normalise(i: Inputs) -> DataFrame:
 @query
 def run_scan(i: Inputs) -> DataFrame:
     """The raw rows of one run out of a table partitioned by run."""
-    path = scratch.new_folder(i.spark, "raw")
+    path = scratch.held_folder(i.spark, "raw") + "/rows"
     runs = quality.union_all([i.base.withColumn("run_id", F.lit(1)),
                               i.delta.withColumn("run_id", F.lit(3))])
     runs.drop("seq").write.partitionBy("run_id").parquet(path)
@@ -434,7 +434,7 @@ class _FailingBuild(Build):
 def failed_run_scenario(i: Inputs) -> DataFrame:
     """A run, an update that fails after its index is written, and the update again: the rows of
     each run that readers see."""
-    w = Warehouse(i.spark, scratch.new_folder(i.spark, "failed"))
+    w = Warehouse(i.spark, scratch.held_folder(i.spark, "failed"))
     encoder = HashingEncoder(DIM)
     _build(w, "full", "documents", i.base, encoder)
     try:
@@ -720,7 +720,7 @@ def two_level_recall(i: Inputs) -> DataFrame:
 def index_roundtrip(i: Inputs) -> DataFrame:
     """An index written by cell and read back."""
     index, centroids = _label_index(i)
-    root = scratch.new_folder(i.spark, "index")
+    root = scratch.held_folder(i.spark, "index")
     named = index.select(F.col("id").alias("chunk_id"), "embedding", "cell",
                          embedding_hash("embedding").alias("embedding_hash"))
     index_store.write_index(named, centroids, f"{root}/vectors", f"{root}/centroids")
@@ -755,7 +755,7 @@ def retrieve_exact(i: Inputs) -> DataFrame:
 @query
 def retrieve_indexed(i: Inputs) -> DataFrame:
     """The same through a warehouse: built, indexed, published, all cells probed."""
-    w = Warehouse(i.spark, scratch.new_folder(i.spark, "retrieve"))
+    w = Warehouse(i.spark, scratch.held_folder(i.spark, "retrieve"))
     _build(w, "full", "documents", i.base, HashingEncoder(DIM))
     questions = i.table("benchmark").select(
         F.col("item_id").alias("query_id"), F.col("text").alias("query_text"))
@@ -772,7 +772,7 @@ def _build(w: Warehouse, mode: str, input_path: str, rows: DataFrame, encoder, k
 
 def _three_runs(i: Inputs) -> Warehouse:
     """The documents, the same again, then the update, through one warehouse."""
-    w = Warehouse(i.spark, scratch.new_folder(i.spark, "scenario"))
+    w = Warehouse(i.spark, scratch.held_folder(i.spark, "scenario"))
     encoder = HashingEncoder(DIM)
     _build(w, "full", "documents", i.base, encoder)
     _build(w, "full", "documents", i.base, encoder)
@@ -790,7 +790,7 @@ def three_run_scenario(i: Inputs) -> DataFrame:
 def streamed_updates(i: Inputs) -> DataFrame:
     """The documents, and the same with a sentence added to the labelled ones, merged as they
     arrive in as many files as Spark writes."""
-    root = scratch.new_folder(i.spark, "stream")
+    root = scratch.held_folder(i.spark, "stream")
     w = Warehouse(i.spark, f"{root}/warehouse")
     labelled = i.table("labels").select(F.col("doc_id").cast("string").alias("id")).distinct()
     again = i.base.join(labelled.withColumn("labelled", F.lit(True)), "id", "left").withColumn(
@@ -828,7 +828,7 @@ def retrieval_metrics(i: Inputs) -> DataFrame:
 def retrieval_eval_stored(i: Inputs) -> DataFrame:
     """Benchmark texts asked of a built warehouse, expected to find the document that holds their
     exact best hit; as the warehouse kept it."""
-    w = Warehouse(i.spark, scratch.new_folder(i.spark, "evaluate"))
+    w = Warehouse(i.spark, scratch.held_folder(i.spark, "evaluate"))
     encoder = HashingEncoder(DIM)
     _build(w, "full", "documents", i.base, encoder)
     corpus = w.read("embeddings").select(F.col("chunk_id").alias("id"), "embedding")

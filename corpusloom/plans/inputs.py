@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions import text as X
 from corpusloom.functions.encoders import HashingEncoder, embed_chunks, encode_column
 from corpusloom.operators import chunking, merge, validate
-from corpusloom.sources.scratch import new_folder
+from corpusloom.sources.scratch import written
 
 REVISED = " Revised in a later delivery."
 CORRECTED = " Corrected once more."
@@ -124,9 +124,7 @@ class Inputs:
 
         They are narrow, and everything about versions refers to them several times.
         """
-        path = new_folder(self.spark, "statuses")
-        self.statuses.write.parquet(path)
-        return self.spark.read.schema(self.statuses.schema).parquet(path)
+        return written(self.statuses, "statuses")
 
     @cached_property
     def closures(self) -> DataFrame:

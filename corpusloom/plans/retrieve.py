@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from corpusloom import settings as S
 from corpusloom.functions.encoders import Encoder, HashingEncoder, encode_column
 from corpusloom.operators import evaluation, index_store, quality, search
+from corpusloom.plans.build import stored_curve, whole_index
 from corpusloom.sources.scratch import written
 from corpusloom.sources.warehouse import Warehouse
 
@@ -17,14 +18,6 @@ def encode_queries(queries: DataFrame, encoder: Encoder) -> DataFrame:
     return coded.select("query_id", "embedding")
 
 
-def stored_curve(w: Warehouse, index_checksum: str) -> list[tuple[int, int]]:
-    """(true, found) pairs by number of probes, as measured when the index was built; there are as
-    many as cells. Empty for an index from before they were kept."""
-    rows = w.read("index_recall").filter(F.col("index_checksum") == index_checksum).select(
-        "nprobe", "n_true", "n_found").distinct().orderBy("nprobe").collect()
-    return [(r.n_true, r.n_found) for r in rows]
-
-
 def retrieve(w: Warehouse, queries: DataFrame, top_k: int = 5, nprobe: int | None = None,
              dataset_name: str | None = None, encoder: Encoder | None = None,
              least_recall: float = S.AIMED_RECALL) -> DataFrame:
@@ -44,7 +37,9 @@ def retrieve(w: Warehouse, queries: DataFrame, top_k: int = 5, nprobe: int | Non
     if newest is None:
         raise ValueError("no index has been built")
     centroids = index_store.read_centroids(spark, newest.centroids_path)
-    index = index_store.read_index(spark, newest.index_path).withColumnRenamed("chunk_id", "id")
+    parts = [tuple(r)[:3] for r in w.index_parts(newest.run_id)]
+    index = whole_index(w, parts) if parts else index_store.read_index(spark, newest.index_path)
+    index = index.withColumnRenamed("chunk_id", "id")
     asked = written(encode_queries(queries, encoder or HashingEncoder()), "questions")
     if nprobe is None:
         curve = stored_curve(w, newest.index_checksum) or search.measured_curve(index, centroids)

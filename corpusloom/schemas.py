@@ -53,10 +53,12 @@ TABLES: dict[str, T.StructType] = {
     "corpus_state": _table(
         n_documents=LONG, n_chunks=LONG, n_embeddings=LONG, n_changes=LONG,
         **dict.fromkeys(WORDS, WIDE), run_id=INT),
+    # ``prefix``, the first digits of chunk_id, is a folder, so that a look-up of few chunks lists and
+    # reads few files.
     "chunks": _table(
         chunk_id=STRING, doc_id=STRING, content_hash=STRING, chunk_index=INT, start_tok=INT,
         end_tok=INT, chunk_text=STRING, chunk_token_len=INT, chunk_hash=STRING,
-        source_run_id=INT),
+        source_run_id=INT, prefix=STRING),
     "embeddings": _table(
         chunk_id=STRING, doc_id=STRING, embedding_model=STRING, embedding_dim=INT,
         embedding_hash=STRING, embedding=FLOATS, source_run_id=INT),
@@ -67,6 +69,10 @@ TABLES: dict[str, T.StructType] = {
         embedding_model=STRING, metric=STRING, nlist=INT, nprobe=INT, num_vectors=LONG,
         index_path=STRING, centroids_path=STRING, index_checksum=STRING, build_mode=STRING,
         created_at=TIMESTAMP),
+    # What an index consists of: the run that built it, then runs that added to it, and how many
+    # vectors each added and closed.
+    "index_parts": _table(part_run_id=INT, n_added=LONG, n_closed=LONG, run_id=INT),
+    "index_closed": _table(chunk_id=STRING, run_id=INT),
     # How many true neighbours of stored vectors an index finds with so many probes.
     "index_recall": _table(
         index_checksum=STRING, nprobe=INT, n_true=LONG, n_found=LONG, run_id=INT),

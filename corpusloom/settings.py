@@ -19,6 +19,10 @@ MAX_CELLS = 100
 MIN_CELLS = 4
 VECTORS_PER_CELL = 10
 NPROBE = 10
+# An index takes further parts while all that they added and closed is at most this share of the
+# vectors it was built over, and up to so many; then it is built anew.
+ADDED_SHARE = 0.1
+MOST_PARTS = 16
 INDEX_TYPE = "IVFFlat"
 METRIC = "INNER_PRODUCT"
 
@@ -27,6 +31,9 @@ INGEST_BATCH_ROWS = 500
 ENCODE_BATCH_ROWS = 32
 SEED = 42
 
+# Digits of a chunk's id that name its folder.
+PREFIX_DIGITS = 2
+
 # Hash buckets of the current keys: about so many keys each, within these bounds.
 KEYS_PER_BUCKET = 20_000
 MIN_KEY_BUCKETS = 8

@@ -23,8 +23,28 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_root(spark).rstrip('/')}/corpusloom-{purpose}-{uuid.uuid4().hex}"
 
 
+def release_at_end(spark: SparkSession, path: str) -> None:
+    """Have a folder that is there removed when the driver ends; results may read it until then."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
+
+
+def held_folder(spark: SparkSession, purpose: str) -> str:
+    """A fresh folder, there and empty, that is removed with all that it holds when the driver ends."""
+    path = new_folder(spark, purpose)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(place)
+    release_at_end(spark, path)
+    return path
+
+
 def written(df: DataFrame, purpose: str) -> DataFrame:
-    """The rows from a table in the shared folder: lineage ends here, nothing is computed twice."""
-    path = new_folder(df.sparkSession, purpose)
+    """The rows from a table in the shared folder: lineage ends here, nothing is computed twice.
+
+    The table is removed when the driver ends.
+    """
+    spark = df.sparkSession
+    path = new_folder(spark, purpose)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    release_at_end(spark, path)
+    return spark.read.schema(df.schema).parquet(path)

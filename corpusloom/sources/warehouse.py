@@ -22,6 +22,7 @@ from corpusloom import schemas
 RUN_COLUMN = {
     "raw_documents": "run_id", "rejected_documents": "run_id", "batch_keys": "run_id",
     "document_status": "run_id", "key_buckets": "run_id", "corpus_state": "run_id", "index_recall": "run_id",
+    "index_parts": "run_id", "index_closed": "run_id",
     "row_count_reconciliation": "run_id", "clean_documents": "source_run_id",
     "chunks": "source_run_id", "embeddings": "source_run_id", "closures": "valid_to_run_id",
 }
@@ -79,8 +80,9 @@ class Warehouse:
         seen, df = observed(df, metrics or {})
         writer = df.select(*columns).write.mode("overwrite")
         if table == "chunks":
-            # Lets a look-up by id skip row groups; ids are hashes, so min/max cannot.
-            writer = writer.option("parquet.bloom.filter.enabled#chunk_id", "true")
+            # Lets a look-up by id skip folders, and row groups; ids are hashes, so min/max cannot.
+            writer = writer.partitionBy("prefix").option(
+                "parquet.bloom.filter.enabled#chunk_id", "true")
         writer.parquet(self.path(table, run_id))
         return seen()
 
@@ -180,6 +182,15 @@ class Warehouse:
         self.write_run("key_buckets", written.select("bucket").distinct().withColumn(
             "n_buckets", F.lit(n_buckets)), run_id)
 
+    def index_parts(self, run_id: int) -> list:
+        """The parts of the index that a run published, the oldest first; a bounded number."""
+        rows = self.read("index_parts").filter(F.col("run_id") == run_id)
+        return rows.orderBy("part_run_id").collect()
+
+    def write_index_parts(self, parts: list[tuple[int, int, int]], run_id: int) -> None:
+        fields = schemas.TABLES["index_parts"].fields[:-1]
+        self.write_run("index_parts", small_frame(self.spark, parts, T.StructType(fields)), run_id)
+
     # Index folders carry the run in their path and are named by the registry.
     def index_path(self, run_id: int) -> str:
         return f"{self.path('index_vectors')}/run_id={run_id}"

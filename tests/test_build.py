@@ -6,7 +6,7 @@ from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from corpusloom.functions.encoders import HashingEncoder
-from corpusloom.operators import quality
+from corpusloom.operators import quality, search
 from corpusloom.plans import build as B
 from corpusloom.plans.retrieve import retrieve
 from corpusloom.sources import jsonl, scratch
@@ -211,6 +211,20 @@ def test_no_text_is_shuffled_to_find_the_hits(three_runs):
     assert plan.count("Exchange hashpartitioning(query_id") <= 4
 
 
+def test_only_the_folders_of_hits_are_read(three_runs):
+    w, _, _ = three_runs
+    chunks = w.read("chunks")
+    one = chunks.orderBy("chunk_id").first().chunk_id
+    hits = w.spark.createDataFrame([("q", one, 0.5, 1)], "query_id string, id string, score double, rank int")
+    found = search.hydrate(scratch.written(hits, "hits"), chunks, w.read("clean_documents"), w.read("closures"))
+    plan = search.hydrate(scratch.written(hits, "hits"), chunks, w.read("clean_documents"))
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruningexpression(prefix" in text
+    assert [r.chunk_id for r in found.collect()] == [one]
+    folders = {f.split("prefix=")[1][:2] for f in chunks.inputFiles()}
+    assert len(folders) > 10 and all(r.chunk_id.startswith(r.prefix) for r in chunks.collect())
+
+
 def test_cells_are_limited(spark, tmp_path):
     w = Warehouse(spark, scratch.new_folder(spark, "test"))
     base = write(tmp_path / "a.jsonl", BASE[:8])

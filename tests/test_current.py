@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.operators import current
 from corpusloom.plans import build as B
+from corpusloom.plans.retrieve import retrieve
 from corpusloom.functions.encoders import HashingEncoder
 from corpusloom.sources import scratch
 from corpusloom.sources.warehouse import Warehouse
@@ -101,6 +102,36 @@ def test_an_index_is_kept_while_nothing_changes(history, tmp_path):
     assert w.read("index_recall").filter(F.col("run_id") == again).isEmpty()
 
 
+def test_small_updates_add_parts_that_answer_like_a_rebuild(spark, tmp_path):
+    w = Warehouse(spark, scratch.new_folder(spark, "parts"))
+    encoder, path = HashingEncoder(64), tmp_path / "a.jsonl"
+
+    def run(docs):
+        path.write_text("\n".join(line(k, size) for k, size in docs))
+        return B.Build(w, "augmented", "demo", str(path), encoder=encoder).run()
+
+    run([(f"d{i}", 50 + i) for i in range(120)])
+    # A revision, a new document; then the first text again, whose chunk ids were closed.
+    runs = [run([("d3", 300), ("e1", 90)]), run([("d3", 53), ("d4", 200)]), run([("d4", 54)])]
+    registry = {r.run_id: r for r in w.read("index_registry").collect()}
+    assert [len(w.index_parts(n)) for n in (1, *runs)] == [1, 2, 3, 4]
+    assert {registry[n].centroids_path for n in runs} == {registry[1].centroids_path}
+    assert [registry[n].num_vectors for n in runs] == [121, 121, 121]
+    row = w.runs().filter(F.col("run_id") == runs[-1]).first()
+    assert row.index_vector_count == row.active_embedding_count == row.active_chunk_count == 121
+    questions = spark.createDataFrame([(n, f"d{n}w1 d{n}w7 d3w60 e1w5") for n in range(8)],
+                                      "query_id int, query_text string")
+    shown = ["query_id", "rank", "score", "chunk_id"]
+    added = retrieve(w, questions, 6, nprobe=100, encoder=encoder).select(shown).collect()
+    other = Warehouse(spark, scratch.new_folder(spark, "parts"))
+    path.write_text("\n".join(line(k, s) for k, s in [*((f"d{i}", 50 + i) for i in range(120)), ("e1", 90)]))
+    B.Build(other, "full", "demo", str(path), encoder=encoder).run()
+    assert retrieve(other, questions, 6, nprobe=100, encoder=encoder).select(shown).collect() == added
+    # Much at once builds anew.
+    run([(f"d{i}", 400) for i in range(20)])
+    assert len(w.index_parts(runs[-1] + 1)) == 1
+
+
 def test_a_corpus_without_snapshot_gets_one_from_its_history(spark, tmp_path):
     w = Warehouse(spark, scratch.new_folder(spark, "old"))
     path = tmp_path / "a.jsonl"
