@@ -21,10 +21,10 @@ from pyspark.sql import types as T
 from corpusloom.llm.shared import blocks_for
 from corpusloom.llm.sorted_keys import pack, pack_numbers, unpack, unpack_numbers
 
-ORDER = 3
+ORDER = 2
 # The weight of the shorter context, in occurrences: p(w|h) = (c(hw) + PRIOR p(w|h')) / (c(h) + PRIOR).
 PRIOR = 100.0
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 16 << 20
 # Tokens of a lane, and so steps of a walk over a block.
 LANE = 512
 _STEP = np.uint64(0x9E3779B97F4A7C15)
