@@ -114,7 +114,7 @@ def is_nearest(index: DataFrame, centroids: Centroids, margin: float = 1e-6) ->
     Distances are taken from differences, apart from the formula that assigns cells.
     """
     at, cell = index.columns.index("embedding"), index.columns.index("cell")
-    centres = centroids.matrix
+    centres, names = centroids.matrix, [*index.columns, "is_nearest"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -124,8 +124,7 @@ def is_nearest(index: DataFrame, centroids: Centroids, margin: float = 1e-6) ->
                     np.minimum(nearest, ((rows - c) ** 2).sum(axis=1), out=nearest)
                 own = ((rows - centres[np.asarray(batch.column(cell))]) ** 2).sum(axis=1)
                 yield pa.RecordBatch.from_arrays(
-                    [*batch.columns, pa.array(own <= nearest + margin)],
-                    names=[*index.columns, "is_nearest"])
+                    [*batch.columns, pa.array(own <= nearest + margin)], names=names)
 
     return index.mapInArrow(run, T.StructType(
         index.schema.fields + [T.StructField("is_nearest", T.BooleanType())]))

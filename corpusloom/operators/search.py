@@ -93,18 +93,20 @@ def query_blocks(queries: DataFrame, k: int) -> tuple[DataFrame, list[int]]:
     path = scratch.new_folder(queries.sparkSession, "queries")
     first = F.col("cells")[0] if "cells" in queries.columns else F.lit(0)
     queries.withColumn("first", first).write.parquet(path)
+    scratch.release_at_end(queries.sparkSession, path)
     stored = queries.sparkSession.read.parquet(path)
     width = F.size("embedding") * 8 + 100 * k
     total = stored.agg(F.sum(width)).first()[0]
     if total is None:
         return queries.withColumn("block", F.lit(0)), []
     wanted = 1 + total // S.QUERY_BLOCK_BYTES
+    if wanted == 1:
+        return stored.drop("first").withColumn("block", F.lit(0)), [0]
     # Hashed within ranges of the first cell, so that blocks stay bounded whatever the cells.
     dealt = stored.repartitionByRange(wanted, "first", F.xxhash64("query_id"), "query_id")
     dealt = dealt.withColumn("block", F.spark_partition_id())
     dealt.write.partitionBy("block").parquet(f"{path}-blocks")
-    for folder in (path, f"{path}-blocks"):
-        scratch.release_at_end(queries.sparkSession, folder)
+    scratch.release_at_end(queries.sparkSession, f"{path}-blocks")
     blocks = queries.sparkSession.read.parquet(f"{path}-blocks")
     numbers = sorted(r.block for r in blocks.select("block").distinct().collect())
     return blocks.select(*queries.columns, "block"), numbers

@@ -127,10 +127,12 @@ def assign(vectors: DataFrame, cells: TwoLevel) -> DataFrame:
     result = T.StructType([rows.schema["id"], rows.schema["embedding"],
                            T.StructField("cell", T.IntegerType())])
 
+    n_fine = cells.n_fine
+
     def near(batch: pa.RecordBatch, coarse: int, centres: np.ndarray) -> pa.RecordBatch:
         fine = V.nearest_cells(V.matrix(batch.column(1)), centres, 1)[:, 0]
         return pa.RecordBatch.from_arrays(
-            [*batch.columns, pa.array((coarse * cells.n_fine + fine).astype(np.int32))],
+            [*batch.columns, pa.array((coarse * n_fine + fine).astype(np.int32))],
             names=result.names)
 
     return _beside_fine(rows, cells, near, result)
@@ -143,11 +145,13 @@ def probe(queries: DataFrame, cells: TwoLevel, n_coarse: int, n_probe: int) -> D
     place = T.StructType().add("distance", T.DoubleType()).add("cell", T.IntegerType())
     result = T.StructType([rows.schema["query_id"], T.StructField("near", T.ArrayType(place))])
 
+    n_fine = cells.n_fine
+
     def rank(batch: pa.RecordBatch, coarse: int, centres: np.ndarray) -> pa.RecordBatch:
         wanted = V.matrix(batch.column(1))
         away = np.round((centres * centres).sum(axis=1) - 2.0 * (wanted @ centres.T), S.SCORE_DECIMALS)
         best = np.argsort(away, axis=1, kind="stable")[:, :n_probe]
-        near = [[{"distance": float(row[c]), "cell": coarse * cells.n_fine + int(c)} for c in own]
+        near = [[{"distance": float(row[c]), "cell": coarse * n_fine + int(c)} for c in own]
                 for row, own in zip(away, best)]
         return pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array(near, pa.list_(pa.struct(

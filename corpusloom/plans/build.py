@@ -51,7 +51,8 @@ class Build:
         self.latency: list[tuple] = []
         self._record("running", None, None)
         try:
-            self._stages(source or self._read_input)
+            with w.as_of_now():
+                self._stages(source or self._read_input)
         except Exception as error:
             self._record("failed", _now(), str(error))
             raise
@@ -132,7 +133,7 @@ class Build:
         if self.n_buckets is None:
             self.n_buckets = self.key_buckets or current.bucket_count(max(n_keys, known))
             self.current = w.spark.createDataFrame([], schemas.TABLES["current_keys"])
-            if not w.runs().filter(F.col("status") == "success").isEmpty():
+            if "success" in w.statuses().values():
                 self.current = written(current.from_history(
                     w.read("clean_documents"), w.read("closures"), w.read("chunks"),
                     w.read("embeddings")).withColumn("bucket", F.lit(0)), "history")
@@ -314,8 +315,7 @@ def checksums(w: Warehouse, run_ids: list[int], also: int | None = None) -> Data
     stored = w.read("corpus_state", also=also).filter(F.col("run_id").isin(run_ids)).select(
         "run_id", current.checksum("n_chunks").alias("checksum"))
     known = {r.run_id for r in stored.select("run_id").collect()}
-    ran = {r.run_id for r in w.runs().filter(F.col("run_id").isin(run_ids)).collect()}
-    missing = [r for r in run_ids if r in ran - known]
+    missing = [r for r in run_ids if r in w.statuses().keys() - known]
     if not missing:
         return stored
     return stored.unionByName(chunk_checksums(

@@ -23,17 +23,28 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_root(spark).rstrip('/')}/corpusloom-{purpose}-{uuid.uuid4().hex}"
 
 
+def _place(spark: SparkSession, path: str):
+    """(file system, path) as the driver sees a folder."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def is_there(spark: SparkSession, path: str) -> bool:
+    files, place = _place(spark, path)
+    return files.exists(place)
+
+
 def release_at_end(spark: SparkSession, path: str) -> None:
     """Have a folder that is there removed when the driver ends; results may read it until then."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
+    files, place = _place(spark, path)
+    files.deleteOnExit(place)
 
 
 def held_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder, there and empty, that is removed with all that it holds when the driver ends."""
     path = new_folder(spark, purpose)
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(place)
+    files, place = _place(spark, path)
+    files.mkdirs(place)
     release_at_end(spark, path)
     return path
 

@@ -6,17 +6,18 @@ last ``runs`` row says success: readers see the rows of successful runs, plus th
 run in progress. One driver writes at a time.
 """
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from decimal import Decimal
 
 import pyarrow as pa
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from corpusloom import schemas
+from corpusloom.sources import scratch
 
 # Tables whose rows belong to the run that wrote them, and the column that says so.
 RUN_COLUMN = {
@@ -55,6 +56,7 @@ def observed(df: DataFrame, metrics: dict[str, Column]) -> tuple[Callable[[], di
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
+        self._held: dict[int, str] | None = None
 
     def path(self, table: str, run_id: int | None = None) -> str:
         base = f"{self.root}/{table}"
@@ -62,12 +64,9 @@ class Warehouse:
 
     def _load(self, table: str) -> DataFrame:
         schema = schemas.TABLES[table]
-        try:
-            return self.spark.read.schema(schema).parquet(self.path(table))
-        except AnalysisException as error:
-            if "PATH_NOT_FOUND" not in str(error.getCondition()):
-                raise
+        if not scratch.is_there(self.spark, self.path(table)):
             return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(self.path(table))
 
     def write_run(self, table: str, df: DataFrame, run_id: int,
                   metrics: dict[str, Column] | None = None) -> dict:
@@ -94,28 +93,36 @@ class Warehouse:
     def append_rows(self, table: str, rows: list[tuple]) -> None:
         self.append(table, small_frame(self.spark, rows, schemas.TABLES[table]).coalesce(1))
 
+    def statuses(self) -> dict[int, str]:
+        """Run id to status, one entry per run."""
+        if self._held is not None:
+            return self._held
+        return {r.run_id: r.status for r in self.runs().select("run_id", "status").collect()}
+
+    @contextmanager
+    def as_of_now(self) -> Iterator[None]:
+        """Within, readers see the runs there are now, which are looked up once."""
+        self._held = self.statuses()
+        try:
+            yield
+        finally:
+            self._held = None
+
     def read(self, table: str, also: int | None = None) -> DataFrame:
         """Rows of successful runs, and of one more run if it is given.
 
-        What a failed or running run wrote to a control table is left out too. A list of run ids
-        travels to the readers, one number per run.
+        What a failed or running run wrote to a control table is left out too. The run ids, one
+        number per run, are a filter, so folders of other runs are not read.
         """
         df = self._load(table)
         if table in CONTROL_COLUMN:
-            column = CONTROL_COLUMN[table]
-            hidden = self.runs().filter(F.col("status") != "success")
-            if also is not None:
-                hidden = hidden.filter(F.col("run_id") != also)
-            hidden = hidden.select(F.col("run_id").alias(column))
-            return df.join(F.broadcast(hidden), column, "left_anti").select(df.columns)
+            hidden = [n for n, status in self.statuses().items() if status != "success" and n != also]
+            column = F.col(CONTROL_COLUMN[table])
+            return df.filter(~column.isin(hidden) | column.isNull()) if hidden else df
         if table not in RUN_COLUMN:
             return df
-        shown = self._load("runs").filter(F.col("status") == "success").select("run_id")
-        if also is not None:
-            shown = shown.unionByName(self.spark.range(1).select(
-                F.lit(also).cast("int").alias("run_id")))
-        shown = shown.select(F.col("run_id").alias(RUN_COLUMN[table])).distinct()
-        return df.join(F.broadcast(shown), RUN_COLUMN[table], "left_semi").select(df.columns)
+        shown = {n for n, status in self.statuses().items() if status == "success"}
+        return df.filter(F.col(RUN_COLUMN[table]).isin(sorted(shown | ({also} - {None}))))
 
     def everything(self, table: str) -> DataFrame:
         """All rows, also those of failed and running runs."""

@@ -138,10 +138,10 @@ def test_a_corpus_without_snapshot_gets_one_from_its_history(spark, tmp_path):
     path.write_text("\n".join(line(f"d{i}", 50 + i) for i in range(6)))
     B.Build(w, "full", "demo", str(path), encoder=HashingEncoder(16)).run()
     old = Warehouse(spark, scratch.new_folder(spark, "old"))
-    for name in ("runs", "raw_documents", "clean_documents", "chunks", "embeddings", "index_registry"):
-        spark.read.parquet(w.path(name)).write.partitionBy(
-            *(["source_run_id"] if name in ("clean_documents", "chunks", "embeddings") else
-              ["run_id"] if name == "raw_documents" else [])).parquet(old.path(name))
+    for name in ("runs", "clean_documents", "chunks", "embeddings", "index_registry"):
+        rows = w.everything(name)
+        split = [c for c in ("source_run_id", "prefix") if c in rows.columns]
+        rows.write.partitionBy(*split).parquet(old.path(name))
     path.write_text(line("d0", 99) + "\n" + line("d9", 60))
     run_id = B.Build(old, "augmented", "demo", str(path), encoder=HashingEncoder(16)).run()
     row = old.runs().filter(F.col("run_id") == run_id).first()
