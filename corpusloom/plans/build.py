@@ -14,7 +14,8 @@ from corpusloom import settings as S
 from corpusloom.functions import text as X
 from corpusloom.functions.encoders import Encoder, HashingEncoder, embed_chunks
 from corpusloom.functions.tokenizers import Tokenizer, WordTokenizer
-from corpusloom.operators import chunking, current, index_store, ivf, merge, quality, validate
+from corpusloom.operators import (
+    chunking, current, index_store, ivf, known_ids, merge, quality, sampling, validate)
 from corpusloom.sources import jsonl
 from corpusloom.sources.scratch import written
 from corpusloom.sources.warehouse import Warehouse, small_frame
@@ -237,6 +238,7 @@ class Build:
         statuses = w.read_run("document_status", self.run_id)
         w.write_keys(current.updated_snapshot(
             self.current, statuses, held, self.run_id, self.n_buckets), self.n_buckets, self.run_id)
+        self._sketch(statuses)
         before = self.before or self._counted_before()
         changes = c["new_doc_count"] + c["updated_doc_count"]
         state = {"n_documents": before["n_documents"] + c["new_doc_count"],
@@ -246,6 +248,18 @@ class Build:
         c.update(active_doc_count=state["n_documents"], active_chunk_count=state["n_chunks"],
                  active_embedding_count=state["n_embeddings"])
 
+    def _sketch(self, statuses: DataFrame) -> None:
+        """Add the new ids to the sketch of known ones; at first, those of the history too."""
+        w = self.warehouse
+        n_words = w.sketch_words()
+        ids = statuses.filter(F.col("status") == S.NEW).select("doc_id")
+        if n_words is None:
+            n_words = known_ids.word_count(S.SKETCH_ROOM * max(
+                self.counts["new_doc_count"], self.before["n_documents"] if self.before else 0))
+            ids = ids.unionByName(self.current.select("doc_id"))
+        w.write_run("known_ids", known_ids.sketch(ids, n_words).withColumn(
+            "n_words", F.lit(n_words).cast("long")), self.run_id)
+
     def _counted_before(self) -> dict[str, int]:
         """The state of a corpus that has none yet, summed over its snapshot."""
         row = self.current.agg(F.count("*").alias("n_documents"), *[
@@ -369,6 +383,26 @@ def audit_runs(w: Warehouse, run_a: int, run_b: int) -> DataFrame:
     return write_audit(w, w.runs(), run_a, run_b)
 
 
+def preview(w: Warehouse, batch: DataFrame) -> DataFrame:
+    """How a coming batch (id, title, text) looks against a warehouse: see ``batch_preview``.
+
+    Ids that the sketch does not know are new without a look at any key; the others are looked up in
+    the key buckets that they fall into.
+    """
+    n_buckets, at = w.key_layout()
+    ids = batch.select(F.col("id").alias("doc_id")).filter(~X.is_blank("doc_id")).distinct()
+    if n_buckets is None:
+        return sampling.batch_preview(batch, ids.filter("false").withColumnRenamed("doc_id", "id"))
+    n_words = w.sketch_words()
+    chance = ids if n_words is None else known_ids.with_chance(
+        ids, w.read("known_ids"), n_words).filter("may_be_known").select("doc_id")
+    chance = written(chance.withColumn("bucket", current.bucket_of(n_buckets)), "maybe-known")
+    touched = {r.bucket for r in chance.select("bucket").distinct().collect()}
+    keys = w.read_keys({b: run for b, run in at.items() if b in touched})
+    known = keys.join(chance.select("doc_id"), "doc_id", "left_semi")
+    return sampling.batch_preview(batch, known.select(F.col("doc_id").alias("id")))
+
+
 def build(spark: SparkSession, root: str, mode: str, dataset_name: str, input_path: str,
           **options) -> int:
     """Build or update the corpus at ``root`` from JSON lines; returns the run id."""

@@ -12,7 +12,7 @@ from corpusloom.functions import vectors as V
 from corpusloom.functions.encoders import HashingEncoder, embed_chunks, embedding_hash
 from corpusloom.operators import (
     chunking, evaluation, index_store, ivf, merge, quality, sampling, search, two_level, validate)
-from corpusloom.plans.build import Build, chunk_checksums, states_and_recounts
+from corpusloom.plans.build import Build, chunk_checksums, preview, states_and_recounts
 from corpusloom.plans.build import audit_runs as stored_audit
 from corpusloom.plans.inputs import DIM, REVISED, Inputs
 from corpusloom.plans.retrieve import evaluate_retrieval, retrieve
@@ -405,6 +405,15 @@ def snapshot_keys(i: Inputs) -> DataFrame:
         "doc_id", "content_hash", "source_run_id", "n_chunks", "n_embeddings")
 
 
+@query
+def sketch_preview(i: Inputs) -> DataFrame:
+    """The update once more, and pages under unseen ids, against the warehouse of three runs."""
+    unseen = i.table("pages").select(
+        F.concat(F.lit("unseen-"), "page_id").alias("id"), F.col("url").alias("title"),
+        F.col("html").alias("text"))
+    return preview(_scenario(i), i.delta.select("id", "title", "text").unionByName(unseen))
+
+
 @query
 def state_additive(i: Inputs) -> DataFrame:
     """The totals that each run kept by difference, and whether a full recount agrees."""
@@ -711,9 +720,9 @@ def two_level_recall(i: Inputs) -> DataFrame:
     """What a third of the groups and a third of the cells find; SQL has no trained cells."""
     index, cells = _two_levels(i)
     found = two_level.topk(_asked(i), index, cells, TOP_K + 1, COARSE // 3 + 1, COARSE * FINE // 3)
-    read = index.groupBy("cell").count().agg(F.count("*").alias("n_cells"))
-    return evaluation.recall(search.without_self(found, TOP_K), written(_exact_others(i), "truth")).join(
-        F.broadcast(read))
+    truth = written(_exact_others(i), "truth")
+    return evaluation.recall(search.without_self(found, TOP_K), truth).withColumn(
+        "n_cells", F.lit(index.select("cell").distinct().count()))
 
 
 @query

@@ -367,6 +367,12 @@ def statements() -> dict[str, str]:
             SELECT doc_id, content_hash, status,
                    CASE WHEN status = '{S.UPDATED}' THEN 1 END AS closed_valid_from
             FROM statuses""",
+        "sketch_preview": f"""
+            SELECT d.id, d.title, length(d.text)::INT AS text_len, NOT ({blank('d.text')}) AS has_text,
+                   v.doc_id IS NULL AS is_new
+            FROM (SELECT id, title, text FROM delta
+                  UNION ALL SELECT 'unseen-' || page_id, url, html FROM pages) d
+            LEFT JOIN (SELECT DISTINCT doc_id FROM versions) v ON v.doc_id = d.id""",
         "snapshot_keys": """
             SELECT v.doc_id, v.content_hash, v.source_run_id, count(c.chunk_id) AS n_chunks,
                    count(c.chunk_id) AS n_embeddings

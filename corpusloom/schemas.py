@@ -48,6 +48,8 @@ TABLES: dict[str, T.StructType] = {
         **dict.fromkeys(WORDS, LONG), bucket=INT),
     # The buckets that a run wrote, of how many.
     "key_buckets": _table(bucket=INT, n_buckets=INT, run_id=INT),
+    # What a run added to the sketch of known ids, of so many words.
+    "known_ids": _table(word=LONG, bits=LONG, n_words=LONG, run_id=INT),
     # What a run left: counts and the summed words of the hashes of its chunks. ``n_changes`` counts
     # new and updated documents of all runs, so equal numbers mean the same corpus.
     "corpus_state": _table(

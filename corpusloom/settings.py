@@ -41,6 +41,11 @@ MAX_KEY_BUCKETS = 1 << 16
 # A corpus gets more buckets when it is due this many times those it has.
 OUTGROWN = 4
 
+# The sketch of known ids: bits for each id there is room for, and that room at the first build.
+SKETCH_BITS_PER_ID = 16
+SKETCH_ROOM = 8
+MIN_SKETCH_WORDS = 1 << 10
+
 # Reject reasons and document statuses.
 MISSING_ID = "MISSING_ID"
 EMPTY_TEXT = "EMPTY_TEXT"

@@ -23,7 +23,7 @@ from corpusloom.sources import scratch
 RUN_COLUMN = {
     "raw_documents": "run_id", "rejected_documents": "run_id", "batch_keys": "run_id",
     "document_status": "run_id", "key_buckets": "run_id", "corpus_state": "run_id", "index_recall": "run_id",
-    "index_parts": "run_id", "index_closed": "run_id",
+    "index_parts": "run_id", "index_closed": "run_id", "known_ids": "run_id",
     "row_count_reconciliation": "run_id", "clean_documents": "source_run_id",
     "chunks": "source_run_id", "embeddings": "source_run_id", "closures": "valid_to_run_id",
 }
@@ -181,6 +181,10 @@ class Warehouse:
         """The whole snapshot."""
         return self.read_keys(self.key_layout()[1])
 
+    def sketch_words(self) -> int | None:
+        """Words of the sketch of known ids; None before the first run."""
+        return self.read("known_ids").agg(F.max("n_words")).first()[0]
+
     def write_keys(self, snapshot: DataFrame, n_buckets: int, run_id: int) -> None:
         """Write the buckets a run touched, and then which they were."""
         path = f"{self.path('current_keys')}/run_id={run_id}"
