@@ -17,7 +17,16 @@ LEAST_SHARE = 0.25
 END_ID = 0
 # Pieces of text that each worker remembers with their tokens; workers of a pipeline have held
 # other things before.
-HELD_PIECES = 150_000
+HELD_PIECES = 80_000
+# Rows are whole texts, so batches between Spark and Python hold few of them.
+BATCH_ROWS = 1000
+BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Keep batches small for the rest of the session; the stages run when they are written."""
+    if not 0 < int(spark.conf.get(BATCH_SETTING)) <= BATCH_ROWS:
+        spark.conf.set(BATCH_SETTING, BATCH_ROWS)
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,6 +38,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     documents without a letter go. Null and empty texts go; rows repeat or not, with null keys or
     not, as they came. All columns keep their names and values. An empty table stays empty.
     """
+    small_batches(spark)
     model = language_id.fit(docs)
     found, = fresh(docs, "found")
     judged = docs.withColumn(found, language_id.prediction(docs, model, F.col("text")))
@@ -52,6 +62,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Documents without words all stay. Null keys come last; rows equal in key and words stay
     together. All columns keep their names and values. An empty table stays empty.
     """
+    small_batches(spark)
     return ngram_jaccard.one_of_each(docs)
 
 
@@ -61,6 +72,7 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     A null or empty text is its end id alone; repeated rows and rows with null keys are documents
     of their own. Of the documents' columns only doc_id is left. An empty table gives no rows.
     """
+    small_batches(spark)
     encode = piece_encoder(spark, public_tokenizers.path("byte_bpe_50k.json"), held=HELD_PIECES)
     return packing.pack(docs, encode, end_id=END_ID)
 
