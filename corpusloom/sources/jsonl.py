@@ -116,11 +116,10 @@ def write_documents(df: DataFrame, path: str) -> None:
 def normalise_corpus(df: DataFrame, id_column: str, url_column: str, title_column: str,
                      text_column: str, limit: int | None = None,
                      order: str | None = None) -> DataFrame:
-    """Project any corpus onto (id, url, title, text), optionally its first rows by a column."""
+    """Project any corpus onto (id, url, title, text), optionally its first rows by a column, the id
+    where none is named."""
     if limit is not None:
-        if order is None:
-            raise ValueError("a limit needs an order")
-        df = df.orderBy(order).limit(limit)
+        df = df.orderBy(order or id_column).limit(limit)
     return df.select(
         F.col(id_column).cast("string").alias("id"), F.col(url_column).alias("url"),
         F.col(title_column).alias("title"), F.col(text_column).alias("text"))
