@@ -76,12 +76,17 @@ class Warehouse:
         they may use columns that are not stored.
         """
         columns = [f.name for f in schemas.TABLES[table].fields if f.name != RUN_COLUMN[table]]
+        if table == "chunks":
+            # Brings a folder into few files, so that their number does not grow with the tasks.
+            df = df.hint("rebalance", "prefix")
         seen, df = observed(df, metrics or {})
         writer = df.select(*columns).write.mode("overwrite")
         if table == "chunks":
             # Lets a look-up by id skip folders, and row groups; ids are hashes, so min/max cannot.
+            # A filter is the smallest of a few sizes that holds its ids, not 1 MB whatever they are.
             writer = writer.partitionBy("prefix").option(
-                "parquet.bloom.filter.enabled#chunk_id", "true")
+                "parquet.bloom.filter.enabled#chunk_id", "true").option(
+                "parquet.bloom.filter.adaptive.enabled", "true")
         writer.parquet(self.path(table, run_id))
         return seen()
 

@@ -232,3 +232,19 @@ def test_cells_are_limited(spark, tmp_path):
     assert w.read("index_registry").first().nlist == 2
     with pytest.raises(ValueError, match="max_cells"):
         B.build(spark, w.root, "full", "demo", base, max_cells=0)
+
+
+def test_chunk_files_follow_the_folders_and_not_the_tasks(spark, tmp_path):
+    w = Warehouse(spark, str(tmp_path))
+    rows = spark.range(0, 600, numPartitions=6).select(
+        F.sha2(F.col("id").cast("string"), 256).alias("chunk_id"), F.col("id").cast("string").alias("doc_id"),
+        F.lit("h").alias("content_hash"), F.lit(0).alias("chunk_index"), F.lit(0).alias("start_tok"),
+        F.lit(40).alias("end_tok"), F.lit("text").alias("chunk_text"), F.lit(40).alias("chunk_token_len"),
+        F.lit("h").alias("chunk_hash"))
+    seen = w.write_run("chunks", rows.withColumn("prefix", F.left("chunk_id", F.lit(2))), 1,
+                       {"rows": F.count("*")})
+    stored = w.read_run("chunks", 1)
+    assert seen == {"rows": 600} and stored.count() == 600
+    files = list(tmp_path.rglob("chunks/**/*.parquet"))
+    assert len(files) == stored.select("prefix").distinct().count()
+    assert sum(f.stat().st_size for f in files) < 100_000 * len(files)
