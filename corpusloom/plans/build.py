@@ -95,6 +95,9 @@ class Build:
         # Every text is cleaned once, here; later stages read the cleaned rows.
         w, c = self.warehouse, self.counts
         raw = jsonl.accepted(w.read_run("raw_documents", self.run_id))
+        if len(raw.inputFiles()) < w.spark.sparkContext.defaultParallelism:
+            # Written by few tasks: dealt anew, or those few would do all that follows.
+            raw = raw.hint("rebalance")
         self.staged = written(validate.staged_documents(raw), "staged")
         seen = w.write_run("rejected_documents", validate.refused_of(self.staged, self.run_id),
                            self.run_id, {"rows": F.count("*")})

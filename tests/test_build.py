@@ -248,3 +248,17 @@ def test_chunk_files_follow_the_folders_and_not_the_tasks(spark, tmp_path):
     files = list(tmp_path.rglob("chunks/**/*.parquet"))
     assert len(files) == stored.select("prefix").distinct().count()
     assert sum(f.stat().st_size for f in files) < 100_000 * len(files)
+
+
+def test_rows_of_one_task_are_staged_by_several(spark):
+    letters = F.concat_ws(" ", *[F.sha2(F.concat("id", F.lit(f"-{n}")), 256) for n in range(60)])
+    rows = spark.range(0, 2000, numPartitions=1).select(F.col("id").cast("string").alias("id")).select(
+        "id", F.lit("u").alias("url"), F.lit("t").alias("title"), letters.alias("text"),
+        F.struct(F.lit("f").alias("file"), F.lit(0).cast("bigint").alias("block"),
+                 F.col("id").cast("bigint").alias("row")).alias("seq"))
+    w = Warehouse(spark, scratch.new_folder(spark, "test"))
+    run = B.Build(w, "full", "demo", "rows", encoder=HashingEncoder(8))
+    run.run(lambda run_id: jsonl.raw_rows(rows, run_id))
+    assert len(w.read_run("raw_documents", 1).inputFiles()) == 1
+    assert len(run.staged.inputFiles()) > 1
+    assert counts(w, 1).active_doc_count == 2000
