@@ -14,6 +14,10 @@ from pyspark.sql import types as T
 from corpusloom import settings as S
 
 
+# Rows that are encoded at a time, whatever the batches between Spark and Python hold.
+SLICE_ROWS = 2500
+
+
 class Encoder(Protocol):
     name: str
     dim: int
@@ -77,10 +81,11 @@ def encode_column(df: DataFrame, text_column: str, encoder: Encoder, prefix: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                vectors = encoder.encode(batch.column(len(keep)))
+            for at in range(0, batch.num_rows, SLICE_ROWS):
+                part = batch.slice(at, SLICE_ROWS)
+                vectors = encoder.encode(part.column(len(keep)))
                 yield pa.RecordBatch.from_arrays(
-                    batch.columns[:-1] + [float_lists(vectors), pa.array(vector_hash(vectors))],
+                    part.columns[:-1] + [float_lists(vectors), pa.array(vector_hash(vectors))],
                     names=keep + ["embedding", "embedding_hash"])
 
     return source.mapInArrow(run, schema)

@@ -24,6 +24,10 @@ from corpusloom.operators import chunking, ivf
 from corpusloom.sources import scratch
 
 
+# Hits that a task keeps at least before it drops those beyond the best of each query.
+FOLD_HITS = 1 << 16
+
+
 def rank_hits(hits: DataFrame, k: int) -> DataFrame:
     """(query_id, id, score) to the best k per query, with rank."""
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
@@ -75,7 +79,8 @@ def _scan_with_queries(queries: pa.Table, corpus: DataFrame, k: int,
                 q, r, s = V.block_topk(wanted[asked], vectors[members], part, k)
                 kept.append(pa.table({"q": asked[q], "id": part.take(pa.array(r)), "score": s}))
                 pending += len(q)
-            if pending > 1_000_000:
+            # Hits wait in numbers that follow the queries, not the rows of the task.
+            if pending > max(FOLD_HITS, k * len(wanted)):
                 kept, pending = fold(), 0
         if kept:
             best = fold()[0].combine_chunks()

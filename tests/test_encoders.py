@@ -4,6 +4,7 @@ import sys
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
+from pyspark.sql import functions as F
 
 from corpusloom.functions import encoders as E
 
@@ -59,3 +60,18 @@ def test_null_text_is_encoded_like_an_empty_one(spark):
     df = spark.createDataFrame([(1, None), (2, ""), (3, "a b")], "id int, text string")
     rows = {r.id: r.embedding for r in E.encode_column(df, "text", E.HashingEncoder(8), "query: ").collect()}
     assert rows[1] == rows[2] != rows[3]
+
+
+class Longest:
+    """Tells how many texts it was given at a time."""
+    name, dim = "longest", 1
+
+    def encode(self, texts):
+        return np.full((len(texts), 1), len(texts), np.float32)
+
+
+def test_few_rows_are_encoded_at_a_time(spark):
+    df = spark.range(0, 6000, numPartitions=1).select("id", F.lit("a b").alias("text"))
+    rows = E.encode_column(df, "text", Longest(), "query: ").collect()
+    assert sorted(r.id for r in rows) == list(range(6000))
+    assert max(r.embedding[0] for r in rows) == E.SLICE_ROWS < 6000
