@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm import exact_dedup, language_id, ngram_jaccard, packing
 from corpusloom.llm.queries import piece_encoder
-from corpusloom.llm.shared import fresh, written
+from corpusloom.llm.shared import fresh, small_batches, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -18,15 +18,6 @@ END_ID = 0
 # Pieces of text that each worker remembers with their tokens; workers of a pipeline have held
 # other things before.
 HELD_PIECES = 80_000
-# Rows are whole texts, so batches between Spark and Python hold few of them.
-BATCH_ROWS = 1000
-BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
-
-
-def small_batches(spark: SparkSession) -> None:
-    """Keep batches small for the rest of the session; the stages run when they are written."""
-    if not 0 < int(spark.conf.get(BATCH_SETTING)) <= BATCH_ROWS:
-        spark.conf.set(BATCH_SETTING, BATCH_ROWS)
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

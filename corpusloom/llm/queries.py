@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from corpusloom.llm import (
     backoff_lm, chat_trees, collocations, conversation_repair, exact_dedup, language_id, merkle,
     ngram_jaccard, packing, prefix_bpe, quality_rules, token_files, tokens, url_filter)
+from corpusloom.llm.shared import small_batches
 from corpusloom.sources import scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -195,6 +196,7 @@ def op3_merkle_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op4_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    small_batches(spark)
     return ngram_jaccard.jaccard_components(table(spark, folder, "documents")).select(
         "doc_id", F.col("n_grams").alias("n_shingles"), F.col("component").alias("component_id"))
 

@@ -1,6 +1,6 @@
 """Helpers of the training-data operators."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.sources.scratch import written  # noqa: F401
@@ -9,6 +9,16 @@ from corpusloom.sources.scratch import written  # noqa: F401
 # pattern matches only runs that change when replaced by one space.
 UNEVEN_SPACE = r"[\x09-\x0D][\x20\x09-\x0D]*+|\x20[\x20\x09-\x0D]++"
 
+# Rows are whole texts, so batches between Spark and Python hold few of them.
+BATCH_ROWS = 1000
+BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Keep batches small for the rest of the session; operators run when their rows are written."""
+    if not 0 < int(spark.conf.get(BATCH_SETTING)) <= BATCH_ROWS:
+        spark.conf.set(BATCH_SETTING, BATCH_ROWS)
+
 
 def one_spaced(text: Column) -> Column:
     """Every run of white space as one space; null is empty."""

@@ -2,10 +2,12 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 from rows import AWKWARD, empty, table
 
 from corpusloom.llm import ngram_jaccard as N
 from corpusloom.llm.components import connected
+from corpusloom.llm.queries import QUERIES
 
 
 def grams(text, n=5):
@@ -179,3 +181,22 @@ def test_components_of_random_links(spark):
         want[node] = min(seen)
     got = connected(spark.createDataFrame(links, "a long, b long")).collect()
     assert {r.node: r.root for r in got} == want
+
+
+def test_columns_pass_as_arrays():
+    rows = [np.array([3, 2 ** 63 + 5], np.uint64), np.empty(0, np.uint64), np.array([7], np.uint64)]
+    lists = N._lists([r.view(np.int64) for r in rows])
+    for part, want in ((lists, rows), (lists.slice(1), rows[1:]), (lists.slice(2), rows[2:])):
+        got = N._arrays(pa.chunked_array([part.slice(0, 1), part.slice(1)]))
+        assert [g.tolist() for g in got] == [w.tolist() for w in want]
+
+
+def test_op4_takes_few_texts_at_a_time(spark):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    kept = spark.conf.get(name)
+    spark.conf.set(name, "10000")
+    try:
+        QUERIES["op4_ngram_jaccard"](spark, "/root/testdata/sf0.001")
+        assert int(spark.conf.get(name)) <= 1000
+    finally:
+        spark.conf.set(name, kept)
