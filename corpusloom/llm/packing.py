@@ -149,8 +149,8 @@ def pack(df: DataFrame, encode: Callable[[str | None], bytes], key: str = "doc_i
         def flush():
             windows.finish()
             for at in range(0, len(rows), 4096):
-                yield pa.RecordBatch.from_pylist(
-                    [dict(zip(schema.names, r)) for r in rows[at:at + 4096]], schema)
+                columns = zip(schema.types, zip(*rows[at:at + 4096]))
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for t, c in columns], schema=schema)
             keys.clear(), ids.clear(), rows.clear()
 
         for batch in batches:

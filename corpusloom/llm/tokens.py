@@ -3,16 +3,28 @@
 import os
 import re
 from array import array
+from operator import attrgetter
 
 # A space between two characters that are no white space starts a new piece: no token of a
 # byte-level vocabulary spans it, as the split before the merges cuts there.
 _CUT = re.compile(r"(?<=\S) (?=\S)")
-_UNCLEAR = re.compile(r" \s|\s ")
+# In any other run of white space, each space and each line break is a token or starts one.
+_UNCLEAR = re.compile(r"\s\s(?:\s|\Z)")
 # ASCII punctuation but the apostrophe, which can begin a token of letters.
 _MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 # Pieces remembered: so many are new, as many again may be older ones.
 CACHED_PIECES = 400_000
 CACHED_CHARS = 64
+_ID = attrgetter("id")
+
+
+def _clear(text: str) -> bool:
+    """Whether the text may be cut before every space and around every line break."""
+    spaced = text.replace("\n", " ")
+    if "   " in spaced or spaced.endswith("  "):
+        return False
+    # Spaces are the only white space that is printable.
+    return spaced.isprintable() or not _UNCLEAR.search(text)
 
 
 def _byte_letters() -> dict[int, str]:
@@ -26,8 +38,10 @@ class _Pieces(dict):
     """Ids of pieces after a common lead, computed when first asked for.
 
     When so many are held, they become the old ones, and those old before are forgotten; a piece
-    that is asked for again is new again, so frequent ones stay. Letters, also before a run of marks or a line break, go straight to the tokenizer's merges,
-    since the split before the merges cuts there; any other piece goes through all of it.
+    that is asked for again is new again, so frequent ones stay. Letters go straight to the
+    tokenizer's merges, also before a run of marks or a line break, since the split before the
+    merges cuts there; marks and line breaks are pieces of their own without a lead. Any other
+    piece goes through all of the tokenizer.
     """
 
     def __init__(self, tokenizer, lead: str, first: "_Pieces | None" = None,
@@ -54,18 +68,21 @@ class _Pieces(dict):
             return self._lines(piece)
         if letters == piece:
             return self._merged(self.lead + piece)
-        return self[letters] + self._merged(piece[len(letters):])
+        return self[letters] + self.first[piece[len(letters):]]
 
     def _lines(self, piece: str) -> bytes:
         before, cut, after = piece.partition("\n")
         if cut and before and after and not before[-1].isspace() and not after[0].isspace():
-            return self[before] + self._merged(cut) + self.first[after]
+            return self[before] + self.first[cut] + self.first[after]
         encoded = self.tokenizer.encode(self.lead + piece, add_special_tokens=False)
         return array("I", encoded.ids).tobytes()
 
     def _merged(self, text: str) -> bytes:
-        mapped = text.encode().decode("latin-1").translate(self.letters)
-        return array("I", [t.id for t in self.merges(mapped)]).tobytes()
+        if text.isascii():  # a lead and letters, which write themselves
+            mapped = text.replace(" ", self.letters[32])
+        else:
+            mapped = text.encode().decode("latin-1").translate(self.letters)
+        return array("I", map(_ID, self.merges(mapped))).tobytes()
 
 
 class PieceEncoder:
@@ -117,8 +134,15 @@ class PieceEncoder:
                         for n, part in enumerate(between))
 
     def _plain(self, text: str) -> bytes:
-        pieces = _CUT.split(text) if _UNCLEAR.search(text) else text.split(" ")
-        return self.first[pieces[0]] + b"".join(map(self.later.__getitem__, pieces[1:]))
+        first, later = self.first, self.later.__getitem__
+        if _clear(text):
+            found = []
+            for line in text.split("\n"):
+                pieces = line.split(" ")
+                found.append(first[pieces[0]] + b"".join(map(later, pieces[1:])))
+            return first["\n"].join(found)
+        pieces = _CUT.split(text)
+        return first[pieces[0]] + b"".join(map(later, pieces[1:]))
 
 
 def read_file(path: str) -> str:

@@ -1,3 +1,5 @@
+from itertools import product
+
 import numpy as np
 import public_tokenizers
 import pytest
@@ -38,6 +40,27 @@ def test_pieces_are_encoded_like_whole_texts(plain):
     assert (50256 in wanted(special[0])) != plain
 
 
+def test_white_space_between_words(library):
+    encoder = tokens.PieceEncoder(tokens.read_file(PATH))
+    for letters in ("a \n\t", "b. \n\xa0"):
+        for text in map("".join, (c for n in range(7) for c in product(letters, repeat=n))):
+            assert np.frombuffer(encoder.encode(text), "<u4").tolist() == library(text), repr(text)
+
+
+def test_words_beside_line_breaks_and_marks_are_merged_once(library):
+    words = ["Inwh", "thonea", "erlytion", "ándshti", "nted"]
+    encoder = tokens.PieceEncoder(tokens.read_file(PATH))
+    encoder.encode("")
+    merged = []
+    for table in (encoder.first, encoder.later):
+        table.merges = lambda text, merges=table.merges: merged.append(text) or merges(text)
+    for a, b in product(words, repeat=2):
+        text = f"{a} {b}.\n{b} {a},\n\n{a} {b}.\n{a}"
+        assert np.frombuffer(encoder.encode(text), "<u4").tolist() == library(text)
+    assert len(merged) == len(set(merged)) == 2 * len(words)
+    assert not any("\n" in piece for piece in encoder.later)
+
+
 @pytest.mark.parametrize("vocabulary", [50_257, 1 << 20])
 def test_files(spark, library, vocabulary):
     out = scratch.new_folder(spark, "test-files")
