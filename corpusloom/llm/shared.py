@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.sources.scratch import written  # noqa: F401
+from corpusloom.sources.scratch import in_one, written  # noqa: F401
 
 # What counts as white space between words, space and U+0009 to U+000D. The
 # pattern matches only runs that change when replaced by one space.
@@ -25,10 +25,13 @@ def one_spaced(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), UNEVEN_SPACE, " ")
 
 
+def text_bytes(df: DataFrame, text: str) -> int:
+    return df.select(F.sum(F.octet_length(text))).first()[0] or 0
+
+
 def blocks_for(df: DataFrame, text: str, block_bytes: int) -> int:
     """How many blocks of about block_bytes the texts fill; one at least."""
-    total = df.select(F.sum(F.octet_length(text))).first()[0] or 0
-    return 1 + total // block_bytes
+    return 1 + text_bytes(df, text) // block_bytes
 
 
 def fresh(df: DataFrame, *names: str) -> list[str]:

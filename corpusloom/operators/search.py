@@ -22,6 +22,7 @@ from corpusloom import settings as S
 from corpusloom.functions import vectors as V
 from corpusloom.operators import chunking, ivf
 from corpusloom.sources import scratch
+from corpusloom.sources.scratch import in_one
 
 
 # Hits that a task keeps at least before it drops those beyond the best of each query.
@@ -136,17 +137,6 @@ def block_hits(queries: DataFrame, corpus: DataFrame, k: int) -> Iterator[DataFr
         yield rank_hits(queries.sparkSession.createDataFrame([], schema), k)
 
 
-def in_one(parts: Iterator[DataFrame], purpose: str) -> DataFrame:
-    """The rows of all parts as one table, each part written before the next is asked for."""
-    path = None
-    for part in parts:
-        path = path or scratch.new_folder(part.sparkSession, purpose)
-        part.write.mode("append").parquet(path)
-        spark, schema = part.sparkSession, part.schema
-    scratch.release_at_end(spark, path)
-    return spark.read.schema(schema).parquet(path)
-
-
 def exact_topk(queries: DataFrame, corpus: DataFrame, k: int) -> DataFrame:
     """Best k of corpus (id, embedding) for each of queries (query_id, embedding)."""
     return in_one(block_hits(

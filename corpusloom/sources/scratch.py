@@ -2,6 +2,7 @@
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -59,3 +60,14 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     df.write.parquet(path)
     release_at_end(spark, path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def in_one(parts: Iterator[DataFrame], purpose: str) -> DataFrame:
+    """The rows of all parts as one table, each part written before the next is asked for."""
+    path = None
+    for part in parts:
+        path = path or new_folder(part.sparkSession, purpose)
+        part.write.mode("append").parquet(path)
+        spark, schema = part.sparkSession, part.schema
+    release_at_end(spark, path)
+    return spark.read.schema(schema).parquet(path)

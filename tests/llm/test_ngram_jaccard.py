@@ -3,6 +3,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
 from rows import AWKWARD, empty, table
 
 from corpusloom.llm import ngram_jaccard as N
@@ -200,3 +201,40 @@ def test_op4_takes_few_texts_at_a_time(spark):
         assert int(spark.conf.get(name)) <= 1000
     finally:
         spark.conf.set(name, kept)
+
+
+def test_blocks_are_multiplied_where_they_lie(spark, monkeypatch):
+    """However many blocks a row meets, it is not sent to each of them."""
+    rows, plans, product = near_copies(9, 400, edits=30), [], N._product
+
+    def planned(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return df
+
+    def watched(*args):
+        out = product(*args)
+        return planned(out) if isinstance(out, DataFrame) else map(planned, out)
+
+    monkeypatch.setattr(N, "_product", watched)
+    assert found(table(spark, rows, extra=False), block_bytes=20_000) == brute(rows)
+    assert plans and not any("Exchange" in p for p in plans)
+    assert len(plans) > 1
+
+
+def test_blocks_pass_in_order_and_whole(spark):
+    sized = [(p, b"x" * n) for p, n in enumerate([3, 3, 5, 9, 1, 1, 1])]
+    blocks = spark.createDataFrame(sized, "part int, shared binary")
+    assert N._passes(blocks, 8) == [(0, 1), (2, 2), (3, 3), (4, 6)]
+    assert N._passes(blocks.limit(0), 8) == []
+
+
+def test_keys_get_longer_with_the_texts():
+    for n_bytes in (0, 10 ** 6, 10 ** 9, 6 * 10 ** 9, 10 ** 12):
+        bits = N.key_bits(n_bytes)
+        assert 32 <= bits <= 64
+        # Columns of two bytes are as many as can be.
+        assert n_bytes / 2 / 2 ** bits < 1 / 16
+    columns = np.array([0, 1 << 20, 5 << 40, 2 ** 64 - 1], np.uint64)
+    assert N._high(columns, 64).tolist() == columns.tolist()
+    assert N._high(columns, 44).tolist() == [0, 1, 5 << 20, 2 ** 44 - 1]
+    assert N._borders(4, 64).tolist() == [0, 1 << 62, 1 << 63, 3 << 62]
