@@ -19,7 +19,7 @@ def write_index(assigned: DataFrame, centroids: ivf.Centroids, index_path: str,
     """
     (assigned.select(*schemas.TABLES["index_vectors"].names)
      .hint("rebalance", "cell")
-     .write.mode("overwrite").partitionBy("cell").parquet(index_path))
+     .write.mode("overwrite").partitionBy("cell").parquet(index_path, compression=scratch.TEXT_CODEC))
     centroids.to_df(assigned.sparkSession).coalesce(1).write.mode("overwrite").parquet(
         centroids_path)
 
@@ -43,19 +43,22 @@ def build_index(active_embeddings: DataFrame, index_path: str, centroids_path: s
                 max_cells: int = S.MAX_CELLS) -> dict:
     """Train, assign and store an index over all active vectors; returns its facts.
 
-    The active vectors are found once and written; training, assignment and the count read them.
+    The active vectors are found once and written; training, assignment and the count read them, then
+    they are removed.
     ``curve`` is the recall of the index by number of probes, measured once it is stored.
     """
     if not 1 <= max_cells <= ivf.CELL_LIMIT:
         raise ValueError(f"max_cells must be 1 to {ivf.CELL_LIMIT}")
     spark = active_embeddings.sparkSession
     vectors = scratch.written(
-        active_embeddings.select("chunk_id", "embedding_hash", "embedding"), "active-vectors")
+        active_embeddings.select("chunk_id", "embedding_hash", "embedding"), "active-vectors",
+        scratch.TEXT_CODEC)
     rows = vectors.count()
     if not rows:
         raise ValueError("no active embeddings: an index cannot be built")
     centroids = ivf.train(vectors, ivf.cell_count(rows, max_cells))
     write_index(ivf.assign(vectors, centroids), centroids, index_path, centroids_path)
+    scratch.remove(vectors)
     index = read_index(spark, index_path)
     stored = index_checksum(index).first()
     curve = search.measured_curve(index.withColumnRenamed("chunk_id", "id"), centroids)
@@ -83,4 +86,4 @@ def add_part(fresh: DataFrame, centroids: ivf.Centroids, index_path: str) -> Non
     """Write new vectors (chunk_id, embedding_hash, embedding) by the cells of a built index."""
     assigned = ivf.assign(fresh.select("chunk_id", "embedding_hash", "embedding"), centroids)
     (assigned.select(*schemas.TABLES["index_vectors"].names).hint("rebalance", "cell")
-     .write.mode("overwrite").partitionBy("cell").parquet(index_path))
+     .write.mode("overwrite").partitionBy("cell").parquet(index_path, compression=scratch.TEXT_CODEC))

@@ -68,8 +68,13 @@ def changed(statuses: DataFrame) -> DataFrame:
 
 def new_versions(valid: DataFrame, statuses: DataFrame, run_id: int) -> DataFrame:
     """The rows to append: the winning occurrence of every NEW or UPDATED document."""
-    rows = valid.join(changed(statuses).select("doc_id", "seq"), ["doc_id", "seq"], "left_semi")
-    return rows.select(
+    return version_rows(valid.join(
+        changed(statuses).select("doc_id", "seq"), ["doc_id", "seq"], "left_semi"), run_id)
+
+
+def version_rows(valid: DataFrame, run_id: int) -> DataFrame:
+    """Accepted rows in the shape of the version log."""
+    return valid.select(
         "doc_id", "url", "title", "cleaned_text", "content_hash", "text_len",
         F.lit(run_id).cast("int").alias("source_run_id"),
     )

@@ -16,7 +16,7 @@ from corpusloom.functions.encoders import Encoder, HashingEncoder, embed_chunks
 from corpusloom.functions.tokenizers import Tokenizer, WordTokenizer
 from corpusloom.operators import (
     chunking, current, index_store, ivf, known_ids, merge, quality, sampling, validate)
-from corpusloom.sources import jsonl
+from corpusloom.sources import jsonl, scratch
 from corpusloom.sources.scratch import written
 from corpusloom.sources.warehouse import Warehouse, small_frame
 
@@ -92,13 +92,13 @@ class Build:
         return seen["rows"], {"input": self.input_path}
 
     def _clean(self) -> tuple[int, dict]:
-        # Every text is cleaned once, here; later stages read the cleaned rows.
+        # Every text is cleaned once, here; the next stage reads the cleaned rows and removes them.
         w, c = self.warehouse, self.counts
         raw = jsonl.accepted(w.read_run("raw_documents", self.run_id))
-        if len(raw.inputFiles()) < w.spark.sparkContext.defaultParallelism:
-            # Written by few tasks: dealt anew, or those few would do all that follows.
+        if 2 * raw.rdd.getNumPartitions() < w.spark.sparkContext.defaultParallelism:
+            # So small that few tasks read it: dealt anew, or those few would do all that follows.
             raw = raw.hint("rebalance")
-        self.staged = written(validate.staged_documents(raw), "staged")
+        self.staged = written(validate.staged_documents(raw), "staged", scratch.TEXT_CODEC)
         seen = w.write_run("rejected_documents", validate.refused_of(self.staged, self.run_id),
                            self.run_id, {"rows": F.count("*")})
         c["rejected_doc_count"] = seen["rows"]
@@ -120,8 +120,15 @@ class Build:
         self.closed = {c: decided.pop(f"closed_{c}") for c in current.HELD}
         self.counts.update(decided)
         statuses = w.read_run("document_status", run_id)
-        w.write_run("clean_documents", merge.new_versions(valid, statuses, run_id), run_id)
+        changes = decided["new_doc_count"] + decided["updated_doc_count"]
+        if changes == self.counts["stg_valid_count"]:
+            # Every row is the one occurrence of a document that changed: no text moves.
+            versions = merge.version_rows(valid, run_id)
+        else:
+            versions = merge.new_versions(valid if changes else valid.filter("false"), statuses, run_id)
+        w.write_run("clean_documents", versions, run_id)
         w.write_run("closures", merge.new_closures(statuses, run_id), run_id)
+        scratch.remove(self.staged)
         return self.counts["stg_valid_count"], decided
 
     def _find_current(self, keys: DataFrame, n_keys: int) -> None:

@@ -7,6 +7,8 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+# Of tables that hold whole texts.
+TEXT_CODEC = "zstd"
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -50,18 +52,25 @@ def held_folder(spark: SparkSession, purpose: str) -> str:
     return path
 
 
-def written(df: DataFrame, purpose: str) -> DataFrame:
+def written(df: DataFrame, purpose: str, codec: str | None = None) -> DataFrame:
     """The rows from a table in the shared folder: lineage ends here, nothing is computed twice.
 
-    The table is removed when the driver ends.
+    The table is removed when the driver ends, or by ``remove``.
     """
     spark = df.sparkSession
     path = new_folder(spark, purpose)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     release_at_end(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def remove(table: DataFrame) -> None:
+    """Remove a written table that nothing reads any more."""
+    for folder in {path.rsplit("/", 1)[0] for path in table.inputFiles()}:
+        files, place = _place(table.sparkSession, folder)
+        files.delete(place, True)
+
+
 def in_one(parts: Iterator[DataFrame], purpose: str) -> DataFrame:
     """The rows of all parts as one table, each part written before the next is asked for."""
     path = None

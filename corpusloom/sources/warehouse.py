@@ -32,6 +32,10 @@ CONTROL_COLUMN = {"index_registry": "run_id", "latency_logs": "run_id", "audit_r
                   "retrieval_eval": "run_id"}
 
 
+# Row groups of raw rows: a task that reads them takes one or more.
+RAW_GROUP_BYTES = 4 << 20
+
+
 def small_frame(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
     """A few driver-side rows as a DataFrame, without starting a Python worker."""
     columns = list(zip(*rows)) if rows else [[] for _ in schema.fields]
@@ -80,7 +84,10 @@ class Warehouse:
             # Brings a folder into few files, so that their number does not grow with the tasks.
             df = df.hint("rebalance", "prefix")
         seen, df = observed(df, metrics or {})
-        writer = df.select(*columns).write.mode("overwrite")
+        writer = df.select(*columns).write.mode("overwrite").option("compression", scratch.TEXT_CODEC)
+        if table == "raw_documents":
+            # Lets as many tasks read a file as there are groups, whatever task wrote it.
+            writer = writer.option("parquet.block.size", RAW_GROUP_BYTES)
         if table == "chunks":
             # Lets a look-up by id skip folders, and row groups; ids are hashes, so min/max cannot.
             # A filter is the smallest of a few sizes that holds its ids, not 1 MB whatever they are.
