@@ -85,9 +85,8 @@ def batch_preview(batch: DataFrame, base: DataFrame) -> DataFrame:
     known = base.select("id").distinct().withColumn("known", F.lit(True)).withColumnRenamed(
         "id", "known_id")
     named = F.when(~X.is_blank("id"), F.col("id"))
-    return batch.withColumn("named", named).join(
-        known, F.col("named") == F.col("known_id"), "left").select(
-        "id", "title",
-        F.length("text").alias("text_len"),
-        (~X.is_blank("text")).alias("has_text"),
-        F.col("known").isNull().alias("is_new"))
+    # What is shown of the texts, so that these do not move.
+    seen = batch.select("id", "title", F.length("text").alias("text_len"),
+                        (~X.is_blank("text")).alias("has_text"), named.alias("named"))
+    return seen.join(known, F.col("named") == F.col("known_id"), "left").select(
+        "id", "title", "text_len", "has_text", F.col("known").isNull().alias("is_new"))

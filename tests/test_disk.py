@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusloom.functions.encoders import HashingEncoder
+from corpusloom.operators import sampling
 from corpusloom.plans import build as B
 from corpusloom.sources import jsonl, scratch
 from corpusloom.sources.warehouse import Warehouse
@@ -84,3 +85,15 @@ def test_raw_rows_of_one_file_are_read_by_many_tasks_without_a_shuffle(spark, mo
     assert len(plans) == 1 and "Exchange" not in plans[0]
     parts = w.read_run("raw_documents", 1).groupBy(F.spark_partition_id()).count().collect()
     assert len([r for r in parts if r["count"]]) >= 4
+
+
+def test_a_preview_moves_no_texts(spark, sort_joins):
+    batch = raw(spark, 20).drop("seq")
+    shown = sampling.batch_preview(batch, spark.range(5).select(F.col("id").cast("string").alias("id")))
+    text = "SortMergeJoin"
+    at = plan(shown)
+    assert text in at and all("text#" not in line for line in at.splitlines() if "Exchange" in line or "Sort " in line)
+    assert "text_len" in at.split("Exchange")[1]
+    rows = {r.id: r for r in shown.collect()}
+    assert len(rows) == 20 and sorted(k for k, r in rows.items() if not r.is_new) == list("01234")
+    assert {(r.text_len, r.has_text) for r in rows.values()} == {(60 * 65 - 1, True)}
