@@ -805,7 +805,7 @@ def streamed_updates(i: Inputs) -> DataFrame:
     again = i.base.join(labelled.withColumn("labelled", F.lit(True)), "id", "left").withColumn(
         "text", F.when(F.col("labelled"), F.concat("text", F.lit(REVISED))).otherwise(F.col("text")))
     for n, rows in enumerate((i.base, again)):
-        jsonl.write_documents(rows, f"{root}/inbox/{n}")
+        jsonl.write_documents(rows, f"{root}/inbox/{n}", compressed=True)
         run_available(w, "tables", f"{root}/inbox/*", f"{root}/checkpoint", encoder=HashingEncoder(DIM))
     return w.run_history().select("run_id", "mode", "status", "raw_doc_count", "new_doc_count",
                                   "updated_doc_count", "unchanged_doc_count", "active_doc_count")

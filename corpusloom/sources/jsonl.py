@@ -108,9 +108,16 @@ def numbered_batch(run_id: int, rows: int = S.INGEST_BATCH_ROWS) -> Column:
     return X.key_hash(F.lit(run_id), F.floor(F.col("number") / rows))
 
 
-def write_documents(df: DataFrame, path: str) -> None:
-    """One JSON object per line, nulls kept."""
-    df.select("id", "url", "title", "text").write.option("ignoreNullFields", "false").json(path)
+# Rows of a compressed file, which one task reads.
+FILE_ROWS = 20_000
+
+
+def write_documents(df: DataFrame, path: str, compressed: bool = False) -> None:
+    """One JSON object per line, nulls kept; compressed in files of a bounded number of lines."""
+    writer = df.select("id", "url", "title", "text").write.option("ignoreNullFields", "false")
+    if compressed:
+        writer = writer.option("compression", "gzip").option("maxRecordsPerFile", FILE_ROWS)
+    writer.json(path)
 
 
 def normalise_corpus(df: DataFrame, id_column: str, url_column: str, title_column: str,

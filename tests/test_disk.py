@@ -97,3 +97,12 @@ def test_a_preview_moves_no_texts(spark, sort_joins):
     rows = {r.id: r for r in shown.collect()}
     assert len(rows) == 20 and sorted(k for k, r in rows.items() if not r.is_new) == list("01234")
     assert {(r.text_len, r.has_text) for r in rows.values()} == {(60 * 65 - 1, True)}
+
+
+def test_compressed_lines_hold_few_rows_a_file(spark, monkeypatch):
+    monkeypatch.setattr(jsonl, "FILE_ROWS", 100)
+    path = scratch.held_folder(spark, "lines") + "/rows"
+    jsonl.write_documents(raw(spark, 450, tasks=1), path, compressed=True)
+    back = jsonl.accepted(jsonl.read_documents(spark, path, 1))
+    assert len(spark.read.text(path).inputFiles()) == 5
+    assert sorted(back.select("id", "text").collect()) == sorted(raw(spark, 450).select("id", "text").collect())
